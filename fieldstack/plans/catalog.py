@@ -139,3 +139,116 @@ SELECT * FROM (
 def q_granule_listing(spark, sf):
     return SR.granule_listing(pairs(spark, sf), max_results=10).withColumn(
         "ordinal", F.col("ordinal").cast("long"))
+
+
+# ---- 3. granule files --------------------------------------------------------------------
+
+from fieldstack.constants import BANDS  # noqa: E402
+from fieldstack.operators import granules as GR  # noqa: E402
+from fieldstack.operators import organize as OG  # noqa: E402
+
+OUT_ROOT = "/data/fields"
+
+
+def files(spark, sf):
+    return D.granule_files(spark, sf)
+
+
+def band_files(spark, sf):
+    f = files(spark, sf).withColumn("file_name", F.element_at(F.split("url", "/"), -1))
+    return GR.filter_bands(f, BANDS)
+
+
+def manifest(spark, sf):
+    return GR.download_manifest(picks(spark, sf), files(spark, sf), BANDS, OUT_ROOT)
+
+
+FILE_NAME_SQL = "CASE WHEN strpos(url, 'http') > 0 THEN string_split(url, '/')[-1] ELSE url END"
+BAND_FILTER_SQL = " OR ".join(f"strpos(file_name, '.{b}.') > 0" for b in BANDS)
+BAND_FILES = f"""
+band_files AS (
+  SELECT * FROM (SELECT *, {FILE_NAME_SQL} AS file_name FROM granule_files) WHERE {BAND_FILTER_SQL})"""
+MANIFEST = f"""
+manifest AS (
+  SELECT p.polygon_number, p.time_idx, p.granule_key, f.granule_id, f.band, f.url, f.file_name,
+         '{OUT_ROOT}/' || CAST(p.polygon_number AS VARCHAR) || '/t' || CAST(p.time_idx AS VARCHAR) || '/'
+           || f.granule_id || '/' || f.file_name AS target_path,
+         f.l_suppkey, f.l_partkey, f.l_extendedprice
+  FROM picks p JOIN band_files f ON p.granule_key = f.granule_key)"""
+ORGANIZED = """
+organized AS (
+  SELECT polygon_number, time_idx, band, arg_min(url, (l_suppkey, l_partkey, l_extendedprice, url)) AS url,
+         count(*) AS n_candidates
+  FROM manifest GROUP BY polygon_number, time_idx, band)"""
+BAND_LIST_SQL = "[" + ",".join(f"'{b}'" for b in BANDS) + "]"
+
+
+@query("granule_id_extract", with_(S.GRANULES, S.FILES) + rf"""
+SELECT granule_key, granule_id, url, file_name,
+       regexp_replace(regexp_replace(file_name, '\.tif$', ''), '\.(B[^.]{{0,3}}|Fmask|VAA|VZA|SAA|SZA)$', '') AS parsed_granule_id,
+       nullif(regexp_extract(regexp_replace(file_name, '\.tif$', ''), '\.(B[^.]{{0,3}}|Fmask|VAA|VZA|SAA|SZA)$', 1), '') AS layer
+FROM (SELECT *, {FILE_NAME_SQL} AS file_name FROM granule_files)""")
+def q_granule_id_extract(spark, sf):
+    return GR.parse_file_urls(files(spark, sf)).select(
+        "granule_key", "granule_id", "url", "file_name", "parsed_granule_id", "layer")
+
+
+@query("granule_parts", with_(S.GRANULES) + r"""
+SELECT granule_key, granule_id, split_part(granule_id, '.', 1) AS product, split_part(granule_id, '.', 2) AS sensor,
+       split_part(granule_id, '.', 3) AS tile_code,
+       strptime(split_part(granule_id, '.', 4), '%Y%jT%H%M%S') AS parsed_acquired_at,
+       split_part(granule_id, '.', 5) || '.' || split_part(granule_id, '.', 6) AS version,
+       acquired_at
+FROM granules""")
+def q_granule_parts(spark, sf):
+    return GR.with_granule_parts(D.granules(spark, sf)).select(
+        "granule_key", "granule_id", "product", "sensor", "tile_code", "parsed_acquired_at",
+        "version", "acquired_at")
+
+
+@query("band_filter", with_(S.GRANULES, S.FILES, BAND_FILES)
+       + "SELECT granule_key, band, url, file_name FROM band_files")
+def q_band_filter(spark, sf):
+    return band_files(spark, sf).select("granule_key", "band", "url", "file_name")
+
+
+@query("granule_groups", with_(S.GRANULES, S.FILES, BAND_FILES) + """
+SELECT granule_id, count(*) AS n_files, array_to_string(list_sort(list_distinct(list(band))), ',') AS bands
+FROM band_files GROUP BY granule_id""")
+def q_granule_groups(spark, sf):
+    return GR.group_by_granule(band_files(spark, sf))
+
+
+@query("download_manifest", with_(*BASE, S.PAIRS, S.PICKS, S.FILES, BAND_FILES, MANIFEST) + """
+SELECT polygon_number, time_idx, granule_key, granule_id, band, url, file_name, target_path FROM manifest""")
+def q_download_manifest(spark, sf):
+    return manifest(spark, sf)
+
+
+@query("organize_bands", with_(*BASE, S.PAIRS, S.PICKS, S.FILES, BAND_FILES, MANIFEST, ORGANIZED) + f"""
+SELECT polygon_number, time_idx, band, url, n_candidates,
+       '{OUT_ROOT}/' || CAST(polygon_number AS VARCHAR) || '/t' || CAST(time_idx AS VARCHAR) || '/' || band || '.tif' AS organized_path
+FROM organized""")
+def q_organize_bands(spark, sf):
+    return organize(spark, sf)
+
+
+def organize(spark, sf):
+    f = files(spark, sf)
+    p = picks(spark, sf).select("polygon_number", "time_idx", "granule_key")
+    fm = GR.filter_bands(f.withColumn("file_name", F.element_at(F.split("url", "/"), -1)), BANDS)
+    m = p.join(fm, "granule_key")
+    first = OG.first_file_per_band(m, ["l_suppkey", "l_partkey", "l_extendedprice"])
+    return OG.organized_path(first, OUT_ROOT)
+
+
+@query("missing_bands", with_(*BASE, S.PAIRS, S.PICKS, S.FILES, BAND_FILES, MANIFEST, ORGANIZED) + f"""
+SELECT p.polygon_number, p.time_idx,
+       array_to_string(list_filter({BAND_LIST_SQL}, lambda x: NOT list_contains(coalesce(o.found, []), x)), ',') AS missing,
+       CAST(len(list_filter({BAND_LIST_SQL}, lambda x: list_contains(coalesce(o.found, []), x))) AS INTEGER) AS n_found,
+       CASE WHEN len(list_filter({BAND_LIST_SQL}, lambda x: NOT list_contains(coalesce(o.found, []), x))) = 0
+            THEN 'COMPLETE' ELSE 'MISSING_BANDS' END AS status
+FROM picks p LEFT JOIN (SELECT polygon_number, time_idx, list(band) AS found FROM organized
+                        GROUP BY polygon_number, time_idx) o USING (polygon_number, time_idx)""")
+def q_missing_bands(spark, sf):
+    return OG.band_completeness(picks(spark, sf), organize(spark, sf), BANDS)
