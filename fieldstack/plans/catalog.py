@@ -252,3 +252,175 @@ FROM picks p LEFT JOIN (SELECT polygon_number, time_idx, list(band) AS found FRO
                         GROUP BY polygon_number, time_idx) o USING (polygon_number, time_idx)""")
 def q_missing_bands(spark, sf):
     return OG.band_completeness(picks(spark, sf), organize(spark, sf), BANDS)
+
+
+# ---- 4. pixels, stacks, statistics, imagery ----------------------------------------------
+
+from fieldstack.operators import assemble as AS  # noqa: E402
+from fieldstack.operators import imagery as IM  # noqa: E402
+from fieldstack.operators import stats as ST  # noqa: E402
+
+LABELS = AS.stack_labels()
+PERIODS = ["spring", "summer", "autumn"]
+PCT = """
+pct AS (
+  SELECT field_id, time_idx, band, round(quantile_cont(value, 0.02), 4) AS p_low,
+         round(quantile_cont(value, 0.98), 4) AS p_high
+  FROM pixels GROUP BY field_id, time_idx, band)"""
+STRETCHED = """
+stretched AS (
+  SELECT x.*, pct.p_low, pct.p_high,
+         round(CASE WHEN p_high = p_low THEN (CASE WHEN value > p_low THEN 1.0 WHEN value < p_low THEN 0.0 END)
+                    ELSE (CASE WHEN (value - p_low) / (p_high - p_low) < 0 THEN 0.0
+                               WHEN (value - p_low) / (p_high - p_low) > 1 THEN 1.0
+                               ELSE (value - p_low) / (p_high - p_low) END) END, 4) AS stretched
+  FROM pixels x JOIN pct USING (field_id, time_idx, band))"""
+
+
+def _pivot_sql(labels_expr: list[tuple[str, str]], src: str, keys: str = "field_id, row, col") -> str:
+    cols = ",\n  ".join(f"max(CASE WHEN {cond} THEN value END) AS {name}" for name, cond in labels_expr)
+    return f"SELECT {keys},\n  {cols}\nFROM {src} GROUP BY {keys}"
+
+
+_STACK_COND = [(f"t{t}_{b}", f"time_idx = {t} AND band = '{b}'") for t in range(3) for b in BANDS]
+_PERIOD_COND = [(f"{p}_{b}", f"time_idx = {i} AND band = '{b}'") for i, p in enumerate(PERIODS) for b in BANDS]
+LABEL_LIST_SQL = "[" + ",".join(f"'{x}'" for x in LABELS) + "]"
+STACK_STATUS = f"""
+have AS (SELECT field_id, list(DISTINCT 't' || CAST(time_idx AS VARCHAR) || '_' || band) AS have
+         FROM pixels GROUP BY field_id),
+stack_status AS (
+  SELECT field_id,
+         CAST(len(list_filter({LABEL_LIST_SQL}, lambda x: list_contains(have, x))) AS INTEGER) AS n_bands,
+         array_to_string(list_filter({LABEL_LIST_SQL}, lambda x: NOT list_contains(have, x)), ',') AS missing,
+         CASE WHEN len(list_filter({LABEL_LIST_SQL}, lambda x: NOT list_contains(have, x))) = 0
+              THEN 'READY' ELSE 'MISSING_BANDS' END AS status
+  FROM have)"""
+STACK = f"""
+stack AS (
+  {_pivot_sql(_STACK_COND, "(SELECT * FROM pixels WHERE field_id IN (SELECT field_id FROM stack_status WHERE status = 'READY'))")})"""
+
+
+def px(spark, sf):
+    return D.pixels(spark, sf)
+
+
+def stretched(spark, sf):
+    p = px(spark, sf)
+    return ST.band_stretch(p, ST.band_percentiles(p))
+
+
+@query("pixels_scan", with_(S.PIXELS) + "SELECT * FROM pixels")
+def q_pixels_scan(spark, sf):
+    return px(spark, sf)
+
+
+@query("band_stats", with_(S.PIXELS) + """
+SELECT field_id, time_idx, band, count(*) AS n, min(value) AS min, max(value) AS max,
+       round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS std,
+       round(avg(CASE WHEN value <> 0 THEN 100.0 ELSE 0.0 END), 4) AS valid_pct
+FROM pixels GROUP BY field_id, time_idx, band""")
+def q_band_stats(spark, sf):
+    return ST.band_stats(px(spark, sf))
+
+
+@query("band_percentiles", with_(S.PIXELS, PCT) + "SELECT * FROM pct")
+def q_band_percentiles(spark, sf):
+    return ST.band_percentiles(px(spark, sf))
+
+
+@query("band_histogram", with_(S.PIXELS) + """
+, counts AS (SELECT field_id, time_idx, band, value, count(*) AS n FROM pixels GROUP BY field_id, time_idx, band, value),
+ranges AS (SELECT field_id, time_idx, band, min(value) AS vmin, max(value) AS vmax FROM counts GROUP BY field_id, time_idx, band),
+dense AS (SELECT field_id, time_idx, band, vmin, CAST(unnest(range(vmin, vmax + 1)) AS INTEGER) AS value FROM ranges)
+SELECT d.field_id, d.time_idx, d.band, CAST(d.value - d.vmin AS INTEGER) AS bucket, d.value, coalesce(c.n, 0) AS n
+FROM dense d LEFT JOIN counts c USING (field_id, time_idx, band, value)""".replace("\n, counts", ", counts", 1))
+def q_band_histogram(spark, sf):
+    return ST.band_histogram(px(spark, sf))
+
+
+@query("band_stretch", with_(S.PIXELS, PCT, STRETCHED) + "SELECT * FROM stretched")
+def q_band_stretch(spark, sf):
+    return stretched(spark, sf)
+
+
+_COMP_COND = [(b, f"band = '{b}'") for b in BANDS]
+_COMP_WIDE = ("wide AS (" + _pivot_sql(_COMP_COND, "stretched", "field_id, row, col, time_idx")
+              .replace("THEN value END", "THEN stretched END") + ")")
+_COMP_SEL = " UNION ALL ".join(
+    f"SELECT field_id, row, col, time_idx, '{n}' AS preset, {c[0]} AS r, {c[1]} AS g, {c[2]} AS b FROM wide"
+    for n, c, a in IM.presets() if a)
+
+
+@query("composites", with_(S.PIXELS, PCT, STRETCHED, _COMP_WIDE) + _COMP_SEL)
+def q_composites(spark, sf):
+    return IM.composites(stretched(spark, sf))
+
+
+_CHANGE = """
+change AS (
+  SELECT field_id, row, col, v0, v1, v2, v1 - v0 AS d10, v2 - v1 AS d21, v2 - v0 AS d20 FROM (
+    SELECT field_id, row, col, max(CASE WHEN time_idx = 0 THEN value END) AS v0,
+           max(CASE WHEN time_idx = 1 THEN value END) AS v1, max(CASE WHEN time_idx = 2 THEN value END) AS v2
+    FROM pixels WHERE band = 'B8A' GROUP BY field_id, row, col))"""
+
+
+@query("change_detect", with_(S.PIXELS, _CHANGE) + "SELECT * FROM change")
+def q_change_detect(spark, sf):
+    return IM.change_detect(px(spark, sf))
+
+
+@query("change_range", with_(S.PIXELS, _CHANGE) + """
+SELECT field_id, least(min(v0), min(v1), min(v2)) AS vmin, greatest(max(v0), max(v1), max(v2)) AS vmax,
+       greatest(max(abs(d10)), max(abs(d21)), max(abs(d20))) AS diff_max
+FROM change GROUP BY field_id""")
+def q_change_range(spark, sf):
+    return IM.change_range(IM.change_detect(px(spark, sf)))
+
+
+@query("change_lag", with_(S.PIXELS) + """
+SELECT * FROM (
+  SELECT *, value - lag(value) OVER (PARTITION BY field_id, band, row, col ORDER BY time_idx) AS diff_prev
+  FROM pixels) WHERE diff_prev IS NOT NULL""")
+def q_change_lag(spark, sf):
+    return IM.change_lag(px(spark, sf))
+
+
+@query("stack_status", with_(S.PIXELS, STACK_STATUS) + "SELECT * FROM stack_status")
+def q_stack_status(spark, sf):
+    return AS.stack_status(px(spark, sf))
+
+
+@query("stack_assemble", with_(S.PIXELS, STACK_STATUS, STACK) + "SELECT * FROM stack")
+def q_stack_assemble(spark, sf):
+    return AS.assemble_stack(px(spark, sf))
+
+
+@query("stack_named_periods", with_(S.PIXELS) + _pivot_sql(_PERIOD_COND, "pixels"))
+def q_stack_named_periods(spark, sf):
+    return AS.assemble_named_periods(px(spark, sf), PERIODS)
+
+
+@query("clip_pixels", with_(S.PIXELS) + """
+SELECT field_id, time_idx, band, row - 1 AS row, col - 1 AS col, value FROM pixels
+WHERE row BETWEEN 1 AND 6 AND col BETWEEN 1 AND 6""")
+def q_clip_pixels(spark, sf):
+    return AS.clip_window(px(spark, sf), 1, 6, 1, 6)
+
+
+@query("training_rows", with_(S.PIXELS, STACK_STATUS, STACK, S.FIELDS, S.VALID_FIELDS) + f"""
+SELECT s.field_id, s.row, s.col, f.class,
+       array_to_string([{", ".join("s." + x for x in LABELS)}], ',') AS features
+FROM stack s JOIN valid_fields f ON s.field_id = f.polygon_number""")
+def q_training_rows(spark, sf):
+    return AS.training_rows(AS.assemble_stack(px(spark, sf)), valid_fields(spark, sf), as_array=False)
+
+
+@query("grid_check", with_(*BASE, S.PAIRS, S.PICKS) + """
+SELECT p.polygon_number, count(*) AS n_dates, count(DISTINCT g.tile) AS n_tiles,
+       count(DISTINCT CAST(floor((g.west / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER)) AS n_zones,
+       CASE WHEN count(DISTINCT g.tile) = 1 THEN 'OK' ELSE 'GRID_MISMATCH' END AS status
+FROM picks p JOIN granules g USING (granule_key) GROUP BY p.polygon_number""")
+def q_grid_check(spark, sf):
+    from fieldstack.functions.geo import utm_zone
+    return AS.grid_check(picks(spark, sf), D.granules(spark, sf),
+                         utm_zone(F.col("west") / D.UNITS_PER_DEGREE))
