@@ -424,3 +424,184 @@ def q_grid_check(spark, sf):
     from fieldstack.functions.geo import utm_zone
     return AS.grid_check(picks(spark, sf), D.granules(spark, sf),
                          utm_zone(F.col("west") / D.UNITS_PER_DEGREE))
+
+
+# ---- 5. field order, ledger, logs ---------------------------------------------------------
+
+from fieldstack.operators import ledger as LG  # noqa: E402
+from fieldstack.operators import logs as LO  # noqa: E402
+from fieldstack.plans.requests import order_and_limit, split_fields  # noqa: E402
+
+SHUFFLE_SQL = "((polygon_number % 2147483647) * 48271 + 42) % 2147483647"
+
+
+@query("class_distribution", with_(S.FIELDS, S.VALID_FIELDS)
+       + "SELECT class, count(*) AS n FROM valid_fields GROUP BY class")
+def q_class_distribution(spark, sf):
+    return valid_fields(spark, sf).groupBy("class").agg(F.count("*").alias("n"))
+
+
+@query("fields_order_limit", with_(S.FIELDS, S.VALID_FIELDS)
+       + "SELECT * FROM valid_fields ORDER BY input_pos DESC LIMIT 100")
+def q_fields_order_limit(spark, sf):
+    return order_and_limit(valid_fields(spark, sf), "backward", 100)
+
+
+@query("fields_sample", with_(S.FIELDS, S.VALID_FIELDS)
+       + f"SELECT * FROM valid_fields ORDER BY {SHUFFLE_SQL}, input_pos LIMIT 100")
+def q_fields_sample(spark, sf):
+    return order_and_limit(valid_fields(spark, sf), "random", 100, seed=42)
+
+
+@query("fields_split", with_(S.FIELDS, S.VALID_FIELDS)
+       + f"SELECT *, CAST({SHUFFLE_SQL} % 2 AS INTEGER) AS part FROM valid_fields")
+def q_fields_split(spark, sf):
+    return split_fields(valid_fields(spark, sf), 2)
+
+
+def ledger(spark, sf):
+    r = D.runs(spark, sf)
+    ok = r.where(F.col("status").isin("SUCCESS", "SKIPPED"))
+    bad = r.where(F.col("status") == "FAILED")
+    return LG.ledger_union(ok, bad)
+
+
+@query("run_ledger", with_(S.RUNS) + "SELECT * FROM runs")
+def q_run_ledger(spark, sf):
+    return ledger(spark, sf)
+
+
+@query("run_summary", with_(S.RUNS) + """
+SELECT batch_id, processed, success, skipped, failed, total_cs,
+       CASE WHEN processed <> 0 THEN CAST(floor(((success + skipped) * 1000 * 2 + processed) / (processed * 2.0)) AS BIGINT) / 10.0 END AS success_rate_pct,
+       CASE WHEN processed <> 0 THEN CAST(floor(total_cs / processed) AS BIGINT) END AS avg_cs,
+       CASE WHEN total_cs <> 0 THEN CAST(floor((processed * 3600000 * 2 + total_cs) / (total_cs * 2.0)) AS BIGINT) / 10.0 END AS fields_per_hour
+FROM (SELECT batch_id, count(*) AS processed, count_if(status = 'SUCCESS') AS success,
+             count_if(status = 'SKIPPED') AS skipped, count_if(status = 'FAILED') AS failed,
+             CAST(sum(duration_cs) AS BIGINT) AS total_cs
+      FROM runs GROUP BY batch_id)""")
+def q_run_summary(spark, sf):
+    return LG.run_summary(ledger(spark, sf))
+
+
+def _eta_sql(r: str) -> str:
+    def tenths(t):
+        return f"CAST(CAST(floor(({t}) / 10) AS BIGINT) AS VARCHAR) || '.' || CAST(({t}) % 10 AS VARCHAR)"
+    tm = f"CAST(floor(({r} + 300) / 600) AS BIGINT)"
+    th = f"CAST(floor(({r} + 18000) / 36000) AS BIGINT)"
+    return (f"CASE WHEN {r} IS NULL THEN 'calculating...' "
+            f"WHEN {r} < 6000 THEN CAST(CAST(floor(({r} + 50) / 100) AS BIGINT) AS VARCHAR) || 's' "
+            f"WHEN {r} < 360000 THEN {tenths(tm)} || 'm' ELSE {tenths(th)} || 'h' END")
+
+
+@query("run_progress", with_(S.RUNS) + f"""
+, prog AS (
+  SELECT batch_id, polygon_number, status, ts, event_id,
+         CAST(count(*) OVER w AS BIGINT) AS seq,
+         CAST(sum(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_success,
+         CAST(sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_failed,
+         CAST(sum(CASE WHEN status = 'SKIPPED' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_skipped,
+         CAST(sum(duration_cs) OVER w AS BIGINT) AS elapsed_cs,
+         CAST(count(*) OVER (PARTITION BY batch_id) AS BIGINT) AS total
+  FROM runs WINDOW w AS (PARTITION BY batch_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+prog2 AS (SELECT *, CAST(floor(elapsed_cs * (total - seq) / seq) AS BIGINT) AS remaining_cs FROM prog)
+SELECT batch_id, seq, polygon_number, status, n_success, n_failed, n_skipped, total,
+       CAST(floor((seq * 1000 * 2 + total) / (total * 2.0)) AS BIGINT) / 10.0 AS pct_done,
+       elapsed_cs, remaining_cs, {_eta_sql("remaining_cs")} AS eta
+FROM prog2""".replace("\n, prog AS", ", prog AS", 1))
+def q_run_progress(spark, sf):
+    return LG.run_progress(ledger(spark, sf))
+
+
+@query("run_report_top", with_(S.RUNS) + """
+, x AS (SELECT *, CASE WHEN status = 'FAILED' THEN 'failed' ELSE 'successful' END AS list FROM runs),
+r AS (SELECT *, row_number() OVER (PARTITION BY batch_id, list ORDER BY ts, event_id) AS rank,
+             count(*) OVER (PARTITION BY batch_id, list) AS n_list FROM x)
+SELECT batch_id, list, rank, polygon_number, message, greatest(n_list - 10, 0) AS n_more
+FROM r WHERE rank <= 10""".replace("\n, x AS", ", x AS", 1))
+def q_run_report_top(spark, sf):
+    return LG.report_top(ledger(spark, sf))
+
+
+@query("resume_antijoin", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.RUNS) + """
+SELECT * FROM requests q
+WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.polygon_number = q.polygon_number AND r.status IN ('SUCCESS', 'SKIPPED'))""")
+def q_resume_antijoin(spark, sf):
+    return LG.resume_pending(requests(spark, sf), ledger(spark, sf))
+
+
+@query("duplicate_fields", with_(S.RUNS) + """
+SELECT *, CASE WHEN coalesce(bool_or(status IN ('SUCCESS', 'SKIPPED')) OVER (
+                  PARTITION BY batch_id, polygon_number ORDER BY ts, event_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false)
+               THEN 'SKIPPED' ELSE status END AS effective_status
+FROM runs""")
+def q_duplicate_fields(spark, sf):
+    return LG.resolve_duplicates(ledger(spark, sf))
+
+
+def log_lines(spark, sf):
+    return D.log_lines(spark, sf)
+
+
+LOG_ORDER = ["pos_a", "pos_b", "pos_c"]
+
+
+def log_records(spark, sf):
+    return LO.parse_records(log_lines(spark, sf), LOG_ORDER, F.date_trunc("hour", F.col("pos_a")))
+
+
+LOG_RECORDS = """
+log_records AS (
+  SELECT 'run.log' AS file, date_trunc('millisecond', ts) AS ts, event_id,
+         CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END AS level,
+         event_type || ' field ' || CAST(user_id AS VARCHAR) AS message,
+         CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END AS n_lines, ts AS ts_full
+  FROM events)"""
+
+
+@query("log_parse", with_(LOG_RECORDS) + "SELECT file, ts, level, message, CAST(n_lines AS BIGINT) AS n_lines FROM log_records")
+def q_log_parse(spark, sf):
+    return log_records(spark, sf).select("file", "ts", "level", "message", "n_lines")
+
+
+@query("log_levels", """
+SELECT level, count(*) AS n FROM (
+  SELECT CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END AS level FROM events
+  UNION ALL SELECT 'other' FROM events WHERE event_id % 10 = 0) GROUP BY level""")
+def q_log_levels(spark, sf):
+    return LO.level_counts(log_lines(spark, sf))
+
+
+@query("log_steps", with_(LOG_RECORDS) + """
+SELECT file, ts, level, message,
+       date_diff('millisecond', ts, lead(ts) OVER (ORDER BY ts_full, event_id)) AS step_ms
+FROM log_records""")
+def q_log_steps(spark, sf):
+    rec = log_records(spark, sf)
+    steps = LO.record_steps(rec, F.date_trunc("hour", F.col("record_key.pos_a")))
+    return steps.select("file", "ts", "level", "message", "step_ms")
+
+
+@query("log_attempts", with_(LOG_RECORDS) + """
+SELECT CAST(regexp_extract(message, 'field (\\d+)$', 1) AS BIGINT) AS polygon_number, count(*) AS n_records,
+       count_if(level = 'ERROR') AS n_errors, min(ts) AS first_ts, max(ts) AS last_ts
+FROM log_records GROUP BY 1""")
+def q_log_attempts(spark, sf):
+    rec = log_records(spark, sf)
+    return (rec.groupBy(F.regexp_extract("message", r"field (\d+)$", 1).cast("long").alias("polygon_number"))
+               .agg(F.count("*").alias("n_records"), F.count_if(F.col("level") == "ERROR").alias("n_errors"),
+                    F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
+
+
+@query("failure_classify", with_(LOG_RECORDS) + """
+SELECT ts, level, message,
+       CASE WHEN strpos(lower(message), 'timed out') > 0 THEN 'TIMEOUT'
+            WHEN strpos(message, 'No data found') > 0 OR strpos(message, 'No granules selected') > 0 THEN 'NO_DATA'
+            WHEN strpos(message, 'Authentication failed') > 0 OR strpos(lower(message), 'authentication') > 0 THEN 'AUTH_FAILED'
+            WHEN strpos(lower(message), 'future') > 0 AND strpos(lower(message), 'date') > 0 THEN 'FUTURE_DATE'
+            ELSE 'OTHER' END AS kind
+FROM log_records WHERE level = 'ERROR'""")
+def q_failure_classify(spark, sf):
+    rec = log_records(spark, sf).where(F.col("level") == "ERROR")
+    return rec.select("ts", "level", "message", LG.classify_failure(F.col("message")).alias("kind"))

@@ -64,7 +64,7 @@ def order_and_limit(fields: DataFrame, order: str = "forward", limit: int | None
         raise ValueError(f"order must be one of {ORDERS}")
     key = {"forward": F.col("input_pos").asc(),
            "backward": F.col("input_pos").desc(),
-           "random": F.xxhash64(F.col("polygon_number"), F.lit(seed)).asc()}[order]
+           "random": shuffle_key(F.col("polygon_number"), seed).asc()}[order]
     out = fields.orderBy(key, F.col("input_pos").asc())
     if limit is not None:
         if limit <= 0:
@@ -73,8 +73,15 @@ def order_and_limit(fields: DataFrame, order: str = "forward", limit: int | None
     return out
 
 
+def shuffle_key(polygon, seed: int = 42):
+    """Repeatable pseudo-random order key: one Lehmer (MINSTD) step of the id and a seed,
+    exact in 64-bit integers in any SQL engine."""
+    m = 2147483647
+    return F.pmod(F.pmod(polygon, F.lit(m)) * 48271 + seed, F.lit(m))
+
+
 def split_fields(fields: DataFrame, n_parts: int, seed: int = 42) -> DataFrame:
     """Disjoint split into ``n_parts`` work lists by a hash of the id (replaces running
     two overlapping copies forward and backward)."""
-    return fields.withColumn("part", F.pmod(F.xxhash64(F.col("polygon_number"), F.lit(seed)),
+    return fields.withColumn("part", F.pmod(shuffle_key(F.col("polygon_number"), seed),
                                             F.lit(n_parts)).cast("int"))
