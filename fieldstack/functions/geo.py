@@ -31,7 +31,7 @@ def bbox_from_corners(sw_lat: Column, sw_lon: Column, ne_lat: Column, ne_lon: Co
 
 def bbox_from_text(text: Column) -> Column:
     """'minx,miny,maxx,maxy' -> box; NULL unless exactly four numbers parse."""
-    nums = F.transform(F.split(F.trim(text), r"\s*,\s*"), lambda s: F.try_cast(s, "double"))
+    nums = F.transform(F.split(F.trim(text), r"\s*,\s*"), lambda s: (s).try_cast("double"))
     ok = (F.size(nums) == 4) & F.forall(nums, lambda x: x.isNotNull())
     return F.when(ok, F.struct(F.element_at(nums, 1).alias("west"), F.element_at(nums, 2).alias("south"),
                                F.element_at(nums, 3).alias("east"), F.element_at(nums, 4).alias("north")))
@@ -49,7 +49,7 @@ def utm_zone(lon_deg: Column) -> Column:
 
 def zone_of_tile(tile: Column) -> Column:
     """MGRS tile 'T44TLR' -> zone 44 (NULL if the name does not parse)."""
-    return F.try_cast(F.regexp_extract(tile, r"^T?(\d{1,2})[C-X]", 1), "int")
+    return (F.regexp_extract(tile, r"^T?(\d{1,2})[C-X]", 1)).try_cast("int")
 
 
 def north_of_tile(tile: Column) -> Column:
@@ -117,3 +117,29 @@ def pixel_window(env: Column, x0: Column, y0: Column, px: Column | float) -> Col
     return F.struct(col_off.alias("col_off"), row_off.alias("row_off"),
                     width.alias("width"), height.alias("height"),
                     width.cast("int").alias("out_width"), height.cast("int").alias("out_height"))
+
+
+def utm_envelope(df, west: Column, south: Column, east: Column, north: Column, zone: Column,
+                 out: str = "env", densify: int = 21, north_hemisphere: bool = True):
+    """DataFrame form of ``bbox_to_utm`` for large inputs: the edge points become rows
+    (explode), the projection runs as plain codegen'd columns, and min/max per box is a
+    grouped aggregate. Exploded rows of one box are adjacent in one task, so the partial
+    aggregate leaves one row per box before the shuffle. Adds struct column ``out``."""
+    n = densify + 1
+    cols = df.columns
+    x = df.withColumn("_rid", F.monotonically_increasing_id())
+    pts = x.select("*", west.alias("_w"), south.alias("_s"), east.alias("_e"), north.alias("_n"),
+                   zone.alias("_z"), F.explode(F.sequence(F.lit(0), F.lit(4 * (n + 1) - 1))).alias("_k"))
+    edge = F.floor(F.col("_k") / (n + 1))
+    frac = (F.col("_k") % (n + 1)).cast("double") / n
+    lat = (F.when(edge == 0, F.col("_s")).when(edge == 1, F.col("_n"))
+            .otherwise(F.col("_s") + (F.col("_n") - F.col("_s")) * frac))
+    lon = (F.when(edge <= 1, F.col("_w") + (F.col("_e") - F.col("_w")) * frac)
+            .when(edge == 2, F.col("_w")).otherwise(F.col("_e")))
+    pts = pts.withColumn("_xy", to_utm(lat, lon, F.col("_z"), north_hemisphere))
+    keep = [F.first(c).alias(c) for c in cols]
+    env = pts.groupBy("_rid").agg(
+        *keep,
+        F.struct(F.min("_xy.x").alias("minx"), F.min("_xy.y").alias("miny"),
+                 F.max("_xy.x").alias("maxx"), F.max("_xy.y").alias("maxy")).alias(out))
+    return env.drop("_rid")

@@ -23,11 +23,14 @@ from pyspark.sql import functions as F
 from fieldstack.constants import MAX_INTERACTIVE_GRANULES, WINDOWS
 from fieldstack.functions.dates import attempt_for_window, window_for_offset
 
-EPOCH = F.lit("1970-01-01").cast("date")
 REQUEST_KEYS = ["polygon_number", "time_idx"]
 PAIR_ORDER = ["acquired_at", "granule_id"]   # "first" granule = earliest, then by id
 
 
+def _epoch():
+    return F.lit("1970-01-01").cast("date")
+
+
 def _cells(lo, hi, cell):
     return F.sequence(F.floor(lo / cell), F.floor(hi / cell))
 
@@ -50,15 +53,15 @@ def search_granules(requests: DataFrame, granules: DataFrame, window_days: int =
          .select("granule_key", "granule_id", "acquired", "acquired_at", "cloud_pct",
                  F.col("west").alias("g_west"), F.col("south").alias("g_south"),
                  F.col("east").alias("g_east"), F.col("north").alias("g_north"),
-                 F.floor(F.datediff("acquired", EPOCH) / tb).alias("tbin"))
+                 F.floor(F.datediff("acquired", _epoch()) / tb).alias("tbin"))
          .withColumn("cx", F.explode(_cells(F.col("g_west"), F.col("g_east"), cell)))
          .withColumn("cy", F.explode(_cells(F.col("g_south"), F.col("g_north"), cell))))
     t = F.col("t_date")
     r = (requests
          .select(*request_keys, "t_date", "west", "south", "east", "north")
          .withColumn("tbin", F.explode(F.sequence(
-             F.floor(F.datediff(F.date_sub(t, window_days), EPOCH) / tb),
-             F.floor(F.datediff(F.date_add(t, window_days), EPOCH) / tb))))
+             F.floor(F.datediff(F.date_sub(t, window_days), _epoch()) / tb),
+             F.floor(F.datediff(F.date_add(t, window_days), _epoch()) / tb))))
          .withColumn("cx", F.explode(_cells(F.col("west"), F.col("east"), cell)))
          .withColumn("cy", F.explode(_cells(F.col("south"), F.col("north"), cell))))
     day_diff = F.datediff(F.col("acquired"), F.col("t_date"))

@@ -605,3 +605,259 @@ FROM log_records WHERE level = 'ERROR'""")
 def q_failure_classify(spark, sf):
     rec = log_records(spark, sf).where(F.col("level") == "ERROR")
     return rec.select("ts", "level", "message", LG.classify_failure(F.col("message")).alias("kind"))
+
+
+# ---- 6. geometry, coordinate files, dates --------------------------------------------------
+
+from fieldstack.functions import geo as GE  # noqa: E402
+from fieldstack.functions.dates import date_spec  # noqa: E402
+from fieldstack.plans.geo_sql import envelope_cte  # noqa: E402
+from fieldstack.sources import regions as RG  # noqa: E402
+
+PX = 30.0  # metres per pixel
+DEG = float(D.UNITS_PER_DEGREE)
+
+
+def _deg(c):
+    return F.col(c) / DEG
+
+
+def _box_deg(prefix=""):
+    return F.struct(_deg(prefix + "west").alias("west"), _deg(prefix + "south").alias("south"),
+                    _deg(prefix + "east").alias("east"), _deg(prefix + "north").alias("north"))
+
+
+@query("bbox_normalize", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS) + """
+SELECT polygon_number, least(a_lon, b_lon) AS west, least(a_lat, b_lat) AS south,
+       greatest(a_lon, b_lon) AS east, greatest(a_lat, b_lat) AS north,
+       CAST(string_split(txt, ',')[1] AS DOUBLE) AS t_west, CAST(string_split(txt, ',')[2] AS DOUBLE) AS t_south,
+       CAST(string_split(txt, ',')[3] AS DOUBLE) AS t_east, CAST(string_split(txt, ',')[4] AS DOUBLE) AS t_north
+FROM (SELECT polygon_number,
+             CASE WHEN polygon_number % 2 = 1 THEN north ELSE south END AS a_lat,
+             CASE WHEN polygon_number % 2 = 1 THEN east ELSE west END AS a_lon,
+             CASE WHEN polygon_number % 2 = 1 THEN south ELSE north END AS b_lat,
+             CASE WHEN polygon_number % 2 = 1 THEN west ELSE east END AS b_lon,
+             CAST(west AS VARCHAR) || ', ' || CAST(south AS VARCHAR) || ',' || CAST(east AS VARCHAR) || ' ,' || CAST(north AS VARCHAR) AS txt
+      FROM requests)""")
+def q_bbox_normalize(spark, sf):
+    r = requests(spark, sf)
+    odd = F.col("polygon_number") % 2 == 1   # odd ids list their corners swapped (ne first)
+    pick = lambda a, b: F.when(odd, F.col(a)).otherwise(F.col(b))
+    box = GE.bbox_from_corners(pick("north", "south"), pick("east", "west"),
+                               pick("south", "north"), pick("west", "east"))
+    txt = F.concat(F.col("west").cast("string"), F.lit(", "), F.col("south").cast("string"), F.lit(","),
+                   F.col("east").cast("string"), F.lit(" ,"), F.col("north").cast("string"))
+    t = GE.bbox_from_text(txt)
+    return r.select("polygon_number", box.west.alias("west"), box.south.alias("south"),
+                    box.east.alias("east"), box.north.alias("north"),
+                    t.west.alias("t_west"), t.south.alias("t_south"), t.east.alias("t_east"),
+                    t.north.alias("t_north"))
+
+
+def utm_envelopes(spark, sf):
+    r = requests(spark, sf).where(F.col("status") == "OK").select(
+        "polygon_number", "west", "south", "east", "north", GE.utm_zone(_deg("lon")).alias("zone"))
+    return GE.utm_envelope(r, _deg("west"), _deg("south"), _deg("east"), _deg("north"), F.col("zone"))
+
+
+@query("bbox_to_utm", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS) + """
+, src AS (SELECT polygon_number, west / 1000000.0 AS w, south / 1000000.0 AS s, east / 1000000.0 AS e,
+                 north / 1000000.0 AS n, CAST(floor((lon / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER) AS zone
+          FROM requests WHERE status = 'OK'),
+""" + envelope_cte("env", "src", ["polygon_number", "zone"]) + """
+SELECT polygon_number, zone, round(minx, 2) AS minx, round(miny, 2) AS miny, round(maxx, 2) AS maxx,
+       round(maxy, 2) AS maxy, CAST(trunc((maxx - minx) / 30.0) AS INTEGER) AS width_px,
+       CAST(trunc((maxy - miny) / 30.0) AS INTEGER) AS height_px
+FROM env""".replace("\n, src AS", ", src AS", 1))
+def q_bbox_to_utm(spark, sf):
+    e = utm_envelopes(spark, sf)
+    return e.select("polygon_number", "zone",
+                    F.round("env.minx", 2).alias("minx"), F.round("env.miny", 2).alias("miny"),
+                    F.round("env.maxx", 2).alias("maxx"), F.round("env.maxy", 2).alias("maxy"),
+                    ((F.col("env.maxx") - F.col("env.minx")) / PX).cast("int").alias("width_px"),
+                    ((F.col("env.maxy") - F.col("env.miny")) / PX).cast("int").alias("height_px"))
+
+
+def pixel_windows(spark, sf):
+    """For every pick: the field box as a pixel window of the picked granule's raster,
+    whose grid is the granule footprint's UTM envelope snapped outward to 30 m."""
+    p = picks(spark, sf).select("polygon_number", "time_idx", "granule_key")
+    g = D.granules(spark, sf).select("granule_key", *[F.col(c).alias("g_" + c) for c in
+                                                      ("west", "south", "east", "north")])
+    r = requests(spark, sf).select("polygon_number", "west", "south", "east", "north")
+    j = p.join(g, "granule_key").join(r, "polygon_number")
+    j = j.withColumn("zone", GE.utm_zone((F.col("g_west") + F.col("g_east")) / 2 / DEG))
+    j = GE.utm_envelope(j, _deg("g_west"), _deg("g_south"), _deg("g_east"), _deg("g_north"),
+                        F.col("zone"), out="genv")
+    x = GE.utm_envelope(j, _deg("west"), _deg("south"), _deg("east"), _deg("north"),
+                        F.col("zone"), out="fenv")
+    x0 = F.floor(F.col("genv.minx") / PX) * PX
+    y0 = F.ceil(F.col("genv.maxy") / PX) * PX
+    x1 = F.ceil(F.col("genv.maxx") / PX) * PX
+    y1 = F.floor(F.col("genv.miny") / PX) * PX
+    win = GE.pixel_window(F.col("fenv"), x0, y0, PX)
+    f = F.col("fenv")
+    outside = (f.maxx <= x0) | (f.minx >= x1) | (f.maxy <= y1) | (f.miny >= y0)
+    partial = (f.minx < x0) | (f.maxx > x1) | (f.miny < y1) | (f.maxy > y0)
+    status = (F.when(outside, "OUTSIDE")
+               .when((win.out_width <= 0) | (win.out_height <= 0), "EMPTY")
+               .when(partial, "PARTIAL").otherwise("OK"))
+    return x.select("polygon_number", "time_idx", "granule_key", "zone",
+                    F.round(win.col_off, 2).alias("col_off"), F.round(win.row_off, 2).alias("row_off"),
+                    win.out_width.alias("out_width"), win.out_height.alias("out_height"),
+                    status.alias("status"))
+
+
+@query("pixel_window", with_(*BASE, S.PAIRS, S.PICKS) + """
+, j AS (SELECT p.polygon_number, p.time_idx, p.granule_key,
+               CAST(floor(((g.west + g.east) / 2 / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER) AS zone,
+               g.west / 1000000.0 AS gw, g.south / 1000000.0 AS gs, g.east / 1000000.0 AS ge, g.north / 1000000.0 AS gn,
+               q.west / 1000000.0 AS fw, q.south / 1000000.0 AS fs, q.east / 1000000.0 AS fe, q.north / 1000000.0 AS fn
+        FROM picks p JOIN granules g USING (granule_key) JOIN requests q USING (polygon_number)),
+gsrc AS (SELECT polygon_number, time_idx, granule_key, zone, gw AS w, gs AS s, ge AS e, gn AS n FROM j),
+fsrc AS (SELECT polygon_number, time_idx, granule_key, zone, fw AS w, fs AS s, fe AS e, fn AS n FROM j),
+""" + envelope_cte("genv", "gsrc", ["polygon_number", "time_idx", "granule_key", "zone"]) + ",\n"
+       + envelope_cte("fenv", "fsrc", ["polygon_number", "time_idx", "granule_key", "zone"]) + """,
+w AS (SELECT f.*, floor(g.minx / 30.0) * 30.0 AS x0, ceil(g.maxy / 30.0) * 30.0 AS y0,
+             ceil(g.maxx / 30.0) * 30.0 AS x1, floor(g.miny / 30.0) * 30.0 AS y1
+      FROM fenv f JOIN genv g USING (polygon_number, time_idx, granule_key, zone))
+SELECT polygon_number, time_idx, granule_key, zone, round((minx - x0) / 30.0, 2) AS col_off,
+       round((y0 - maxy) / 30.0, 2) AS row_off, CAST(trunc((maxx - minx) / 30.0) AS INTEGER) AS out_width,
+       CAST(trunc((maxy - miny) / 30.0) AS INTEGER) AS out_height,
+       CASE WHEN maxx <= x0 OR minx >= x1 OR maxy <= y1 OR miny >= y0 THEN 'OUTSIDE'
+            WHEN trunc((maxx - minx) / 30.0) <= 0 OR trunc((maxy - miny) / 30.0) <= 0 THEN 'EMPTY'
+            WHEN minx < x0 OR maxx > x1 OR miny < y1 OR maxy > y0 THEN 'PARTIAL' ELSE 'OK' END AS status
+FROM w""".replace("\n, j AS", ", j AS", 1))
+def q_pixel_window(spark, sf):
+    return pixel_windows(spark, sf)
+
+
+def _deg_txt(c):
+    """micro-degrees -> exact decimal text with six places."""
+    return (F.col(c) / F.lit(DEG)).cast("decimal(12,6)").cast("string")
+
+
+def region_text(spark, sf):
+    r = requests(spark, sf)
+    return RG.region_lines(r, "polygon_number", {"sw_lat": _deg_txt("south"), "sw_lon": _deg_txt("west"),
+                                                 "ne_lat": _deg_txt("north"), "ne_lon": _deg_txt("east")})
+
+
+_DEG_TXT = "CAST(CAST({c} AS DECIMAL(18,0)) / 1000000 AS DECIMAL(12,6))"
+
+
+@query("regions_parse", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS) + f"""
+SELECT CAST(polygon_number AS VARCHAR) AS region,
+       CAST(CAST({_DEG_TXT.format(c="south")} AS VARCHAR) AS DOUBLE) AS sw_lat,
+       CAST(CAST({_DEG_TXT.format(c="west")} AS VARCHAR) AS DOUBLE) AS sw_lon,
+       CAST(CAST({_DEG_TXT.format(c="north")} AS VARCHAR) AS DOUBLE) AS ne_lat,
+       CAST(CAST({_DEG_TXT.format(c="east")} AS VARCHAR) AS DOUBLE) AS ne_lon, 'OK' AS status
+FROM requests""")
+def q_regions_parse(spark, sf):
+    return RG.parse_regions(region_text(spark, sf).withColumn("region", F.col("region").cast("string")))
+
+
+@query("regions_roundtrip", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS)
+       + "SELECT polygon_number, true AS roundtrip_ok FROM requests")
+def q_regions_roundtrip(spark, sf):
+    parsed = RG.parse_regions(region_text(spark, sf)).withColumnRenamed("region", "polygon_number")
+    back = lambda c: F.round(F.col(c) * DEG).cast("long")
+    j = requests(spark, sf).join(parsed, "polygon_number", "left")
+    ok = ((back("sw_lat") == F.col("south")) & (back("sw_lon") == F.col("west"))
+          & (back("ne_lat") == F.col("north")) & (back("ne_lon") == F.col("east")))
+    return j.select("polygon_number", F.coalesce(ok, F.lit(False)).alias("roundtrip_ok"))
+
+
+@query("date_spec", with_(*BASE[:4]) + """
+SELECT polygon_number, time_idx, 'range' AS kind, strftime(t_date - 3, '%Y-%m-%d') || ', ' || strftime(t_date + 3, '%Y-%m-%d') AS spec,
+       t_date - 3 AS start, t_date + 3 AS "end" FROM time_points
+UNION ALL
+SELECT polygon_number, time_idx, 'single', strftime(t_date, '%Y-%m-%d'), t_date, t_date FROM time_points""")
+def q_date_spec(spark, sf):
+    tp = time_points(spark, sf)
+    rng = tp.select("polygon_number", "time_idx", F.lit("range").alias("kind"),
+                    F.concat(F.date_format(F.date_sub("t_date", 3), "yyyy-MM-dd"), F.lit(", "),
+                             F.date_format(F.date_add("t_date", 3), "yyyy-MM-dd")).alias("spec"))
+    one = tp.select("polygon_number", "time_idx", F.lit("single").alias("kind"),
+                    F.date_format("t_date", "yyyy-MM-dd").alias("spec"))
+    x = rng.unionByName(one)
+    d = date_spec(F.col("spec"))
+    return x.select("polygon_number", "time_idx", "kind", "spec", d.start.alias("start"), d.end.alias("end"))
+
+
+# ---- 7. search guards, selection, banded window, file listings -----------------------------
+
+GUARD_WINDOW = 14
+
+
+@query("granule_guard", with_(*BASE, S.PAIRS) + f"""
+SELECT polygon_number, time_idx, count(*) AS n_granules,
+       CASE WHEN count(*) > 3 THEN 'TOO_MANY_GRANULES' ELSE 'OK' END AS status
+FROM pairs WHERE abs(day_diff) <= {GUARD_WINDOW} GROUP BY polygon_number, time_idx""")
+def q_granule_guard(spark, sf):
+    return SR.granule_guard(pairs(spark, sf, window_days=GUARD_WINDOW))
+
+
+SELECT_ORDINALS = [1, 3]
+
+
+@query("granule_select", with_(*BASE, S.PAIRS) + """
+, numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx ORDER BY acquired_at, granule_id) AS ordinal
+  FROM pairs),
+lim AS (SELECT *, max(ordinal) OVER (PARTITION BY polygon_number, time_idx) AS n FROM numbered WHERE ordinal <= 10)
+SELECT polygon_number, time_idx, granule_id, ordinal,
+       CASE WHEN 1 > n OR 3 > n THEN 'INVALID_SELECTION' ELSE 'OK' END AS status,
+       (NOT (1 > n OR 3 > n)) AND ordinal IN (1, 3) AS selected
+FROM lim""".replace("\n, numbered AS", ", numbered AS", 1))
+def q_granule_select(spark, sf):
+    numbered = SR.granule_listing(pairs(spark, sf), max_results=10)
+    out = SR.granule_select(numbered, SELECT_ORDINALS)
+    return out.select("polygon_number", "time_idx", "granule_id",
+                      F.col("ordinal").cast("long").alias("ordinal"), "status", "selected")
+
+
+@query("adaptive_window_banded", with_(*BASE, S.PAIRS, S.FILES) + f"""
+, win AS (SELECT p.*, w.window_days FROM pairs p JOIN (VALUES (3), (7), (14), (30)) AS w(window_days)
+          ON abs(p.day_diff) <= w.window_days),
+capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx, window_days
+                                                       ORDER BY acquired_at, granule_id) AS rn FROM win)
+           WHERE rn <= 50),
+banded AS (SELECT * FROM capped c WHERE EXISTS (
+             SELECT 1 FROM granule_files f WHERE f.granule_key = c.granule_key AND f.band IN ({", ".join(f"'{b}'" for b in BANDS)}))),
+best AS (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx ORDER BY window_days, acquired_at, granule_id) AS pick
+         FROM banded)
+SELECT polygon_number, time_idx, t_date, CAST(window_days AS INTEGER) AS window_days,
+       CAST(CASE window_days WHEN 3 THEN 1 WHEN 7 THEN 2 WHEN 14 THEN 3 ELSE 4 END AS INTEGER) AS attempt,
+       granule_key, granule_id, acquired, day_diff
+FROM best WHERE pick = 1""".replace("\n, win AS", ", win AS", 1))
+def q_adaptive_window_banded(spark, sf):
+    return SR.adaptive_pick_banded(pairs(spark, sf), files(spark, sf), BANDS, max_results=50)
+
+
+@query("file_manifest", with_(*BASE, S.PAIRS, S.PICKS, S.FILES) + f"""
+SELECT path, regexp_replace(path, '/[^/]*$', '') AS folder FROM (
+  SELECT '{OUT_ROOT}/' || CAST(p.polygon_number AS VARCHAR) || '/t' || CAST(p.time_idx AS VARCHAR) || '/'
+         || f.granule_id || '/' || string_split(f.url, '/')[-1] AS path
+  FROM picks p JOIN granule_files f ON p.granule_key = f.granule_key) WHERE suffix(path, '.tif')""")
+def q_file_manifest(spark, sf):
+    return listing(spark, sf)
+
+
+def listing(spark, sf):
+    """Every downloaded file path of the picks (all layers), as a file walk would list it."""
+    m = GR.download_manifest(picks(spark, sf), files(spark, sf), [], OUT_ROOT)
+    paths = m.select(F.col("target_path").alias("path"))
+    return OG.tif_listing(paths).withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+
+
+@query("band_files_preferred", with_(*BASE, S.PAIRS, S.PICKS, S.FILES) + f"""
+SELECT folder, band, min(path) AS path FROM (
+  SELECT path, regexp_replace(path, '/[^/]*$', '') AS folder,
+         regexp_extract(path, '({"|".join(BANDS)})\\.(tiff?)$', 1) AS band FROM (
+    SELECT '{OUT_ROOT}/' || CAST(p.polygon_number AS VARCHAR) || '/t' || CAST(p.time_idx AS VARCHAR) || '/'
+           || f.granule_id || '/' || string_split(f.url, '/')[-1] AS path
+    FROM picks p JOIN granule_files f ON p.granule_key = f.granule_key))
+WHERE band <> '' GROUP BY folder, band""")
+def q_band_files_preferred(spark, sf):
+    return OG.prefer_tiff(listing(spark, sf), BANDS)

@@ -55,9 +55,9 @@ def reject_reason(polygon: Column, lat: Column, lon: Column, units_per_degree: f
 
 def cast_fields(raw: DataFrame) -> DataFrame:
     """String rows -> typed rows plus ``reject_reason`` (NULL for valid rows)."""
-    poly = F.try_cast(F.trim("polygon_raw"), "int")
-    lat = F.try_cast(F.trim("lat_raw"), "double")
-    lon = F.try_cast(F.trim("lon_raw"), "double")
+    poly = (F.trim("polygon_raw")).try_cast("int")
+    lat = (F.trim("lat_raw")).try_cast("double")
+    lon = (F.trim("lon_raw")).try_cast("double")
     typed = raw.select(poly.alias("polygon_number"),
                        F.coalesce(F.col("class"), F.lit(UNKNOWN_CLASS)).alias("class"),
                        lat.alias("lat"), lon.alias("lon"), "input_pos")
