@@ -43,3 +43,18 @@ def window_for_offset(day_diff: Column, windows=WINDOWS) -> Column:
 def attempt_for_window(window: Column, windows=WINDOWS) -> Column:
     """1-based attempt number of a window size."""
     return F.array_position(window_array(windows), window).cast("int")
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(ts_ntz: Column) -> Column:
+    """Wall-clock TIMESTAMP_NTZ -> TIMESTAMP instant read as UTC, independent of the
+    session time zone (event-time watermarks need TIMESTAMP)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts_ntz))
+
+
+def instant_to_ntz(ts: Column) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), _epoch_ntz())

@@ -861,3 +861,34 @@ SELECT folder, band, min(path) AS path FROM (
 WHERE band <> '' GROUP BY folder, band""")
 def q_band_files_preferred(spark, sf):
     return OG.prefer_tiff(listing(spark, sf), BANDS)
+
+
+# ---- 8. streaming (each checked against its batch equivalent) ------------------------------
+
+from fieldstack.plans.requests import plan_requests as _plan  # noqa: E402
+from fieldstack.streaming import jobs as SJ  # noqa: E402
+
+
+@query("stream_resume", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.RUNS) + """
+SELECT polygon_number, status, output_id FROM requests q
+WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.polygon_number = q.polygon_number AND r.status IN ('SUCCESS', 'SKIPPED'))""")
+def q_stream_resume(spark, sf):
+    cust = SJ.file_stream(spark, sf, "customer.parquet")
+    valid, _ = split_valid(D.fields_from_customer(cust), D.UNITS_PER_DEGREE)
+    req = _plan(with_default_class(valid), half_size=D.HALF_SIZE, units_per_degree=D.UNITS_PER_DEGREE)
+    out = SJ.stream_resume(spark, req.select("polygon_number", "status", "output_id"), ledger(spark, sf))
+    return out
+
+
+@query("stream_progress", with_(S.RUNS) + """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, status, count(*) AS n
+FROM runs GROUP BY 1, 2, 3""")
+def q_stream_progress(spark, sf):
+    ev = SJ.file_stream(spark, sf, "events.parquet")
+    return SJ.stream_progress(spark, D.runs_from_events(ev))
+
+
+@query("stream_dedup", with_(S.RUNS) + "SELECT DISTINCT polygon_number FROM runs")
+def q_stream_dedup(spark, sf):
+    ev = SJ.file_stream(spark, sf, "events.parquet")
+    return SJ.stream_dedup(spark, D.runs_from_events(ev))

@@ -26,7 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fields_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> fields(polygon_number, class, lat, lon, start_date, end_date, input_pos)."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return fields_from_customer(table(spark, sf_dir, "customer"))
+
+
+def fields_from_customer(customer: DataFrame) -> DataFrame:
+    """Row-wise field derivation; works on batch and streaming DataFrames alike."""
+    c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     key = F.col("c_custkey")
     start = F.date_add(F.lit("1996-01-01").cast("date"), (key % 700).cast("int"))
     return c.select(
@@ -125,7 +130,12 @@ def pixels_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> run ledger rows(polygon_number, ts, duration_cs, status, batch_id, event_id)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return runs_from_events(table(spark, sf_dir, "events"))
+
+
+def runs_from_events(events: DataFrame) -> DataFrame:
+    """Row-wise ledger derivation; works on batch and streaming DataFrames alike."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "value")
     status = (F.when(F.col("event_type") == "error", "FAILED")
                .when(F.col("event_type") == "signup", "SKIPPED")
                .otherwise("SUCCESS"))
