@@ -892,3 +892,22 @@ def q_stream_progress(spark, sf):
 def q_stream_dedup(spark, sf):
     ev = SJ.file_stream(spark, sf, "events.parquet")
     return SJ.stream_dedup(spark, D.runs_from_events(ev))
+
+
+# ---- 9. statistics over the large pixel table (bench) --------------------------------------
+
+@query("band_stats_large", with_(S.PIXELS_LARGE) + """
+SELECT field_id, time_idx, band, count(*) AS n, min(value) AS min, max(value) AS max,
+       round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS std,
+       round(avg(CASE WHEN value <> 0 THEN 100.0 ELSE 0.0 END), 4) AS valid_pct
+FROM pixels_large GROUP BY field_id, time_idx, band""")
+def q_band_stats_large(spark, sf):
+    return ST.band_stats(D.pixels_large(spark, sf))
+
+
+@query("band_percentiles_large", with_(S.PIXELS_LARGE) + """
+SELECT field_id, time_idx, band, round(quantile_cont(value, 0.02), 4) AS p_low,
+       round(quantile_cont(value, 0.98), 4) AS p_high
+FROM pixels_large GROUP BY field_id, time_idx, band""")
+def q_band_percentiles_large(spark, sf):
+    return ST.band_percentiles(D.pixels_large(spark, sf))
