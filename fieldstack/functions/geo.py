@@ -120,16 +120,16 @@ def pixel_window(env: Column, x0: Column, y0: Column, px: Column | float) -> Col
 
 
 def utm_envelope(df, west: Column, south: Column, east: Column, north: Column, zone: Column,
-                 out: str = "env", densify: int = 21, north_hemisphere: bool = True):
+                 keys: list[str], out: str = "env", densify: int = 21, north_hemisphere: bool = True):
     """DataFrame form of ``bbox_to_utm`` for large inputs: the edge points become rows
     (explode), the projection runs as plain codegen'd columns, and min/max per box is a
-    grouped aggregate. Exploded rows of one box are adjacent in one task, so the partial
-    aggregate leaves one row per box before the shuffle. Adds struct column ``out``."""
+    grouped aggregate on ``keys`` (which must identify a row). Exploded rows of one box
+    are adjacent in one task, so the partial aggregate leaves one row per box before the
+    shuffle. Adds struct column ``out``."""
     n = densify + 1
-    cols = df.columns
-    x = df.withColumn("_rid", F.monotonically_increasing_id())
-    pts = x.select("*", west.alias("_w"), south.alias("_s"), east.alias("_e"), north.alias("_n"),
-                   zone.alias("_z"), F.explode(F.sequence(F.lit(0), F.lit(4 * (n + 1) - 1))).alias("_k"))
+    cols = [c for c in df.columns if c not in keys]
+    pts = df.select("*", west.alias("_w"), south.alias("_s"), east.alias("_e"), north.alias("_n"),
+                    zone.alias("_z"), F.explode(F.sequence(F.lit(0), F.lit(4 * (n + 1) - 1))).alias("_k"))
     edge = F.floor(F.col("_k") / (n + 1))
     frac = (F.col("_k") % (n + 1)).cast("double") / n
     lat = (F.when(edge == 0, F.col("_s")).when(edge == 1, F.col("_n"))
@@ -138,8 +138,7 @@ def utm_envelope(df, west: Column, south: Column, east: Column, north: Column, z
             .when(edge == 2, F.col("_w")).otherwise(F.col("_e")))
     pts = pts.withColumn("_xy", to_utm(lat, lon, F.col("_z"), north_hemisphere))
     keep = [F.first(c).alias(c) for c in cols]
-    env = pts.groupBy("_rid").agg(
+    return pts.groupBy(*keys).agg(
         *keep,
         F.struct(F.min("_xy.x").alias("minx"), F.min("_xy.y").alias("miny"),
                  F.max("_xy.x").alias("maxx"), F.max("_xy.y").alias("maxy")).alias(out))
-    return env.drop("_rid")

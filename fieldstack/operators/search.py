@@ -38,7 +38,8 @@ def _cells(lo, hi, cell):
 def search_granules(requests: DataFrame, granules: DataFrame, window_days: int = 30,
                     cloud_min: float = 0, cloud_max: float = 30, cell: float = 1.0,
                     time_bin_days: int | None = None, max_results: int | None = None,
-                    request_keys: list[str] = REQUEST_KEYS) -> DataFrame:
+                    request_keys: list[str] = REQUEST_KEYS,
+                    hot_key_rows: int | None = 2_000_000) -> DataFrame:
     """All (request, granule) pairs with closed boxes intersecting, acquisition date within
     ``t_date +- window_days`` and cloud cover in [cloud_min, cloud_max].
 
@@ -46,8 +47,11 @@ def search_granules(requests: DataFrame, granules: DataFrame, window_days: int =
     granules: granule_key, granule_id, acquired (date), acquired_at, cloud_pct,
               west, south, east, north.
     ``max_results`` keeps the first n pairs per request in catalogue order (L4).
+    ``hot_key_rows``: a (cell, time bin) with more request rows than this is split into
+    ceil(rows / hot_key_rows) salted sub-keys; its granules are replicated to each.
     """
     tb = int(time_bin_days or (2 * window_days + 1))
+    keys = ["tbin", "cx", "cy"]
     g = (granules
          .filter(F.col("cloud_pct").between(cloud_min, cloud_max))
          .select("granule_key", "granule_id", "acquired", "acquired_at", "cloud_pct",
@@ -64,8 +68,11 @@ def search_granules(requests: DataFrame, granules: DataFrame, window_days: int =
              F.floor(F.datediff(F.date_add(t, window_days), _epoch()) / tb))))
          .withColumn("cx", F.explode(_cells(F.col("west"), F.col("east"), cell)))
          .withColumn("cy", F.explode(_cells(F.col("south"), F.col("north"), cell))))
+    if hot_key_rows:
+        r, g = salt_hot_keys(r, g, keys, request_keys, hot_key_rows)
+        keys = keys + ["salt"]
     day_diff = F.datediff(F.col("acquired"), F.col("t_date"))
-    joined = r.join(g, ["tbin", "cx", "cy"]).where(
+    joined = r.join(g, keys).where(
         (F.abs(day_diff) <= window_days)
         & (F.col("west") <= F.col("g_east")) & (F.col("g_west") <= F.col("east"))
         & (F.col("south") <= F.col("g_north")) & (F.col("g_south") <= F.col("north"))
@@ -81,6 +88,26 @@ def search_granules(requests: DataFrame, granules: DataFrame, window_days: int =
     return pairs
 
 
+def salt_hot_keys(big: DataFrame, small: DataFrame, keys: list[str], row_keys: list[str],
+                  hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Split join keys that hold more than ``hot_rows`` rows of ``big`` into salted
+    sub-keys; replicate the matching ``small`` rows once per salt value.
+
+    The hot-key table is a grouped count filtered to hot keys, so it has at most
+    rows(big) / hot_rows rows: that bound is what makes the broadcast safe. Keys that
+    are not hot keep salt 0 and cost nothing extra."""
+    hot = (big.groupBy(*keys).agg(F.count("*").alias("_n"))
+              .where(F.col("_n") > hot_rows)
+              .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")))
+    hot = F.broadcast(hot)
+    b = big.join(hot, keys, "left")
+    n = F.coalesce(F.col("_salts"), F.lit(1))
+    b = b.withColumn("salt", F.pmod(F.xxhash64(*[F.col(c) for c in row_keys]), n).cast("int")).drop("_salts")
+    s = (small.join(hot, keys, "left")
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_salts"))
+    return b, s
+
+
 def adaptive_pick(pairs: DataFrame, windows=WINDOWS,
                   request_keys: list[str] = REQUEST_KEYS) -> DataFrame:
     """Per request the smallest window with any hit and, inside it, the first granule.

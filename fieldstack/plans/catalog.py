@@ -657,7 +657,8 @@ def q_bbox_normalize(spark, sf):
 def utm_envelopes(spark, sf):
     r = requests(spark, sf).where(F.col("status") == "OK").select(
         "polygon_number", "west", "south", "east", "north", GE.utm_zone(_deg("lon")).alias("zone"))
-    return GE.utm_envelope(r, _deg("west"), _deg("south"), _deg("east"), _deg("north"), F.col("zone"))
+    return GE.utm_envelope(r, _deg("west"), _deg("south"), _deg("east"), _deg("north"), F.col("zone"),
+                           keys=["polygon_number"])
 
 
 @query("bbox_to_utm", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS) + """
@@ -687,10 +688,14 @@ def pixel_windows(spark, sf):
     r = requests(spark, sf).select("polygon_number", "west", "south", "east", "north")
     j = p.join(g, "granule_key").join(r, "polygon_number")
     j = j.withColumn("zone", GE.utm_zone((F.col("g_west") + F.col("g_east")) / 2 / DEG))
+    key = ["polygon_number", "time_idx"]
     j = GE.utm_envelope(j, _deg("g_west"), _deg("g_south"), _deg("g_east"), _deg("g_north"),
-                        F.col("zone"), out="genv")
+                        F.col("zone"), keys=key, out="genv")
+    # carry plain doubles (not a struct) so the next envelope aggregates by hash
+    j = j.select("*", *[F.col(f"genv.{c}").alias(f"g_{c}") for c in ("minx", "miny", "maxx", "maxy")]).drop("genv")
     x = GE.utm_envelope(j, _deg("west"), _deg("south"), _deg("east"), _deg("north"),
-                        F.col("zone"), out="fenv")
+                        F.col("zone"), keys=key, out="fenv")
+    x = x.withColumn("genv", F.struct(*[F.col(f"g_{c}").alias(c) for c in ("minx", "miny", "maxx", "maxy")]))
     x0 = F.floor(F.col("genv.minx") / PX) * PX
     y0 = F.ceil(F.col("genv.maxy") / PX) * PX
     x1 = F.ceil(F.col("genv.maxx") / PX) * PX
