@@ -176,3 +176,20 @@ def test_sinks_roundtrip(spark, tmp_path):
     org = C.QUERIES["organize_bands"](spark, SF_SMALL)
     W.write_organized(org, str(tmp_path / "org"))
     assert spark.read.parquet(str(tmp_path / "org")).count() == org.count()
+
+
+def test_batch_run_and_resume(spark, tmp_path):
+    from conftest import SF_SMALL
+    from fieldstack.plans import catalog as C
+    from fieldstack.plans.batch import run_batch
+    from fieldstack.sources import driver as D
+    fields = C.valid_fields(spark, SF_SMALL)
+    g, f = D.granules(spark, SF_SMALL), D.granule_files(spark, SF_SMALL)
+    kw = dict(out_root=str(tmp_path / "out"), half_size=D.HALF_SIZE, cell=D.GRANULE_SIZE,
+              units_per_degree=D.UNITS_PER_DEGREE)
+    s1 = run_batch(spark, fields, g, f, batch_id="2024-01-01", **kw).first()
+    assert s1.processed == fields.count()
+    assert s1.success + s1.failed == s1.processed
+    s2 = run_batch(spark, fields, g, f, batch_id="2024-01-02", **kw).first()
+    # second run: finished fields are skipped, only the failed ones are tried again
+    assert s2.processed == s1.failed and s2.success == 0
