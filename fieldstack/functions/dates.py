@@ -58,3 +58,39 @@ def ntz_to_instant(ts_ntz: Column) -> Column:
 def instant_to_ntz(ts: Column) -> Column:
     """Inverse of ``ntz_to_instant``."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), _epoch_ntz())
+
+
+# ---- time-zone-free text for dates and TIMESTAMP_NTZ ----------------------------------
+# date_format() casts TIMESTAMP_NTZ through the session time zone, which moves wall-clock
+# times that fall in a daylight-saving gap; these build the text from the fields instead.
+
+def _pad(c: Column, n: int) -> Column:
+    return F.lpad(c.cast("string"), n, "0")
+
+
+def date_text(d: Column) -> Column:
+    """DATE -> 'yyyy-MM-dd'."""
+    return F.concat_ws("-", _pad(F.year(d), 4), _pad(F.month(d), 2), _pad(F.dayofmonth(d), 2))
+
+
+def ntz_millis(ts: Column) -> Column:
+    return (F.floor(F.extract(F.lit("SECOND"), ts) * 1000) % 1000).cast("int")
+
+
+def ntz_text(ts: Column) -> Column:
+    """TIMESTAMP_NTZ -> 'yyyy-MM-dd HH:mm:ss,SSS' (log style)."""
+    return F.concat(date_text(ts.cast("date")), F.lit(" "), _pad(F.hour(ts), 2), F.lit(":"),
+                    _pad(F.minute(ts), 2), F.lit(":"), _pad(F.floor(F.second(ts)), 2), F.lit(","),
+                    _pad(ntz_millis(ts), 3))
+
+
+def ntz_doy_text(ts: Column) -> Column:
+    """TIMESTAMP_NTZ -> 'yyyyDDD'T'HHmmss' (granule-name style)."""
+    return F.concat(_pad(F.year(ts), 4), _pad(F.dayofyear(ts), 3), F.lit("T"), _pad(F.hour(ts), 2),
+                    _pad(F.minute(ts), 2), _pad(F.floor(F.second(ts)), 2))
+
+
+def parse_doy_ntz(text: Column) -> Column:
+    """'yyyyDDD'T'HHmmss' -> TIMESTAMP_NTZ (NULL if malformed)."""
+    ok = text.rlike(r"^\d{7}T\d{6}$")
+    return F.when(ok, F.to_timestamp_ntz(text, F.lit("yyyyDDD'T'HHmmss")))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldstack.functions.dates import parse_doy_ntz
+
 from fieldstack.constants import NON_SPECTRAL
 
 # suffix that marks a band or mask layer at the end of a file name (without ".tif")
@@ -40,7 +42,7 @@ def granule_parts(granule_id: Column) -> Column:
         F.element_at(p, 1).alias("product"),
         F.element_at(p, 2).alias("sensor"),
         F.element_at(p, 3).alias("tile"),
-        F.try_to_timestamp(F.element_at(p, 4), F.lit("yyyyDDD'T'HHmmss")).alias("acquired_at"),
+        parse_doy_ntz(F.element_at(p, 4)).alias("acquired_at"),
         F.concat_ws(".", F.element_at(p, 5), F.element_at(p, 6)).alias("version"),
     )
 

@@ -62,8 +62,7 @@ def level_counts(lines: DataFrame) -> DataFrame:
 def record_steps(records: DataFrame, chunk: Column, file_col: str = "file") -> DataFrame:
     """Time from each record to the next one in the same file (ms), chunked lead."""
     x = next_value(records, [file_col], ["record_key"], chunk, F.col("ts"), "next_ts")
-    ms = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1000
-    return x.withColumn("step_ms", (ms("next_ts") - ms("ts")).cast("long"))
+    return x.withColumn("step_ms", F.timestamp_diff("MILLISECOND", F.col("ts"), F.col("next_ts")))
 
 
 def attempts(records: DataFrame) -> DataFrame:

@@ -610,7 +610,7 @@ def q_failure_classify(spark, sf):
 # ---- 6. geometry, coordinate files, dates --------------------------------------------------
 
 from fieldstack.functions import geo as GE  # noqa: E402
-from fieldstack.functions.dates import date_spec  # noqa: E402
+from fieldstack.functions.dates import date_spec, date_text  # noqa: E402
 from fieldstack.plans.geo_sql import envelope_cte  # noqa: E402
 from fieldstack.sources import regions as RG  # noqa: E402
 
@@ -781,10 +781,10 @@ SELECT polygon_number, time_idx, 'single', strftime(t_date, '%Y-%m-%d'), t_date,
 def q_date_spec(spark, sf):
     tp = time_points(spark, sf)
     rng = tp.select("polygon_number", "time_idx", F.lit("range").alias("kind"),
-                    F.concat(F.date_format(F.date_sub("t_date", 3), "yyyy-MM-dd"), F.lit(", "),
-                             F.date_format(F.date_add("t_date", 3), "yyyy-MM-dd")).alias("spec"))
+                    F.concat(date_text(F.date_sub("t_date", 3)), F.lit(", "),
+                             date_text(F.date_add("t_date", 3))).alias("spec"))
     one = tp.select("polygon_number", "time_idx", F.lit("single").alias("kind"),
-                    F.date_format("t_date", "yyyy-MM-dd").alias("spec"))
+                    date_text(F.col("t_date")).alias("spec"))
     x = rng.unionByName(one)
     d = date_spec(F.col("spec"))
     return x.select("polygon_number", "time_idx", "kind", "spec", d.start.alias("start"), d.end.alias("end"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldstack.constants import N_TIME_POINTS
-from fieldstack.functions.dates import time_points as time_points_expr
+from fieldstack.functions.dates import date_text, time_points as time_points_expr
 from fieldstack.functions.geo import bbox_around
 
 ORDERS = ("forward", "backward", "random")
@@ -37,8 +37,8 @@ def plan_requests(fields: DataFrame, half_size: float, n_points: int = N_TIME_PO
         box.east.alias("east"), box.north.alias("north"),
         days.alias("days"), status.alias("status"),
         F.concat_ws("_", F.col("polygon_number").cast("string"),
-                    F.date_format("start_date", "yyyy-MM-dd"),
-                    F.date_format("end_date", "yyyy-MM-dd")).alias("output_id"),
+                    date_text(F.col("start_date")),
+                    date_text(F.col("end_date"))).alias("output_id"),
     )
 
 

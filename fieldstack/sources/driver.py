@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstack.constants import BANDS
+from fieldstack.functions.dates import ntz_doy_text, ntz_text
 
 UNITS_PER_DEGREE = 1_000_000
 HALF_SIZE = 50_000           # 0.05 degree box half-width
@@ -77,7 +78,7 @@ def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         key.alias("granule_key"),
         F.concat(F.lit("HLS.S30."), tile, F.lit("."),
-                 F.date_format(ts, "yyyyDDD'T'HHmmss"), F.lit(".v2.0")).alias("granule_id"),
+                 ntz_doy_text(ts), F.lit(".v2.0")).alias("granule_id"),
         tile.alias("tile"),
         acquired.alias("acquired"),
         ts.alias("acquired_at"),
@@ -173,8 +174,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = (F.when(F.col("event_type") == "error", "ERROR")
               .when(F.col("event_type") == "signup", "WARNING")
               .otherwise("INFO"))
-    head = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(","),
-                    F.date_format("ts", "SSS"), F.lit(" - "), level, F.lit(" - "),
+    head = F.concat(ntz_text(F.col("ts")), F.lit(" - "), level, F.lit(" - "),
                     F.col("event_type"), F.lit(" field "), F.col("user_id").cast("string"))
     extra = F.concat(F.lit("   detail for event "), F.col("event_id").cast("string"))
     lines = F.when(F.col("event_id") % 10 == 0, F.array(head, extra)).otherwise(F.array(head))

@@ -43,3 +43,13 @@ def test_progress_window_is_chunked(spark):
     over all rows."""
     p = plan(C.QUERIES["run_progress"](spark, SF_SMALL))
     assert "_chunk" in p
+
+
+def test_no_session_zone_dependent_formatting():
+    """date_format/to_timestamp on TIMESTAMP_NTZ go through the session zone and shift
+    daylight-saving-gap times; the library formats from fields instead."""
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "fieldstack"
+    offenders = [str(p) for p in root.rglob("*.py")
+                 if "F.date_format(" in p.read_text() or "F.try_to_timestamp(" in p.read_text()]
+    assert offenders == []
