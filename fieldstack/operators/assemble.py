@@ -94,3 +94,30 @@ def grid_check(picks: DataFrame, granules: DataFrame, zone_of) -> DataFrame:
                                           F.count_distinct("tile").alias("n_tiles"),
                                           F.count_distinct("zone").alias("n_zones"))
     return agg.withColumn("status", F.when(F.col("n_tiles") == 1, "OK").otherwise("GRID_MISMATCH"))
+
+
+def resample_window(pixels: DataFrame, windows: DataFrame, keys=("field_id",)) -> DataFrame:
+    """Clip to a fractional pixel window and resample to its truncated size (nearest):
+    output pixel j takes source pixel floor(off + (j + 0.5) * size / int(size)).
+
+    ``windows``: keys + col_off, row_off, width, height (fractional, source pixels).
+    The output is never larger than the window (scale >= 1), so every source pixel
+    feeds at most one output pixel: the resample is a projection and a filter on the
+    pixel table, joined once to the per-field window (one row per field)."""
+    keys = list(keys)
+    w = windows.select(*keys, "col_off", "row_off", "width", "height",
+                       F.col("width").cast("int").alias("out_w"), F.col("height").cast("int").alias("out_h"))
+    j = pixels.join(w.where((F.col("out_w") > 0) & (F.col("out_h") > 0)), keys)
+
+    def target(src, off, size, n):
+        s = size / n
+        k = F.ceil((src - off) / s - 0.5)
+        ok = (k >= 0) & (k < n) & (F.floor(off + (k + 0.5) * s) == src)
+        return k.cast("int"), ok
+
+    oc, okc = target(F.col("col"), F.col("col_off"), F.col("width"), F.col("out_w"))
+    orow, okr = target(F.col("row"), F.col("row_off"), F.col("height"), F.col("out_h"))
+    return (j.withColumn("out_col", oc).withColumn("out_row", orow)
+             .where(okc & okr)
+             .select(*keys, *[c for c in pixels.columns if c not in keys + ["row", "col"]],
+                     F.col("out_row").alias("row"), F.col("out_col").alias("col")))

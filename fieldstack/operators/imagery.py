@@ -37,13 +37,16 @@ def composites(stretched: DataFrame, available_bands=BANDS) -> DataFrame:
                .select(*PIXEL_KEYS, "time_idx", "c.preset", "c.r", "c.g", "c.b")
 
 
-def change_detect(pixels: DataFrame, band: str = BANDS[CHANGE_BAND_INDEX], n_times: int = 3) -> DataFrame:
-    """Per pixel of one band: differences between dates (t1-t0, t2-t1, t2-t0), signed."""
+def change_detect(pixels: DataFrame, band: str = BANDS[CHANGE_BAND_INDEX], n_times: int = 3,
+                  wrap_u16: bool = False) -> DataFrame:
+    """Per pixel of one band: differences between dates (t1-t0, t2-t1, t2-t0), signed;
+    ``wrap_u16`` reproduces unsigned 16-bit wrap-around (100 - 300 -> 65336)."""
     wide = (pixels.where(F.col("band") == band)
                   .groupBy(*PIXEL_KEYS).pivot("time_idx", list(range(n_times))).agg(F.max("value")))
     t = [F.col(str(i)) for i in range(n_times)]
+    d = (lambda x: F.pmod(x, F.lit(65536))) if wrap_u16 else (lambda x: x)
     return wide.select(*PIXEL_KEYS, t[0].alias("v0"), t[1].alias("v1"), t[2].alias("v2"),
-                       (t[1] - t[0]).alias("d10"), (t[2] - t[1]).alias("d21"), (t[2] - t[0]).alias("d20"))
+                       d(t[1] - t[0]).alias("d10"), d(t[2] - t[1]).alias("d21"), d(t[2] - t[0]).alias("d20"))
 
 
 def change_range(changes: DataFrame) -> DataFrame:

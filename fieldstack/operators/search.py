@@ -50,6 +50,8 @@ def search_granules(requests: DataFrame, granules: DataFrame, window_days: int =
     ``hot_key_rows``: a (cell, time bin) with more request rows than this is split into
     ceil(rows / hot_key_rows) salted sub-keys; its granules are replicated to each.
     """
+    if cloud_min < 0 or cloud_min > cloud_max:
+        raise ValueError(f"invalid cloud cover range ({cloud_min}, {cloud_max})")
     tb = int(time_bin_days or (2 * window_days + 1))
     keys = ["tbin", "cx", "cy"]
     g = (granules
@@ -108,8 +110,15 @@ def salt_hot_keys(big: DataFrame, small: DataFrame, keys: list[str], row_keys: l
     return b, s
 
 
+def validate_cloud_range(lo: float, hi: float, unit_max: float = 1.0) -> None:
+    """Cloud bounds are inclusive and given in the catalogue's unit (fraction: 0..1,
+    percent: 0..100); min < 0, max > unit_max and min > max are rejected."""
+    if lo < 0 or hi > unit_max or lo > hi:
+        raise ValueError(f"invalid cloud cover range ({lo}, {hi}) for unit max {unit_max}")
+
+
 def adaptive_pick(pairs: DataFrame, windows=WINDOWS,
-                  request_keys: list[str] = REQUEST_KEYS) -> DataFrame:
+                  request_keys: list[str] = REQUEST_KEYS, nearest: bool = False) -> DataFrame:
     """Per request the smallest window with any hit and, inside it, the first granule.
 
     Equivalent to trying +-3, +-7, +-14, +-30 days in turn and stopping at the first
@@ -118,9 +127,12 @@ def adaptive_pick(pairs: DataFrame, windows=WINDOWS,
     one row per request per task crosses the shuffle.
     """
     w = window_for_offset(F.col("day_diff"), windows)
+    # default: first granule in catalogue order inside the window; nearest=True prefers
+    # the acquisition closest to the target date
+    near = [F.abs(F.col("day_diff")).alias("_dist")] if nearest else []
     best = (pairs.where(w.isNotNull())
             .groupBy(*request_keys, "t_date")
-            .agg(F.min(F.struct(w.alias("window_days"), "acquired_at", "granule_id",
+            .agg(F.min(F.struct(w.alias("window_days"), *near, "acquired_at", "granule_id",
                                 "granule_key", "acquired", "day_diff")).alias("p")))
     return best.select(*request_keys, "t_date", "p.window_days",
                        attempt_for_window(F.col("p.window_days"), windows).alias("attempt"),

@@ -916,3 +916,26 @@ SELECT field_id, time_idx, band, round(quantile_cont(value, 0.02), 4) AS p_low,
 FROM pixels_large GROUP BY field_id, time_idx, band""")
 def q_band_percentiles_large(spark, sf):
     return ST.band_percentiles(D.pixels_large(spark, sf))
+
+
+# ---- 10. clip + nearest resample to a fractional window (D12, K5) ---------------------------
+
+RESAMPLE = dict(col_off=0.5, row_off=0.25, width=7.3, height=6.9)   # a fixed window parameter
+
+
+@query("resample_window", with_(S.PIXELS) + f"""
+, w AS (SELECT {RESAMPLE['col_off']} AS col_off, {RESAMPLE['row_off']} AS row_off,
+               {RESAMPLE['width']} AS width, {RESAMPLE['height']} AS height,
+               CAST(trunc({RESAMPLE['width']}) AS INTEGER) AS out_w, CAST(trunc({RESAMPLE['height']}) AS INTEGER) AS out_h),
+o AS (SELECT p.*, w.*, CAST(ceil((p.col - w.col_off) / (w.width / w.out_w) - 0.5) AS INTEGER) AS oc,
+             CAST(ceil((p.row - w.row_off) / (w.height / w.out_h) - 0.5) AS INTEGER) AS orow
+      FROM pixels p CROSS JOIN w)
+SELECT field_id, time_idx, band, value, orow AS row, oc AS col FROM o
+WHERE oc >= 0 AND oc < out_w AND floor(col_off + (oc + 0.5) * (width / out_w)) = col
+  AND orow >= 0 AND orow < out_h AND floor(row_off + (orow + 0.5) * (height / out_h)) = row""".replace("\n, w AS", ", w AS", 1))
+def q_resample_window(spark, sf):
+    p = px(spark, sf)
+    # one window row per field, derived from the pixel table itself
+    w = p.select("field_id").distinct().select(
+        "field_id", *[F.lit(float(v)).alias(k) for k, v in RESAMPLE.items()])
+    return AS.resample_window(p, w)

@@ -193,3 +193,35 @@ def test_batch_run_and_resume(spark, tmp_path):
     s2 = run_batch(spark, fields, g, f, batch_id="2024-01-02", **kw).first()
     # second run: finished fields are skipped, only the failed ones are tried again
     assert s2.processed == s1.failed and s2.success == 0
+
+
+def test_resample_matches_brute_force(spark):
+    import math
+    from fieldstack.operators.assemble import resample_window
+    px = spark.createDataFrame([(1, 0, "B02", r, c, r * 100 + c) for r in range(12) for c in range(12)],
+                               "field_id long, time_idx int, band string, row int, col int, value int")
+    win = dict(col_off=1.3, row_off=0.6, width=9.7, height=8.2)
+    w = spark.createDataFrame([(1, *win.values())], "field_id long, col_off double, row_off double, width double, height double")
+    got = {(r.row, r.col): r.value for r in resample_window(px, w).collect()}
+    ow, oh = int(win["width"]), int(win["height"])
+    want = {}
+    for j in range(oh):
+        for i in range(ow):
+            sr = math.floor(win["row_off"] + (j + 0.5) * win["height"] / oh)
+            sc = math.floor(win["col_off"] + (i + 0.5) * win["width"] / ow)
+            want[(j, i)] = sr * 100 + sc
+    assert got == want
+
+
+def test_nearest_pick_and_cloud_validation(spark):
+    import datetime as dt
+    from fieldstack.operators import search as SR
+    pairs = spark.createDataFrame(
+        [(1, 0, dt.date(2025, 3, 1), k, f"G{k}", dt.date(2025, 3, 1) + dt.timedelta(days=d),
+          dt.datetime(2025, 3, 1) + dt.timedelta(days=d), 5, d) for k, d in [(1, -6), (2, 5)]],
+        "polygon_number long, time_idx int, t_date date, granule_key long, granule_id string, acquired date, "
+        "acquired_at timestamp_ntz, cloud_pct long, day_diff int")
+    assert SR.adaptive_pick(pairs).first().granule_key == 1           # first in catalogue order (+-7)
+    assert SR.adaptive_pick(pairs, nearest=True).first().granule_key == 2
+    with pytest.raises(ValueError):
+        SR.validate_cloud_range(0.5, 0.2)
