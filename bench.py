@@ -41,6 +41,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     pairs = catalog.QUERIES["granule_search"](spark, sf_dir).count()
+    ready = catalog.QUERIES["stack_status"](spark, sf_dir).where("status = 'READY'").count()
     pixels = D.pixels_large(spark, sf_dir).count()
     extra = {}
     if "granule_search" in times and times["granule_search"] > 0:
@@ -49,6 +50,11 @@ def main() -> None:
         extra["band_stats_pixels_per_s"] = round(pixels / times["band_stats_large"], 1)
     if "band_percentiles_large" in times and times["band_percentiles_large"] > 0:
         extra["band_percentiles_pixels_per_s"] = round(pixels / times["band_percentiles_large"], 1)
+    if "stack_assemble" in times and times["stack_assemble"] > 0:
+        extra["stack_assemble_fields_per_hour"] = round(ready / times["stack_assemble"] * 3600, 1)
+    if "adaptive_window_status" in times and times["adaptive_window_status"] > 0:
+        n_req = catalog.QUERIES["time_points"](spark, sf_dir).count()
+        extra["adaptive_window_requests_per_s"] = round(n_req / times["adaptive_window_status"], 1)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus), **extra}))

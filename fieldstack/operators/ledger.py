@@ -2,7 +2,8 @@
 (J4, J5, A9, A10, W3, W4, P12, L5, U3, K8, F8).
 
 Ledger rows: (batch_id, polygon_number, ts, event_id, status, duration_cs, message)
-with status SUCCESS / SKIPPED / FAILED and durations in integer centiseconds, so every
+with status SUCCESS / SKIPPED / FAILED / ERROR (an unexpected error: counted as failed but
+not as processed, as in the original counters) and durations in integer centiseconds, so every
 rate and ETA below is computed in exact integer arithmetic (half-up rounding).
 """
 
@@ -53,10 +54,10 @@ def run_summary(ledger: DataFrame, part: list[str] = ["batch_id"]) -> DataFrame:
     """Counters and rates per batch (all algebraic, partial aggregation)."""
     s = F.col("status")
     agg = ledger.groupBy(*part).agg(
-        F.count("*").alias("processed"),
+        F.count_if(s != "ERROR").alias("processed"),
         F.count_if(s == "SUCCESS").alias("success"),
         F.count_if(s == "SKIPPED").alias("skipped"),
-        F.count_if(s == "FAILED").alias("failed"),
+        F.count_if(s.isin("FAILED", "ERROR")).alias("failed"),
         F.sum("duration_cs").alias("total_cs"),
     )
     p, t = F.col("processed"), F.col("total_cs")
@@ -91,7 +92,7 @@ def run_progress(ledger: DataFrame, chunk: Column | None = None) -> DataFrame:
     x = running_sums(ledger, ["batch_id"], ORDER, chunk, {
         "seq": F.lit(1).cast("long"),
         "n_success": F.when(s == "SUCCESS", 1).otherwise(0).cast("long"),
-        "n_failed": F.when(s == "FAILED", 1).otherwise(0).cast("long"),
+        "n_failed": F.when(s.isin("FAILED", "ERROR"), 1).otherwise(0).cast("long"),
         "n_skipped": F.when(s == "SKIPPED", 1).otherwise(0).cast("long"),
         "elapsed_cs": F.col("duration_cs"),
     })
@@ -109,7 +110,7 @@ def report_top(ledger: DataFrame, n: int = REPORT_TOP) -> DataFrame:
     """First ``n`` successes (incl. skipped) and first ``n`` failures per batch, with the
     'and N more' count. row_number <= n is planned as a window group limit, so each
     task forwards at most n rows per group to the shuffle."""
-    kind = F.when(F.col("status") == "FAILED", "failed").otherwise("successful")
+    kind = F.when(F.col("status").isin("FAILED", "ERROR"), "failed").otherwise("successful")
     x = ledger.withColumn("list", kind)
     w = Window.partitionBy("batch_id", "list").orderBy(*ORDER)
     top = x.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -476,8 +476,8 @@ SELECT batch_id, processed, success, skipped, failed, total_cs,
        CASE WHEN processed <> 0 THEN CAST(floor(((success + skipped) * 1000 * 2 + processed) / (processed * 2.0)) AS BIGINT) / 10.0 END AS success_rate_pct,
        CASE WHEN processed <> 0 THEN CAST(floor(total_cs / processed) AS BIGINT) END AS avg_cs,
        CASE WHEN total_cs <> 0 THEN CAST(floor((processed * 3600000 * 2 + total_cs) / (total_cs * 2.0)) AS BIGINT) / 10.0 END AS fields_per_hour
-FROM (SELECT batch_id, count(*) AS processed, count_if(status = 'SUCCESS') AS success,
-             count_if(status = 'SKIPPED') AS skipped, count_if(status = 'FAILED') AS failed,
+FROM (SELECT batch_id, count_if(status <> 'ERROR') AS processed, count_if(status = 'SUCCESS') AS success,
+             count_if(status = 'SKIPPED') AS skipped, count_if(status IN ('FAILED', 'ERROR')) AS failed,
              CAST(sum(duration_cs) AS BIGINT) AS total_cs
       FROM runs GROUP BY batch_id)""")
 def q_run_summary(spark, sf):
@@ -499,7 +499,7 @@ def _eta_sql(r: str) -> str:
   SELECT batch_id, polygon_number, status, ts, event_id,
          CAST(count(*) OVER w AS BIGINT) AS seq,
          CAST(sum(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_success,
-         CAST(sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_failed,
+         CAST(sum(CASE WHEN status IN ('FAILED', 'ERROR') THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_failed,
          CAST(sum(CASE WHEN status = 'SKIPPED' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_skipped,
          CAST(sum(duration_cs) OVER w AS BIGINT) AS elapsed_cs,
          CAST(count(*) OVER (PARTITION BY batch_id) AS BIGINT) AS total
@@ -514,7 +514,7 @@ def q_run_progress(spark, sf):
 
 
 @query("run_report_top", with_(S.RUNS) + """
-, x AS (SELECT *, CASE WHEN status = 'FAILED' THEN 'failed' ELSE 'successful' END AS list FROM runs),
+, x AS (SELECT *, CASE WHEN status IN ('FAILED', 'ERROR') THEN 'failed' ELSE 'successful' END AS list FROM runs),
 r AS (SELECT *, row_number() OVER (PARTITION BY batch_id, list ORDER BY ts, event_id) AS rank,
              count(*) OVER (PARTITION BY batch_id, list) AS n_list FROM x)
 SELECT batch_id, list, rank, polygon_number, message, greatest(n_list - 10, 0) AS n_more

@@ -225,3 +225,14 @@ def test_nearest_pick_and_cloud_validation(spark):
     assert SR.adaptive_pick(pairs, nearest=True).first().granule_key == 2
     with pytest.raises(ValueError):
         SR.validate_cloud_range(0.5, 0.2)
+
+
+def test_summary_counts_unexpected_errors_as_failed_not_processed(spark):
+    rows = [("SUCCESS", 100), ("SKIPPED", 0), ("FAILED", 50), ("ERROR", 10)]
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), s, d) for s, d in rows],
+                               "batch_id date, status string, duration_cs long")
+    r = LG.run_summary(df).first()
+    assert (r.processed, r.success, r.skipped, r.failed) == (3, 1, 1, 2)
+    assert r.success_rate_pct == 66.7
+    empty = LG.run_summary(spark.createDataFrame([(dt.date(2024, 1, 1), "ERROR", 5)], df.schema)).first()
+    assert empty.processed == 0 and empty.success_rate_pct is None and empty.avg_cs is None
