@@ -55,7 +55,21 @@ def run_batch(spark: SparkSession, fields: DataFrame, granules: DataFrame, files
     W.write_organized(organized, f"{out_root}/organized_table")
     complete = OG.band_completeness(picks, organized, list(bands))
 
-    # one outcome per field: every time point found and complete -> SUCCESS
+    field_rows = field_outcomes(requests, status, complete)
+    ledger_rows = (field_rows
+                   .withColumn("ts", F.current_timestamp().cast("timestamp_ntz"))
+                   .withColumn("event_id", F.xxhash64("polygon_number", F.lit(batch_id)))
+                   .withColumn("duration_cs", F.lit(0).cast("long"))
+                   .withColumn("batch_id", F.lit(batch_id).cast("date")))
+    W.append_ledger(ledger_rows, ledger_path)
+    this_run = spark.read.parquet(ledger_path).where(F.col("batch_id") == F.lit(batch_id).cast("date"))
+    return run_summary(this_run)
+
+
+def field_outcomes(requests: DataFrame, status: DataFrame, complete: DataFrame) -> DataFrame:
+    """One outcome per field: SUCCESS when every time point found a granule and all bands,
+    else FAILED with the first problem ('t1: NO_DATA', 't0: MISSING_BANDS'); invalid
+    requests fail with their validation status. Aggregates only, no window."""
     per_tp = (status.join(complete.select("polygon_number", "time_idx", "missing"),
                           ["polygon_number", "time_idx"], "left")
                     .withColumn("problem", F.when(F.col("status") != "OK", F.col("status"))
@@ -63,7 +77,7 @@ def run_batch(spark: SparkSession, fields: DataFrame, granules: DataFrame, files
     per_field = per_tp.groupBy("polygon_number").agg(
         F.count_if(F.col("problem").isNotNull()).alias("n_bad"),
         F.min(F.struct(F.col("problem").isNull(), "time_idx", "problem")).alias("first_bad"))
-    field_rows = per_field.select(
+    ok = per_field.select(
         "polygon_number",
         F.when(F.col("n_bad") == 0, "SUCCESS").otherwise("FAILED").alias("status"),
         F.when(F.col("n_bad") == 0, F.lit("ok"))
@@ -72,11 +86,4 @@ def run_batch(spark: SparkSession, fields: DataFrame, granules: DataFrame, files
     invalid = (requests.where(F.col("status") != "OK")
                        .select("polygon_number", F.lit("FAILED").alias("status"),
                                F.col("status").alias("message")))
-    ledger_rows = (field_rows.unionByName(invalid)
-                   .withColumn("ts", F.current_timestamp().cast("timestamp_ntz"))
-                   .withColumn("event_id", F.xxhash64("polygon_number", F.lit(batch_id)))
-                   .withColumn("duration_cs", F.lit(0).cast("long"))
-                   .withColumn("batch_id", F.lit(batch_id).cast("date")))
-    W.append_ledger(ledger_rows, ledger_path)
-    this_run = spark.read.parquet(ledger_path).where(F.col("batch_id") == F.lit(batch_id).cast("date"))
-    return run_summary(this_run)
+    return ok.unionByName(invalid)

@@ -822,8 +822,8 @@ def q_granule_select(spark, sf):
                       F.col("ordinal").cast("long").alias("ordinal"), "status", "selected")
 
 
-@query("adaptive_window_banded", with_(*BASE, S.PAIRS, S.FILES) + f"""
-, win AS (SELECT p.*, w.window_days FROM pairs p JOIN (VALUES (3), (7), (14), (30)) AS w(window_days)
+BANDED = f"""
+win AS (SELECT p.*, w.window_days FROM pairs p JOIN (VALUES (3), (7), (14), (30)) AS w(window_days)
           ON abs(p.day_diff) <= w.window_days),
 capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx, window_days
                                                        ORDER BY acquired_at, granule_id) AS rn FROM win)
@@ -831,11 +831,14 @@ capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY polygon_numb
 banded AS (SELECT * FROM capped c WHERE EXISTS (
              SELECT 1 FROM granule_files f WHERE f.granule_key = c.granule_key AND f.band IN ({", ".join(f"'{b}'" for b in BANDS)}))),
 best AS (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx ORDER BY window_days, acquired_at, granule_id) AS pick
-         FROM banded)
-SELECT polygon_number, time_idx, t_date, CAST(window_days AS INTEGER) AS window_days,
-       CAST(CASE window_days WHEN 3 THEN 1 WHEN 7 THEN 2 WHEN 14 THEN 3 ELSE 4 END AS INTEGER) AS attempt,
-       granule_key, granule_id, acquired, day_diff
-FROM best WHERE pick = 1""".replace("\n, win AS", ", win AS", 1))
+         FROM banded),
+bpicks AS (SELECT polygon_number, time_idx, t_date, CAST(window_days AS INTEGER) AS window_days,
+                  CAST(CASE window_days WHEN 3 THEN 1 WHEN 7 THEN 2 WHEN 14 THEN 3 ELSE 4 END AS INTEGER) AS attempt,
+                  granule_key, granule_id, acquired, day_diff
+           FROM best WHERE pick = 1)"""
+
+
+@query("adaptive_window_banded", with_(*BASE, S.PAIRS, S.FILES, BANDED) + "SELECT * FROM bpicks")
 def q_adaptive_window_banded(spark, sf):
     return SR.adaptive_pick_banded(pairs(spark, sf), files(spark, sf), BANDS, max_results=50)
 
@@ -939,3 +942,36 @@ def q_resample_window(spark, sf):
     w = p.select("field_id").distinct().select(
         "field_id", *[F.lit(float(v)).alias(k) for k, v in RESAMPLE.items()])
     return AS.resample_window(p, w)
+
+
+# ---- 11. per-field outcome of the batch job (E1) ---------------------------------------------
+
+from fieldstack.plans.batch import field_outcomes  # noqa: E402
+
+
+@query("field_outcomes", with_(*BASE, S.PAIRS, S.FILES, BANDED, BAND_FILES) + f"""
+, found AS (SELECT p.polygon_number, p.time_idx, list(DISTINCT f.band) AS have
+            FROM bpicks p JOIN band_files f ON p.granule_key = f.granule_key GROUP BY 1, 2),
+tp AS (SELECT t.polygon_number, t.time_idx,
+              CASE WHEN b.granule_key IS NULL THEN 'NO_DATA'
+                   WHEN len(list_filter({BAND_LIST_SQL}, lambda x: NOT list_contains(coalesce(f.have, []), x))) > 0
+                   THEN 'MISSING_BANDS' END AS problem
+       FROM time_points t LEFT JOIN bpicks b USING (polygon_number, time_idx)
+       LEFT JOIN found f USING (polygon_number, time_idx)),
+agg AS (SELECT polygon_number, count(problem) AS n_bad,
+               arg_min(time_idx, CASE WHEN problem IS NULL THEN 1 ELSE 0 END * 10 + time_idx) AS bad_t,
+               arg_min(problem, CASE WHEN problem IS NULL THEN 1 ELSE 0 END * 10 + time_idx) AS bad_p
+        FROM tp GROUP BY polygon_number)
+SELECT polygon_number, CASE WHEN n_bad = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+       CASE WHEN n_bad = 0 THEN 'ok' ELSE 't' || CAST(bad_t AS VARCHAR) || ': ' || bad_p END AS message
+FROM agg
+UNION ALL
+SELECT polygon_number, 'FAILED', status FROM requests WHERE status <> 'OK'""".replace("\n, found AS", ", found AS", 1))
+def q_field_outcomes(spark, sf):
+    tp = time_points(spark, sf)
+    p = SR.adaptive_pick_banded(pairs(spark, sf), files(spark, sf), BANDS, max_results=50)
+    status = SR.pick_status(tp, p)
+    fm = GR.filter_bands(files(spark, sf).withColumn("file_name", F.element_at(F.split("url", "/"), -1)), BANDS)
+    org = OG.first_file_per_band(p.select("polygon_number", "time_idx", "granule_key").join(fm, "granule_key"),
+                                 ["granule_id", "file_name"])
+    return field_outcomes(requests(spark, sf), status, OG.band_completeness(p, org, BANDS))
