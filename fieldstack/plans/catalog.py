@@ -476,8 +476,10 @@ SELECT batch_id, processed, success, skipped, failed, total_cs,
        CASE WHEN processed <> 0 THEN CAST(floor(((success + skipped) * 1000 * 2 + processed) / (processed * 2.0)) AS BIGINT) / 10.0 END AS success_rate_pct,
        CASE WHEN processed <> 0 THEN CAST(floor(total_cs / processed) AS BIGINT) END AS avg_cs,
        CASE WHEN total_cs <> 0 THEN CAST(floor((processed * 3600000 * 2 + total_cs) / (total_cs * 2.0)) AS BIGINT) / 10.0 END AS fields_per_hour
-FROM (SELECT batch_id, count_if(status <> 'ERROR') AS processed, count_if(status = 'SUCCESS') AS success,
-             count_if(status = 'SKIPPED') AS skipped, count_if(status IN ('FAILED', 'ERROR')) AS failed,
+FROM (SELECT batch_id, CAST(count_if(status <> 'ERROR') AS BIGINT) AS processed,
+             CAST(count_if(status = 'SUCCESS') AS BIGINT) AS success,
+             CAST(count_if(status = 'SKIPPED') AS BIGINT) AS skipped,
+             CAST(count_if(status IN ('FAILED', 'ERROR')) AS BIGINT) AS failed,
              CAST(sum(duration_cs) AS BIGINT) AS total_cs
       FROM runs GROUP BY batch_id)""")
 def q_run_summary(spark, sf):
@@ -585,7 +587,7 @@ def q_log_steps(spark, sf):
 
 @query("log_attempts", with_(LOG_RECORDS) + """
 SELECT CAST(regexp_extract(message, 'field (\\d+)$', 1) AS BIGINT) AS polygon_number, count(*) AS n_records,
-       count_if(level = 'ERROR') AS n_errors, min(ts) AS first_ts, max(ts) AS last_ts
+       CAST(count_if(level = 'ERROR') AS BIGINT) AS n_errors, min(ts) AS first_ts, max(ts) AS last_ts
 FROM log_records GROUP BY 1""")
 def q_log_attempts(spark, sf):
     rec = log_records(spark, sf)

@@ -19,13 +19,22 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    cols, rows = spark_rows(E.queries()[name](spark, SF_SMALL))
+    df = E.queries()[name](spark, SF_SMALL)
+    cols, rows = spark_rows(df)
     dcols, drows = duck_rows(con, E.oracle_sql()[name])
     assert cols == dcols
     assert len(rows) == len(drows)
     assert rows == drows
+    rel = con.sql(E.oracle_sql()[name])
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    stypes = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == dtypes
 
 
 def test_entry(spark):
