@@ -233,9 +233,9 @@ def q_organize_bands(spark, sf):
     return organize(spark, sf)
 
 
-def organize(spark, sf):
+def organize(spark, sf, pk=None):
     f = files(spark, sf)
-    p = picks(spark, sf).select("polygon_number", "time_idx", "granule_key")
+    p = (pk if pk is not None else picks(spark, sf)).select("polygon_number", "time_idx", "granule_key")
     fm = GR.filter_bands(f.withColumn("file_name", F.element_at(F.split("url", "/"), -1)), BANDS)
     m = p.join(fm, "granule_key")
     first = OG.first_file_per_band(m, ["l_suppkey", "l_partkey", "l_extendedprice"])
@@ -251,7 +251,8 @@ SELECT p.polygon_number, p.time_idx,
 FROM picks p LEFT JOIN (SELECT polygon_number, time_idx, list(band) AS found FROM organized
                         GROUP BY polygon_number, time_idx) o USING (polygon_number, time_idx)""")
 def q_missing_bands(spark, sf):
-    return OG.band_completeness(picks(spark, sf), organize(spark, sf), BANDS)
+    pk = picks(spark, sf)
+    return OG.band_completeness(pk, organize(spark, sf, pk), BANDS)
 
 
 # ---- 4. pixels, stacks, statistics, imagery ----------------------------------------------
