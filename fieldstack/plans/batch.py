@@ -11,6 +11,7 @@ left-anti join, failed ones are tried again.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +36,12 @@ def _read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
 def run_batch(spark: SparkSession, fields: DataFrame, granules: DataFrame, files: DataFrame,
               out_root: str, half_size: float, cell: float, units_per_degree: float = 1.0,
               bands=BANDS, cloud_max: float = 30, as_of: str | None = None,
-              max_results: int | None = MAX_RESULTS_DOWNLOAD, batch_id: str | None = None) -> DataFrame:
-    """Run the batch; returns the summary of this run (one row)."""
+              max_results: int | None = MAX_RESULTS_DOWNLOAD, batch_id: str | None = None,
+              run_id: str | None = None) -> DataFrame:
+    """Run the batch; returns the summary of this run (one row). ``run_id`` names this
+    run's ledger partition (re-running with the same id replaces it)."""
     batch_id = batch_id or dt.date.today().isoformat()
+    run_id = run_id or f"{batch_id}-{uuid.uuid4().hex[:12]}"
     ledger_path = f"{out_root.rstrip('/')}/ledger"
     requests = plan_requests(fields, half_size=half_size, units_per_degree=units_per_degree)
     done = _read_ledger(spark, ledger_path)
@@ -60,9 +64,10 @@ def run_batch(spark: SparkSession, fields: DataFrame, granules: DataFrame, files
                    .withColumn("ts", F.current_timestamp().cast("timestamp_ntz"))
                    .withColumn("event_id", F.xxhash64("polygon_number", F.lit(batch_id)))
                    .withColumn("duration_cs", F.lit(0).cast("long"))
-                   .withColumn("batch_id", F.lit(batch_id).cast("date")))
+                   .withColumn("batch_id", F.lit(batch_id).cast("date"))
+                   .withColumn("run_id", F.lit(run_id)))
     W.append_ledger(ledger_rows, ledger_path)
-    this_run = spark.read.parquet(ledger_path).where(F.col("batch_id") == F.lit(batch_id).cast("date"))
+    this_run = spark.read.parquet(ledger_path).where(F.col("run_id") == F.lit(run_id))
     return run_summary(this_run)
 
 

@@ -48,7 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # only reached when nothing was configured (tests, local runs)
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and stream "
+                               "checkpoints must survive the loss of any executor")
+        # local mode only (tests, laptops): a private folder is as durable as the driver
         configured = tempfile.mkdtemp(prefix="fieldstack-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -42,6 +42,8 @@ def write_stack(stack: DataFrame, path: str, n_buckets: int = 64, rows_per_task:
         .partitionBy("bucket").parquet(path))
 
 
-def append_ledger(ledger: DataFrame, path: str) -> None:
-    """Run ledger, appended per batch."""
-    _writer(ledger, "append").partitionBy("batch_id").parquet(path)
+def append_ledger(ledger: DataFrame, path: str, run_col: str = "run_id") -> None:
+    """Add one run's rows to the ledger. The ledger is partitioned by run id and written
+    with dynamic partition overwrite: a re-executed job replaces its own run's partition
+    instead of appending a second copy, and never touches other runs."""
+    _writer(ledger, "overwrite").partitionBy(run_col).parquet(path)

@@ -170,9 +170,11 @@ def test_sinks_roundtrip(spark, tmp_path):
     W.write_manifest(man, str(tmp_path / "man"), n_buckets=4)
     W.write_manifest(man, str(tmp_path / "man"), n_buckets=4)   # retried job: same result
     assert spark.read.parquet(str(tmp_path / "man")).count() == man.count()
-    led = C.QUERIES["run_ledger"](spark, SF_SMALL)
+    led = C.QUERIES["run_ledger"](spark, SF_SMALL).withColumn("run_id", F.lit("r1"))
     W.append_ledger(led, str(tmp_path / "ledger"))
-    assert spark.read.parquet(str(tmp_path / "ledger")).count() == led.count()
+    W.append_ledger(led, str(tmp_path / "ledger"))          # re-executed run: replaced, not doubled
+    W.append_ledger(led.withColumn("run_id", F.lit("r2")), str(tmp_path / "ledger"))
+    assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2 * led.count()
     org = C.QUERIES["organize_bands"](spark, SF_SMALL)
     W.write_organized(org, str(tmp_path / "org"))
     assert spark.read.parquet(str(tmp_path / "org")).count() == org.count()
