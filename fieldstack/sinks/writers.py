@@ -15,8 +15,8 @@ def field_bucket(col: str, n: int):
 
 
 def _writer(df: DataFrame, mode: str):
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return df.write.mode(mode).option("compression", "zstd")
+    return (df.write.mode(mode).option("compression", "zstd")
+            .option("partitionOverwriteMode", "dynamic"))
 
 
 def write_manifest(manifest: DataFrame, path: str, n_buckets: int = 64) -> None:

@@ -48,8 +48,12 @@ def stream_resume(spark: SparkSession, requests_stream: DataFrame, ledger: DataF
 
 def stream_progress(spark: SparkSession, ledger_stream: DataFrame, window: str = "1 day",
                     watermark: str = "1 hour") -> DataFrame:
-    """Live counts per (event-time window, status). The aggregate is kept in state
-    (bounded by the watermark) and each micro-batch rewrites the current table."""
+    """Live counts per (event-time window, status).
+
+    Update mode: each micro-batch emits only the windows it changed, with their current
+    counts, and state for windows older than the watermark is dropped, so state stays
+    bounded on an endless stream. Each epoch is written to its own partition (a retried
+    epoch overwrites itself); the current table is the latest count per window."""
     ckpt, out = _scratch(spark, "progress")
     agg = (ledger_stream.withColumn("event_time", ntz_to_instant(F.col("ts")))
            .withWatermark("event_time", watermark)
@@ -57,20 +61,30 @@ def stream_progress(spark: SparkSession, ledger_stream: DataFrame, window: str =
            .agg(F.count("*").alias("n")))
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.select(instant_to_ntz(F.col("w.start")).alias("window_start"),
-                     instant_to_ntz(F.col("w.end")).alias("window_end"),
-                     "status", "n").write.mode("overwrite").parquet(out)
+        (batch.select(instant_to_ntz(F.col("w.start")).alias("window_start"),
+                      instant_to_ntz(F.col("w.end")).alias("window_end"),
+                      "status", "n", F.lit(epoch).cast("long").alias("epoch"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("epoch").parquet(out))
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
+    q = (agg.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return current_progress(spark, out)
+
+
+def current_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Latest count per (window, status) over all epochs written by ``stream_progress``."""
+    return (spark.read.parquet(path)
+            .groupBy("window_start", "window_end", "status")
+            .agg(F.max_by("n", "epoch").alias("n")))
 
 
 def stream_dedup(spark: SparkSession, ledger_stream: DataFrame, key: str = "polygon_number",
-                 delay: str = "36500 days") -> DataFrame:
-    """Drop repeated fields within the watermark delay (state per key expires after
-    it); with a delay longer than the data span this equals a batch distinct."""
+                 delay: str = "30 days") -> DataFrame:
+    """Drop a field seen again within ``delay`` of its first sighting; the state per
+    key expires after the delay, so state is bounded by the keys seen in that span.
+    Within one micro-batch every repeat is dropped (equal to a batch distinct)."""
     ckpt, out = _scratch(spark, "dedup")
     d = (ledger_stream.withColumn("event_time", ntz_to_instant(F.col("ts")))
          .withWatermark("event_time", delay)
