@@ -8,7 +8,7 @@ state is a value->count map: pixels are 16-bit, so the state of one group is bou
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstack.constants import NODATA, STRETCH_HIGH, STRETCH_LOW
@@ -45,13 +45,17 @@ def band_percentiles(pixels: DataFrame, keys=BAND_KEYS, low: float = STRETCH_LOW
                           F.round(F.col("p")[1], digits).alias("p_high")))
 
 
-def band_histogram(pixels: DataFrame, keys=BAND_KEYS) -> DataFrame:
+def band_histogram(pixels: DataFrame, keys=BAND_KEYS, dense: bool = True) -> DataFrame:
     """Unit-wide buckets from min-0.5 to max+0.5 per band, zero buckets included.
 
     Counts per (band, value) are a partial aggregation; the dense range per band is
-    ``sequence(min, max)`` (at most 65,536 values for 16-bit data), left-joined to them."""
+    ``sequence(min, max)`` (at most 65,536 values for 16-bit data), left-joined to them.
+    ``dense=False`` keeps only non-empty buckets (output bounded by distinct values)."""
     keys = list(keys)
     counts = pixels.groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    if not dense:
+        w = Window.partitionBy(*keys)
+        return counts.select(*keys, (F.col("value") - F.min("value").over(w)).alias("bucket"), "value", "n")
     ranges = counts.groupBy(*keys).agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"))
     dense = ranges.select(*keys, "vmin", F.explode(F.sequence("vmin", "vmax")).alias("value"))
     out = dense.join(counts, keys + ["value"], "left")
