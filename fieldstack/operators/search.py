@@ -218,9 +218,11 @@ def granule_guard(groups: DataFrame, limit: int = MAX_INTERACTIVE_GRANULES,
                                          .otherwise("OK")))
 
 
-def granule_select(numbered: DataFrame, ordinals: list[int] | None) -> DataFrame:
+def granule_select(numbered: DataFrame, ordinals: list[int] | None, abort: bool = False) -> DataFrame:
     """Selection by 1-based ordinals: None/[] = all; out-of-range ordinals reject the
-    whole selection for that request (status INVALID_SELECTION)."""
+    whole selection for that request (status INVALID_SELECTION); ``abort`` selects none."""
+    if abort:
+        return numbered.withColumn("selected", F.lit(False)).withColumn("status", F.lit("ABORTED"))
     if not ordinals:
         return numbered.withColumn("selected", F.lit(True)).withColumn("status", F.lit("OK"))
     arr = F.array(*[F.lit(int(o)) for o in ordinals])

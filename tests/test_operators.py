@@ -238,3 +238,13 @@ def test_summary_counts_unexpected_errors_as_failed_not_processed(spark):
     assert r.success_rate_pct == 66.7
     empty = LG.run_summary(spark.createDataFrame([(dt.date(2024, 1, 1), "ERROR", 5)], df.schema)).first()
     assert empty.processed == 0 and empty.success_rate_pct is None and empty.avg_cs is None
+
+
+def test_granule_select_modes(spark):
+    from fieldstack.operators import search as SR
+    df = spark.createDataFrame([(1, 0, i) for i in (1, 2)] + [(2, 0, i) for i in (1, 2, 3)],
+                               "polygon_number long, time_idx int, ordinal int")
+    got = {(r.polygon_number, r.ordinal): (r.status, r.selected) for r in SR.granule_select(df, [1, 3]).collect()}
+    assert got[(1, 1)] == ("INVALID_SELECTION", False) and got[(2, 3)] == ("OK", True) and got[(2, 2)] == ("OK", False)
+    assert all(r.selected for r in SR.granule_select(df, []).collect())
+    assert not any(r.selected for r in SR.granule_select(df, [1], abort=True).collect())
