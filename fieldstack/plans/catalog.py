@@ -35,10 +35,6 @@ def query(name: str, sql: str | None = None):
 
 # ---- shared plan pieces --------------------------------------------------------------
 
-def fields_typed(spark, sf):
-    return D.fields_raw(spark, sf)
-
-
 def valid_fields(spark, sf):
     valid, _ = split_valid(D.fields_raw(spark, sf), D.UNITS_PER_DEGREE)
     return with_default_class(valid)
