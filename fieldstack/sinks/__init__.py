@@ -1,0 +1 @@
+"""Parquet sinks."""
