@@ -75,3 +75,27 @@ def attempts(records: DataFrame) -> DataFrame:
                     F.regexp_extract(m, ATTEMPT, 3).cast("int").alias("window_days"),
                     F.to_date(F.regexp_extract(m, ATTEMPT, 4)).alias("window_start"),
                     F.to_date(F.regexp_extract(m, ATTEMPT, 5)).alias("window_end"))
+
+
+TIME_POINT = r"Downloading data for t(\d+): (\d{4}-\d{2}-\d{2})"
+COMPLETED = r"Download completed for t(\d+) with \D*(\d+) day window"
+
+
+def attempt_summary(records: DataFrame, chunk: Column, file_col: str = "file") -> DataFrame:
+    """Per (log file, time point): number of search attempts, the last window tried, and
+    the window of the successful download (NULL if none). Attempt records belong to the
+    latest preceding 'Downloading data for t{i}' record (chunked last-seen scan)."""
+    m = F.col("message")
+    marker = F.regexp_extract(m, TIME_POINT, 1) != ""
+    key = F.when(marker, F.struct(F.col("record_key").alias("k"),
+                                  F.regexp_extract(m, TIME_POINT, 1).cast("int").alias("time_idx"),
+                                  F.to_date(F.regexp_extract(m, TIME_POINT, 2)).alias("t_date")))
+    x = last_seen(records, [file_col], ["record_key"], chunk, key, "tp")
+    att = attempts(x).where(F.col("tp").isNotNull())
+    per_tp = att.groupBy(file_col, F.col("tp.time_idx").alias("time_idx"), F.col("tp.t_date").alias("t_date")).agg(
+        F.count("*").alias("n_attempts"),
+        F.max_by("window_days", "record_key").alias("last_window"))
+    done = (records.where(F.regexp_extract(m, COMPLETED, 1) != "")
+                   .groupBy(file_col, F.regexp_extract(m, COMPLETED, 1).cast("int").alias("time_idx"))
+                   .agg(F.max(F.regexp_extract(m, COMPLETED, 2).cast("int")).alias("completed_window")))
+    return per_tp.join(done, [file_col, "time_idx"], "left")

@@ -248,3 +248,23 @@ def test_granule_select_modes(spark):
     assert got[(1, 1)] == ("INVALID_SELECTION", False) and got[(2, 3)] == ("OK", True) and got[(2, 2)] == ("OK", False)
     assert all(r.selected for r in SR.granule_select(df, []).collect())
     assert not any(r.selected for r in SR.granule_select(df, [1], abort=True).collect())
+
+
+def test_attempt_summary(spark, tmp_path):
+    lines = [
+        "2025-01-01 10:00:00,000 - INFO - Downloading data for t0: 2025-03-01",
+        "2025-01-01 10:00:00,001 - INFO -    Attempt 1/4: +-3 day window (2025-02-26,2025-03-04)",
+        "2025-01-01 10:00:10,000 - WARNING -    Download failed for t0 with +-3 day window: exit 1",
+        "   STDERR: no granules",
+        "2025-01-01 10:00:10,001 - INFO -    Attempt 2/4: +-7 day window (2025-02-22,2025-03-08)",
+        "2025-01-01 10:00:20,001 - INFO -    Attempt 3/4: +-14 day window (2025-02-15,2025-03-15)",
+        "2025-01-01 10:00:30,000 - INFO -    Download completed for t0 with +-14 day window",
+        "2025-01-01 10:01:00,000 - INFO - Downloading data for t1: 2025-05-01",
+        "2025-01-01 10:01:00,001 - INFO -    Attempt 1/4: +-3 day window (2025-04-28,2025-05-04)",
+    ]
+    p = tmp_path / "run.log"
+    p.write_text("\n".join(lines) + "\n")
+    rec = LO.parse_records(LO.read_log_text(spark, str(p)), ["block", "pos"], F.col("block"))
+    got = {r.time_idx: (r.t_date, r.n_attempts, r.last_window, r.completed_window)
+           for r in LO.attempt_summary(rec, F.col("record_key.block")).collect()}
+    assert got == {0: (dt.date(2025, 3, 1), 3, 14, 14), 1: (dt.date(2025, 5, 1), 1, 3, None)}
