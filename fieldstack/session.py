@@ -23,6 +23,19 @@ DEFAULTS = {
 }
 
 
+def sizing(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a given input volume: enough initial shuffle partitions that
+    each holds about ``target_partition_bytes`` (AQE coalesces the small ones and splits
+    skewed ones), scan splits of the same size. 100 TB -> ~400k shuffle partitions."""
+    n = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
+
+
 def get_session(app: str = "fieldstack", master: str | None = None,
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

@@ -53,3 +53,10 @@ def test_no_session_zone_dependent_formatting():
     offenders = [str(p) for p in root.rglob("*.py")
                  if "F.date_format(" in p.read_text() or "F.try_to_timestamp(" in p.read_text()]
     assert offenders == []
+
+
+def test_sizing():
+    from fieldstack.session import sizing
+    s = sizing(100 * 1024 ** 4)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert sizing(1)["spark.sql.shuffle.partitions"] == "200"
