@@ -121,3 +121,29 @@ def resample_window(pixels: DataFrame, windows: DataFrame, keys=("field_id",)) -
              .where(okc & okr)
              .select(*keys, *[c for c in pixels.columns if c not in keys + ["row", "col"]],
                      F.col("out_row").alias("row"), F.col("out_col").alias("col")))
+
+
+def read_stack(spark, path: str, field_ids: list | None = None, n_buckets: int | None = None) -> DataFrame:
+    """Read a stack written by ``sinks.writers.write_stack``. With ``field_ids`` and the
+    writer's ``n_buckets`` the bucket predicate is a list of constant hashes that Catalyst
+    folds, so only the matching bucket folders are listed and read."""
+    df = spark.read.parquet(path)
+    if field_ids:
+        if n_buckets:
+            buckets = [F.pmod(F.xxhash64(F.lit(int(f)).cast("long")), F.lit(n_buckets)).cast("int")
+                       for f in field_ids]
+            df = df.where(F.col("bucket").isin(*buckets))
+        df = df.where(F.col("field_id").isin([int(f) for f in field_ids]))
+    return df.drop("bucket") if "bucket" in df.columns else df
+
+
+def stack_to_pixels(stack: DataFrame, n_times: int = N_TIME_POINTS, bands=BANDS) -> DataFrame:
+    """Wide stack -> long pixels (field_id, time_idx, band, row, col, value) with
+    ``unpivot``; the inverse of ``assemble_stack`` for complete fields."""
+    labels = stack_labels(n_times, bands)
+    long = stack.unpivot(PIXEL_KEYS, labels, "label", "value")
+    parts = F.split(F.col("label"), "_")
+    return long.select(
+        "field_id",
+        F.substring(F.element_at(parts, 1), 2, 4).cast("int").alias("time_idx"),
+        F.element_at(parts, 2).alias("band"), "row", "col", "value")
