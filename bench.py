@@ -30,7 +30,7 @@ def main() -> None:
     from fieldstack.sources import driver as D
     spark = get_session(app="fieldstack-bench", master=f"local[{cpus}]",
                         shuffle_partitions=int(cpus) * 2,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g")})
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     def run_all() -> dict[str, float]:

@@ -66,3 +66,19 @@ def prefer_tiff(listing: DataFrame, bands: list[str] = BANDS, folder_col: str =
     return (x.groupBy(folder_col, "band")
              .agg(F.min(F.struct("rank_ext", path_col)).alias("m"))
              .select(folder_col, "band", F.col(f"m.{path_col}").alias(path_col)))
+
+
+def granule_band_completeness(picks: DataFrame, files: DataFrame, bands: list[str] = BANDS,
+                              keys=("polygon_number", "time_idx")) -> DataFrame:
+    """Same result as ``band_completeness`` without organising files first: the band set
+    of each granule (a bounded collect_set, combined map-side) joined once to the picks."""
+    keys = list(keys)
+    sets = (files.where(F.col("band").isin(list(bands)))
+                 .groupBy("granule_key").agg(F.collect_set("band").alias("found")))
+    j = picks.select(*keys, "granule_key").join(sets, "granule_key", "left")
+    have = F.coalesce(F.col("found"), F.array().cast("array<string>"))
+    req = F.array(*[F.lit(b) for b in bands])
+    missing = F.array_join(F.array_except(req, have), ",")
+    return j.select(*keys, missing.alias("missing"),
+                    F.size(F.array_intersect(req, have)).alias("n_found"),
+                    F.when(missing == "", "COMPLETE").otherwise("MISSING_BANDS").alias("status"))

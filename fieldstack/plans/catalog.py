@@ -247,8 +247,7 @@ SELECT p.polygon_number, p.time_idx,
 FROM picks p LEFT JOIN (SELECT polygon_number, time_idx, list(band) AS found FROM organized
                         GROUP BY polygon_number, time_idx) o USING (polygon_number, time_idx)""")
 def q_missing_bands(spark, sf):
-    pk = picks(spark, sf)
-    return OG.band_completeness(pk, organize(spark, sf, pk), BANDS)
+    return OG.granule_band_completeness(picks(spark, sf), files(spark, sf), BANDS)
 
 
 # ---- 4. pixels, stacks, statistics, imagery ----------------------------------------------

@@ -288,3 +288,13 @@ def test_stack_write_read_unpivot_roundtrip(spark, tmp_path):
     assert [r[0] for r in one.select("field_id").distinct().collect()] == [1]
     assert one.count() == stack.where("field_id = 1").count()
     assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_completeness_forms_agree(spark):
+    from conftest import SF_SMALL
+    from fieldstack.plans import catalog as C
+    pk = C.picks(spark, SF_SMALL)
+    a = OG.band_completeness(pk, C.organize(spark, SF_SMALL, pk))
+    b = OG.granule_band_completeness(pk, C.files(spark, SF_SMALL))
+    cols = ["polygon_number", "time_idx", "missing", "n_found", "status"]
+    assert a.count() == b.count() and a.select(cols).exceptAll(b.select(cols)).count() == 0
