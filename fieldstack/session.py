@@ -54,7 +54,13 @@ def get_session(app: str = "fieldstack", master: str | None = None,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only if the cluster named none."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext, the server's setting applies)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
