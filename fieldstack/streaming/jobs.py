@@ -34,16 +34,21 @@ def file_stream(spark: SparkSession, directory: str, file_name: str, max_files:
 def stream_resume(spark: SparkSession, requests_stream: DataFrame, ledger: DataFrame,
                   key: str = "polygon_number") -> DataFrame:
     """Incoming requests minus those already finished in the ledger (left-anti join
-    per micro-batch), appended to a parquet table; returns that table."""
+    per micro-batch), added to a parquet table; returns that table. Each micro-batch
+    writes its own epoch partition with dynamic overwrite, so a replayed epoch (after a
+    failure) replaces its rows instead of adding them twice."""
     ckpt, out = _scratch(spark, "resume")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        resume_pending(batch, ledger, key).write.mode("append").parquet(out)
+        (resume_pending(batch, ledger, key).withColumn("epoch", F.lit(epoch).cast("long"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("epoch").parquet(out))
 
     q = (requests_stream.writeStream.foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return _read_or_empty(spark, out, requests_stream.schema)
+    got = _read_or_empty(spark, out, requests_stream.schema)
+    return got.drop("epoch") if "epoch" in got.columns else got
 
 
 def stream_progress(spark: SparkSession, ledger_stream: DataFrame, window: str = "1 day",
