@@ -52,3 +52,29 @@ def test_hot_cell_is_salted_and_exact(spark):
         ["tbin", "cx", "cy"], ["polygon_number", "time_idx"], 20)
     n_salts = salted_r.where((F.col("cx") == 75) & (F.col("cy") == 45)).select("salt").distinct().count()
     assert n_salts >= 4
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+half = st.integers(0, 8).map(lambda k: 70 + k * 0.5)      # 0.5-degree grid: edges often touch cells
+halfy = st.integers(0, 8).map(lambda k: 40 + k * 0.5)
+size = st.integers(0, 3).map(lambda k: k * 0.5)            # includes zero-size (point) boxes
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(half, halfy, size, size, st.integers(-40, 40)), min_size=1, max_size=25),
+       st.lists(st.tuples(half, halfy, size, size, st.integers(-40, 40), st.integers(0, 40)), min_size=1, max_size=25),
+       st.sampled_from([None, 2]))
+def test_range_join_touching_boxes_exact(spark, reqs, grans, hot):
+    base = dt.date(2024, 6, 1)
+    r = [(i, 0, base + dt.timedelta(days=d), x, y, x + w, y + h) for i, (x, y, w, h, d) in enumerate(reqs)]
+    g = [(k, f"G{k:03d}", base + dt.timedelta(days=d), dt.datetime.combine(base + dt.timedelta(days=d), dt.time(0)),
+          c, x, y, x + w, y + h) for k, (x, y, w, h, d, c) in enumerate(grans)]
+    rdf = spark.createDataFrame(r, "polygon_number long, time_idx int, t_date date, west double, south double, east double, north double")
+    gdf = spark.createDataFrame(g, "granule_key long, granule_id string, acquired date, acquired_at timestamp_ntz, "
+                                   "cloud_pct long, west double, south double, east double, north double")
+    got = [(x.polygon_number, x.time_idx, x.granule_key)
+           for x in SR.search_granules(rdf, gdf, cell=1.0, hot_key_rows=hot).collect()]
+    assert len(got) == len(set(got))          # no pair twice
+    assert set(got) == brute(r, g, 30)
