@@ -47,3 +47,27 @@ def test_granule_time_round_trip(spark, times):
     for r in out:
         assert r.back == r.ts.replace(microsecond=0)
         assert r.txt == r.ts.strftime("%Y-%m-%d %H:%M:%S,") + f"{r.ts.microsecond // 1000:03d}"
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50), st.booleans()), min_size=1, max_size=120),
+       st.integers(1, 40))
+def test_chunked_scans_equal_windows(spark, rows, width):
+    from pyspark.sql import Window
+    from fieldstack.operators.scan import last_seen, next_value, running_sums
+    data = [(b, i, v, flag) for i, (b, v, flag) in enumerate(rows)]
+    df = spark.createDataFrame(data, "b int, i int, v int, flag boolean")
+    chunk = F.floor(F.col("i") / width)                       # any order-monotone chunking
+    w = Window.partitionBy("b").orderBy("i")
+    wr = w.rowsBetween(Window.unboundedPreceding, 0)
+    key = F.when(F.col("flag"), F.col("i"))
+    ref = (df.withColumn("s_ref", F.sum("v").over(wr))
+             .withColumn("l_ref", F.last(key, ignorenulls=True).over(wr))
+             .withColumn("n_ref", F.lead("v").over(w)))
+    got = running_sums(df, ["b"], ["i"], chunk, {"s": F.col("v")})
+    got = last_seen(got, ["b"], ["i"], chunk, key, "l")
+    got = next_value(got, ["b"], ["i"], chunk, F.col("v"), "n")
+    j = got.join(ref, ["b", "i"])
+    assert j.count() == len(data)
+    assert j.where(~F.col("s").eqNullSafe(F.col("s_ref")) | ~F.col("l").eqNullSafe(F.col("l_ref"))
+                   | ~F.col("n").eqNullSafe(F.col("n_ref"))).count() == 0
