@@ -92,3 +92,20 @@ def field_outcomes(requests: DataFrame, status: DataFrame, complete: DataFrame)
                        .select("polygon_number", F.lit("FAILED").alias("status"),
                                F.col("status").alias("message")))
     return ok.unionByName(invalid)
+
+
+def run_from_csv(spark: SparkSession, csv_path: str, start: str, end: str, granules: DataFrame,
+                 files: DataFrame, out_root: str, half_size_deg: float = 0.01, cell_deg: float = 1.0,
+                 order: str = "forward", limit: int | None = None, **kw) -> DataFrame:
+    """The original batch entry point as one job: a field CSV (Polygon Number, Class,
+    Y Coordinate, X Coordinate) and one date range for all fields, coordinates in degrees.
+    Rejected rows are written next to the outputs; returns the run summary."""
+    from fieldstack.plans.requests import order_and_limit  # noqa: PLC0415
+    from fieldstack.sources.fields import cast_fields, read_fields_csv, split_valid  # noqa: PLC0415
+    valid, rejected = split_valid(cast_fields(read_fields_csv(spark, csv_path)))
+    rejected.write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/rejected")
+    fields = (order_and_limit(valid, order, limit)
+              .withColumn("start_date", F.lit(start).cast("date"))
+              .withColumn("end_date", F.lit(end).cast("date")))
+    return run_batch(spark, fields, granules, files, out_root, half_size=half_size_deg, cell=cell_deg,
+                     units_per_degree=1.0, **kw)

@@ -298,3 +298,22 @@ def test_two_completeness_forms_agree(spark):
     b = OG.granule_band_completeness(pk, C.files(spark, SF_SMALL))
     cols = ["polygon_number", "time_idx", "missing", "n_found", "status"]
     assert a.count() == b.count() and a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def test_run_from_csv(spark, tmp_path):
+    from fieldstack.plans.batch import run_from_csv
+    csv = tmp_path / "fields.csv"
+    csv.write_text("Polygon Number,Class,Y Coordinate,X Coordinate\n"
+                   "1,Sorghum,45.29107,78.48538\n2,Other,45.30,78.50\n3,Other,95.0,78.5\n")
+    g = spark.createDataFrame(
+        [(k, f"G{k}", d, dt.datetime.combine(d, dt.time(5)), 10, 78.0, 45.0, 79.0, 46.0)
+         for k, d in enumerate([dt.date(2025, 2, 18), dt.date(2025, 5, 13), dt.date(2025, 6, 28)])],
+        "granule_key long, granule_id string, acquired date, acquired_at timestamp_ntz, cloud_pct long, "
+        "west double, south double, east double, north double")
+    bands = ["B02", "B03", "B04", "B8A", "B11", "B12"]
+    f = spark.createDataFrame([(k, f"G{k}", b, f"https://x/G{k}/G{k}.{b}.tif") for k in range(3) for b in bands],
+                              "granule_key long, granule_id string, band string, url string")
+    s = run_from_csv(spark, str(csv), "2025-03-01", "2025-07-01", g, f, str(tmp_path / "out"),
+                     batch_id="2025-08-13").first()
+    assert (s.processed, s.success, s.failed) == (2, 2, 0)
+    assert spark.read.parquet(str(tmp_path / "out" / "rejected")).count() == 1
