@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows in an Arrow batch than Spark's default, for tables of whole texts: a batch stands in the memory of
+    the JVM and of the Python worker at once. A smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the lineage with files
     that outlive any executor."""
@@ -40,7 +48,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
 # ------------------------------------------------------------------ Arrow batches of texts
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``max_bytes`` of text each (one row at least)."""
     offs = offsets(batch.column(column))
     lo = 0

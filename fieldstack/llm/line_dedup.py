@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, SpanHash, SPACE, flat, line_spans, slices
+from .common import SPACE, U64, SpanHash, flat, line_spans, slices, small_batches, stash
 
 SEGMENT = 4096          # bytes of a filter that are merged as one row
 HASHES = 4
@@ -153,6 +153,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     """(doc_id, text_hash, drop): the numbers of the lines that a document's text loses."""
     if min_docs < 2:
         raise ValueError("min_docs must be 2 or more: the filters tell second sightings")
+    small_batches(docs.sparkSession)
     texts = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
     bits = filter_bits(texts.count(), max_bits=max_bits)
