@@ -160,9 +160,10 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     twice = docs.sparkSession.sparkContext.broadcast(twice_filter(texts, bits, min_chars).tobytes())
     found = texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
         _suspects(twice, bits, min_chars), "doc_id long, text_hash long, line int, key binary")
-    repeated = (found.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
+    # written, so that the join below reads it through an exchange of its own and a hot key can be split
+    repeated = stash(found.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
                 .groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
-                .where(F.col("n") >= min_docs))
+                .where(F.col("n") >= min_docs).select("key", "keeper"), "repeated")
     return (found.join(repeated, "key").where("doc_id <> keeper")
             .groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("drop")))
 
