@@ -158,8 +158,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
         F.col("doc_id").cast("long").alias("doc_id"), "text")
     bits = filter_bits(texts.count(), max_bits=max_bits)
     twice = docs.sparkSession.sparkContext.broadcast(twice_filter(texts, bits, min_chars).tobytes())
-    found = texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _suspects(twice, bits, min_chars), "doc_id long, text_hash long, line int, key binary")
+    found = stash(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _suspects(twice, bits, min_chars), "doc_id long, text_hash long, line int, key binary"), "suspects")
     # written, so that the join below reads it through an exchange of its own and a hot key can be split
     repeated = stash(found.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
                 .groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
