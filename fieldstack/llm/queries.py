@@ -8,6 +8,56 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import line_dedup
+from .url_filter import canonical, url_filter
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def listed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical URLs of pages whose document (the number in the path) is labelled toxic."""
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("d"))
+    number = F.expr("try_cast(nullif(regexp_extract(url, '/([0-9]+)', 1), '') as bigint)")
+    pages = table(spark, sf_dir, "pages").select("url", number.alias("d"))
+    return pages.join(toxic, "d", "left_semi").select(canonical(F.col("url")).alias("url"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter(pages, listed_urls(spark, sf_dir), URL_RULES).selectExpr(
+        "page_id", "uf_host as host", "uf_path as path", "uf_rule as rule", "uf_verdict as verdict",
+        "uf_listed as listed")
+
+
+OP9_SQL = r"""
+with u as (
+  select page_id, url, coalesce(contains(url, '://'), false) as ok,
+         try_cast(nullif(regexp_extract(url, '/([0-9]+)', 1), '') as bigint) as d,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
+         list_sort(list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+                               lambda p: not regexp_matches(p, '^(utm_|ref=|$)'))) as params
+  from pages),
+c as (
+  select *, case when ok then regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+                   || case when len(params) > 0 then '?' || array_to_string(params, '&') else '' end end as key
+  from u),
+listed as (select distinct key from c where d in (select doc_id from labels where toxic = 1)),
+r as (
+  select c.*, case
+    when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
+    when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/' end as rule
+  from c)
+select page_id, host, path, rule,
+       case when rule in ('www.example.com/en/', 'com/') then 'allow' when rule is not null then 'block'
+            when listed.key is not null then 'block' else 'allow' end as verdict,
+       rule is null and listed.key is not null as listed
+from r left join listed on r.key = listed.key
+"""
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,9 +85,11 @@ from marked group by doc_id
 """
 
 QUERIES = {
+    "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE = {
+    "op9_url_filter": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
