@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldstack.session import checkpoint_dir
 
@@ -38,6 +39,23 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def own(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns an operator is about to add (a name that ends in ``_`` is a prefix)."""
+    return df.drop(*[c for c in df.columns if any(c == n or n.endswith("_") and c.startswith(n) for n in names)])
+
+
+def tree_merge(rows: DataFrame, key: str, parts: int, merge, schema: str, fan_in: int = 64) -> DataFrame:
+    """Fold the rows of each ``key`` (and int column ``part``, of 0 to parts - 1) into one, ``fan_in`` at a time, so
+    that no task takes more than so many however many tasks made them. ``merge``: Arrow table to Arrow table."""
+    while True:
+        last = parts <= fan_in
+        rows = (rows.withColumn("part", F.lit(0) if last else F.expr(f"cast(part div {fan_in} as int)"))
+                .groupBy(key, "part").applyInArrow(merge, schema))
+        if last:
+            return rows
+        parts = -(-parts // fan_in)
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the lineage with files
     that outlive any executor."""

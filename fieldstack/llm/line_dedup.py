@@ -15,7 +15,7 @@ fuller filter only lets more lines through to the exact count; the result never
 
 Defined results: a null or empty text is one empty line. Rows with a null doc_id keep all lines and
 count for no key. Rows that repeat a doc_id are one document: its lines count once, and the document
-keeps or loses them in all its rows. Extra columns pass through.
+keeps or loses them in all its rows. Extra columns pass through; those named ld_.. are replaced.
 """
 
 from __future__ import annotations
@@ -28,11 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, U64, SpanHash, flat, line_spans, slices, small_batches, stash
+from .common import SPACE, U64, SpanHash, flat, line_spans, own, slices, small_batches, stash, tree_merge
 
 SEGMENT = 4096          # bytes of a filter that are merged as one row
 HASHES = 4
-FAN_IN = 64             # partial filters that one merge task takes at a time
 
 
 def filter_bits(rows: int, bits_per_row: int = 128, max_bits: int = 1 << 29) -> int:
@@ -116,13 +115,7 @@ def twice_filter(docs: DataFrame, bits: int, min_chars: int) -> np.ndarray:
     """The merged filter of keys seen in two documents or more (plus false positives)."""
     parts = docs.rdd.getNumPartitions()
     rows = docs.withColumn("part", F.spark_partition_id()).mapInArrow(_task_filters(bits, min_chars), _FILTER)
-    while True:
-        last = parts <= FAN_IN
-        rows = (rows.withColumn("part", F.lit(0) if last else F.expr(f"cast(part div {FAN_IN} as int)"))
-                .groupBy("seg", "part").applyInArrow(_merge, _FILTER))
-        if last:
-            break
-        parts = -(-parts // FAN_IN)
+    rows = tree_merge(rows, "seg", parts, _merge, _FILTER)
     out = np.zeros(bits // 8, dtype=np.uint8)
     for r in rows.select("seg", "twice").toLocalIterator():   # at most max_bits / 8 bytes in all
         out[r.seg * SEGMENT:(r.seg + 1) * SEGMENT] = np.frombuffer(r.twice, dtype=np.uint8)
@@ -171,6 +164,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
 def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
                max_bits: int = 1 << 29) -> DataFrame:
     """``docs`` with ``text`` rewritten, plus ``ld_lines`` (before) and ``ld_dropped``; a null text stays null."""
+    docs = own(docs, "ld_")
     drops = dropped_lines(docs, min_chars, min_docs, max_bits).select(
         F.col("doc_id").alias("ld_doc"), F.col("text_hash").alias("ld_hash"), F.col("drop").alias("ld_drop"))
     joined = docs.withColumn("ld_key", F.xxhash64("text")).join(

@@ -31,9 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, SpanHash, flat, mix, slices, stash, word_spans
-
-PROBES = 64
+from .common import U64, SpanHash, flat, mix, slices, small_batches, stash, word_spans
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,8 +68,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.nd
 
 
 def _probe_table(bins: int) -> np.ndarray:
-    """Row j: bins in the order in which an empty bin j asks them; a bin that finds none in PROBES tries goes on
-    with the full permutation of its row (see ``signatures``)."""
+    """Row j: all bins, in the order in which an empty bin j asks them."""
     rng = np.random.default_rng(20240229)
     return np.stack([rng.permutation(bins) for _ in range(bins)])
 
@@ -180,6 +177,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40,
                     rows: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = stash(texts.mapInArrow(_sign(shingle, bands, rows),
                                     "doc_id long, n_shingles long, mark binary, bands array<long>"), "signed")
@@ -198,7 +196,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     stars = stash(members.where("star <> rep").select(F.col("star").alias("x"), F.col("rep").alias("y")).distinct(),
                   "stars")
-    same = every.where("doc_id is not null and rep is not null").selectExpr("doc_id as x", "rep as y").where("x <> y")
     first = _confirmed(stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), sets, percent)
     labels = components(nodes, first)
 

@@ -18,7 +18,7 @@ constant in most rows (no symbols, no repeated line) doesn't condemn the first r
 
 Built-in functions only. Defined results: a null or empty text has no words and fails the base rules; null
 languages and sources are groups like others; repeated rows are judged each and all count; an empty
-table gives an empty result; extra columns pass through.
+table gives an empty result; extra columns pass through, and those of the added names are replaced.
 """
 
 from __future__ import annotations
@@ -26,15 +26,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import own, stash
 
 P = 5
 CHI2_MEDIAN = 4.3515        # chi-square, 5 degrees of freedom: median
 CHI2_CUTOFF = 25.745        # and its 0.9999 quantile
 SCALE = 64                  # integer steps in one unit of a logarithm
-FLOORS = (0.5, 0.1, 0.6, 0.6, 0.6)
+FLOORS = (0.5, 0.1, 0.6, 1.0, 1.0)
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_SPACES = r" \t\n\u000B\f\r"
+_SPACES = r" \t\n\u000B\u000C\r"
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
@@ -57,12 +57,12 @@ def text_statistics(docs: DataFrame) -> DataFrame:
                 coalesce(shiftright(x, qm_b) = shiftright(get(qm_s, i + 1), qm_b), false)
                 or coalesce(shiftright(x, qm_b) = shiftright(get(qm_s, i - 1), qm_b), false)),
                 x -> x & (shiftleft(1L, qm_b) - 1)))"""))
-        .withColumn("qm_l", F.expr(f"split(qm_t, '\\n', -1)"))
+        .withColumn("qm_l", F.expr("split(qm_t, '\\n', -1)"))
         .withColumn("qm_f", F.expr("filter(qm_l, l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"))
     )
     return staged.withColumns({
         "n_words": F.expr("cast(n_words as bigint)"),
-        "word_chars": F.expr(f"cast(length(qm_t) - ({count([' ', r'\t', r'\n', r'\u000B', r'\f', r'\r'])}) as bigint)"),
+        "word_chars": F.expr(f"cast(length(qm_t) - ({count([' ', r'\t', r'\n', r'\u000B', r'\u000C', r'\r'])}) as bigint)"),
         "n_symbols": F.expr(f"cast({count(list('#*$%&|<>'))} as bigint)"),
         "n_dup_lines": F.expr("cast(array_size(qm_f) - array_size(array_distinct(qm_f)) as bigint)"),
         "n_lines": F.expr("cast(array_size(qm_l) as bigint)"),
@@ -164,6 +164,7 @@ def mcd_estimates(rows: DataFrame, h: float = 0.75, steps: int = 3) -> DataFrame
 def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, h: float = 0.75,
                   steps: int = 3, min_group: int = 50, cutoff: float = CHI2_CUTOFF) -> DataFrame:
     """``docs`` without text, plus STATS, n_lines, base_failed, distance2 (null where a base rule failed) and kept."""
+    docs = own(docs, "qm_", *STATS, "n_lines", "base_failed", "distance2", "kept")
     failed = F.expr(f"n_words < {min_words} or 100 * n_repeat_words > {max_repeat_percent} * n_words")
     rows = stash(_with_group(_features(text_statistics(docs).withColumn("base_failed", failed)), min_group), "quality")
     est = mcd_estimates(rows.where("not base_failed"), h, steps)

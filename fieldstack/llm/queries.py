@@ -3,11 +3,16 @@ its DuckDB twin where SQL can express it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from . import sentencepiece_unigram as spu
+from .language_mixture import language_mixture, learn_profiles
 from .line_dedup import line_dedup
+from .minhash_dedup import near_duplicates
+from .mixing import temperature_mix
+from .quality_mcd import STATS, quality_rules
 from .url_filter import canonical, url_filter
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -84,7 +89,48 @@ select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
 from marked group by doc_id
 """
 
+def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return quality_rules(docs).select("doc_id", *STATS, "base_failed", "kept")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = spu.load_vocabulary(spu.VOCABULARY)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spu.decode(spu.encode(docs, vocab), vocab).selectExpr(
+        "doc_id", "cast(coalesce(array_size(token_ids), 0) as bigint) as n_tokens", "token_ids",
+        "decoded <=> text as exact")
+
+
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, percent=80)
+
+
+def held_out() -> Column:
+    """Documents that no language profile is learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
+
+
+def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = learn_profiles(docs.where(~held_out()).select("text", "lang"))
+    return language_mixture(docs.select("doc_id", "text"), profiles, keep_text=False).select(
+        "doc_id", held_out().alias("held_out"), F.col("li_lang").alias("lang_pred"),
+        F.col("li_score").alias("score"), F.col("li_langs").alias("langs"), F.col("li_shares").alias("shares"))
+
+
+def op8_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return temperature_mix(docs, repetition=2.0).selectExpr(
+        "doc_id", "source", "mx_tokens as n_tokens", "mx_epoch as epoch", "mx_block as block", "mx_order as position")
+
+
 QUERIES = {
+    "op1_quality_mcd": op1_quality_mcd,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op4_minhash": op4_minhash,
+    "op7_language_mixture": op7_language_mixture,
+    "op8_temperature_mix": op8_temperature_mix,
     "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -12,7 +12,7 @@ long for the filter only sends more URLs to the exact join.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no canonical form
 and the verdict ``allow``. Repeated rows get a verdict each. Repeated or null list entries count once or not at all.
-Extra columns pass through. An empty list blocks nothing.
+Extra columns pass through; those named uf_.. are replaced. An empty list blocks nothing.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import own
+
 WORDS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -80,7 +82,7 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, s
     blocks = filter_blocks(entries.count(), max_blocks)
     bloom = blocked_bloom(entries, "uf_entry", blocks)
 
-    judged = pages.withColumns({"uf_host": url_host(F.col(url)), "uf_path": url_path(F.col(url))})
+    judged = own(pages, "uf_").withColumns({"uf_host": url_host(F.col(url)), "uf_path": url_path(F.col(url))})
     rule, action = rule_of(F.col("uf_host"), F.col("uf_path"), rules)
     judged = judged.withColumns({"uf_rule": rule, "uf_action": action,
                                  "uf_key": F.when(rule.isNull(), canonical(F.col(url)))})
