@@ -5,24 +5,62 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fieldstack.llm import sentencepiece_unigram as spu
+from fieldstack.llm.language_mixture import language_mixture, learn_profiles
 from fieldstack.llm.line_dedup import line_dedup
+from fieldstack.llm.minhash_dedup import near_duplicates
+from fieldstack.llm.mixing import temperature_mix
 from fieldstack.session import checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+MIN_SHARE = 0.5         # of a document's words in its main language
+MAX_REPETITION = 2.0    # showings of the least frequent source
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7. Documents without a letter, and those that no language has half of, go. A missing lang is filled in."""
+    profiles = learn_profiles(docs.select("text", "lang"))
+    found = language_mixture(docs.select(*COLUMNS), profiles)
+    return found.where(f"li_lang <> 'und' and li_score >= {MIN_SHARE}").withColumn(
+        "lang", F.coalesce("lang", "li_lang")).select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10. A text that loses lines keeps the rest; n_chars follows the new text."""
-    return line_dedup(docs).selectExpr("doc_id", "text", "lang", "source",
-                                       "if(ld_dropped > 0, cast(length(text) as long), n_chars) as n_chars")
+    return line_dedup(docs.select(*COLUMNS)).withColumn(
+        "n_chars", F.expr("if(ld_dropped > 0, cast(length(text) as bigint), n_chars)")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4. The document with the least doc_id of each group of near copies stays."""
+    gone = near_duplicates(docs.select("doc_id", "text"), shingle=5, percent=80).where("not kept").select("doc_id")
+    return docs.select(*COLUMNS).join(gone.distinct(), "doc_id", "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8. Small sources are repeated, the smallest twice; every document is shown at least once."""
+    return temperature_mix(docs.select(*COLUMNS), repetition=MAX_REPETITION).select(*COLUMNS)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2. Token ids, and whether they decode to the very text."""
+    vocab = spu.load_vocabulary(spu.VOCABULARY)
+    return spu.decode(spu.encode(docs.select(*COLUMNS), vocab), vocab).selectExpr(
+        "doc_id", "lang", "source", "n_chars", "cast(coalesce(array_size(token_ids), 0) as bigint) as n_tokens",
+        "token_ids", "decoded <=> text as exact")
 
 
 STAGES = [
+    ("language_id", identify_language),
     ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("mix", mix_sources),
+    ("tokenize", tokenize),
 ]
 
-ORACLE_SQL = None  # the language model and the block permutations are no SQL
+ORACLE_SQL = None   # mixtures, block permutations and Viterbi paths are no SQL: see tests/llm/test_pipeline.py
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

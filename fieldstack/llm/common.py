@@ -175,3 +175,58 @@ class SpanHash:
             down = _powers(self.base, len(self.prefix))[1]
             h = (self.prefix[ends] - self.prefix[starts]) * down[starts]
             return mix(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
+# ------------------------------------------------------------------ Bloom filters
+
+SEGMENT = 4096          # bytes of a filter that are merged as one row
+HASHES = 4
+
+
+def filter_bits(rows: int, bits_per_row: int = 128, max_bits: int = 1 << 29) -> int:
+    want = max(rows * bits_per_row, SEGMENT * 8)
+    return min(max_bits, 1 << (want - 1).bit_length())
+
+
+def bit_places(h: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        step = (h >> U64(33)) | U64(1)
+        return np.stack([(h + U64(i) * step) & U64(bits - 1) for i in range(HASHES)]).astype(np.int64)
+
+
+def mark_bits(bits: np.ndarray, places: np.ndarray) -> None:
+    np.bitwise_or.at(bits, (places >> 3).ravel(), np.left_shift(1, places & 7).astype(np.uint8).ravel())
+
+
+def bits_hold(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return ((bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1).all(axis=0)
+
+
+def key_filter(keys: DataFrame, max_bits: int = 1 << 29) -> tuple[bytes, int]:
+    """(filter, bits) of a column of 64-bit hashes; at most ``max_bits`` / 8 bytes reach the driver."""
+    name = keys.columns[0]
+    bits = filter_bits(keys.count(), 16, max_bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, part = np.zeros(bits // 8, dtype=np.uint8), 0
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column("part")[0].as_py()
+                mark_bits(mine, bit_places(batch.column(name).to_numpy(zero_copy_only=False).view(U64), bits))
+        for i in np.flatnonzero(mine.reshape(-1, SEGMENT).any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array(
+                [mine[i * SEGMENT:(i + 1) * SEGMENT].tobytes()], pa.binary())], ["seg", "part", "bits"])
+
+    def fold(rows: pa.Table) -> pa.Table:
+        mine = np.zeros(SEGMENT, dtype=np.uint8)
+        for x in rows.column("bits"):
+            mine |= np.frombuffer(x.as_buffer(), dtype=np.uint8)
+        return pa.table({"seg": rows.column("seg").slice(0, 1), "part": rows.column("part").slice(0, 1),
+                         "bits": pa.array([mine.tobytes()], pa.binary())})
+
+    schema = "seg int, part int, bits binary"
+    rows = keys.withColumn("part", F.spark_partition_id()).mapInArrow(run, schema)
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for r in tree_merge(rows, "seg", keys.rdd.getNumPartitions(), fold, schema).select("seg", "bits").toLocalIterator():
+        out[r.seg * SEGMENT:(r.seg + 1) * SEGMENT] = np.frombuffer(r.bits, dtype=np.uint8)
+    return out.tobytes(), bits

@@ -28,15 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, U64, SpanHash, flat, line_spans, own, slices, small_batches, stash, tree_merge
+from .common import (SEGMENT, SPACE, U64, SpanHash, bit_places, bits_hold, filter_bits, flat, line_spans, mark_bits, own,
+                     slices, small_batches, stash, tree_merge)
 
-SEGMENT = 4096          # bytes of a filter that are merged as one row
-HASHES = 4
-
-
-def filter_bits(rows: int, bits_per_row: int = 128, max_bits: int = 1 << 29) -> int:
-    want = max(rows * bits_per_row, SEGMENT * 8)
-    return min(max_bits, 1 << (want - 1).bit_length())
 
 
 def _keys(buf: np.ndarray, offs: np.ndarray, min_chars: int):
@@ -55,20 +49,6 @@ def _keys(buf: np.ndarray, offs: np.ndarray, min_chars: int):
     return SpanHash(buf, lower=True)(a, b), text[row], row - first[text[row]], a, b
 
 
-def _places(h: np.ndarray, bits: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        step = (h >> U64(33)) | U64(1)
-        return np.stack([(h + U64(i) * step) & U64(bits - 1) for i in range(HASHES)]).astype(np.int64)
-
-
-def _mark(bits: np.ndarray, places: np.ndarray) -> None:
-    np.bitwise_or.at(bits, (places >> 3).ravel(), np.left_shift(1, places & 7).astype(np.uint8).ravel())
-
-
-def _holds(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return ((bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1).all(axis=0)
-
-
 def _task_filters(bits: int, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, dtype=np.uint8), np.zeros(bits // 8, dtype=np.uint8)
@@ -81,10 +61,10 @@ def _task_filters(bits: int, min_chars: int):
                 ids = piece.column("doc_id").to_numpy(zero_copy_only=False)[text]
                 pairs = np.unique(np.stack([h, ids.astype(np.int64).view(U64)]), axis=1)[0]
                 key, count = np.unique(pairs, return_counts=True)
-                places = _places(key, bits)
-                again = (count > 1) | _holds(once, places)
-                _mark(twice, places[:, again])
-                _mark(once, places)
+                places = bit_places(key, bits)
+                again = (count > 1) | bits_hold(once, places)
+                mark_bits(twice, places[:, again])
+                mark_bits(once, places)
         seg = np.flatnonzero(once.reshape(-1, SEGMENT).any(axis=1))
         for lo in range(0, len(seg), 512):
             at = seg[lo:lo + 512]
@@ -129,7 +109,7 @@ def _suspects(shared, bits: int, min_chars: int):
             for piece in slices(batch, "text"):
                 buf, offs = flat(piece.column("text"))
                 h, text, line, a, b = _keys(buf, offs, min_chars)
-                hit = np.flatnonzero(_holds(twice, _places(h, bits)))
+                hit = np.flatnonzero(bits_hold(twice, bit_places(h, bits)))
                 low = buf.tobytes().lower()     # bytes.lower() changes A-Z alone
                 digest = [hashlib.blake2b(low[i:j], digest_size=16).digest()
                           for i, j in zip(a[hit].tolist(), b[hit].tolist())]

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from .common import table
 from . import sentencepiece_unigram as spu
+from .ann_forest import forest_search
 from .language_mixture import language_mixture, learn_profiles
 from .line_dedup import line_dedup
 from .minhash_dedup import near_duplicates
 from .mixing import temperature_mix
 from .quality_mcd import STATS, quality_rules
+from .secret_scan import secret_scan
+from .suffix_dedup import suffix_dedup
 from .url_filter import canonical, url_filter
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -102,10 +105,30 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "decoded <=> text as exact")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    joined = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
+    count = "cast(array_size(filter(ss_spans, s -> s.kind = '{0}')) as bigint) as n_{0}"
+    return found.selectExpr(
+        "doc_id", count.format("assign"), count.format("access"), count.format("hex"),
+        f"sha2(cast({joined.format('filter(ss_spans, s -> s.kind <> \'novel\')')} as binary), 256) as base_sha256",
+        joined.format("ss_spans") + " as spans", count.format("novel"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, percent=80)
 
 
+def op5_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, keep_text=False)
+    return cut.select("doc_id", F.col("sd_bytes").alias("n_bytes"), F.col("sd_removed").alias("n_removed"),
+                      F.array_size("sd_spans").cast("long").alias("n_spans"), F.sha2("sd_kept", 256).alias("kept_sha256"))
+
+
 def held_out() -> Column:
     """Documents that no language profile is learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
@@ -128,7 +151,10 @@ def op8_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_secret_scan": op3_secret_scan,
     "op4_minhash": op4_minhash,
+    "op5_ann_forest": op5_ann_forest,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_mixture": op7_language_mixture,
     "op8_temperature_mix": op8_temperature_mix,
     "op9_url_filter": op9_url_filter,
