@@ -117,10 +117,11 @@ def forest_search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id",
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-m // query_block))
     index = rows.select("id", "vec", "dim", F.pmod("h", F.lit(blocks)).alias("ib"),
                         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"))
-    queries = rows.where("q").select("id", "vec", "dim", F.pmod(F.shiftright("h", 20), F.lit(query_blocks)).cast("int").alias("qb"))
+    queries = rows.where("q").select(*[F.col(c).alias(c) for c in ("id", "vec", "dim")],
+                                    F.pmod(F.shiftright("h", 20), F.lit(query_blocks)).cast("int").alias("qb"))
 
     def meet(asked: DataFrame, run, schema: str) -> DataFrame:
-        spread = asked.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+        spread = asked.withColumn("ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
         keys = ["dim", "ib", "qb"]
         return index.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(run, schema)
 

@@ -9,10 +9,10 @@ sequence as one). Two documents are linked if their sets' Jaccard similarity is
 2. Documents of equal sets fold into one representative first, so exact copies never meet in a bucket.
 3. Every bucket is a star: its least member is linked to the others. Each document's least star edge is
    confirmed on the full sets and components are contracted; then the remaining star edges between different
-   components; at last those pairs of a bucket that still lie in different components and whose set sizes
-   allow a link. So pairs that a star misses aren't lost, and pairs inside a component are never made.
-   Where star edges fail and members stay apart, the last step compares them pairwise: its cost
-   follows the number of dissimilar documents that share a whole band.
+   components, then those of two more stars with random centres, in buckets whose members still lie apart. At last
+   pairs of such buckets are compared, only between components, and only where set sizes and the distances to the bucket's
+   star allow a link (Jaccard distance is a metric: |d(x, s) - d(y, s)| <= d(x, y)). So pairs that a star misses aren't
+   lost, and pairs inside a component are never made.
 
 A pair at exactly 80 % shares none of 40 bands of 5 with a chance of 1.3e-7, less above. Confirmation is
 exact up to collisions of 64-bit hashes.
@@ -134,20 +134,19 @@ def _sets(shingle: int):
     return run
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("hx"), batch.column("hy")):
-                a, b = np.frombuffer(x.as_buffer(), dtype=U64), np.frombuffer(y.as_buffer(), dtype=U64)
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                both = int((b[at] == a).sum())
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
-    return run
+def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both, either = [], []
+        for x, y in zip(batch.column("hx"), batch.column("hy")):
+            a, b = np.frombuffer(x.as_buffer(), dtype=U64), np.frombuffer(y.as_buffer(), dtype=U64)
+            if len(a) > len(b):
+                a, b = b, a
+            at = np.searchsorted(b, a)
+            at[at == len(b)] = 0
+            both.append(int((b[at] == a).sum()))
+            either.append(len(a) + len(b) - both[-1])
+        yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(both, pa.int64()),
+                                          pa.array(either, pa.int64())], ["x", "y", "both", "either"])
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -166,12 +165,12 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                  .join(least, F.col("y") == F.col("c")).selectExpr("x", "m as y"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(x, y, both, either): sizes of the intersection and union of the pairs' full sets."""
     a = sets.select(F.col("doc_id").alias("x"), F.col("hashes").alias("hx"))
     b = sets.select(F.col("doc_id").alias("y"), F.col("hashes").alias("hy"))
     return stash(pairs.join(b, "y").join(a, "x").select("x", "y", "hx", "hy")
-                 .mapInArrow(_confirm(percent), "x long, y long").distinct(), "links")
+                 .mapInArrow(_similarity, "x long, y long, both long, either long"), "compared")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40,
@@ -181,49 +180,59 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = stash(texts.mapInArrow(_sign(shingle, bands, rows),
                                     "doc_id long, n_shingles long, mark binary, bands array<long>"), "signed")
-    folded = signed.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("rep"))
+    # small tables that a join with possibly hot keys meets are written first: such a join can be split
+    folded = stash(signed.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("rep")), "marks")
     every = stash(signed.join(folded, "mark", "left").selectExpr(
         "doc_id", "n_shingles", "rep", "if(doc_id = rep, bands, null) as bands"), "folded")
-    # all marks of a doc_id are one node
-    reps = every.where("bands is not null")
-    buckets = reps.select("rep", "n_shingles", F.explode("bands").alias("key"))
-    shared = (buckets.groupBy("key").agg(F.min("rep").alias("star"), F.max("rep").alias("other"))
-              .where("star <> other").select("key", "star"))
+    buckets = every.where("bands is not null").select("rep", "n_shingles", F.explode("bands").alias("key"))
+    turned = F.col("rep").bitwiseXOR(F.col("key"))       # its least and largest are centres that differ from bucket to bucket
+    shared = stash(buckets.groupBy("key").agg(
+        F.min("rep").alias("star"), F.max("rep").alias("far"),
+        F.min(turned).bitwiseXOR(F.col("key")).alias("star2"), F.max(turned).bitwiseXOR(F.col("key")).alias("star3")).where("star <> far").drop("far"), "shared")
     members = stash(buckets.join(shared, "key"), "members")     # of buckets with two members or more
-    nodes = stash(members.select(F.col("rep").alias("node")).union(members.select("star")).distinct(), "nodes")
+    nodes = stash(members.select(F.col("rep").alias("node")).distinct(), "nodes")
     sets = stash(texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
                  .mapInArrow(_sets(shingle), "doc_id long, hashes binary"), "sets")
+    linked = f"100 * both >= {percent} * either"
 
-    stars = stash(members.where("star <> rep").select(F.col("star").alias("x"), F.col("rep").alias("y")).distinct(),
-                  "stars")
-    first = _confirmed(stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), sets, percent)
-    labels = components(nodes, first)
+    def spokes(rows: DataFrame, centre: str) -> DataFrame:
+        return rows.where(F.col(centre) != F.col("rep")).selectExpr(
+            f"least({centre}, rep) as x", f"greatest({centre}, rep) as y").distinct()
 
-    def between(pairs: DataFrame) -> DataFrame:
+    def joined(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Labels after the links among those ``pairs`` that lie in different components."""
         a = labels.select(F.col("node").alias("x"), F.col("comp").alias("cx"))
         b = labels.select(F.col("node").alias("y"), F.col("comp").alias("cy"))
-        return pairs.join(a, "x").join(b, "y").where("cx <> cy").select("x", "y", "cx", "cy")
-
-    def joined(pairs: DataFrame) -> DataFrame:
-        """Labels after the links among ``pairs``."""
-        links = _confirmed(pairs.select("x", "y"), sets, percent)
-        over = between(links).selectExpr("cx as x", "cy as y")
-        heads = components(labels.select(F.col("comp").alias("node")).distinct(), over)
+        apart = stash(pairs.join(a, "x").join(b, "y").where("cx <> cy").select("x", "y", "cx", "cy"), "apart")
+        links = _compared(apart.select("x", "y"), sets).where(linked).join(apart, ["x", "y"])
+        heads = components(labels.select(F.col("comp").alias("node")).distinct(), links.selectExpr("cx as x", "cy as y"))
         return stash(labels.join(heads.withColumnRenamed("comp", "head"), labels.comp == heads.node)
                      .select(labels.node, F.col("head").alias("comp")), "labels")
 
-    labels = joined(stash(between(stars.subtract(stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"))),
-                          "stars"))
-    named = members.join(labels, F.col("rep") == F.col("node")).select("key", "rep", "n_shingles", "comp", "star")
-    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    # the least component of a bucket is compared with the others, and those among themselves: no pair of one component
-    named = stash(named.join(mixed, "key").where("rep <> star"), "mixed")
-    others = named.where("comp <> lo")
-    left = named.selectExpr("key", "rep as x", "n_shingles as nx", "comp as cx", "lo")
-    right = others.selectExpr("key", "rep as y", "n_shingles as ny", "comp as cy")
-    rest = left.join(right, "key").where(
-        f"cx <> cy and (cx = lo or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    labels = joined(stash(rest.select("x", "y").distinct(), "rest"))
+    def mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """The rows of buckets whose members lie in different components, with comp and the bucket's least one."""
+        named = stash(rows.join(labels, F.col("rep") == F.col("node")).drop("node"), "named")
+        apart = stash(named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                      .where("lo <> hi").drop("hi"), "mixed")
+        return stash(named.join(apart, "key"), "mixed")
+
+    stars = stash(spokes(members, "star"), "stars")
+    one = _compared(stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), sets).where(linked)
+    labels = joined(components(nodes, one.select("x", "y")), stars)
+    left = mixed(members, labels).drop("comp", "lo")
+    for centre in ("star2", "star3"):
+        labels = joined(labels, spokes(left, centre))
+    # what still lies apart in a bucket: compared unless sizes or distances to the bucket's star rule a link out
+    left = mixed(left, labels)
+    away = _compared(spokes(left, "star"), sets).selectExpr("x as star", "y as rep", "1 - both / either as d")
+    placed = stash(left.where("rep <> star").join(away, ["star", "rep"]).select(
+        "key", "rep", "n_shingles", "comp", "lo", "d"), "placed")
+    first = placed.selectExpr("key", "rep as x", "n_shingles as nx", "comp as cx", "lo", "d as dx")
+    second = placed.where("comp <> lo").selectExpr("key as k", "rep as y", "n_shingles as ny", "comp as cy", "d as dy")
+    rest = first.join(second, (F.col("key") == F.col("k")) & F.expr(
+        f"cx <> cy and (cx = lo or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny) "
+        f"and abs(dx - dy) <= {1 - percent / 100 + 1e-9}"))
+    labels = joined(labels, stash(rest.selectExpr("least(x, y) as x", "greatest(x, y) as y").distinct(), "rest"))
 
     # equal sets and rows of one doc_id: doc -> rep -> component; a doc_id with several texts joins their components
     ids = every.where("rep is not null and doc_id is not null").select("doc_id", "rep").join(
