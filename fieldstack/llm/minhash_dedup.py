@@ -43,7 +43,8 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.nd
     with np.errstate(over="ignore"):
         h = word.copy()
         for k in range(1, shingle):
-            h[:len(word) - k] = mix(h[:len(word) - k] * U64(3) + word[k:])
+            m = max(0, len(word) - k)
+            h[:m] = mix(h[:m] * U64(3) + word[k:])
         first = np.cumsum(count) - count
         rank = np.arange(len(word)) - first[text]
         full = rank <= count[text] - shingle
