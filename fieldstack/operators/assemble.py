@@ -56,12 +56,15 @@ def assemble_stack(pixels: DataFrame, n_times: int = N_TIME_POINTS, bands=BANDS,
 
 
 def assemble_named_periods(pixels: DataFrame, periods: list[str], bands=BANDS) -> DataFrame:
-    """N-period stack; period i of ``periods`` is time index i and names its bands."""
+    """N-period stack; period i of ``periods`` is time index i and names its bands. A pixel of a time index
+    without a name is an error, raised when the stack is computed."""
     labels = period_labels(periods, bands)
     names = F.array(*[F.lit(p) for p in periods])
-    long = pixels.where(F.col("time_idx") < len(periods)).select(
+    name = F.when(F.col("time_idx").between(0, len(periods) - 1), F.get(names, F.col("time_idx"))).otherwise(
+        F.raise_error(F.concat(F.lit("no period is named for time index "), F.col("time_idx"))))
+    long = pixels.select(
         *PIXEL_KEYS,
-        F.concat(F.element_at(names, F.col("time_idx") + 1), F.lit("_"), F.col("band")).alias("label"),
+        F.concat(name, F.lit("_"), F.col("band")).alias("label"),
         clamp_u16(F.col("value")).alias("value"))
     return long.groupBy(*PIXEL_KEYS).pivot("label", labels).agg(F.max("value"))
 

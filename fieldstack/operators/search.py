@@ -149,8 +149,7 @@ def adaptive_pick_banded(pairs: DataFrame, files: DataFrame, bands: list[str], w
     Each pair is replicated to the windows that contain it (at most len(windows) rows),
     ranked per (request, window), filtered, and reduced with a partial ``min``.
     """
-    has_band = (files.where(F.col("band").isin(bands)).select("granule_key").distinct()
-                .withColumn("has_band", F.lit(True)))
+    has_band = files.where(F.col("band").isin(bands)).select("granule_key").distinct()
     ws = sorted(int(x) for x in windows)
     x = pairs.withColumn("window_days", F.explode(F.filter(
         F.array(*[F.lit(v) for v in ws]), lambda v: F.abs(F.col("day_diff")) <= v)))
@@ -202,11 +201,20 @@ def search_windows(time_points: DataFrame, windows=WINDOWS, as_of=None,
                     F.when(future_first, "FUTURE_DATE").otherwise("PENDING").alias("status"))
 
 
-def granule_listing(pairs: DataFrame, max_results: int, request_keys: list[str] = REQUEST_KEYS) -> DataFrame:
-    """Numbered listing (1-based) of the first ``max_results`` granules per request."""
+def with_requested_band(pairs: DataFrame, files: DataFrame, bands: list[str], max_results: int | None = None,
+                        request_keys: list[str] = REQUEST_KEYS) -> DataFrame:
+    """The granules a search leaves: the first ``max_results`` of a request, less those without a requested band."""
+    if max_results is not None:
+        pairs = granule_listing(pairs, max_results, request_keys).drop("ordinal")
+    return pairs.join(files.where(F.col("band").isin(bands)).select("granule_key").distinct(), "granule_key", "left_semi")
+
+
+def granule_listing(pairs: DataFrame, max_results: int | None = None,
+                    request_keys: list[str] = REQUEST_KEYS) -> DataFrame:
+    """Numbered listing (1-based) of the granules of each request, or its first ``max_results``."""
     w = Window.partitionBy(*request_keys).orderBy(*PAIR_ORDER)
-    return (pairs.withColumn("ordinal", F.row_number().over(w))
-                 .where(F.col("ordinal") <= max_results))
+    numbered = pairs.withColumn("ordinal", F.row_number().over(w))
+    return numbered if max_results is None else numbered.where(F.col("ordinal") <= max_results)
 
 
 def granule_guard(groups: DataFrame, limit: int = MAX_INTERACTIVE_GRANULES,

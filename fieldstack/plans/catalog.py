@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldstack.constants import BANDS, MAX_RESULTS_DOWNLOAD
 from fieldstack.plans import fixture_sql as S
 from fieldstack.plans.fixture_sql import with_
 from fieldstack.plans.requests import explode_time_points, plan_requests
@@ -54,10 +55,12 @@ def pairs(spark, sf, window_days=30):
                               cloud_min=0, cloud_max=30, cell=D.GRANULE_SIZE)
 
 
-def picks(spark, sf):
-    return SR.adaptive_pick(pairs(spark, sf))
+def picks(spark, sf, max_results=MAX_RESULTS_DOWNLOAD):
+    """The widening search: per window the first ``max_results`` granules, those with a requested band."""
+    return SR.adaptive_pick_banded(pairs(spark, sf), D.granule_files(spark, sf), BANDS, max_results=max_results)
 
 
+AS_OF = "1997-10-01"     # the day the searches are made: some of the fixture's dates lie ahead
 BASE = (S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.TIME_POINTS, S.GRANULES)
 
 
@@ -101,10 +104,11 @@ def q_time_points(spark, sf):
 @query("search_windows", with_(*BASE[:4]) + """
 SELECT polygon_number, time_idx, t_date, CAST(w.attempt AS INTEGER) AS attempt, CAST(w.window_days AS INTEGER) AS window_days,
        t_date - CAST(w.window_days AS INTEGER) AS window_start, t_date + CAST(w.window_days AS INTEGER) AS window_end,
-       'PENDING' AS status
-FROM time_points CROSS JOIN (VALUES (1, 3), (2, 7), (3, 14), (4, 30)) AS w(attempt, window_days)""")
+       CASE WHEN t_date - 3 > date '1997-10-01' THEN 'FUTURE_DATE' ELSE 'PENDING' END AS status
+FROM time_points CROSS JOIN (VALUES (1, 3), (2, 7), (3, 14), (4, 30)) AS w(attempt, window_days)
+WHERE w.attempt = 1 OR t_date - 3 <= date '1997-10-01'""")
 def q_search_windows(spark, sf):
-    return SR.search_windows(time_points(spark, sf), as_of="2025-01-01")
+    return SR.search_windows(time_points(spark, sf), as_of=AS_OF)
 
 
 # ---- 2. granule search and the adaptive window -------------------------------------------
@@ -114,18 +118,20 @@ def q_granule_search(spark, sf):
     return pairs(spark, sf)
 
 
-@query("adaptive_window", with_(*BASE, S.PAIRS, S.PICKS) + "SELECT * FROM picks")
+@query("adaptive_window", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + "SELECT * FROM picks")
 def q_adaptive_window(spark, sf):
     return picks(spark, sf)
 
 
-@query("adaptive_window_status", with_(*BASE, S.PAIRS, S.PICKS) + """
+@query("adaptive_window_status", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + """
 SELECT tp.polygon_number, tp.time_idx, tp.t_date,
-       CASE WHEN p.granule_key IS NULL THEN 'NO_DATA' ELSE 'OK' END AS status,
+       CASE WHEN tp.t_date - 3 > date '1997-10-01' THEN 'FUTURE_DATE'
+            WHEN p.granule_key IS NULL THEN 'NO_DATA' ELSE 'OK' END AS status,
        p.window_days, p.attempt, p.granule_key, p.granule_id
-FROM time_points tp LEFT JOIN picks p USING (polygon_number, time_idx)""")
+FROM time_points tp LEFT JOIN picks p
+  ON p.polygon_number = tp.polygon_number AND p.time_idx = tp.time_idx AND tp.t_date - 3 <= date '1997-10-01'""")
 def q_adaptive_window_status(spark, sf):
-    return SR.pick_status(time_points(spark, sf), picks(spark, sf), as_of="2025-01-01")
+    return SR.pick_status(time_points(spark, sf), picks(spark, sf), as_of=AS_OF)
 
 
 @query("granule_listing", with_(*BASE, S.PAIRS) + """
@@ -139,7 +145,6 @@ def q_granule_listing(spark, sf):
 
 # ---- 3. granule files --------------------------------------------------------------------
 
-from fieldstack.constants import BANDS  # noqa: E402
 from fieldstack.operators import granules as GR  # noqa: E402
 from fieldstack.operators import organize as OG  # noqa: E402
 
@@ -215,13 +220,13 @@ def q_granule_groups(spark, sf):
     return GR.group_by_granule(band_files(spark, sf))
 
 
-@query("download_manifest", with_(*BASE, S.PAIRS, S.PICKS, S.FILES, BAND_FILES, MANIFEST) + """
+@query("download_manifest", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, BAND_FILES, MANIFEST) + """
 SELECT polygon_number, time_idx, granule_key, granule_id, band, url, file_name, target_path FROM manifest""")
 def q_download_manifest(spark, sf):
     return manifest(spark, sf)
 
 
-@query("organize_bands", with_(*BASE, S.PAIRS, S.PICKS, S.FILES, BAND_FILES, MANIFEST, ORGANIZED) + f"""
+@query("organize_bands", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, BAND_FILES, MANIFEST, ORGANIZED) + f"""
 SELECT polygon_number, time_idx, band, url, n_candidates,
        '{OUT_ROOT}/' || CAST(polygon_number AS VARCHAR) || '/t' || CAST(time_idx AS VARCHAR) || '/' || band || '.tif' AS organized_path
 FROM organized""")
@@ -238,7 +243,7 @@ def organize(spark, sf, pk=None):
     return OG.organized_path(first, OUT_ROOT)
 
 
-@query("missing_bands", with_(*BASE, S.PAIRS, S.PICKS, S.FILES, BAND_FILES, MANIFEST, ORGANIZED) + f"""
+@query("missing_bands", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, BAND_FILES, MANIFEST, ORGANIZED) + f"""
 SELECT p.polygon_number, p.time_idx,
        array_to_string(list_filter({BAND_LIST_SQL}, lambda x: NOT list_contains(coalesce(o.found, []), x)), ',') AS missing,
        CAST(len(list_filter({BAND_LIST_SQL}, lambda x: list_contains(coalesce(o.found, []), x))) AS INTEGER) AS n_found,
@@ -411,7 +416,7 @@ def q_training_rows(spark, sf):
     return AS.training_rows(AS.assemble_stack(px(spark, sf)), valid_fields(spark, sf), as_array=False)
 
 
-@query("grid_check", with_(*BASE, S.PAIRS, S.PICKS) + """
+@query("grid_check", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + """
 SELECT p.polygon_number, count(*) AS n_dates, count(DISTINCT g.tile) AS n_tiles,
        count(DISTINCT CAST(floor((g.west / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER)) AS n_zones,
        CASE WHEN count(DISTINCT g.tile) = 1 THEN 'OK' ELSE 'GRID_MISMATCH' END AS status
@@ -456,15 +461,13 @@ def q_fields_split(spark, sf):
 
 
 def ledger(spark, sf):
-    r = D.runs(spark, sf)
-    ok = r.where(F.col("status").isin("SUCCESS", "SKIPPED"))
-    bad = r.where(F.col("status") == "FAILED")
-    return LG.ledger_union(ok, bad)
+    return D.runs(spark, sf)
 
 
 @query("run_ledger", with_(S.RUNS) + "SELECT * FROM runs")
 def q_run_ledger(spark, sf):
-    return ledger(spark, sf)
+    finished = F.coalesce(F.col("status").isin("SUCCESS", "SKIPPED"), F.lit(False))
+    return LG.ledger_union(ledger(spark, sf).where(finished), ledger(spark, sf).where(~finished))
 
 
 @query("run_summary", with_(S.RUNS) + """
@@ -592,17 +595,29 @@ def q_log_attempts(spark, sf):
                     F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
 
 
-@query("failure_classify", with_(LOG_RECORDS) + """
+# error texts of every kind, dealt out by the event's number
+FAILURE_TEXTS = ["Search timed out after 600 s", "No data found for the window", "No granules selected",
+                 "Authentication failed", "start date lies in the future", "unexpected response"]
+
+
+@query("failure_classify", with_(LOG_RECORDS) + f"""
+, texts AS (SELECT ts, level, message || ': ' || {FAILURE_TEXTS!r}[CAST(event_id % 6 AS INTEGER) + 1] AS message
+            FROM log_records WHERE level = 'ERROR'),
+kinds AS (
 SELECT ts, level, message,
        CASE WHEN strpos(lower(message), 'timed out') > 0 THEN 'TIMEOUT'
             WHEN strpos(message, 'No data found') > 0 OR strpos(message, 'No granules selected') > 0 THEN 'NO_DATA'
             WHEN strpos(message, 'Authentication failed') > 0 OR strpos(lower(message), 'authentication') > 0 THEN 'AUTH_FAILED'
             WHEN strpos(lower(message), 'future') > 0 AND strpos(lower(message), 'date') > 0 THEN 'FUTURE_DATE'
             ELSE 'OTHER' END AS kind
-FROM log_records WHERE level = 'ERROR'""")
+FROM texts)
+SELECT *, kind IN ('NO_DATA', 'OTHER') AS retry FROM kinds""".replace("\n, texts AS", ", texts AS", 1))
 def q_failure_classify(spark, sf):
     rec = log_records(spark, sf).where(F.col("level") == "ERROR")
-    return rec.select("ts", "level", "message", LG.classify_failure(F.col("message")).alias("kind"))
+    text = F.element_at(F.array(*map(F.lit, FAILURE_TEXTS)), (F.col("record_key.pos_b") % 6 + 1).cast("int"))
+    return (rec.select("ts", "level", F.concat("message", F.lit(": "), text).alias("message"))
+            .withColumn("kind", LG.classify_failure(F.col("message")))
+            .withColumn("retry", LG.failure_retry(F.col("kind"))))
 
 
 # ---- 6. geometry, coordinate files, dates --------------------------------------------------
@@ -711,7 +726,7 @@ def pixel_windows(spark, sf):
                     status.alias("status"))
 
 
-@query("pixel_window", with_(*BASE, S.PAIRS, S.PICKS) + """
+@query("pixel_window", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + """
 , j AS (SELECT p.polygon_number, p.time_idx, p.granule_key,
                CAST(floor(((g.west + g.east) / 2 / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER) AS zone,
                g.west / 1000000.0 AS gw, g.south / 1000000.0 AS gs, g.east / 1000000.0 AS ge, g.north / 1000000.0 AS gn,
@@ -793,55 +808,61 @@ def q_date_spec(spark, sf):
 GUARD_WINDOW = 14
 
 
-@query("granule_guard", with_(*BASE, S.PAIRS) + f"""
+LISTED = f"""
+listed AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx ORDER BY acquired_at, granule_id) AS rn
+                          FROM pairs WHERE abs(day_diff) <= {GUARD_WINDOW})
+           WHERE rn <= {S.MAX_RESULTS} AND granule_key IN (
+             SELECT granule_key FROM granule_files WHERE band IN ({", ".join(f"'{b}'" for b in BANDS)})))"""
+
+
+def listed(spark, sf):
+    """What a search of one window lists: its first granules that have a requested band."""
+    return SR.with_requested_band(pairs(spark, sf, window_days=GUARD_WINDOW), files(spark, sf), BANDS,
+                                  max_results=MAX_RESULTS_DOWNLOAD)
+
+
+@query("granule_guard", with_(*BASE, S.PAIRS, S.FILES, LISTED) + """
 SELECT polygon_number, time_idx, count(*) AS n_granules,
        CASE WHEN count(*) > 3 THEN 'TOO_MANY_GRANULES' ELSE 'OK' END AS status
-FROM pairs WHERE abs(day_diff) <= {GUARD_WINDOW} GROUP BY polygon_number, time_idx""")
+FROM listed GROUP BY polygon_number, time_idx""")
 def q_granule_guard(spark, sf):
-    return SR.granule_guard(pairs(spark, sf, window_days=GUARD_WINDOW))
+    return SR.granule_guard(listed(spark, sf))
 
 
 SELECT_ORDINALS = [1, 3]
 
 
-@query("granule_select", with_(*BASE, S.PAIRS) + """
+@query("granule_select", with_(*BASE, S.PAIRS, S.FILES, LISTED) + """
 , numbered AS (
   SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx ORDER BY acquired_at, granule_id) AS ordinal
-  FROM pairs),
-lim AS (SELECT *, max(ordinal) OVER (PARTITION BY polygon_number, time_idx) AS n FROM numbered WHERE ordinal <= 10)
+  FROM listed),
+lim AS (SELECT *, max(ordinal) OVER (PARTITION BY polygon_number, time_idx) AS n FROM numbered)
 SELECT polygon_number, time_idx, granule_id, ordinal,
        CASE WHEN 1 > n OR 3 > n THEN 'INVALID_SELECTION' ELSE 'OK' END AS status,
        (NOT (1 > n OR 3 > n)) AND ordinal IN (1, 3) AS selected
 FROM lim""".replace("\n, numbered AS", ", numbered AS", 1))
 def q_granule_select(spark, sf):
-    numbered = SR.granule_listing(pairs(spark, sf), max_results=10)
-    out = SR.granule_select(numbered, SELECT_ORDINALS)
+    out = SR.granule_select(SR.granule_listing(listed(spark, sf)), SELECT_ORDINALS)
     return out.select("polygon_number", "time_idx", "granule_id",
                       F.col("ordinal").cast("long").alias("ordinal"), "status", "selected")
 
 
-BANDED = f"""
-win AS (SELECT p.*, w.window_days FROM pairs p JOIN (VALUES (3), (7), (14), (30)) AS w(window_days)
-          ON abs(p.day_diff) <= w.window_days),
-capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx, window_days
-                                                       ORDER BY acquired_at, granule_id) AS rn FROM win)
-           WHERE rn <= 50),
-banded AS (SELECT * FROM capped c WHERE EXISTS (
-             SELECT 1 FROM granule_files f WHERE f.granule_key = c.granule_key AND f.band IN ({", ".join(f"'{b}'" for b in BANDS)}))),
-best AS (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx ORDER BY window_days, acquired_at, granule_id) AS pick
-         FROM banded),
-bpicks AS (SELECT polygon_number, time_idx, t_date, CAST(window_days AS INTEGER) AS window_days,
-                  CAST(CASE window_days WHEN 3 THEN 1 WHEN 7 THEN 2 WHEN 14 THEN 3 ELSE 4 END AS INTEGER) AS attempt,
-                  granule_key, granule_id, acquired, day_diff
-           FROM best WHERE pick = 1)"""
+@query("adaptive_window_banded", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + "SELECT * FROM picks")
+def q_adaptive_window_banded(spark, sf):
+    return picks(spark, sf)
 
 
-@query("adaptive_window_banded", with_(*BASE, S.PAIRS, S.FILES, BANDED) + "SELECT * FROM bpicks")
-def q_adaptive_window_banded(spark, sf):
-    return SR.adaptive_pick_banded(pairs(spark, sf), files(spark, sf), BANDS, max_results=50)
+CAP = 2
+
+
+@query("adaptive_window_capped", with_(*BASE, S.PAIRS, S.FILES, S.PICKS.replace(f"rn <= {S.MAX_RESULTS}", f"rn <= {CAP}"))
+       + "SELECT * FROM picks")
+def q_adaptive_window_capped(spark, sf):
+    """The same search when the catalogue returns two granules at most: the cap binds."""
+    return picks(spark, sf, max_results=CAP)
 
 
-@query("file_manifest", with_(*BASE, S.PAIRS, S.PICKS, S.FILES) + f"""
+@query("file_manifest", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + f"""
 SELECT path, regexp_replace(path, '/[^/]*$', '') AS folder FROM (
   SELECT '{OUT_ROOT}/' || CAST(p.polygon_number AS VARCHAR) || '/t' || CAST(p.time_idx AS VARCHAR) || '/'
          || f.granule_id || '/' || string_split(f.url, '/')[-1] AS path
@@ -857,7 +878,7 @@ def listing(spark, sf):
     return OG.tif_listing(paths).withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
 
 
-@query("band_files_preferred", with_(*BASE, S.PAIRS, S.PICKS, S.FILES) + f"""
+@query("band_files_preferred", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + f"""
 SELECT folder, band, min(path) AS path FROM (
   SELECT path, regexp_replace(path, '/[^/]*$', '') AS folder,
          regexp_extract(path, '({"|".join(BANDS)})\\.(tiff?)$', 1) AS band FROM (
@@ -947,14 +968,14 @@ def q_resample_window(spark, sf):
 from fieldstack.plans.batch import field_outcomes  # noqa: E402
 
 
-@query("field_outcomes", with_(*BASE, S.PAIRS, S.FILES, BANDED, BAND_FILES) + f"""
+@query("field_outcomes", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, BAND_FILES) + f"""
 , found AS (SELECT p.polygon_number, p.time_idx, list(DISTINCT f.band) AS have
-            FROM bpicks p JOIN band_files f ON p.granule_key = f.granule_key GROUP BY 1, 2),
+            FROM picks p JOIN band_files f ON p.granule_key = f.granule_key GROUP BY 1, 2),
 tp AS (SELECT t.polygon_number, t.time_idx,
               CASE WHEN b.granule_key IS NULL THEN 'NO_DATA'
                    WHEN len(list_filter({BAND_LIST_SQL}, lambda x: NOT list_contains(coalesce(f.have, []), x))) > 0
                    THEN 'MISSING_BANDS' END AS problem
-       FROM time_points t LEFT JOIN bpicks b USING (polygon_number, time_idx)
+       FROM time_points t LEFT JOIN picks b USING (polygon_number, time_idx)
        LEFT JOIN found f USING (polygon_number, time_idx)),
 agg AS (SELECT polygon_number, count(problem) AS n_bad,
                arg_min(time_idx, CASE WHEN problem IS NULL THEN 1 ELSE 0 END * 10 + time_idx) AS bad_t,
@@ -967,7 +988,7 @@ UNION ALL
 SELECT polygon_number, 'FAILED', status FROM requests WHERE status <> 'OK'""".replace("\n, found AS", ", found AS", 1))
 def q_field_outcomes(spark, sf):
     tp = time_points(spark, sf)
-    p = SR.adaptive_pick_banded(pairs(spark, sf), files(spark, sf), BANDS, max_results=50)
+    p = picks(spark, sf)
     status = SR.pick_status(tp, p)
     fm = GR.filter_bands(files(spark, sf).withColumn("file_name", F.element_at(F.split("url", "/"), -1)), BANDS)
     org = OG.first_file_per_band(p.select("polygon_number", "time_idx", "granule_key").join(fm, "granule_key"),

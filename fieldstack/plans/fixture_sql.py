@@ -66,20 +66,24 @@ pairs AS (
     ON abs(g.acquired - tp.t_date) <= 30 AND g.cloud_pct BETWEEN 0 AND 30
    AND tp.west <= g.east AND g.west <= tp.east AND tp.south <= g.north AND g.south <= tp.north)"""
 
-PICKS = """
-windowed AS (
-  SELECT *, CASE WHEN abs(day_diff) <= 3 THEN 3 WHEN abs(day_diff) <= 7 THEN 7
-                 WHEN abs(day_diff) <= 14 THEN 14 WHEN abs(day_diff) <= 30 THEN 30 END AS window_days
-  FROM pairs),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx
-                               ORDER BY window_days, acquired_at, granule_id) AS rn
-  FROM windowed WHERE window_days IS NOT NULL),
-picks AS (
-  SELECT polygon_number, time_idx, t_date, window_days,
-         CAST(CASE window_days WHEN 3 THEN 1 WHEN 7 THEN 2 WHEN 14 THEN 3 ELSE 4 END AS INTEGER) AS attempt,
-         granule_key, granule_id, acquired, day_diff
-  FROM ranked WHERE rn = 1)"""
+MAX_RESULTS = 50     # granules that one search returns at most
+
+# a window succeeds if one of its first MAX_RESULTS granules has a file of a requested band
+PICKS = f"""
+win AS (SELECT p.*, w.window_days FROM pairs p JOIN (VALUES (3), (7), (14), (30)) AS w(window_days)
+          ON abs(p.day_diff) <= w.window_days),
+capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx, window_days
+                                                       ORDER BY acquired_at, granule_id) AS rn FROM win)
+           WHERE rn <= {MAX_RESULTS}),
+banded AS (SELECT * FROM capped c WHERE EXISTS (
+             SELECT 1 FROM granule_files f WHERE f.granule_key = c.granule_key
+               AND f.band IN ('B02', 'B03', 'B04', 'B8A', 'B11', 'B12'))),
+best AS (SELECT *, row_number() OVER (PARTITION BY polygon_number, time_idx ORDER BY window_days, acquired_at, granule_id) AS pick
+         FROM banded),
+picks AS (SELECT polygon_number, time_idx, t_date, CAST(window_days AS INTEGER) AS window_days,
+                 CAST(CASE window_days WHEN 3 THEN 1 WHEN 7 THEN 2 WHEN 14 THEN 3 ELSE 4 END AS INTEGER) AS attempt,
+                 granule_key, granule_id, acquired, day_diff
+          FROM best WHERE pick = 1)"""
 
 FILES = """
 granule_files AS (

@@ -22,26 +22,8 @@ URL_ROOT = "https://data.example/"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table. A scan with fewer splits than the cluster's parallelism
-    (a small file written as a single row group) is spread round-robin so the row-wise
-    work after it is not confined to one task; large inputs already have enough splits
-    and are left alone. Column pruning still reaches the scan through the repartition."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    try:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target and _big_enough(spark, sf_dir, name):
-            df = df.repartition(target)
-    except Exception:  # noqa: BLE001  (no RDD API, e.g. a Spark Connect session: plain scan)
-        pass
-    return df
-
-
-def _big_enough(spark: SparkSession, sf_dir: str, name: str, min_bytes: int = 1 << 20) -> bool:
-    """Only worth a round-robin exchange when the file holds a few MB or more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(path).getLength() >= min_bytes
+    """Scan one driver table; how it is split is up to ``spark.sql.files.maxPartitionBytes`` and ``minPartitionNum``."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fields_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

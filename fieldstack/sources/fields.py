@@ -55,7 +55,7 @@ def reject_reason(polygon: Column, lat: Column, lon: Column, units_per_degree: f
 
 def cast_fields(raw: DataFrame) -> DataFrame:
     """String rows -> typed rows plus ``reject_reason`` (NULL for valid rows)."""
-    poly = (F.trim("polygon_raw")).try_cast("int")
+    poly = F.trim("polygon_raw").try_cast("double").try_cast("int")     # "1.0" is polygon 1
     lat = (F.trim("lat_raw")).try_cast("double")
     lon = (F.trim("lon_raw")).try_cast("double")
     typed = raw.select(poly.alias("polygon_number"),
