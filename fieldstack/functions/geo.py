@@ -119,26 +119,23 @@ def pixel_window(env: Column, x0: Column, y0: Column, px: Column | float) -> Col
                     width.cast("int").alias("out_width"), height.cast("int").alias("out_height"))
 
 
-def utm_envelope(df, west: Column, south: Column, east: Column, north: Column, zone: Column,
-                 keys: list[str], out: str = "env", densify: int = 21, north_hemisphere: bool = True):
-    """DataFrame form of ``bbox_to_utm`` for large inputs: the edge points become rows
-    (explode), the projection runs as plain codegen'd columns, and min/max per box is a
-    grouped aggregate on ``keys`` (which must identify a row). Exploded rows of one box
-    are adjacent in one task, so the partial aggregate leaves one row per box before the
-    shuffle. Adds struct column ``out``."""
+def with_envelope(df, west: Column, south: Column, east: Column, north: Column, zone: Column, out: str,
+                  densify: int = 21, north_hemisphere: Column | bool = True):
+    """``df`` plus struct column ``out``, the UTM envelope of each row's box; no shuffle. The edge points are a column of their own,
+    so each is projected once."""
     n = densify + 1
-    cols = [c for c in df.columns if c not in keys]
-    pts = df.select("*", west.alias("_w"), south.alias("_s"), east.alias("_e"), north.alias("_n"),
-                    zone.alias("_z"), F.explode(F.sequence(F.lit(0), F.lit(4 * (n + 1) - 1))).alias("_k"))
-    edge = F.floor(F.col("_k") / (n + 1))
-    frac = (F.col("_k") % (n + 1)).cast("double") / n
-    lat = (F.when(edge == 0, F.col("_s")).when(edge == 1, F.col("_n"))
-            .otherwise(F.col("_s") + (F.col("_n") - F.col("_s")) * frac))
-    lon = (F.when(edge <= 1, F.col("_w") + (F.col("_e") - F.col("_w")) * frac)
-            .when(edge == 2, F.col("_w")).otherwise(F.col("_e")))
-    pts = pts.withColumn("_xy", to_utm(lat, lon, F.col("_z"), north_hemisphere))
-    keep = [F.first(c).alias(c) for c in cols]
-    return pts.groupBy(*keys).agg(
-        *keep,
-        F.struct(F.min("_xy.x").alias("minx"), F.min("_xy.y").alias("miny"),
-                 F.max("_xy.x").alias("maxx"), F.max("_xy.y").alias("maxy")).alias(out))
+    along = lambda lo, hi: F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: lo + (hi - lo) * (i.cast("double") / n))
+    staged = df.withColumns({"_w": west, "_s": south, "_e": east, "_n": north, "_z": zone}).withColumns({
+        "_lon": along(F.col("_w"), F.col("_e")), "_lat": along(F.col("_s"), F.col("_n"))})
+
+    def edge(name: str, moving: str, fixed_is_lat: bool) -> Column:
+        def point(m):
+            lat, lon = (F.col(name), m) if fixed_is_lat else (m, F.col(name))
+            return to_utm(lat, lon, F.col("_z"), north_hemisphere)
+        return F.transform(moving, point)
+
+    pts = F.concat(edge("_s", "_lon", True), edge("_n", "_lon", True), edge("_w", "_lat", False), edge("_e", "_lat", False))
+    staged = staged.withColumn("_pts", pts).withColumns({"_xs": F.col("_pts.x"), "_ys": F.col("_pts.y")})
+    env = F.struct(F.array_min("_xs").alias("minx"), F.array_min("_ys").alias("miny"),
+                   F.array_max("_xs").alias("maxx"), F.array_max("_ys").alias("maxy"))
+    return staged.withColumn(out, env).drop("_w", "_s", "_e", "_n", "_z", "_lon", "_lat", "_pts", "_xs", "_ys")

@@ -55,13 +55,65 @@ def assemble_stack(pixels: DataFrame, n_times: int = N_TIME_POINTS, bands=BANDS,
     return long.groupBy(*PIXEL_KEYS).pivot("label", labels).agg(F.max("value"))
 
 
-def assemble_named_periods(pixels: DataFrame, periods: list[str], bands=BANDS) -> DataFrame:
+def stack_chunks(chunks: DataFrame, labels: list[str], keys: list[str]) -> DataFrame:
+    """Raster chunks (``keys``, label, values) -> one row per chunk with an array for each label (null if it has none). Whole
+    arrays cross the shuffle, not pixels; a group holds at most one array for each label."""
+    got = chunks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("label", "values"))).alias("got"))
+    pick = lambda name: F.get(F.filter("got", lambda x: x.label == name), F.lit(0)).values      # noqa: E731
+    return got.select(*keys, *[pick(x).alias(x) for x in labels])
+
+
+def chunk_pixels(wide: DataFrame, labels: list[str], chunk: int, keys: list[str]) -> DataFrame:
+    """Chunk rows -> pixels (``keys`` without crow and ccol, row, col, labels), clamped to uint16."""
+    rest = [k for k in keys if k not in ("crow", "ccol")]
+    zipped = wide.select(*keys, F.posexplode(F.arrays_zip(*[F.coalesce(F.col(x), F.array().cast("array<int>")).alias(x) for x in labels]))
+                         .alias("pos", "v"))
+    return zipped.select(*rest, (F.col("crow") * chunk + F.floor(F.col("pos") / chunk)).cast("int").alias("row"),
+                         (F.col("ccol") * chunk + F.col("pos") % chunk).cast("int").alias("col"),
+                         *[clamp_u16(F.col(f"v.{x}")).alias(x) for x in labels])
+
+
+def assemble_from_chunks(chunks: DataFrame, chunk: int, n_times: int = N_TIME_POINTS, bands=BANDS, labels: list[str] | None = None,
+                         complete_only: bool = True) -> DataFrame:
+    """``assemble_stack`` of chunk rows (field_id, time_idx, band, crow, ccol, values): pivots arrays, then unfolds pixels."""
+    labels = labels or stack_labels(n_times, bands)
+    if complete_only:    # decided on keys alone: the arrays aren't read for it
+        ready = stack_status(chunks, n_times, bands).where(F.col("status") == "READY").select("field_id")
+        chunks = chunks.join(ready, "field_id", "left_semi")
+    if "label" not in chunks.columns:
+        chunks = chunks.withColumn("label", band_label(F.col("time_idx"), F.col("band")))
+    keys = ["field_id", "crow", "ccol"]
+    return chunk_pixels(stack_chunks(chunks, labels, keys), labels, chunk, keys)
+
+
+def field_stacks(windows: DataFrame, chunks: DataFrame, chunk: int, keys: tuple[str, ...] = ("polygon_number",),
+                 n_times: int = N_TIME_POINTS, bands=BANDS) -> DataFrame:
+    """Clip, resample and assemble in one plan: the stack (``keys``, row, col, labels) of every field whose dates share a grid.
+
+    ``windows``: ``windows.field_windows`` of those fields. ``chunks``: raster chunks (granule_key, band, crow, ccol, values). Each window
+    meets the chunks it touches; the dates' arrays are laid side by side and only then unfolded, resampled (output pixel j takes source
+    pixel floor(off + (j + 0.5) * size / int(size))) and clipped."""
+    from fieldstack.operators.windows import window_chunks  # noqa: PLC0415
+    labels = stack_labels(n_times, bands)
+    met = window_chunks(windows, chunk).join(chunks, ["granule_key", "crow", "ccol"]).withColumn(
+        "label", band_label(F.col("time_idx"), F.col("band")))
+    shape = ["col_off", "row_off", "width", "height"]    # alike for all dates of a field on one grid
+    at = [*keys, "crow", "ccol"]
+    px = chunk_pixels(stack_chunks(met, labels, at), labels, chunk, at)
+    frame = windows.groupBy(*keys).agg(*[F.first(c).alias(c) for c in shape])
+    return resample_window(px, frame, keys=keys)
+
+
+def assemble_named_periods(pixels: DataFrame, periods: list[str], bands=BANDS, chunk: int = 8) -> DataFrame:
     """N-period stack; period i of ``periods`` is time index i and names its bands. A pixel of a time index
     without a name is an error, raised when the stack is computed."""
     labels = period_labels(periods, bands)
     names = F.array(*[F.lit(p) for p in periods])
     name = F.when(F.col("time_idx").between(0, len(periods) - 1), F.get(names, F.col("time_idx"))).otherwise(
         F.raise_error(F.concat(F.lit("no period is named for time index "), F.col("time_idx"))))
+    if "values" in pixels.columns:      # raster chunks
+        named = pixels.withColumn("label", F.concat(name, F.lit("_"), F.col("band")))
+        return assemble_from_chunks(named, chunk, labels=labels, complete_only=False)
     long = pixels.select(
         *PIXEL_KEYS,
         F.concat(name, F.lit("_"), F.col("band")).alias("label"),

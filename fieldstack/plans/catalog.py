@@ -393,12 +393,12 @@ def q_stack_status(spark, sf):
 
 @query("stack_assemble", with_(S.PIXELS, STACK_STATUS, STACK) + "SELECT * FROM stack")
 def q_stack_assemble(spark, sf):
-    return AS.assemble_stack(px(spark, sf))
+    return AS.assemble_from_chunks(D.pixel_chunks(spark, sf), D.CHUNK)
 
 
 @query("stack_named_periods", with_(S.PIXELS) + _pivot_sql(_PERIOD_COND, "pixels"))
 def q_stack_named_periods(spark, sf):
-    return AS.assemble_named_periods(px(spark, sf), PERIODS)
+    return AS.assemble_named_periods(D.pixel_chunks(spark, sf), PERIODS)
 
 
 @query("clip_pixels", with_(S.PIXELS) + """
@@ -413,7 +413,7 @@ SELECT s.field_id, s.row, s.col, f.class,
        array_to_string([{", ".join("s." + x for x in LABELS)}], ',') AS features
 FROM stack s JOIN valid_fields f ON s.field_id = f.polygon_number""")
 def q_training_rows(spark, sf):
-    return AS.training_rows(AS.assemble_stack(px(spark, sf)), valid_fields(spark, sf), as_array=False)
+    return AS.training_rows(AS.assemble_from_chunks(D.pixel_chunks(spark, sf), D.CHUNK), valid_fields(spark, sf), as_array=False)
 
 
 @query("grid_check", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + """
@@ -623,6 +623,8 @@ def q_failure_classify(spark, sf):
 # ---- 6. geometry, coordinate files, dates --------------------------------------------------
 
 from fieldstack.functions import geo as GE  # noqa: E402
+from fieldstack.operators import windows as WN  # noqa: E402
+from fieldstack.session import materialize  # noqa: E402
 from fieldstack.functions.dates import date_spec, date_text  # noqa: E402
 from fieldstack.plans.geo_sql import envelope_cte  # noqa: E402
 from fieldstack.sources import regions as RG  # noqa: E402
@@ -670,8 +672,7 @@ def q_bbox_normalize(spark, sf):
 def utm_envelopes(spark, sf):
     r = requests(spark, sf).where(F.col("status") == "OK").select(
         "polygon_number", "west", "south", "east", "north", GE.utm_zone(_deg("lon")).alias("zone"))
-    return GE.utm_envelope(r, _deg("west"), _deg("south"), _deg("east"), _deg("north"), F.col("zone"),
-                           keys=["polygon_number"])
+    return GE.with_envelope(r, _deg("west"), _deg("south"), _deg("east"), _deg("north"), F.col("zone"), "env")
 
 
 @query("bbox_to_utm", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS) + """
@@ -692,38 +693,10 @@ def q_bbox_to_utm(spark, sf):
                     ((F.col("env.maxy") - F.col("env.miny")) / PX).cast("int").alias("height_px"))
 
 
-def pixel_windows(spark, sf):
-    """For every pick: the field box as a pixel window of the picked granule's raster,
-    whose grid is the granule footprint's UTM envelope snapped outward to 30 m."""
-    p = picks(spark, sf).select("polygon_number", "time_idx", "granule_key")
-    g = D.granules(spark, sf).select("granule_key", *[F.col(c).alias("g_" + c) for c in
-                                                      ("west", "south", "east", "north")])
-    r = requests(spark, sf).select("polygon_number", "west", "south", "east", "north")
-    j = p.join(g, "granule_key").join(r, "polygon_number")
-    j = j.withColumn("zone", GE.utm_zone((F.col("g_west") + F.col("g_east")) / 2 / DEG))
-    key = ["polygon_number", "time_idx"]
-    j = GE.utm_envelope(j, _deg("g_west"), _deg("g_south"), _deg("g_east"), _deg("g_north"),
-                        F.col("zone"), keys=key, out="genv")
-    # carry plain doubles (not a struct) so the next envelope aggregates by hash
-    j = j.select("*", *[F.col(f"genv.{c}").alias(f"g_{c}") for c in ("minx", "miny", "maxx", "maxy")]).drop("genv")
-    x = GE.utm_envelope(j, _deg("west"), _deg("south"), _deg("east"), _deg("north"),
-                        F.col("zone"), keys=key, out="fenv")
-    x = x.withColumn("genv", F.struct(*[F.col(f"g_{c}").alias(c) for c in ("minx", "miny", "maxx", "maxy")]))
-    x0 = F.floor(F.col("genv.minx") / PX) * PX
-    y0 = F.ceil(F.col("genv.maxy") / PX) * PX
-    x1 = F.ceil(F.col("genv.maxx") / PX) * PX
-    y1 = F.floor(F.col("genv.miny") / PX) * PX
-    win = GE.pixel_window(F.col("fenv"), x0, y0, PX)
-    f = F.col("fenv")
-    outside = (f.maxx <= x0) | (f.minx >= x1) | (f.maxy <= y1) | (f.miny >= y0)
-    partial = (f.minx < x0) | (f.maxx > x1) | (f.miny < y1) | (f.maxy > y0)
-    status = (F.when(outside, "OUTSIDE")
-               .when((win.out_width <= 0) | (win.out_height <= 0), "EMPTY")
-               .when(partial, "PARTIAL").otherwise("OK"))
-    return x.select("polygon_number", "time_idx", "granule_key", "zone",
-                    F.round(win.col_off, 2).alias("col_off"), F.round(win.row_off, 2).alias("row_off"),
-                    win.out_width.alias("out_width"), win.out_height.alias("out_height"),
-                    status.alias("status"))
+def pixel_windows(spark, sf, px=PX):
+    """For every pick: the field box as a pixel window of the picked granule's raster."""
+    grids = WN.granule_grids(D.granules(spark, sf), px, D.UNITS_PER_DEGREE)
+    return WN.field_windows(picks(spark, sf), grids, requests(spark, sf), px, D.UNITS_PER_DEGREE)
 
 
 @query("pixel_window", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + """
@@ -747,7 +720,68 @@ SELECT polygon_number, time_idx, granule_key, zone, round((minx - x0) / 30.0, 2)
             WHEN minx < x0 OR maxx > x1 OR miny < y1 OR maxy > y0 THEN 'PARTIAL' ELSE 'OK' END AS status
 FROM w""".replace("\n, j AS", ", j AS", 1))
 def q_pixel_window(spark, sf):
-    return pixel_windows(spark, sf)
+    return pixel_windows(spark, sf).select(
+        "polygon_number", "time_idx", "granule_key", "zone", F.round("col_off", 2).alias("col_off"),
+        F.round("row_off", 2).alias("row_off"), "out_width", "out_height", "status")
+
+
+# fields clipped out of coarse rasters (a pixel of 3 km, 6 x 6 chunks of 8 x 8 pixels), from the window to the stack
+COARSE = 3000.0
+WINDOWS_SQL = """
+j AS (SELECT p.polygon_number, p.time_idx, p.granule_key,
+             CAST(floor(((g.west + g.east) / 2 / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER) AS zone,
+             g.west / 1000000.0 AS gw, g.south / 1000000.0 AS gs, g.east / 1000000.0 AS ge, g.north / 1000000.0 AS gn,
+             q.west / 1000000.0 AS fw, q.south / 1000000.0 AS fs, q.east / 1000000.0 AS fe, q.north / 1000000.0 AS fn
+      FROM picks p JOIN granules g USING (granule_key) JOIN requests q USING (polygon_number)),
+gsrc AS (SELECT polygon_number, time_idx, granule_key, zone, gw AS w, gs AS s, ge AS e, gn AS n FROM j),
+fsrc AS (SELECT polygon_number, time_idx, granule_key, zone, fw AS w, fs AS s, fe AS e, fn AS n FROM j),
+""" + envelope_cte("genv", "gsrc", ["polygon_number", "time_idx", "granule_key", "zone"]) + ",\n" + envelope_cte(
+    "fenv", "fsrc", ["polygon_number", "time_idx", "granule_key", "zone"]) + f""",
+w0 AS (SELECT f.*, floor(g.minx / {COARSE}) * {COARSE} AS x0, ceil(g.maxy / {COARSE}) * {COARSE} AS y0,
+              ceil(g.maxx / {COARSE}) * {COARSE} AS x1, floor(g.miny / {COARSE}) * {COARSE} AS y1
+       FROM fenv f JOIN genv g USING (polygon_number, time_idx, granule_key, zone)),
+w AS (SELECT *, (minx - x0) / {COARSE} AS col_off, (y0 - maxy) / {COARSE} AS row_off, (maxx - minx) / {COARSE} AS width,
+             (maxy - miny) / {COARSE} AS height, CAST(trunc((maxx - minx) / {COARSE}) AS INTEGER) AS ow,
+             CAST(trunc((maxy - miny) / {COARSE}) AS INTEGER) AS oh,
+             CASE WHEN maxx <= x0 OR minx >= x1 OR maxy <= y1 OR miny >= y0 THEN 1
+                  WHEN trunc((maxx - minx) / {COARSE}) <= 0 OR trunc((maxy - miny) / {COARSE}) <= 0 THEN 2
+                  WHEN minx < x0 OR maxx > x1 OR miny < y1 OR maxy > y0 THEN 3 ELSE 4 END AS worst
+      FROM w0),
+gridded AS (SELECT polygon_number, count(*) AS n_dates, count(DISTINCT (zone, x0, y0, x1, y1)) AS n_grids,
+                   CASE WHEN count(DISTINCT (zone, x0, y0, x1, y1)) > 1 THEN 'GRID_MISMATCH'
+                        ELSE ['OUTSIDE', 'EMPTY', 'PARTIAL', 'OK'][min(worst)] END AS status
+            FROM w GROUP BY polygon_number)"""
+
+
+@query("field_grid_status", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, WINDOWS_SQL) + "SELECT * FROM gridded")
+def q_field_grid_status(spark, sf):
+    return WN.grid_status(pixel_windows(spark, sf, COARSE))
+
+
+_FIELD_COND = ",\n  ".join(f"max(CASE WHEN time_idx = {t} AND band = '{b}' THEN value END) AS t{t}_{b}" for t in range(3) for b in BANDS)
+
+
+@query("field_stack", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, WINDOWS_SQL) + f"""
+, have AS (SELECT DISTINCT granule_key, band FROM granule_files WHERE band IN ({", ".join(f"'{b}'" for b in BANDS)})),
+cells AS (
+  SELECT w.polygon_number, w.time_idx, have.band, r.i AS row, c.i AS col,
+         CAST(floor(w.row_off + (r.i + 0.5) * (w.height / w.oh)) AS BIGINT) AS sr,
+         CAST(floor(w.col_off + (c.i + 0.5) * (w.width / w.ow)) AS BIGINT) AS sc, w.granule_key
+  FROM w JOIN gridded g ON g.polygon_number = w.polygon_number AND g.status IN ('OK', 'PARTIAL')
+  JOIN have ON have.granule_key = w.granule_key
+  JOIN range(0, 40) AS r(i) ON r.i < w.oh JOIN range(0, 40) AS c(i) ON c.i < w.ow),
+vals AS (
+  SELECT cells.*, CAST(floor(CAST(e.embedding[(sr % 8) * 8 + sc % 8 + 1] AS DOUBLE) * 1000) AS INTEGER) + 1000 AS raw
+  FROM cells JOIN embeddings e ON sr BETWEEN 0 AND 47 AND sc BETWEEN 0 AND 47 AND e.vec_id =
+    ((granule_key * 6 + list_position(['B02','B03','B04','B8A','B11','B12'], band) - 1) * 36 + (sr // 8) * 6 + sc // 8) % 499)
+SELECT polygon_number, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col,
+  {_FIELD_COND}
+FROM (SELECT *, greatest(0, least(65535, raw)) AS value FROM vals) GROUP BY ALL""".replace("\n, have AS", ", have AS", 1))
+def q_field_stack(spark, sf):
+    win = materialize(pixel_windows(spark, sf, COARSE))     # used three times
+    good = WN.grid_status(win).where(F.col("status").isin("OK", "PARTIAL")).select("polygon_number")
+    win = win.join(good, "polygon_number", "left_semi")
+    return AS.field_stacks(win, D.raster_chunks(spark, sf, win), D.CHUNK)
 
 
 def _deg_txt(c):

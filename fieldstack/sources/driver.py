@@ -117,6 +117,39 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CHUNK = 8            # rows and columns of a raster chunk (64 values)
+RASTER_CHUNKS = 6    # a granule's raster has 6 x 6 chunks
+
+
+def _pixel_values(vec: Column) -> Column:
+    return F.transform(vec, pixel_value_from_float)
+
+
+def pixel_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings -> raster chunks(field_id, time_idx, band, crow, ccol, values); the pixels of ``pixels`` before unfolding."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    k = F.col("vec_id") % 18
+    zero = F.lit(0).cast("long")
+    return e.select(
+        F.floor(F.col("vec_id") / 18).alias("field_id"), F.floor(k / 6).cast("int").alias("time_idx"),
+        F.element_at(F.array(*[F.lit(b) for b in BANDS]), (k % 6 + 1).cast("int")).alias("band"),
+        zero.alias("crow"), zero.alias("ccol"), _pixel_values(F.col("embedding")).alias("values"))
+
+
+def raster_chunks(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
+    """(granule_key, band, crow, ccol, values) of the ``wanted`` granules' band files. A chunk's values are the embedding numbered
+    ((granule_key * 6 + band) * 36 + crow * 6 + ccol) mod 499."""
+    n = RASTER_CHUNKS
+    have = (granule_files(spark, sf_dir).where(F.col("band").isin(BANDS)).select("granule_key", "band").distinct()
+            .join(wanted.select("granule_key").distinct(), "granule_key", "left_semi"))
+    b = F.array_position(F.array(*[F.lit(x) for x in BANDS]), F.col("band")) - 1
+    axis = F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+    places = (have.withColumn("crow", F.explode(axis)).withColumn("ccol", F.explode(axis))
+              .withColumn("vec_id", ((F.col("granule_key") * 6 + b) * (n * n) + F.col("crow") * n + F.col("ccol")) % 499))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", _pixel_values(F.col("embedding")).alias("values"))
+    return places.join(e, "vec_id").drop("vec_id")
+
+
 def pixels_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem -> pixels(field_id, time_idx, band, value) for the statistics bench."""
     li = table(spark, sf_dir, "lineitem").select(
