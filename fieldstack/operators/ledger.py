@@ -28,10 +28,14 @@ def ledger_union(successes: DataFrame, failures: DataFrame) -> DataFrame:
     return successes.unionByName(failures, allowMissingColumns=True)
 
 
-def resume_pending(requests: DataFrame, ledger: DataFrame, key: str = "polygon_number") -> DataFrame:
-    """Requests whose output does not exist yet: left-anti join against finished rows."""
-    done = ledger.where(F.col("status").isin("SUCCESS", "SKIPPED")).select(key)
-    return requests.join(done, key, "left_anti")
+def finished(ledger: DataFrame) -> DataFrame:
+    """Rows whose output exists."""
+    return ledger.where(F.col("status").isin("SUCCESS", "SKIPPED"))
+
+
+def resume_pending(requests: DataFrame, ledger: DataFrame, key: str = "output_id") -> DataFrame:
+    """Requests whose output (field and dates) does not exist yet: left-anti join against finished rows."""
+    return requests.join(finished(ledger).select(key), key, "left_anti")
 
 
 def resolve_duplicates(ledger: DataFrame, key: str = "polygon_number") -> DataFrame:
@@ -54,6 +58,7 @@ def run_summary(ledger: DataFrame, part: list[str] = ["batch_id"]) -> DataFrame:
     """Counters and rates per batch (all algebraic, partial aggregation)."""
     s = F.col("status")
     agg = ledger.groupBy(*part).agg(
+        F.count("*").alias("total"),
         F.count_if(s != "ERROR").alias("processed"),
         F.count_if(s == "SUCCESS").alias("success"),
         F.count_if(s == "SKIPPED").alias("skipped"),
@@ -62,7 +67,7 @@ def run_summary(ledger: DataFrame, part: list[str] = ["batch_id"]) -> DataFrame:
     )
     p, t = F.col("processed"), F.col("total_cs")
     return agg.select(
-        *part, "processed", "success", "skipped", "failed", "total_cs",
+        *part, "total", "processed", "success", "skipped", "failed", "total_cs",
         (_half_up_div((F.col("success") + F.col("skipped")) * 1000, p) / 10.0).alias("success_rate_pct"),
         F.when(p != 0, F.floor(t / p).cast("long")).alias("avg_cs"),
         (_half_up_div(p * 3_600_000, t) / 10.0).alias("fields_per_hour"),

@@ -43,7 +43,7 @@ def valid_fields(spark, sf):
 
 def requests(spark, sf):
     return plan_requests(valid_fields(spark, sf), half_size=D.HALF_SIZE,
-                         units_per_degree=D.UNITS_PER_DEGREE)
+                         units_per_degree=D.UNITS_PER_DEGREE, keep_pos=False)
 
 
 def time_points(spark, sf):
@@ -471,11 +471,11 @@ def q_run_ledger(spark, sf):
 
 
 @query("run_summary", with_(S.RUNS) + """
-SELECT batch_id, processed, success, skipped, failed, total_cs,
+SELECT batch_id, total, processed, success, skipped, failed, total_cs,
        CASE WHEN processed <> 0 THEN CAST(floor(((success + skipped) * 1000 * 2 + processed) / (processed * 2.0)) AS BIGINT) / 10.0 END AS success_rate_pct,
        CASE WHEN processed <> 0 THEN CAST(floor(total_cs / processed) AS BIGINT) END AS avg_cs,
        CASE WHEN total_cs <> 0 THEN CAST(floor((processed * 3600000 * 2 + total_cs) / (total_cs * 2.0)) AS BIGINT) / 10.0 END AS fields_per_hour
-FROM (SELECT batch_id, CAST(count_if(status <> 'ERROR') AS BIGINT) AS processed,
+FROM (SELECT batch_id, count(*) AS total, CAST(count_if(status <> 'ERROR') AS BIGINT) AS processed,
              CAST(count_if(status = 'SUCCESS') AS BIGINT) AS success,
              CAST(count_if(status = 'SKIPPED') AS BIGINT) AS skipped,
              CAST(count_if(status IN ('FAILED', 'ERROR')) AS BIGINT) AS failed,
@@ -524,11 +524,22 @@ def q_run_report_top(spark, sf):
     return LG.report_top(ledger(spark, sf))
 
 
-@query("resume_antijoin", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.RUNS) + """
-SELECT * FROM requests q
-WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.polygon_number = q.polygon_number AND r.status IN ('SUCCESS', 'SKIPPED'))""")
+def run_outputs(spark, sf):
+    """The ledger with the outputs it is about: an even event's run did the field's dates, an odd one's another season."""
+    other = F.concat_ws("_", F.col("polygon_number").cast("string"), F.lit("1990-01-01"), F.lit("1990-06-30"))
+    named = requests(spark, sf).select("polygon_number", "output_id")
+    return (ledger(spark, sf).join(named, "polygon_number")
+            .withColumn("output_id", F.when(F.col("event_id") % 2 == 0, F.col("output_id")).otherwise(other)))
+
+
+RESUME_SQL = """FROM requests q
+WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.polygon_number = q.polygon_number AND r.event_id % 2 = 0
+                  AND r.status IN ('SUCCESS', 'SKIPPED'))"""
+
+
+@query("resume_antijoin", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.RUNS) + "SELECT * " + RESUME_SQL)
 def q_resume_antijoin(spark, sf):
-    return LG.resume_pending(requests(spark, sf), ledger(spark, sf))
+    return LG.resume_pending(requests(spark, sf), run_outputs(spark, sf))
 
 
 @query("duplicate_fields", with_(S.RUNS) + """
@@ -930,13 +941,11 @@ from fieldstack.plans.requests import plan_requests as _plan  # noqa: E402
 from fieldstack.streaming import jobs as SJ  # noqa: E402
 
 
-@query("stream_resume", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.RUNS) + """
-SELECT polygon_number, status, output_id FROM requests q
-WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.polygon_number = q.polygon_number AND r.status IN ('SUCCESS', 'SKIPPED'))""")
+@query("stream_resume", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.RUNS) + "SELECT polygon_number, status, output_id " + RESUME_SQL)
 def q_stream_resume(spark, sf):
     cust = SJ.file_stream(spark, sf, "customer.parquet")
     valid, _ = split_valid(D.fields_from_customer(cust), D.UNITS_PER_DEGREE)
-    req = _plan(with_default_class(valid), half_size=D.HALF_SIZE, units_per_degree=D.UNITS_PER_DEGREE)
+    req = _plan(with_default_class(valid), half_size=D.HALF_SIZE, units_per_degree=D.UNITS_PER_DEGREE, keep_pos=False)
     out = SJ.stream_resume(spark, req.select("polygon_number", "status", "output_id"), ledger(spark, sf))
     return out
 
@@ -1021,10 +1030,6 @@ FROM agg
 UNION ALL
 SELECT polygon_number, 'FAILED', status FROM requests WHERE status <> 'OK'""".replace("\n, found AS", ", found AS", 1))
 def q_field_outcomes(spark, sf):
-    tp = time_points(spark, sf)
-    p = picks(spark, sf)
-    status = SR.pick_status(tp, p)
-    fm = GR.filter_bands(files(spark, sf).withColumn("file_name", F.element_at(F.split("url", "/"), -1)), BANDS)
-    org = OG.first_file_per_band(p.select("polygon_number", "time_idx", "granule_key").join(fm, "granule_key"),
-                                 ["granule_id", "file_name"])
-    return field_outcomes(requests(spark, sf), status, OG.band_completeness(p, org, BANDS))
+    p = materialize(picks(spark, sf))      # used twice
+    complete = OG.granule_band_completeness(p, files(spark, sf), BANDS)
+    return field_outcomes(requests(spark, sf), SR.pick_status(time_points(spark, sf), p), complete)

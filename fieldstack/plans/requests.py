@@ -18,8 +18,8 @@ ORDERS = ("forward", "backward", "random")
 
 def plan_requests(fields: DataFrame, half_size: float, n_points: int = N_TIME_POINTS,
                   min_days: int = 2, max_half_degrees: float = 1.0,
-                  units_per_degree: float = 1.0) -> DataFrame:
-    """One row per field: box, validated date range, status and output id.
+                  units_per_degree: float = 1.0, keep_pos: bool = True) -> DataFrame:
+    """One row per field: (input_pos if there is one), box, validated date range, status and output id.
 
     Status: OK, INVALID_DATE (missing date), INVALID_RANGE (start >= end, or fewer than
     ``min_days`` days, too short for three distinct points), INVALID_BBOX_SIZE (half size
@@ -31,8 +31,9 @@ def plan_requests(fields: DataFrame, half_size: float, n_points: int = N_TIME_PO
                .when(days < min_days, "INVALID_RANGE")
                .otherwise("OK"))
     box = bbox_around(F.col("lat"), F.col("lon"), half_size)
+    extra = ["input_pos"] if "input_pos" in fields.columns and keep_pos else []
     return fields.select(
-        "polygon_number", "class", "lat", "lon", "start_date", "end_date",
+        *extra, "polygon_number", "class", "lat", "lon", "start_date", "end_date",
         box.west.alias("west"), box.south.alias("south"),
         box.east.alias("east"), box.north.alias("north"),
         days.alias("days"), status.alias("status"),
@@ -42,11 +43,11 @@ def plan_requests(fields: DataFrame, half_size: float, n_points: int = N_TIME_PO
     )
 
 
-def explode_time_points(requests: DataFrame, n_points: int = N_TIME_POINTS) -> DataFrame:
-    """Valid requests -> (polygon_number, time_idx, t_date, box)."""
+def explode_time_points(requests: DataFrame, n_points: int = N_TIME_POINTS, keys=("polygon_number",)) -> DataFrame:
+    """Valid requests -> (keys, time_idx, t_date, box)."""
     ok = requests.where(F.col("status") == "OK")
     return ok.select(
-        "polygon_number",
+        *keys,
         F.posexplode(time_points_expr(F.col("start_date"), F.col("end_date"), n_points))
          .alias("time_idx", "t_date"),
         "west", "south", "east", "north",
@@ -73,6 +74,14 @@ def order_and_limit(fields: DataFrame, order: str = "forward", limit: int | None
     return out
 
 
+def batch_position(order: str = "forward", seed: int = 42):
+    """A number that orders the rows of a batch as ``order_and_limit`` does."""
+    if order not in ORDERS:
+        raise ValueError(f"order must be one of {ORDERS}")
+    return {"forward": F.col("input_pos"), "backward": -F.col("input_pos"),
+            "random": shuffle_key(F.col("polygon_number"), seed)}[order].cast("long")
+
+
 def shuffle_key(polygon, seed: int = 42):
     """Repeatable pseudo-random order key: one Lehmer (MINSTD) step of the id and a seed,
     exact in 64-bit integers in any SQL engine."""

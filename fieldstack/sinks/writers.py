@@ -1,7 +1,11 @@
-"""Sinks (K2, K3, K4, K8). All writes are plain parquet with bounded partition counts:
-hash buckets of the field id rather than one folder per field or per granule, so a
-million fields do not become a million directories. Re-running a job overwrites only
-the partitions it writes (dynamic partition overwrite), so a retried job is idempotent.
+"""Sinks (K2, K3, K4, K8): Parquet tables partitioned by run and by a hash bucket of the field.
+
+A run writes its own partitions and no others, so a resumed run can't touch what an earlier one finished, and re-executing a run
+replaces its own rows (dynamic partition overwrite). Which run holds the current rows of a field is resolved on read, by the
+ledger (``current_rows``).
+
+Rows are rebalanced by bucket: how many tasks write is up to the data's size (AQE joins small buckets into a task and splits large ones), and
+the number of buckets follows the number of fields (``buckets_for``), so neither tasks nor files are fixed.
 """
 
 from __future__ import annotations
@@ -9,6 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FIELDS_PER_BUCKET = 1024
+
+
+def buckets_for(n_fields: int, per_bucket: int = FIELDS_PER_BUCKET) -> int:
+    return max(1, -(-n_fields // per_bucket))
+
 
 def field_bucket(col: str, n: int):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("int")
@@ -19,31 +29,39 @@ def _writer(df: DataFrame, mode: str):
             .option("partitionOverwriteMode", "dynamic"))
 
 
-def write_manifest(manifest: DataFrame, path: str, n_buckets: int = 64) -> None:
-    """Download manifest (one row per file to fetch), bucketed by field."""
-    out = manifest.withColumn("bucket", field_bucket("polygon_number", n_buckets))
-    # (bucket, granule) spreads one hot field's files over many write tasks
-    _writer(out.repartition("bucket", "granule_key"), "overwrite").partitionBy("bucket").parquet(path)
+def _write_bucketed(df: DataFrame, path: str, field: str, n_buckets: int, run_id: str | None, sort: list[str] | None = None) -> None:
+    out = df.withColumn("bucket", field_bucket(field, n_buckets))
+    parts = ["bucket"]
+    if run_id is not None:
+        out, parts = out.withColumn("run_id", F.lit(run_id)), ["run_id", "bucket"]
+    out = out.hint("rebalance", F.col("bucket"))
+    if sort:
+        out = out.sortWithinPartitions("bucket", *sort)
+    _writer(out, "overwrite").partitionBy(*parts).parquet(path)
 
 
-def write_organized(organized: DataFrame, path: str) -> None:
-    """Organised layout table (field, time, band, url), partitioned by time index."""
-    _writer(organized.repartition("time_idx"), "overwrite").partitionBy("time_idx").parquet(path)
+def write_manifest(manifest: DataFrame, path: str, n_buckets: int = 1, run_id: str | None = None) -> None:
+    """Download manifest: one row for each file to fetch."""
+    _write_bucketed(manifest, path, "polygon_number", n_buckets, run_id)
 
 
-def write_stack(stack: DataFrame, path: str, n_buckets: int = 64, rows_per_task: int = 256) -> None:
-    """Wide stack, bucketed by field and sorted by (field, row, col) inside each file,
-    so reading one field prunes partitions and row groups. Write tasks are keyed by
-    (bucket, row band), so one very large field is written by many tasks."""
-    out = (stack.withColumn("bucket", field_bucket("field_id", n_buckets))
-                .withColumn("_band", F.floor(F.col("row") / rows_per_task)))
-    (_writer(out.repartition("bucket", "_band").sortWithinPartitions("field_id", "row", "col")
-             .drop("_band"), "overwrite")
-        .partitionBy("bucket").parquet(path))
+def write_organized(organized: DataFrame, path: str, n_buckets: int = 1, run_id: str | None = None) -> None:
+    """Organised layout: one row for each (field, time, band)."""
+    _write_bucketed(organized, path, "polygon_number", n_buckets, run_id)
+
+
+def write_stack(stack: DataFrame, path: str, n_buckets: int = 1, run_id: str | None = None, field: str = "field_id") -> None:
+    """Wide stack, sorted by field, row and column inside each file, so that reading one field prunes partitions and
+    row groups."""
+    _write_bucketed(stack, path, field, n_buckets, run_id, [field, "row", "col"])
 
 
 def append_ledger(ledger: DataFrame, path: str, run_col: str = "run_id") -> None:
-    """Add one run's rows to the ledger. The ledger is partitioned by run id and written
-    with dynamic partition overwrite: a re-executed job replaces its own run's partition
-    instead of appending a second copy, and never touches other runs."""
+    """Add one run's rows to the ledger; a re-executed run replaces its own."""
     _writer(ledger, "overwrite").partitionBy(run_col).parquet(path)
+
+
+def current_rows(rows: DataFrame, ledger: DataFrame, key: str = "output_id") -> DataFrame:
+    """Rows of the run that holds each output now: the last one that processed it (a skipped one wrote nothing)."""
+    done = ledger.where("status <> 'SKIPPED'").groupBy(key).agg(F.max_by("run_id", F.struct("ts", "run_id")).alias("run_id"))
+    return rows.join(done, [key, "run_id"], "left_semi")
