@@ -10,9 +10,10 @@ sequence as one). Two documents are linked if their sets' Jaccard similarity is
 3. Every bucket is a star: its least member is linked to the others. Each document's least star edge is
    confirmed on the full sets and components are contracted; then the remaining star edges between different
    components, then those of two more stars with random centres, in buckets whose members still lie apart. At last
-   pairs of such buckets are compared, only between components, and only where set sizes and the distances to the bucket's
-   star allow a link (Jaccard distance is a metric: |d(x, s) - d(y, s)| <= d(x, y)). So pairs that a star misses aren't
-   lost, and pairs inside a component are never made.
+   pairs of such buckets are compared, only between components, each pair in the first band it shares, and only where a
+   link is possible: bit maps of the sets bound the intersection from above inside the join, so that few pairs that are no
+   links leave it. Pairs that a star misses aren't lost, and pairs inside a component are never made. What is left to
+   compare grows with the documents that come near a large component and belong to none.
 
 A pair at exactly 80 % shares none of 40 bands of 5 with a chance of 1.3e-7, less above. Confirmation is
 exact up to collisions of 64-bit hashes.
@@ -34,6 +35,9 @@ from pyspark.sql import functions as F
 from .common import U64, SpanHash, flat, mix, slices, small_batches, stash, word_spans
 
 
+SKETCH = 4096       # bits
+
+
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingle hashes in order within each text, offsets) of all texts."""
     starts, ends, text = word_spans(buf, offs)
@@ -122,16 +126,27 @@ def _sign(shingle: int, bands: int, rows: int):
     return run
 
 
+def sketches(hashes: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """(sets, SKETCH / 64) bit maps: the bit of every hash's last digits."""
+    n = len(offs) - 1
+    owner = np.repeat(np.arange(n), np.diff(offs))
+    bits = np.zeros((n, SKETCH), dtype=np.uint8)
+    bits[owner, (hashes % U64(SKETCH)).astype(np.int64)] = 1
+    return np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+
+
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
                 hashes, offs = shingle_sets(*flat(piece.column("text")), shingle)
                 raw = hashes.tobytes()
+                maps = sketches(hashes, offs)
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"),
-                    pa.array([raw[8 * a:8 * b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())], pa.binary())],
-                    ["doc_id", "hashes"])
+                    pa.array([raw[8 * a:8 * b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(0, maps.size + 1, SKETCH // 64, dtype=np.int32)), pa.array(maps.ravel()))],
+                    ["doc_id", "hashes", "sketch"])
     return run
 
 
@@ -185,7 +200,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     folded = stash(signed.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("rep")), "marks")
     every = stash(signed.join(folded, "mark", "left").selectExpr(
         "doc_id", "n_shingles", "rep", "if(doc_id = rep, bands, null) as bands"), "folded")
-    buckets = every.where("bands is not null").select("rep", "n_shingles", F.explode("bands").alias("key"))
+    buckets = every.where("bands is not null").select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
     turned = F.col("rep").bitwiseXOR(F.col("key"))       # its least and largest are centres that differ from bucket to bucket
     shared = stash(buckets.groupBy("key").agg(
         F.min("rep").alias("star"), F.max("rep").alias("far"),
@@ -193,7 +208,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     members = stash(buckets.join(shared, "key"), "members")     # of buckets with two members or more
     nodes = stash(members.select(F.col("rep").alias("node")).distinct(), "nodes")
     sets = stash(texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-                 .mapInArrow(_sets(shingle), "doc_id long, hashes binary"), "sets")
+                 .mapInArrow(_sets(shingle), "doc_id long, hashes binary, sketch array<long>"), "sets")
     linked = f"100 * both >= {percent} * either"
 
     def spokes(rows: DataFrame, centre: str) -> DataFrame:
@@ -223,16 +238,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     left = mixed(members, labels).drop("comp", "lo")
     for centre in ("star2", "star3"):
         labels = joined(labels, spokes(left, centre))
-    # what still lies apart in a bucket: compared unless sizes or distances to the bucket's star rule a link out
-    left = mixed(left, labels)
-    away = _compared(spokes(left, "star"), sets).selectExpr("x as star", "y as rep", "1 - both / either as d")
-    placed = stash(left.where("rep <> star").join(away, ["star", "rep"]).select(
-        "key", "rep", "n_shingles", "comp", "lo", "d"), "placed")
-    first = placed.selectExpr("key", "rep as x", "n_shingles as nx", "comp as cx", "lo", "d as dx")
-    second = placed.where("comp <> lo").selectExpr("key as k", "rep as y", "n_shingles as ny", "comp as cy", "d as dy")
+    # what still lies apart in a bucket: met where the pair shares its first band, compared if sizes and sketches allow a link
+    left = mixed(left, labels).where("rep <> star").select("key", "band", "rep", "n_shingles", "comp", "lo")
+    known = (sets.selectExpr("doc_id as rep", "sketch", "aggregate(sketch, 0, (t, v) -> t + bit_count(v)) as ones")
+             .join(every.where("bands is not null").groupBy("doc_id").agg(F.min("bands").alias("bands")).withColumnRenamed("doc_id", "rep"), "rep"))
+    placed = stash(left.join(known, "rep"), "placed")
+    first = placed.selectExpr("key", "rep as x", "n_shingles as nx", "comp as cx", "lo", "band", "bands as bx", "sketch as sx",
+                              "n_shingles - ones as ex")
+    second = placed.where("comp <> lo").selectExpr("key as k", "rep as y", "n_shingles as ny", "comp as cy", "bands as b_y",
+                                                   "sketch as sy", "n_shingles - ones as ey")
+    shared_at_most = "aggregate(zip_with(sx, sy, (a, b) -> bit_count(a & b)), 0, (t, v) -> t + v) + least(ex, ey)"
     rest = first.join(second, (F.col("key") == F.col("k")) & F.expr(
         f"cx <> cy and (cx = lo or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny) "
-        f"and abs(dx - dy) <= {1 - percent / 100 + 1e-9}"))
+        "and array_position(zip_with(bx, b_y, (a, b) -> a = b), true) = band + 1 "
+        f"and {100 + percent} * ({shared_at_most}) >= {percent} * (nx + ny)"))
     labels = joined(labels, stash(rest.selectExpr("least(x, y) as x", "greatest(x, y) as y").distinct(), "rest"))
 
     # equal sets and rows of one doc_id: doc -> rep -> component; a doc_id with several texts joins their components
