@@ -12,8 +12,9 @@ its gram. Neighbouring windows that select the same place form a tile.
 2. Groups with different tiles are dealt to buckets by their gram. A bucket sorts the suffixes of its tiles by the
    difference-cover algorithm modulo 3: sort sampled triples, recurse on their names, sort and merge the remaining suffixes; then adjacent
    suffixes are compared over ``length`` bytes.
-3. A group of more than ``max_tiles`` different tiles (a passage with as many contexts) is too much for one bucket; its windows are
-   dealt on singly, by a hash of all their bytes, and counted.
+3. A group of more than ``max_tiles`` different tiles (a passage with as many contexts) is too much for one bucket; its tiles
+   are dealt on in parts of a few windows, by the bytes that these have in common, and the windows of parts that still differ one
+   by one, by a hash of all their bytes.
 4. The windows found repeated, as runs, join the texts by the texts' hash, and their union is cut out.
 
 Identity of tiles and of hot groups' windows is by 64-bit hashes; everything else is compared byte by byte.
@@ -32,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, SpanHash, bit_places, bits_hold, flat, key_filter, offsets, own, slices, small_batches, stash
+from .common import U64, SpanHash, bit_places, bits_hold, flat, key_filter, mix, offsets, own, slices, small_batches, stash
 
 _LOW = U64((1 << 24) - 1)
 PIECE = 1 << 22             # bytes of one text that are looked at together
 SORTED = 3 << 19            # bytes that one suffix array holds at most
+PART = 8                    # windows in a part of a tile
 
 
 # ------------------------------------------------------------------ tiles
@@ -193,6 +195,41 @@ def _sort_bucket(length: int):
     return run
 
 
+def _parts(length: int):
+    """Tiles cut into parts of up to PART windows, aligned by their distance to the gram: equal windows are in parts with
+    the same core, the bytes that all windows of such a part cover."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "bytes"):
+                data = piece.column("bytes")
+                offs = offsets(data)
+                buf = np.frombuffer(data.buffers()[2], dtype=np.uint8)[offs[0]:offs[-1]]
+                begin = offs[:-1] - offs[0]
+                n = np.diff(offs) - length + 1
+                dist = piece.column("dist").to_numpy().astype(np.int64)
+                row = np.repeat(np.arange(len(n)), n)
+                i = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                part = (dist[row] - i) // PART
+                head = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (row[1:] != row[:-1])))
+                size = np.diff(np.append(head, len(row)))
+                at, first = row[head], i[head]
+                start = begin[at] + first
+                end = start + size - 1 + length
+                core = begin[at] + dist[at] - part[head] * PART
+                span = SpanHash(buf)
+                turn = ((dist[at] - first) % PART).astype(U64)      # where in its part the first window stands
+                with np.errstate(over="ignore"):
+                    sub = mix(span(start, end) * U64(PART) + turn)
+                raw = buf.tobytes()
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays([
+                    piece.column("g").take(take), piece.column("tile").take(take), pa.array(first.astype(np.int32)),
+                    pa.array(size.astype(np.int32)), pa.array(span(core, core + length - PART + 1).view(np.int64)), pa.array(sub.view(np.int64)),
+                    pa.array([raw[x:y] for x, y in zip(start.tolist(), end.tolist())], pa.binary())],
+                    ["g", "tile", "i", "l", "core", "sub", "bytes"])
+    return run
+
+
 def _single_windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,15 +239,36 @@ def _single_windows(length: int):
                 buf = np.frombuffer(data.buffers()[2], dtype=np.uint8)[offs[0]:offs[-1]]
                 size = np.diff(offs) - length + 1
                 row = np.repeat(np.arange(len(size)), size)
-                i = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-                start = offs[row] - offs[0] + i
+                k = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+                start = offs[row] - offs[0] + k
+                take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([
-                    piece.column("g").take(pa.array(row)), piece.column("tile").take(pa.array(row)),
-                    pa.array(i.astype(np.int32)), pa.array(SpanHash(buf)(start, start + length).view(np.int64))],
-                    ["g", "tile", "i", "w"])
+                    piece.column("core").take(take), piece.column("sub").take(take),
+                    pa.array(k.astype(np.int32)), pa.array(SpanHash(buf)(start, start + length).view(np.int64))],
+                    ["core", "sub", "k", "w"])
     return run
 
 
+def _hot_groups(cut: DataFrame, length: int) -> DataFrame:
+    """(g, tile, runs) of groups with too many tiles for a bucket: the same steps again over parts of tiles, whose groups are
+    smaller, and windows one by one where even these differ."""
+    parts = stash(cut.select("g", "tile", "dist", "bytes").mapInArrow(
+        _parts(length), "g long, tile long, i int, l int, core long, sub long, bytes binary"), "parts")
+    cores = stash(parts.groupBy("core").agg(F.count("*").alias("m"), F.min("sub").alias("lo"), F.max("sub").alias("hi"))
+                  .where("m > 1").selectExpr("core", "lo <> hi as mixed"), "cores")
+    shared = stash(parts.join(cores, "core"), "parts")
+    subs = stash(shared.groupBy("core", "sub").agg(F.count("*").alias("c"), F.first("mixed").alias("mixed"), F.min("bytes").alias("bytes")), "subs")
+    windows = stash(subs.where("mixed").select("core", "sub", "bytes").mapInArrow(
+        _single_windows(length), "core long, sub long, k int, w long"), "windows")
+    twice = stash(windows.groupBy("w").agg(F.count("*").alias("m")).where("m > 1").select("w"), "twice")
+    alone = subs.where("c = 1").select("core", "sub")
+    some = windows.join(twice, "w").join(alone, ["core", "sub"], "left_semi").selectExpr("core", "sub", "k as s", "1 as l")
+    every = subs.where("c > 1").selectExpr("core", "sub", "0 as s", f"octet_length(bytes) - {length - 1} as l")
+    found = stash(some.unionByName(every), "found")
+    return (shared.select("g", "tile", "i", "core", "sub").join(found, ["core", "sub"])
+            .groupBy("g", "tile").agg(F.collect_list(F.struct((F.col("i") + F.col("s")).alias("s"), "l")).alias("runs")))
+
+
 # ------------------------------------------------------------------ the operator
 
 def repeated_runs(docs: DataFrame, length: int, gram: int, max_tiles: int) -> DataFrame:
@@ -224,7 +282,7 @@ def repeated_runs(docs: DataFrame, length: int, gram: int, max_tiles: int) -> Da
 
     # different tiles of mixed groups, one place of each
     kinds = (shared.where("mixed").groupBy("g", "tile")
-             .agg(F.count("*").alias("c"), F.min(F.struct("th", "u", "n")).alias("one")))
+             .agg(F.count("*").alias("c"), F.min(F.struct("th", "u", "n", "dist")).alias("one")))
     kinds = stash(kinds.select("g", "tile", "c", "one.*"), "kinds")
     sizes = kinds.groupBy("g").agg(F.count("*").alias("d"))
     big = stash(sizes.where(F.col("d") > max_tiles).select("g"), "big")
@@ -239,16 +297,12 @@ def repeated_runs(docs: DataFrame, length: int, gram: int, max_tiles: int) -> Da
 
     sources = texts.mapInArrow(only_needed, texts.schema).groupBy("th").agg(F.min("text").alias("text"))
     piece = F.substring(F.col("text").cast("binary"), F.col("u").cast("int") + 1, F.col("n") + (length - 1))
-    cut = stash(kinds.join(sources, "th").select("g", "tile", "c", "n", piece.alias("bytes")), "pieces")
+    cut = stash(kinds.join(sources, "th").select("g", "tile", "c", "n", "dist", piece.alias("bytes")), "pieces")
     total = cut.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     buckets = max(1, -(-total // (1 << 20)))
     small = cut.join(big, "g", "left_anti").select("g", "tile", "bytes", F.pmod(F.xxhash64("g"), F.lit(buckets)).alias("bucket"))
     found = small.groupBy("bucket").applyInArrow(_sort_bucket(length), _FOUND)
-    single = stash(cut.join(big, "g", "left_semi").select("g", "tile", "bytes").mapInArrow(
-        _single_windows(length), "g long, tile long, i int, w long"), "windows")
-    twice = stash(single.groupBy("w").agg(F.count("*").alias("m")).where("m > 1").select("w"), "twice")
-    more = single.join(twice, "w").groupBy("g", "tile").agg(F.collect_list(F.struct(F.col("i").alias("s"), F.lit(1).alias("l"))).alias("runs"))
-    both = found.unionByName(more).where("array_size(runs) > 0")
+    both = found.unionByName(_hot_groups(cut.join(big, "g", "left_semi"), length)).where("array_size(runs) > 0")
     whole = kinds.where("c > 1").selectExpr("g", "tile", "array(struct(0 as s, n as l)) as runs")
     flagged = stash(both.join(whole.select("g", "tile"), ["g", "tile"], "left_anti").unionByName(whole), "flagged")
 
