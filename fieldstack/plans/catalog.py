@@ -8,6 +8,7 @@ operator itself (a listing limit, a top-10 report).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -635,7 +636,7 @@ def q_failure_classify(spark, sf):
 
 from fieldstack.functions import geo as GE  # noqa: E402
 from fieldstack.operators import windows as WN  # noqa: E402
-from fieldstack.session import materialize  # noqa: E402
+from fieldstack.session import checkpoint_dir, materialize  # noqa: E402
 from fieldstack.functions.dates import date_spec, date_text  # noqa: E402
 from fieldstack.plans.geo_sql import envelope_cte  # noqa: E402
 from fieldstack.sources import regions as RG  # noqa: E402
@@ -941,27 +942,33 @@ from fieldstack.plans.requests import plan_requests as _plan  # noqa: E402
 from fieldstack.streaming import jobs as SJ  # noqa: E402
 
 
+def stream_paths(spark, name):
+    """(checkpoint, output) folders of one query's own; a job names lasting ones."""
+    base = f"{checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    return f"{base}/checkpoint", f"{base}/out"
+
+
 @query("stream_resume", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS, S.RUNS) + "SELECT polygon_number, status, output_id " + RESUME_SQL)
 def q_stream_resume(spark, sf):
-    cust = SJ.file_stream(spark, sf, "customer.parquet")
+    cust = SJ.file_stream(spark, f"{sf}/customer.parquet")
     valid, _ = split_valid(D.fields_from_customer(cust), D.UNITS_PER_DEGREE)
     req = _plan(with_default_class(valid), half_size=D.HALF_SIZE, units_per_degree=D.UNITS_PER_DEGREE, keep_pos=False)
-    out = SJ.stream_resume(spark, req.select("polygon_number", "status", "output_id"), ledger(spark, sf))
-    return out
+    return SJ.stream_resume(spark, req.select("polygon_number", "status", "output_id"), lambda: run_outputs(spark, sf),
+                            *stream_paths(spark, "resume"))
 
 
 @query("stream_progress", with_(S.RUNS) + """
 SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, status, count(*) AS n
 FROM runs GROUP BY 1, 2, 3""")
 def q_stream_progress(spark, sf):
-    ev = SJ.file_stream(spark, sf, "events.parquet")
-    return SJ.stream_progress(spark, D.runs_from_events(ev))
+    ev = SJ.file_stream(spark, f"{sf}/events.parquet")
+    return SJ.stream_progress(spark, D.runs_from_events(ev), *stream_paths(spark, "progress"))
 
 
 @query("stream_dedup", with_(S.RUNS) + "SELECT DISTINCT polygon_number FROM runs")
 def q_stream_dedup(spark, sf):
-    ev = SJ.file_stream(spark, sf, "events.parquet")
-    return SJ.stream_dedup(spark, D.runs_from_events(ev))
+    ev = SJ.file_stream(spark, f"{sf}/events.parquet")
+    return SJ.stream_dedup(spark, D.runs_from_events(ev), *stream_paths(spark, "dedup"))
 
 
 # ---- 9. statistics over the large pixel table (bench) --------------------------------------

@@ -1,107 +1,98 @@
 """Incremental forms of the batch jobs (T1-T3) with Structured Streaming.
 
-Sources are file streams; every query checkpoints under the session's shared checkpoint
-folder, so a restarted driver or lost executor resumes from the last committed batch.
-``availableNow`` processes what is there in bounded micro-batches and stops.
+Every job takes its checkpoint and output paths, so a later call with the same paths goes on after the last committed micro-batch
+and reads new files alone. Each micro-batch writes a partition of its own (``epoch``) with dynamic overwrite: one that is replayed
+after a failure replaces its rows. What a job has found is read from those partitions (``current_..``).
+
+No job uses a watermark: rows that arrive late, however late, count. Counts are kept per micro-batch and added on reading, and the first
+sighting of a field is decided on reading too, so no state grows with the stream; the partitions hold one row for each
+group and micro-batch.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from fieldstack.functions.dates import instant_to_ntz, ntz_to_instant
-from fieldstack.operators.ledger import resume_pending
-from fieldstack.session import checkpoint_dir
+from fieldstack.operators.ledger import finished
+from fieldstack.plans.batch import path_exists
 
+MAX_FILES = 1000        # files in a micro-batch
 
-def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
-    """(checkpoint location, output path) for one run, inside the shared checkpoint dir."""
-    base = checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex}"
-    return base + "/_checkpoint", base + "/out"
 
+def file_stream(spark: SparkSession, path: str, schema: StructType | None = None, max_files: int = MAX_FILES) -> DataFrame:
+    """Stream of a Parquet table: a folder of part files (nested ones too), or a single file."""
+    schema = schema or spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile():
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.option("recursiveFileLookup", "true").parquet(path)
 
-def file_stream(spark: SparkSession, directory: str, file_name: str, max_files: int = 1) -> DataFrame:
-    """Parquet file stream over ``directory``, restricted to files named ``file_name``;
-    the schema is taken from the existing file (a file stream needs a fixed schema)."""
-    schema = spark.read.parquet(f"{directory}/{file_name}").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_name)
-            .option("maxFilesPerTrigger", max_files).parquet(directory))
 
+def _write_epochs(stream: DataFrame, checkpoint: str, out: str, each: Callable[[DataFrame], DataFrame]) -> None:
+    """Run what there is of ``stream`` and stop."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        (each(batch).withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out))
 
-def stream_resume(spark: SparkSession, requests_stream: DataFrame, ledger: DataFrame,
-                  key: str = "polygon_number") -> DataFrame:
-    """Incoming requests minus those already finished in the ledger (left-anti join
-    per micro-batch), added to a parquet table; returns that table. Each micro-batch
-    writes its own epoch partition with dynamic overwrite, so a replayed epoch (after a
-    failure) replaces its rows instead of adding them twice."""
-    ckpt, out = _scratch(spark, "resume")
+    query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        (resume_pending(batch, ledger, key).withColumn("epoch", F.lit(epoch).cast("long"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch").parquet(out))
-
-    q = (requests_stream.writeStream.foreachBatch(write)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = _read_or_empty(spark, out, requests_stream.schema)
-    return got.drop("epoch") if "epoch" in got.columns else got
-
-
-def stream_progress(spark: SparkSession, ledger_stream: DataFrame, window: str = "1 day",
-                    watermark: str = "1 hour") -> DataFrame:
-    """Live counts per (event-time window, status).
-
-    Update mode: each micro-batch emits only the windows it changed, with their current
-    counts, and state for windows older than the watermark is dropped, so state stays
-    bounded on an endless stream. Each epoch is written to its own partition (a retried
-    epoch overwrites itself); the current table is the latest count per window."""
-    ckpt, out = _scratch(spark, "progress")
-    agg = (ledger_stream.withColumn("event_time", ntz_to_instant(F.col("ts")))
-           .withWatermark("event_time", watermark)
-           .groupBy(F.window("event_time", window).alias("w"), "status")
-           .agg(F.count("*").alias("n")))
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        (batch.select(instant_to_ntz(F.col("w.start")).alias("window_start"),
-                      instant_to_ntz(F.col("w.end")).alias("window_end"),
-                      "status", "n", F.lit(epoch).cast("long").alias("epoch"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("epoch").parquet(out))
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+def _epochs(spark: SparkSession, out: str, schema: str) -> DataFrame:
+    """All epochs' rows; none before the first micro-batch."""
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], schema + ", epoch long")
+    return spark.read.schema(schema + ", epoch long").parquet(out)
+
+
+def _ddl(stream: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+
+
+def stream_resume(spark: SparkSession, requests_stream: DataFrame, ledger: Callable[[], DataFrame], checkpoint: str, out: str,
+                  key: str = "output_id") -> DataFrame:
+    """Incoming requests minus those already finished. ``ledger`` is called for each micro-batch, so outputs finished
+    meanwhile are left out too. Returns all pending requests found so far."""
+    def pending(batch: DataFrame) -> DataFrame:
+        return batch.join(finished(ledger()).select(key), key, "left_anti")
+
+    _write_epochs(requests_stream, checkpoint, out, pending)
+    return _epochs(spark, out, _ddl(requests_stream)).drop("epoch")
+
+
+def stream_progress(spark: SparkSession, ledger_stream: DataFrame, checkpoint: str, out: str) -> DataFrame:
+    """Live counts per (day, status); see ``current_progress``."""
+    def counts(batch: DataFrame) -> DataFrame:
+        day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
+        return batch.groupBy(day.alias("window_start"), "status").agg(F.count("*").alias("n"))
+
+    _write_epochs(ledger_stream, checkpoint, out, counts)
     return current_progress(spark, out)
 
 
-def current_progress(spark: SparkSession, path: str) -> DataFrame:
-    """Latest count per (window, status) over all epochs written by ``stream_progress``."""
-    return (spark.read.parquet(path)
-            .groupBy("window_start", "window_end", "status")
-            .agg(F.max_by("n", "epoch").alias("n")))
-
-
-def stream_dedup(spark: SparkSession, ledger_stream: DataFrame, key: str = "polygon_number",
-                 delay: str = "30 days") -> DataFrame:
-    """Drop a field seen again within ``delay`` of its first sighting; the state per
-    key expires after the delay, so state is bounded by the keys seen in that span.
-    Within one micro-batch every repeat is dropped (equal to a batch distinct)."""
-    ckpt, out = _scratch(spark, "dedup")
-    d = (ledger_stream.withColumn("event_time", ntz_to_instant(F.col("ts")))
-         .withWatermark("event_time", delay)
-         .dropDuplicatesWithinWatermark([key]).select(key))
-    q = (d.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
-
-
-def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (no micro-batch produced a file)
-        return spark.createDataFrame([], schema)
+def current_progress(spark: SparkSession, out: str) -> DataFrame:
+    """Counts over all micro-batches so far."""
+    return (_epochs(spark, out, "window_start timestamp_ntz, status string, n long")
+            .groupBy("window_start", (F.col("window_start") + F.expr("interval 1 day")).alias("window_end"), "status")
+            .agg(F.sum("n").alias("n")))
+
+
+def stream_dedup(spark: SparkSession, ledger_stream: DataFrame, checkpoint: str, out: str, key: str = "polygon_number") -> DataFrame:
+    """Every field once, however far apart its rows arrive: a micro-batch writes its distinct fields, and fields seen in
+    several are made one on reading."""
+    kind = f"`{key}` {ledger_stream.schema[key].dataType.simpleString()}"
+
+    _write_epochs(ledger_stream, checkpoint, out, lambda batch: batch.select(key).distinct())
+    return current_keys(spark, out, kind)
+
+
+def current_keys(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    return _epochs(spark, out, kind).drop("epoch").distinct()

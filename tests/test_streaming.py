@@ -1,29 +1,84 @@
-"""Streams over several micro-batches equal their batch forms."""
+"""Streams equal their batch forms, whatever the order of files, and go on where they stopped."""
 
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
 from fieldstack.sources import driver as D
 from fieldstack.streaming import jobs as SJ
 
 
-def test_progress_and_dedup_over_two_batches(spark, tmp_path):
+@pytest.fixture
+def events(spark, tmp_path):
+    """The events in four files, the latest first; later calls add more."""
     from conftest import SF_SMALL
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    mid = ev.count() // 2   # event ids follow time: the second file is the later half
-    src = tmp_path / "events"
-    ev.where(F.col("event_id") < mid).coalesce(1).write.parquet(str(src / "a"))
-    ev.where(F.col("event_id") >= mid).coalesce(1).write.parquet(str(src / "b"))
-    schema = ev.schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(str(src)))
-    got = SJ.stream_progress(spark, D.runs_from_events(stream), watermark="400 days")
+    n = ev.count()
+    parts = [ev.where(F.col("event_id").between(n * k // 4, n * (k + 1) // 4 - 1)) for k in range(4)]
+    assert sum(p.count() for p in parts) == n
+    src = tmp_path / "events.parquet"
+
+    def add(k):
+        parts[k].coalesce(1).write.parquet(str(src / f"{9 - k}"))
+    return ev, str(src), add, (str(tmp_path / "ckpt"), str(tmp_path / "out"))
+
+
+def counts(rows):
+    return {(r.window_start.date(), r.status): r.n for r in rows.collect()}
+
+
+def test_files_in_reverse_time_order_all_count(spark, events):
+    ev, src, add, paths = events
+    for k in (3, 2, 1, 0):
+        add(k)
     runs = D.runs_from_events(ev)
-    want = (runs.groupBy(F.col("ts").cast("date").alias("d"), "status").agg(F.count("*").alias("n")))
-    g = {(r.window_start.date(), r.status): r.n for r in got.collect()}
-    w = {(r.d, r.status): r.n for r in want.collect()}
-    assert g == w
-    stream2 = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-               .option("recursiveFileLookup", "true").parquet(str(src)))
-    dd = SJ.stream_dedup(spark, D.runs_from_events(stream2), delay="400 days")
-    assert sorted(r.polygon_number for r in dd.collect()) == \
-        sorted(r.polygon_number for r in runs.select("polygon_number").distinct().collect())
+    want = {(r.d, r.status): r.n for r in runs.groupBy(F.col("ts").cast("date").alias("d"), "status").agg(F.count("*").alias("n")).collect()}
+    stream = SJ.file_stream(spark, src, ev.schema, max_files=1)
+    assert counts(SJ.stream_progress(spark, D.runs_from_events(stream), *paths)) == want
+    keys = SJ.stream_dedup(spark, D.runs_from_events(stream), paths[0] + "2", paths[1] + "2")
+    assert sorted(r[0] for r in keys.collect()) == sorted(r[0] for r in runs.select("polygon_number").distinct().collect())
+
+
+def test_second_call_reads_new_files_alone(spark, events):
+    ev, src, add, paths = events
+    add(3)
+    stream = SJ.file_stream(spark, src, ev.schema)
+    one = SJ.stream_progress(spark, D.runs_from_events(stream), *paths)
+    first = one.agg(F.sum("n")).first()[0]
+    for k in (0, 1):
+        add(k)
+    two = SJ.stream_progress(spark, D.runs_from_events(SJ.file_stream(spark, src, ev.schema)), *paths)
+    total = spark.read.schema(ev.schema).option("recursiveFileLookup", "true").parquet(src).count()
+    epochs = {r.epoch: r.n for r in spark.read.parquet(paths[1]).groupBy("epoch").agg(F.sum("n").alias("n")).collect()}
+    assert two.agg(F.sum("n")).first()[0] == total and epochs == {0: first, 1: total - first}
+
+
+def test_resume_reads_the_ledger_for_each_batch(spark, tmp_path):
+    src, paths = tmp_path / "req.parquet", (str(tmp_path / "ckpt"), str(tmp_path / "out"))
+    done = []
+    schema = "output_id string, status string"
+
+    def ledger():
+        return spark.createDataFrame(done, schema)
+    for i, ids in enumerate((["a", "b"], ["c", "d"])):
+        spark.createDataFrame([(x, "OK") for x in ids], schema).coalesce(1).write.parquet(str(src / str(i)))
+        got = SJ.stream_resume(spark, SJ.file_stream(spark, str(src)), ledger, *paths)
+        done += [("b", "SUCCESS"), ("d", "SKIPPED"), ("c", "FAILED")]
+    assert sorted(r.output_id for r in got.collect()) == ["a", "b", "c"]
+
+
+def test_before_the_first_file(spark, tmp_path):
+    (tmp_path / "empty.parquet").mkdir()
+    schema = spark.createDataFrame([], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").schema
+    stream = SJ.file_stream(spark, str(tmp_path / "empty.parquet"), schema)
+    assert SJ.stream_progress(spark, D.runs_from_events(stream), str(tmp_path / "c"), str(tmp_path / "o")).collect() == []
+
+
+def test_late_row_of_another_year(spark, tmp_path):
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    src = str(tmp_path / "ev.parquet")
+    for i, year in enumerate((2025, 1999)):
+        spark.createDataFrame([(i, dt.datetime(year, 1, 1), 7 + i, "x", 1.0)], schema).write.parquet(f"{src}/{i}")
+    got = SJ.stream_progress(spark, D.runs_from_events(SJ.file_stream(spark, src, max_files=1)), str(tmp_path / "c"), str(tmp_path / "o"))
+    assert got.agg(F.sum("n")).first()[0] == 2
