@@ -39,8 +39,6 @@ REPORT_TOP = 10
 PIXEL_MIN = 0
 PIXEL_MAX = 65535
 NODATA = 0
-# collection searched
-COLLECTION = "HLSS30"
 # ------------------------------------------------------------------------------------
 
 # WGS84 ellipsoid (public constants of the datum)

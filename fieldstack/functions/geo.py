@@ -37,25 +37,10 @@ def bbox_from_text(text: Column) -> Column:
                                F.element_at(nums, 3).alias("east"), F.element_at(nums, 4).alias("north")))
 
 
-def boxes_intersect(a: str, b: str) -> Column:
-    """Closed-box intersection test between two struct columns."""
-    A, B = F.col(a), F.col(b)
-    return ((A.west <= B.east) & (B.west <= A.east) & (A.south <= B.north) & (B.south <= A.north))
-
-
 def utm_zone(lon_deg: Column) -> Column:
     return (F.floor((lon_deg + 180) / 6) % 60 + 1).cast("int")
 
 
-def zone_of_tile(tile: Column) -> Column:
-    """MGRS tile 'T44TLR' -> zone 44 (NULL if the name does not parse)."""
-    return (F.regexp_extract(tile, r"^T?(\d{1,2})[C-X]", 1)).try_cast("int")
-
-
-def north_of_tile(tile: Column) -> Column:
-    return F.regexp_extract(tile, r"^T?\d{1,2}([C-X])", 1) >= F.lit("N")
-
-
 _N = WGS84_F / (2 - WGS84_F)
 _A = WGS84_A / (1 + _N) * (1 + _N ** 2 / 4 + _N ** 4 / 64)
 _ALPHA = [

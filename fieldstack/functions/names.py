@@ -24,10 +24,6 @@ def granule_id_from_name(name: Column) -> Column:
     return F.regexp_replace(stem, BAND_SUFFIX, "")
 
 
-def granule_id_from_url(url: Column) -> Column:
-    return granule_id_from_name(file_name(url))
-
-
 def band_of_name(name: Column) -> Column:
     """The layer code of a granule file name ('B04', 'Fmask'), else NULL."""
     stem = F.regexp_replace(name, r"\.tif$", "")

@@ -20,9 +20,19 @@ def presets(available_bands=BANDS) -> list[tuple[str, list[str], bool]]:
     return out
 
 
-def preset_table(spark, available_bands=BANDS) -> DataFrame:
-    rows = [(n, c[0], c[1], c[2], a) for n, c, a in presets(available_bands)]
-    return spark.createDataFrame(rows, "preset string, red string, green string, blue string, available boolean")
+def preset_bands(spark) -> DataFrame:
+    """The presets as a lookup table (preset, channel, band): 15 rows."""
+    rows = [(n, ch, b) for n, codes, _ in presets(NINE_BANDS) for ch, b in zip("rgb", codes)]
+    return spark.createDataFrame(rows, "preset string, channel string, band string")
+
+
+def preset_availability(chunks: DataFrame, lookup: DataFrame, keys=("field_id", "time_idx")) -> DataFrame:
+    """Which presets a date's bands allow: the bands there are meet the lookup table, which is broadcast (its size is that of
+    a constant)."""
+    have = chunks.select(*keys, "band").distinct().join(F.broadcast(lookup), "band")
+    return (have.groupBy(*keys, "preset").agg(F.count("*").alias("n_channels"),
+                                             F.array_join(F.sort_array(F.collect_set("band")), ",").alias("bands"))
+            .withColumn("available", F.col("n_channels") == 3))
 
 
 def composites(stretched: DataFrame, available_bands=BANDS) -> DataFrame:

@@ -43,16 +43,17 @@ def band_completeness(wanted: DataFrame, organized: DataFrame, bands: list[str]
                                      .otherwise("MISSING_BANDS"))
 
 
-def tif_listing(paths: DataFrame, path_col: str = "path") -> DataFrame:
-    """Keep raster files (names ending '.tif')."""
-    return paths.where(F.col(path_col).endswith(".tif"))
+def tif_listing(paths: DataFrame, path_col: str = "path", tiff: bool = False) -> DataFrame:
+    """Keep raster files: names that end in '.tif', with ``tiff`` also '.tiff' (what ``prefer_tiff`` chooses from)."""
+    name = F.col(path_col)
+    return paths.where(name.endswith(".tif") | name.endswith(".tiff") if tiff else name.endswith(".tif"))
 
 
-def scan_tif_tree(spark, root: str) -> DataFrame:
-    """Recursive listing of '*.tif' files under ``root`` (path and length only; the
+def scan_tif_tree(spark, root: str, tiff: bool = False) -> DataFrame:
+    """Recursive listing of '*.tif' (with ``tiff`` also '*.tiff') files under ``root`` (path and length only; the
     content column is pruned, so no bytes are read)."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.tif").load(root).select("path", "length"))
+            .option("pathGlobFilter", "*.{tif,tiff}" if tiff else "*.tif").load(root).select("path", "length"))
 
 
 def prefer_tiff(listing: DataFrame, bands: list[str] = BANDS, folder_col: str = "folder",

@@ -39,19 +39,19 @@ def search_granules(requests: DataFrame, granules: DataFrame, window_days: int =
                     cloud_min: float = 0, cloud_max: float = 30, cell: float = 1.0,
                     time_bin_days: int | None = None, max_results: int | None = None,
                     request_keys: list[str] = REQUEST_KEYS,
-                    hot_key_rows: int | None = 2_000_000) -> DataFrame:
+                    hot_key_rows: int | None = 2_000_000, cloud_unit: float = 100) -> DataFrame:
     """All (request, granule) pairs with closed boxes intersecting, acquisition date within
     ``t_date +- window_days`` and cloud cover in [cloud_min, cloud_max].
 
     requests: request_keys + t_date, west, south, east, north (same unit as ``cell``).
     granules: granule_key, granule_id, acquired (date), acquired_at, cloud_pct,
               west, south, east, north.
+    ``cloud_unit`` is full cover in the catalogue's unit (100: percent, 1: fraction).
     ``max_results`` keeps the first n pairs per request in catalogue order (L4).
     ``hot_key_rows``: a (cell, time bin) with more request rows than this is split into
     ceil(rows / hot_key_rows) salted sub-keys; its granules are replicated to each.
     """
-    if cloud_min < 0 or cloud_min > cloud_max:
-        raise ValueError(f"invalid cloud cover range ({cloud_min}, {cloud_max})")
+    validate_cloud_range(cloud_min, cloud_max, cloud_unit)
     tb = int(time_bin_days or (2 * window_days + 1))
     keys = ["tbin", "cx", "cy"]
     g = (granules

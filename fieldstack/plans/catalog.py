@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fieldstack.constants import BANDS, MAX_RESULTS_DOWNLOAD
 from fieldstack.plans import fixture_sql as S
 from fieldstack.plans.fixture_sql import with_
-from fieldstack.plans.requests import explode_time_points, plan_requests
+from fieldstack.plans.requests import explode_time_points, plan_requests, validate_options
 from fieldstack.sources import driver as D
 from fieldstack.sources.fields import split_valid, with_default_class
 from fieldstack.operators import search as SR
@@ -97,6 +97,21 @@ def q_request_validate(spark, sf):
     return requests(spark, sf).groupBy("status").agg(F.count("*").alias("n"))
 
 
+# option texts of every kind, dealt out by the field's number
+OPTIONS = {"start_text": ["1996-03-01", "1996-3-1", "1996-02-30", "2000-01-01", "1996-03-01", "1996-03-01", "1996-03-01"],
+           "end_text": ["1996-09-01"] * 7, "order_text": ["forward", "random", "backward", "forward", "sideways", "Backward", "random"],
+           "limit_text": [None, "10", "10", None, "10", "0", "7"], "half_text": ["0.05", "0.05", "0.05", "0.05", "0.05", "0.05", "1.5"]}
+OPTION_STATUS = ["OK", "INVALID_DATE", "INVALID_DATE", "INVALID_RANGE", "INVALID_ORDER", "INVALID_LIMIT", "INVALID_BBOX_SIZE"]
+
+
+@query("request_options", with_(S.FIELDS, S.VALID_FIELDS) + f"""
+SELECT polygon_number, {OPTION_STATUS!r}[CAST(polygon_number % 7 AS INTEGER) + 1] AS status FROM valid_fields""")
+def q_request_options(spark, sf):
+    i = (F.col("polygon_number") % 7).cast("int")
+    texts = {c: F.get(F.array(*[F.lit(x).cast("string") for x in v]), i) for c, v in OPTIONS.items()}
+    return validate_options(valid_fields(spark, sf).withColumns(texts)).select("polygon_number", "status")
+
+
 @query("time_points", with_(*BASE[:4]) + "SELECT polygon_number, time_idx, t_date FROM time_points")
 def q_time_points(spark, sf):
     return time_points(spark, sf).select("polygon_number", "time_idx", "t_date")
@@ -358,6 +373,18 @@ def q_composites(spark, sf):
     return IM.composites(stretched(spark, sf))
 
 
+_PRESET_VALUES = ", ".join(f"('{n}', '{b}')" for n, codes, _ in IM.presets() for b in codes)
+
+
+@query("preset_availability", with_(S.PIXELS) + f"""
+, have AS (SELECT DISTINCT field_id, time_idx, band FROM pixels)
+SELECT field_id, time_idx, preset, count(*) AS n_channels, string_agg(DISTINCT band, ',' ORDER BY band) AS bands, count(*) = 3 AS available
+FROM have JOIN (VALUES {_PRESET_VALUES}) AS l(preset, b) ON band = b
+GROUP BY field_id, time_idx, preset""".replace("\n, have AS", ", have AS", 1))
+def q_preset_availability(spark, sf):
+    return IM.preset_availability(D.pixel_chunks(spark, sf), IM.preset_bands(spark))
+
+
 _CHANGE = """
 change AS (
   SELECT field_id, row, col, v0, v1, v2, v1 - v0 AS d10, v2 - v1 AS d21, v2 - v0 AS d20 FROM (
@@ -430,6 +457,7 @@ def q_grid_check(spark, sf):
 
 # ---- 5. field order, ledger, logs ---------------------------------------------------------
 
+from fieldstack.functions.dates import date_spec, date_text  # noqa: E402
 from fieldstack.operators import ledger as LG  # noqa: E402
 from fieldstack.operators import logs as LO  # noqa: E402
 from fieldstack.plans.requests import order_and_limit, split_fields  # noqa: E402
@@ -632,12 +660,40 @@ def q_failure_classify(spark, sf):
             .withColumn("retry", LG.failure_retry(F.col("kind"))))
 
 
+WINDOWS_LIST = [3, 7, 14, 30]
+
+
+@query("search_attempts", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + """
+SELECT CAST(tp.polygon_number AS VARCHAR) AS file, tp.time_idx, tp.t_date, CAST(coalesce(p.attempt, 4) AS BIGINT) AS n_attempts,
+       coalesce(p.window_days, 30) AS last_window, p.window_days AS completed_window
+FROM time_points tp LEFT JOIN picks p USING (polygon_number, time_idx)""")
+def q_search_attempts(spark, sf):
+    """The run log that each field's search writes (a file for each field), and what is read back from it."""
+    st = SR.pick_status(time_points(spark, sf), picks(spark, sf))
+    tried = F.slice(F.array(*map(F.lit, WINDOWS_LIST)), 1, F.coalesce("attempt", F.lit(4)))
+    tp = F.concat(F.lit("t"), F.col("time_idx").cast("string"))
+
+    def attempt(w, i):
+        return F.concat(F.lit("   Attempt "), (i + 1).cast("string"), F.lit("/4: +-"), w.cast("string"), F.lit(" day window ("),
+                        date_text(F.date_sub("t_date", w)), F.lit(","), date_text(F.date_add("t_date", w)), F.lit(")"))
+    done = F.when(F.col("window_days").isNotNull(), F.array(F.concat(
+        F.lit("Download completed for "), tp, F.lit(" with +-"), F.col("window_days").cast("string"), F.lit(" day window")))).otherwise(
+        F.array(F.lit("giving up")))
+    text = F.concat(F.array(F.concat(F.lit("Downloading data for "), tp, F.lit(": "), date_text(F.col("t_date")))),
+                    F.transform(tried, attempt), done)
+    lines = st.select(F.col("polygon_number").cast("string").alias("file"), F.col("time_idx").alias("pos_a"),
+                      F.posexplode(text).alias("pos_b", "message"))
+    lines = lines.select("file", "pos_a", "pos_b", F.lit(0).alias("pos_c"),
+                         F.concat(F.lit("2025-01-01 10:00:00,000 - INFO - "), "message").alias("line"))
+    rec = LO.parse_records(lines, LOG_ORDER, F.col("pos_a"))
+    return LO.attempt_summary(rec, F.col("record_key.pos_a"))
+
+
 # ---- 6. geometry, coordinate files, dates --------------------------------------------------
 
 from fieldstack.functions import geo as GE  # noqa: E402
 from fieldstack.operators import windows as WN  # noqa: E402
 from fieldstack.session import checkpoint_dir, materialize  # noqa: E402
-from fieldstack.functions.dates import date_spec, date_text  # noqa: E402
 from fieldstack.plans.geo_sql import envelope_cte  # noqa: E402
 from fieldstack.sources import regions as RG  # noqa: E402
 
@@ -810,15 +866,22 @@ def region_text(spark, sf):
 _DEG_TXT = "CAST(CAST({c} AS DECIMAL(18,0)) / 1000000 AS DECIMAL(12,6))"
 
 
+# files as people write them: a corner corrected further down, a corner left out, comments alone
 @query("regions_parse", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS) + f"""
-SELECT CAST(polygon_number AS VARCHAR) AS region,
-       CAST(CAST({_DEG_TXT.format(c="south")} AS VARCHAR) AS DOUBLE) AS sw_lat,
-       CAST(CAST({_DEG_TXT.format(c="west")} AS VARCHAR) AS DOUBLE) AS sw_lon,
-       CAST(CAST({_DEG_TXT.format(c="north")} AS VARCHAR) AS DOUBLE) AS ne_lat,
-       CAST(CAST({_DEG_TXT.format(c="east")} AS VARCHAR) AS DOUBLE) AS ne_lon, 'OK' AS status
-FROM requests""")
+, c AS (SELECT polygon_number, polygon_number % 13 = 0 AS bare, polygon_number % 11 = 0 AS half,
+               CAST(CAST({_DEG_TXT.format(c="south")} AS VARCHAR) AS DOUBLE) AS s, CAST(CAST({_DEG_TXT.format(c="west")} AS VARCHAR) AS DOUBLE) AS w,
+               CAST(CAST({_DEG_TXT.format(c="north")} AS VARCHAR) AS DOUBLE) AS n, CAST(CAST({_DEG_TXT.format(c="east")} AS VARCHAR) AS DOUBLE) AS e
+        FROM requests)
+SELECT CAST(polygon_number AS VARCHAR) AS region, CASE WHEN NOT bare THEN s END AS sw_lat, CASE WHEN NOT bare THEN w END AS sw_lon,
+       CASE WHEN NOT bare AND NOT half THEN n END AS ne_lat, CASE WHEN NOT bare AND NOT half THEN e END AS ne_lon,
+       CASE WHEN bare OR half THEN 'MISSING_CORNER' ELSE 'OK' END AS status
+FROM c""".replace("\n, c AS", ", c AS", 1))
 def q_regions_parse(spark, sf):
-    return RG.parse_regions(region_text(spark, sf).withColumn("region", F.col("region").cast("string")))
+    lines = region_text(spark, sf)
+    wrong = lines.where("pos = 1 and region % 7 = 0").withColumns({"pos": F.lit(-1), "line": F.lit("sw 1.5,-2.5")})
+    kept = lines.where("not (region % 13 = 0 and pos > 0) and not (region % 11 = 0 and pos = 2)").unionByName(
+        wrong.where("region % 13 <> 0"))
+    return RG.parse_regions(kept.withColumn("region", F.col("region").cast("string")))
 
 
 @query("regions_roundtrip", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS)
@@ -924,16 +987,21 @@ def listing(spark, sf):
     return OG.tif_listing(paths).withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
 
 
+# a third of the rasters were saved as .tiff; where a band has both, that one is taken
 @query("band_files_preferred", with_(*BASE, S.PAIRS, S.FILES, S.PICKS) + f"""
-SELECT folder, band, min(path) AS path FROM (
+SELECT folder, band, arg_min(path, (ext <> 'tiff', path)) AS path FROM (
   SELECT path, regexp_replace(path, '/[^/]*$', '') AS folder,
-         regexp_extract(path, '({"|".join(BANDS)})\\.(tiff?)$', 1) AS band FROM (
+         regexp_extract(path, '({"|".join(BANDS)})\\.(tiff?)$', 1) AS band,
+         regexp_extract(path, '({"|".join(BANDS)})\\.(tiff?)$', 2) AS ext FROM (
     SELECT '{OUT_ROOT}/' || CAST(p.polygon_number AS VARCHAR) || '/t' || CAST(p.time_idx AS VARCHAR) || '/'
-           || f.granule_id || '/' || string_split(f.url, '/')[-1] AS path
+           || f.granule_id || '/' || string_split(f.url, '/')[-1] || CASE WHEN f.l_suppkey % 3 = 0 THEN 'f' ELSE '' END AS path
     FROM picks p JOIN granule_files f ON p.granule_key = f.granule_key))
 WHERE band <> '' GROUP BY folder, band""")
 def q_band_files_preferred(spark, sf):
-    return OG.prefer_tiff(listing(spark, sf), BANDS)
+    f = files(spark, sf).withColumn("url", F.concat("url", F.when(F.col("l_suppkey") % 3 == 0, "f").otherwise("")))
+    paths = GR.download_manifest(picks(spark, sf), f, [], OUT_ROOT).select(F.col("target_path").alias("path"))
+    listed_ = OG.tif_listing(paths, tiff=True).withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+    return OG.prefer_tiff(listed_, BANDS)
 
 
 # ---- 8. streaming (each checked against its batch equivalent) ------------------------------

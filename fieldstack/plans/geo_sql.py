@@ -1,25 +1,29 @@
 """SQL text of the UTM projection, for the DuckDB twins of the geometry queries.
 
-Same series and the same constants as ``fieldstack.functions.geo`` (imported from it), so
-both engines evaluate the same formula; results are compared after rounding to 1 cm.
+The constants are written out here, not taken from the code under test: eccentricity, the radius of the rectifying sphere and
+the first three coefficients of the transverse Mercator series for WGS84. Results are compared after rounding to 1 cm.
 """
 
-from fieldstack.constants import UTM_FALSE_EASTING, UTM_K0
-from fieldstack.functions import geo as G
+# WGS84 (a = 6378137 m, 1/f = 298.257223563), UTM.
+UTM_FALSE_EASTING = 500000.0
+UTM_K0 = 0.9996
+ECCENTRICITY = 0.08181919084262149
+RADIUS = 6367449.145823415
+ALPHA = [0.0008377318188192541, 7.608496958699166e-07, 1.2034877875966646e-09]
 
 
 def utm_xy_sql(lat: str, lon: str, zone: str) -> tuple[str, str]:
     phi = f"radians({lat})"
     dlam = f"radians(({lon}) - (({zone}) * 6 - 183))"
-    t = f"sinh(atanh(sin({phi})) - {G._C!r}::DOUBLE * atanh({G._C!r}::DOUBLE * sin({phi})))"
+    t = f"sinh(atanh(sin({phi})) - {ECCENTRICITY!r}::DOUBLE * atanh({ECCENTRICITY!r}::DOUBLE * sin({phi})))"
     xi = f"atan2({t}, cos({dlam}))"
     eta = f"atanh(sin({dlam}) / sqrt(1 + ({t}) * ({t})))"
     e_sum, n_sum = eta, xi
-    for j, a in enumerate(G._ALPHA, start=1):
+    for j, a in enumerate(ALPHA, start=1):
         e_sum = f"({e_sum}) + {a!r}::DOUBLE * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})"
         n_sum = f"({n_sum}) + {a!r}::DOUBLE * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})"
-    x = f"({UTM_FALSE_EASTING!r}::DOUBLE + {UTM_K0!r}::DOUBLE * {G._A!r}::DOUBLE * ({e_sum}))"
-    y = f"(0.0 + {UTM_K0!r}::DOUBLE * {G._A!r}::DOUBLE * ({n_sum}))"
+    x = f"({UTM_FALSE_EASTING!r}::DOUBLE + {UTM_K0!r}::DOUBLE * {RADIUS!r}::DOUBLE * ({e_sum}))"
+    y = f"(0.0 + {UTM_K0!r}::DOUBLE * {RADIUS!r}::DOUBLE * ({n_sum}))"
     return x, y
 
 

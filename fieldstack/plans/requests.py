@@ -43,6 +43,22 @@ def plan_requests(fields: DataFrame, half_size: float, n_points: int = N_TIME_PO
     )
 
 
+def validate_options(options: DataFrame, max_half_degrees: float = 1.0) -> DataFrame:
+    """Batch options as texts (start_text, end_text, order_text, limit_text, half_text) plus a status: the first of INVALID_DATE (not
+    YYYY-MM-DD, or no day of the calendar), INVALID_RANGE (start not before end), INVALID_ORDER, INVALID_LIMIT (not a positive whole
+    number; null is no limit), INVALID_BBOX_SIZE (not in (0, max]) that holds, or OK."""
+    def day(c: str):
+        return F.when(F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col(c).try_cast("date"))
+    limit, half = F.col("limit_text").try_cast("int"), F.col("half_text").try_cast("double")
+    status = (F.when(day("start_text").isNull() | day("end_text").isNull(), "INVALID_DATE")
+               .when(day("start_text") >= day("end_text"), "INVALID_RANGE")
+               .when(F.coalesce(~F.lower("order_text").isin(*ORDERS), F.lit(True)), "INVALID_ORDER")
+               .when(F.col("limit_text").isNotNull() & (limit.isNull() | (limit <= 0)), "INVALID_LIMIT")
+               .when(F.coalesce(~((half > 0) & (half <= max_half_degrees)), F.lit(True)), "INVALID_BBOX_SIZE")
+               .otherwise("OK"))
+    return options.withColumn("status", status)
+
+
 def explode_time_points(requests: DataFrame, n_points: int = N_TIME_POINTS, keys=("polygon_number",)) -> DataFrame:
     """Valid requests -> (keys, time_idx, t_date, box)."""
     ok = requests.where(F.col("status") == "OK")

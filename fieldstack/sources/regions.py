@@ -31,7 +31,6 @@ def parse_regions(lines: DataFrame, region_col: str = "region", pos_col: str = "
     x = lines.select(region_col, pos_col, corner.alias("corner"),
                      (F.regexp_extract(t, CORNER, 2)).try_cast("double").alias("lat"),
                      (F.regexp_extract(t, CORNER, 3)).try_cast("double").alias("lon"))
-    x = x.where(F.col("corner") != "")
     sw, ne = F.col("corner") == "sw", F.col("corner") == "ne"
     last = lambda cond, c: F.max_by(F.when(cond, F.col(c)), F.when(cond, F.col(pos_col)))
     agg = x.groupBy(region_col).agg(last(sw, "lat").alias("sw_lat"), last(sw, "lon").alias("sw_lon"),
