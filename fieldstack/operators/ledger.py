@@ -92,7 +92,7 @@ def eta_text(remaining_cs: Column) -> Column:
 def run_progress(ledger: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Per processed row: position, running success/failed/skipped counts, % done,
     elapsed time and ETA, in ledger order within each batch (chunked prefix scan)."""
-    chunk = chunk if chunk is not None else F.date_trunc("hour", F.col("ts"))
+    chunk = chunk if chunk is not None else F.date_trunc("minute", F.col("ts"))
     s = F.col("status")
     x = running_sums(ledger, ["batch_id"], ORDER, chunk, {
         "seq": F.lit(1).cast("long"),

@@ -4,7 +4,7 @@ partition key into one task.
 A plain ``sum(..) over (partition by batch order by ts)`` sends every row of a batch to a
 single task; if one batch holds a third of the data, that task holds a third of the data.
 Here the order is cut into chunks (any column that is monotone in the order, such as the
-hour of a timestamp or the split offset of a file). The window runs per (key, chunk), in
+minute of a timestamp or the split offset of a file). The window runs per (key, chunk), in
 parallel; a carry-in per chunk comes from a small per-chunk summary table (one row per
 chunk) and is joined back. The result equals the single-partition window exactly.
 """

@@ -589,7 +589,7 @@ LOG_ORDER = ["pos_a", "pos_b", "pos_c"]
 
 
 def log_records(spark, sf):
-    return LO.parse_records(log_lines(spark, sf), LOG_ORDER, F.date_trunc("hour", F.col("pos_a")))
+    return LO.parse_records(log_lines(spark, sf), LOG_ORDER, F.date_trunc("minute", F.col("pos_a")))
 
 
 LOG_RECORDS = """
@@ -620,7 +620,7 @@ SELECT file, ts, level, message,
 FROM log_records""")
 def q_log_steps(spark, sf):
     rec = log_records(spark, sf)
-    steps = LO.record_steps(rec, F.date_trunc("hour", F.col("record_key.pos_a")))
+    steps = LO.record_steps(rec, F.date_trunc("minute", F.col("record_key.pos_a")))
     return steps.select("file", "ts", "level", "message", "step_ms")
 
 
