@@ -38,6 +38,7 @@ from .common import U64, SpanHash, bit_places, bits_hold, flat, key_filter, mix,
 _LOW = U64((1 << 24) - 1)
 PIECE = 1 << 22             # bytes of one text that are looked at together
 SORTED = 3 << 19            # bytes that one suffix array holds at most
+BUCKET = 1 << 18            # bytes of tiles in a bucket, about
 PART = 8                    # windows in a part of a tile
 
 
@@ -299,7 +300,7 @@ def repeated_runs(docs: DataFrame, length: int, gram: int, max_tiles: int) -> Da
     piece = F.substring(F.col("text").cast("binary"), F.col("u").cast("int") + 1, F.col("n") + (length - 1))
     cut = stash(kinds.join(sources, "th").select("g", "tile", "c", "n", "dist", piece.alias("bytes")), "pieces")
     total = cut.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    buckets = max(1, -(-total // (1 << 20)))
+    buckets = max(1, -(-total // BUCKET))
     small = cut.join(big, "g", "left_anti").select("g", "tile", "bytes", F.pmod(F.xxhash64("g"), F.lit(buckets)).alias("bucket"))
     found = small.groupBy("bucket").applyInArrow(_sort_bucket(length), _FOUND)
     both = found.unionByName(_hot_groups(cut.join(big, "g", "left_semi"), length)).where("array_size(runs) > 0")
