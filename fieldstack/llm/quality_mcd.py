@@ -30,7 +30,7 @@ from .common import own, stash
 
 P = 5
 CHI2_MEDIAN = 4.3515        # chi-square, 5 degrees of freedom: median
-CHI2_CUTOFF = 25.745        # and its 0.9999 quantile
+CHI2_CUTOFF = 35.888        # and its 0.999999 quantile: tables and boilerplate stay, symbol junk goes
 SCALE = 64                  # integer steps in one unit of a logarithm
 FLOORS = (0.5, 0.1, 0.6, 1.0, 1.0)
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
