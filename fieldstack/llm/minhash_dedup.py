@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, SpanHash, flat, mix, slices, small_batches, stash, word_spans
+from .common import U64, SpanHash, flat, give_back, mix, slices, small_batches, stash, word_spans
 
 
 SKETCH = 4096       # bits
@@ -163,6 +163,7 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             either.append(len(a) + len(b) - both[-1])
         yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(both, pa.int64()),
                                           pa.array(either, pa.int64())], ["x", "y", "both", "either"])
+        give_back()
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from .common import flat, own, slices, small_batches
 MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LONG = 48               # bytes of a chunk that is solved on its own
-REMEMBER = 1 << 18      # chunks
+REMEMBER = 1 << 17      # chunks
 WINDOW = 256            # bases that the trie's builder tries at a time
 
 
