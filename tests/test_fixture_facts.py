@@ -4,6 +4,7 @@ the adapters and the range join must reproduce them exactly."""
 from conftest import SF_CHECK
 from pyspark.sql import functions as F
 
+from fieldstack.operators import search as SR
 from fieldstack.plans import catalog as C
 from fieldstack.sources import driver as D
 
@@ -17,14 +18,21 @@ def test_requests_and_pairs(spark):
 
 
 def test_picks_per_window(spark):
+    """The measured facts are of the search without a band filter."""
+    plain = SR.adaptive_pick(C.pairs(spark, SF_CHECK))
     got = {(r.time_idx, r.window_days): r.n for r in
-           C.picks(spark, SF_CHECK).groupBy("time_idx", "window_days").agg(F.count("*").alias("n")).collect()}
+           plain.groupBy("time_idx", "window_days").agg(F.count("*").alias("n")).collect()}
     want = {(0, 3): 143, (0, 7): 161, (0, 14): 229, (0, 30): 342,
             (1, 3): 142, (1, 7): 165, (1, 14): 216, (1, 30): 357,
             (2, 3): 135, (2, 7): 151, (2, 14): 225, (2, 30): 357}
     assert got == want
-    status = C.QUERIES["adaptive_window_status"](spark, SF_CHECK)
-    assert status.where("status = 'NO_DATA'").count() == 1808
+    points = C.time_points(spark, SF_CHECK)
+    assert SR.pick_status(points, plain).where("status = 'NO_DATA'").count() == 1808
+    # with it 49 time points have no granule left in any window, and 25 others take another one
+    banded = C.picks(spark, SF_CHECK)
+    assert SR.pick_status(points, banded).where("status = 'NO_DATA'").count() == 1808 + 49
+    both = plain.alias("a").join(banded.alias("b"), ["polygon_number", "time_idx"])
+    assert both.where("a.granule_key <> b.granule_key").count() == 25
 
 
 def test_files_and_pixels(spark):

@@ -36,9 +36,9 @@ def test_g2_bbox_and_utm(spark):
                                     F.lit(env.minx), F.lit(env.maxy), 30.0).alias("w")).first().w
     assert (win.out_width, win.out_height) == (545, 756)
     # the row-level envelope gives the same numbers
-    rows = GE.utm_envelope(spark.createDataFrame([(1, b.west, b.south, b.east, b.north)],
-                                                 "id int, w double, s double, e double, n double"),
-                           F.col("w"), F.col("s"), F.col("e"), F.col("n"), F.lit(44), keys=["id"]).first().env
+    rows = GE.with_envelope(spark.createDataFrame([(1, b.west, b.south, b.east, b.north)],
+                                                  "id int, w double, s double, e double, n double"),
+                            F.col("w"), F.col("s"), F.col("e"), F.col("n"), F.lit(44), "env").first().env
     assert [round(v, 2) for v in (rows.minx, rows.miny, rows.maxx, rows.maxy)] == \
         [294614.38, 5007012.59, 310990.73, 5029720.48]
 

@@ -7,7 +7,9 @@ from conftest import SF_SMALL
 import __spark_entry__ as E
 from oracle_check import connect, duck_rows, spark_rows
 
-NAMES = sorted(E.queries())
+from fieldstack.plans import catalog
+
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(catalog.ORACLE) <= set(E.oracle_sql())
 
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
