@@ -10,9 +10,8 @@ sequence as one). Two documents are linked if their sets' Jaccard similarity is
 3. Every bucket is a star: its least member is linked to the others. Each document's least star edge is
    confirmed on the full sets and components are contracted; then the remaining star edges between different
    components, then those of two more stars with random centres, in buckets whose members still lie apart. At last
-   pairs of such buckets are compared, only between components, each pair in the first band it shares, and only where a
-   link is possible: bit maps of the sets bound the intersection from above inside the join, so that few pairs that are no
-   links leave it. Pairs that a star misses aren't lost, and pairs inside a component are never made. What is left to
+   pairs of such buckets are compared, only between components, and only where a link is possible: bit maps of the
+   sets bound the intersection from above inside the join, so that few pairs that are no links leave it. Pairs that a star misses aren't lost, and pairs inside a component are never made. What is left to
    compare grows with the documents that come near a large component and belong to none.
 
 A pair at exactly 80 % shares none of 40 bands of 5 with a chance of 1.3e-7, less above. Confirmation is
@@ -35,7 +34,8 @@ from pyspark.sql import functions as F
 from .common import U64, SpanHash, flat, give_back, mix, slices, small_batches, stash, word_spans
 
 
-SKETCH = 4096       # bits
+SKETCH = 4096       # bits of a set's map
+FOLDED = 1024       # of the short one
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,7 +201,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     folded = stash(signed.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("rep")), "marks")
     every = stash(signed.join(folded, "mark", "left").selectExpr(
         "doc_id", "n_shingles", "rep", "if(doc_id = rep, bands, null) as bands"), "folded")
-    buckets = every.where("bands is not null").select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    buckets = every.where("bands is not null").select("rep", "n_shingles", F.explode("bands").alias("key"))
     turned = F.col("rep").bitwiseXOR(F.col("key"))       # its least and largest are centres that differ from bucket to bucket
     shared = stash(buckets.groupBy("key").agg(
         F.min("rep").alias("star"), F.max("rep").alias("far"),
@@ -239,20 +239,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     left = mixed(members, labels).drop("comp", "lo")
     for centre in ("star2", "star3"):
         labels = joined(labels, spokes(left, centre))
-    # what still lies apart in a bucket: met where the pair shares its first band, compared if sizes and sketches allow a link
-    left = mixed(left, labels).where("rep <> star").select("key", "band", "rep", "n_shingles", "comp", "lo")
-    known = (sets.selectExpr("doc_id as rep", "sketch", "aggregate(sketch, 0, (t, v) -> t + bit_count(v)) as ones")
-             .join(every.where("bands is not null").groupBy("doc_id").agg(F.min("bands").alias("bands")).withColumnRenamed("doc_id", "rep"), "rep"))
+    # what still lies apart in a bucket: compared if set sizes and bit maps allow a link; a short map is asked before the long one
+    left = mixed(left, labels).where("rep <> star").select("key", "rep", "n_shingles", "comp", "lo")
+    words = range(FOLDED // 64)
+    folded_word = ["|".join(f"get(sketch, {w + k * len(words)})" for k in range(SKETCH // FOLDED)) for w in words]
+    known = sets.select(F.col("doc_id").alias("rep"), "sketch", *[F.expr(e).alias(f"w{i}") for i, e in enumerate(folded_word)])
+    known = known.withColumns({"ones": F.expr("aggregate(sketch, 0, (t, v) -> t + bit_count(v))"),
+                               "few": F.expr("+".join(f"bit_count(w{i})" for i in words))})
     placed = stash(left.join(known, "rep"), "placed")
-    first = placed.selectExpr("key", "rep as x", "n_shingles as nx", "comp as cx", "lo", "band", "bands as bx", "sketch as sx",
-                              "n_shingles - ones as ex")
-    second = placed.where("comp <> lo").selectExpr("key as k", "rep as y", "n_shingles as ny", "comp as cy", "bands as b_y",
-                                                   "sketch as sy", "n_shingles - ones as ey")
-    shared_at_most = "aggregate(zip_with(sx, sy, (a, b) -> bit_count(a & b)), 0, (t, v) -> t + v) + least(ex, ey)"
-    rest = first.join(second, (F.col("key") == F.col("k")) & F.expr(
-        f"cx <> cy and (cx = lo or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny) "
-        "and array_position(zip_with(bx, b_y, (a, b) -> a = b), true) = band + 1 "
-        f"and {100 + percent} * ({shared_at_most}) >= {percent} * (nx + ny)"))
+
+    def side(rows: DataFrame, n: str) -> DataFrame:
+        return rows.selectExpr(f"key as k{n}", f"rep as {n}", f"n_shingles as n{n}", f"comp as c{n}", f"sketch as s{n}",
+                               f"n_shingles - ones as e{n}", f"n_shingles - few as f{n}", *[f"w{i} as w{i}{n}" for i in words], f"lo as lo{n}")
+
+    # common shingles set common bits; those that share a bit with another of their set are added back
+    at_most = "+".join(f"bit_count(w{i}x & w{i}y)" for i in words) + "+ least(fx, fy)"
+    at_most_long = "aggregate(zip_with(sx, sy, (a, b) -> bit_count(a & b)), 0, (t, v) -> t + v) + least(ex, ey)"
+    rest = side(placed, "x").join(side(placed.where("comp <> lo"), "y"), F.expr(
+        f"kx = ky and cx <> cy and (cx = lox or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny) "
+        f"and {100 + percent} * ({at_most}) >= {percent} * (nx + ny) and {100 + percent} * ({at_most_long}) >= {percent} * (nx + ny)"))
     labels = joined(labels, stash(rest.selectExpr("least(x, y) as x", "greatest(x, y) as y").distinct(), "rest"))
 
     # equal sets and rows of one doc_id: doc -> rep -> component; a doc_id with several texts joins their components
