@@ -57,9 +57,18 @@ def tree_merge(rows: DataFrame, key: str, parts: int, merge, schema: str, fan_in
         parts = -(-parts // fan_in)
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+ROWS_PER_FILE = 200_000
+
+
+def files_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_FILE))
+
+
+def stash(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the lineage with files
-    that outlive any executor."""
+    that outlive any executor. ``files``: into so many, for narrow tables of a known size; else a file for each task."""
+    if files is not None:
+        df = df.repartition(files)
     path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

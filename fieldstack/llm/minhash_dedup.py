@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, SpanHash, flat, give_back, mix, slices, small_batches, stash, word_spans
+from .common import U64, SpanHash, files_for, flat, give_back, mix, slices, small_batches, stash, word_spans
 
 
 SKETCH = 4096       # bits of a set's map
@@ -166,28 +166,28 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, files: int | None = None) -> DataFrame:
     """(node, comp): the least node each node reaches over ``edges`` (x, y). Every round maps each node to the least of
     its neighbourhood and contracts; nodes drop away at least by halves, so a star takes one round."""
     labels = nodes.select("node", F.col("node").alias("comp"))
     while True:
-        edges = stash(edges.where("x <> y").selectExpr("least(x, y) as x", "greatest(x, y) as y").distinct(), "edges")
+        edges = stash(edges.where("x <> y").selectExpr("least(x, y) as x", "greatest(x, y) as y").distinct(), "edges", files)
         if edges.isEmpty():
             return labels
         least = stash(edges.unionByName(edges.selectExpr("y as x", "x as y")).groupBy("x")
-                      .agg(F.min("y").alias("m")).selectExpr("x as c", "least(x, m) as m"), "least")
+                      .agg(F.min("y").alias("m")).selectExpr("x as c", "least(x, m) as m"), "least", files)
         labels = stash(labels.join(least, F.col("comp") == F.col("c"), "left")
-                       .selectExpr("node", "coalesce(m, comp) as comp"), "labels")
+                       .selectExpr("node", "coalesce(m, comp) as comp"), "labels", files)
         edges = (edges.join(least, F.col("x") == F.col("c")).selectExpr("m as x", "y")
                  .join(least, F.col("y") == F.col("c")).selectExpr("x", "m as y"))
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, sets: DataFrame, files: int) -> DataFrame:
     """(x, y, both, either): sizes of the intersection and union of the pairs' full sets."""
     a = sets.select(F.col("doc_id").alias("x"), F.col("hashes").alias("hx"))
     b = sets.select(F.col("doc_id").alias("y"), F.col("hashes").alias("hy"))
     return stash(pairs.join(b, "y").join(a, "x").select("x", "y", "hx", "hy")
-                 .mapInArrow(_similarity, "x long, y long, both long, either long"), "compared")
+                 .mapInArrow(_similarity, "x long, y long, both long, either long"), "compared", files)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40,
@@ -208,6 +208,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         F.min(turned).bitwiseXOR(F.col("key")).alias("star2"), F.max(turned).bitwiseXOR(F.col("key")).alias("star3")).where("star <> far").drop("far"), "shared")
     members = stash(buckets.join(shared, "key"), "members")     # of buckets with two members or more
     nodes = stash(members.select(F.col("rep").alias("node")).distinct(), "nodes")
+    files = files_for(nodes.count())       # of tables with a row or so for each node
     sets = stash(texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
                  .mapInArrow(_sets(shingle), "doc_id long, hashes binary, sketch array<long>"), "sets")
     linked = f"100 * both >= {percent} * either"
@@ -220,22 +221,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         """Labels after the links among those ``pairs`` that lie in different components."""
         a = labels.select(F.col("node").alias("x"), F.col("comp").alias("cx"))
         b = labels.select(F.col("node").alias("y"), F.col("comp").alias("cy"))
-        apart = stash(pairs.join(a, "x").join(b, "y").where("cx <> cy").select("x", "y", "cx", "cy"), "apart")
-        links = _compared(apart.select("x", "y"), sets).where(linked).join(apart, ["x", "y"])
-        heads = components(labels.select(F.col("comp").alias("node")).distinct(), links.selectExpr("cx as x", "cy as y"))
+        apart = stash(pairs.join(a, "x").join(b, "y").where("cx <> cy").select("x", "y", "cx", "cy"), "apart", files)
+        links = _compared(apart.select("x", "y"), sets, files).where(linked).join(apart, ["x", "y"])
+        heads = components(labels.select(F.col("comp").alias("node")).distinct(), links.selectExpr("cx as x", "cy as y"), files)
         return stash(labels.join(heads.withColumnRenamed("comp", "head"), labels.comp == heads.node)
-                     .select(labels.node, F.col("head").alias("comp")), "labels")
+                     .select(labels.node, F.col("head").alias("comp")), "labels", files)
 
     def mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
         """The rows of buckets whose members lie in different components, with comp and the bucket's least one."""
-        named = stash(rows.join(labels, F.col("rep") == F.col("node")).drop("node"), "named")
+        named = rows.join(labels, F.col("rep") == F.col("node")).drop("node")
         apart = stash(named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                      .where("lo <> hi").drop("hi"), "mixed")
+                      .where("lo <> hi").drop("hi"), "mixed", 2 * files)
         return stash(named.join(apart, "key"), "mixed")
 
-    stars = stash(spokes(members, "star"), "stars")
-    one = _compared(stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), sets).where(linked)
-    labels = joined(components(nodes, one.select("x", "y")), stars)
+    stars = stash(spokes(members, "star"), "stars", files)
+    one = _compared(stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), sets, files).where(linked)
+    labels = joined(components(nodes, one.select("x", "y"), files), stars)
     left = mixed(members, labels).drop("comp", "lo")
     for centre in ("star2", "star3"):
         labels = joined(labels, spokes(left, centre))
@@ -258,7 +259,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     rest = side(placed, "x").join(side(placed.where("comp <> lo"), "y"), F.expr(
         f"kx = ky and cx <> cy and (cx = lox or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny) "
         f"and {100 + percent} * ({at_most}) >= {percent} * (nx + ny) and {100 + percent} * ({at_most_long}) >= {percent} * (nx + ny)"))
-    labels = joined(labels, stash(rest.selectExpr("least(x, y) as x", "greatest(x, y) as y").distinct(), "rest"))
+    labels = joined(labels, stash(rest.selectExpr("least(x, y) as x", "greatest(x, y) as y").distinct(), "rest", files))
 
     # equal sets and rows of one doc_id: doc -> rep -> component; a doc_id with several texts joins their components
     ids = every.where("rep is not null and doc_id is not null").select("doc_id", "rep").join(

@@ -141,7 +141,7 @@ def temperature_mix(docs: DataFrame, source: str = "source", tokens: Column | No
     run = sums.selectExpr("mx_source", "mx_block", "mx_rest", "t", """coalesce(sum(t) over (partition by mx_source
                           order by o, mx_block rows between unbounded preceding and 1 preceding), 0) as before""")
     states = stash(run.where("before <= mx_rest").selectExpr(
-        "mx_source as mx_bs", "mx_block as mx_bb", "mx_rest - before as mx_room", "before + t <= mx_rest as mx_fits"), "blocks")
+        "mx_source as mx_bs", "mx_block as mx_bb", "mx_rest - before as mx_room", "before + t <= mx_rest as mx_fits"), "blocks", 1)
     on_block = F.col("mx_source").eqNullSafe(F.col("mx_bs")) & (F.col("mx_block") == F.col("mx_bb"))
     inner = _order(seed, "mx_whole", "mx_id")
     edge = part.join(states.where("not mx_fits"), on_block).select("mx_bs", "mx_bb", "mx_room", "mx_tokens", inner.alias("o"))
@@ -151,7 +151,7 @@ def temperature_mix(docs: DataFrame, source: str = "source", tokens: Column | No
     cuts = fit.groupBy("mx_bs", "mx_bb").agg(F.max("o").alias("mx_cut"))
     states = stash(states.join(cuts.select(F.col("mx_bs").alias("cs"), F.col("mx_bb").alias("cb"), "mx_cut"),
                                F.col("mx_bs").eqNullSafe(F.col("cs")) & (F.col("mx_bb") == F.col("cb")), "left")
-                   .select("mx_bs", "mx_bb", "mx_fits", "mx_cut"), "blocks")
+                   .select("mx_bs", "mx_bb", "mx_fits", "mx_cut"), "blocks", 1)
 
     more = F.coalesce(F.col("mx_fits") | (inner <= F.col("mx_cut")), F.lit(False)).cast("long")
     shown = placed(keyed).join(states, on_block, "left").withColumn("mx_n", F.col("mx_whole") + more)

@@ -139,8 +139,8 @@ def mcd_estimates(rows: DataFrame, h: float = 0.75, steps: int = 3) -> DataFrame
     every = rows.select("qm_g", *[f"qm_x{i}" for i in range(P)])
     plain = _moments(every, ["qm_g"]).withColumn("start", F.lit(1))
     # medians and mean absolute deviations from them; the statistics are integers of a bounded range
-    # group tables are written before they meet the rows: small ones are then sent to all tasks, larger ones leave hot groups splittable
-    medians = stash(every.groupBy("qm_g").agg(*[F.percentile(f"qm_x{i}", 0.5).alias(f"m{i}") for i in range(P)]), "mcd")
+    # group tables (a row for each language and source) are written before they meet the rows: small ones are then sent to all tasks, larger ones leave hot groups splittable
+    medians = stash(every.groupBy("qm_g").agg(*[F.percentile(f"qm_x{i}", 0.5).alias(f"m{i}") for i in range(P)]), "mcd", 1)
     spread = every.join(medians, "qm_g").groupBy("qm_g", *[f"m{i}" for i in range(P)]).agg(
         F.count("*").alias("n"),
         *[F.percentile(F.abs(F.col(f"qm_x{i}") - F.col(f"m{i}")), 0.5).alias(f"d{i}") for i in range(P)])
@@ -148,18 +148,18 @@ def mcd_estimates(rows: DataFrame, h: float = 0.75, steps: int = 3) -> DataFrame
         (F.expr(f"power(1.4826 * d{i}, 2)") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _pairs()],
         F.lit(2).alias("start"))
     keys = ["qm_g", "start"]
-    est = stash(_inverse_root(plain.unionByName(robust), keys), "mcd")
+    est = stash(_inverse_root(plain.unionByName(robust), keys), "mcd", 1)
     both = every.withColumn("start", F.explode(F.array(F.lit(1), F.lit(2))))
     for _ in range(steps):
         near = _distance(both, est, keys).withColumn("qm_r", F.expr(_RANK))
-        limit = stash(near.groupBy(*keys).agg(F.percentile("qm_r", h).alias("qm_h")), "mcd")
-        est = stash(_inverse_root(_moments(near.join(limit, keys).where("qm_r <= qm_h"), keys), keys), "mcd")
+        limit = stash(near.groupBy(*keys).agg(F.percentile("qm_r", h).alias("qm_h")), "mcd", 1)
+        est = stash(_inverse_root(_moments(near.join(limit, keys).where("qm_r <= qm_h"), keys), keys), "mcd", 1)
     best = est.groupBy("qm_g").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
-    est = stash(est.join(best, ["qm_g", "start"]).drop("start", "logdet"), "mcd")
+    est = stash(est.join(best, ["qm_g", "start"]).drop("start", "logdet"), "mcd", 1)
     # consistency: the median distance of the group's rows is that of a normal sample, or less
     scale = (_distance(every, est, ["qm_g"]).groupBy("qm_g")
              .agg(F.expr(f"greatest(1D, (power(2D, percentile({_RANK}, 0.5) / 32) - 1) / {CHI2_MEDIAN})").alias("qm_scale")))
-    return stash(est.join(scale, "qm_g"), "mcd")
+    return stash(est.join(scale, "qm_g"), "mcd", 1)
 
 
 def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, h: float = 0.75,
