@@ -33,7 +33,7 @@ def summarise(plan: str) -> dict:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from fieldstack import get_session
-    import __spark_entry__ as E
+    from fieldstack.plans.catalog import QUERIES
     spark = get_session(master="local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Executed plans ({os.path.basename(sf)}, local[8], AQE final plans)\n")
@@ -41,10 +41,10 @@ def main() -> None:
           "parquet scans with the number of columns read. Generated by `plan_report.py`.\n")
     print("| query | shuffles | bcast | joins | aggregates | windows | scans (cols read) |")
     print("|---|---|---|---|---|---|---|")
-    for name in sorted(E.queries()):
+    for name in sorted(QUERIES):
         if name.startswith("stream_"):
             continue
-        df = E.queries()[name](spark, sf)
+        df = QUERIES[name](spark, sf)
         df.collect()
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
         o = s["ops"]
