@@ -119,6 +119,25 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2, percent=80)
 
 
+OP4_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as ws from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(ws) >= 2 then list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])
+                                      else ws end) as s from words),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (select a.doc_id as x, b.doc_id as y, count(*) as i from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+           group by a.doc_id, b.doc_id),
+links as (select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * i >= 80 * (p.n + q.n - i)),
+near as (select x, y from links union all select y, x from links),
+reach as (select doc_id, doc_id as c from documents union select reach.doc_id, near.y from reach join near on reach.c = near.x)
+select d.doc_id, coalesce(sizes.n, 0) as n_shingles, r.c as component_id, d.doc_id = r.c as kept
+from documents d left join sizes on sizes.doc_id = d.doc_id
+join (select doc_id, min(c) as c from reach group by doc_id) r on r.doc_id = d.doc_id
+"""
+
+
 def op5_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -162,6 +181,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_minhash": OP4_SQL,
     "op9_url_filter": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
