@@ -148,6 +148,25 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_size("sd_spans").cast("long").alias("n_spans"), F.sha2("sd_kept", 256).alias("kept_sha256"))
 
 
+OP6_SQL = r"""
+with raw as (select doc_id, encode(coalesce(text, '')) as b from documents),
+starts as (select doc_id, b, unnest(range(1, greatest(octet_length(b) - 398, 1))) as i from raw),
+wins as (select doc_id, i, hex(b[i:i + 399]) as w from starts),
+again as (select w from wins group by w having count(*) > 1),
+hits as (select doc_id, i from wins where w in (select w from again)),
+edges as (select doc_id, i, lag(i) over (partition by doc_id order by i) as p from hits),
+runs as (select doc_id, i, sum(case when p is null or i > p + 400 then 1 else 0 end) over (partition by doc_id order by i) as run from edges),
+spans as (select doc_id, run, min(i) as a, max(i) + 400 as b from runs group by doc_id, run),
+cuts as (select doc_id, a, b from spans union all select doc_id, octet_length(b) + 1, null from raw),
+kept as (select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 1) as x, a as y from cuts),
+parts as (select kept.doc_id, string_agg(case when y > x then hex(raw.b[x:y - 1]) else '' end, '' order by x) as h
+          from kept join raw on raw.doc_id = kept.doc_id group by kept.doc_id)
+select raw.doc_id, octet_length(raw.b) as n_bytes, coalesce(s.n, 0)::bigint as n_removed, coalesce(s.k, 0) as n_spans, sha256(unhex(parts.h)) as kept_sha256
+from raw join parts on parts.doc_id = raw.doc_id
+left join (select doc_id, sum(b - a) as n, count(*) as k from spans group by doc_id) s on s.doc_id = raw.doc_id
+"""
+
+
 def held_out() -> Column:
     """Documents that no language profile is learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
@@ -182,6 +201,7 @@ QUERIES = {
 
 ORACLE = {
     "op4_minhash": OP4_SQL,
+    "op6_suffix_dedup": OP6_SQL,
     "op9_url_filter": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
