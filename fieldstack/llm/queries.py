@@ -97,6 +97,75 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *STATS, "base_failed", "kept")
 
 
+def _op1_sql(h: float = 0.75, steps: int = 3, min_group: int = 50) -> str:
+    """The whole estimate in SQL: the query's statistics from words and lines as rows, then the same steps over them. Numbers are written
+    out here (floors, scale, cutoff), not taken from the module."""
+    ws = r"[\x20\x09-\x0D]"
+    x, pairs = range(5), [(i, j) for i in range(5) for j in range(i + 1)]
+    floors = [0.5, 0.1, 0.6, 1.0, 1.0]
+    root = [f"c{i}{i} + {(f * 64) ** 2!r} as v{i}{i}" for i, f in enumerate(floors)]
+    for i in x:
+        for j in range(i):
+            root.append(f"(c{i}{j} - ({' + '.join([f'l{i}{k} * l{j}{k}' for k in range(j)]) or '0'})) / l{j}{j} as l{i}{j}")
+        root.append(f"sqrt(greatest(v{i}{i} - ({' + '.join([f'l{i}{k} * l{i}{k}' for k in range(i)]) or '0'}), 1e-6)) as l{i}{i}")
+        root += [f"-({' + '.join(f'l{i}{k} * r{k}{j}' for k in range(j, i))}) / l{i}{i} as r{i}{j}" for j in range(i)]
+        root.append(f"1 / l{i}{i} as r{i}{i}")
+    est = f"g, start, {', '.join(f'm{i}' for i in x)}, {', '.join(root)}, 2 * ({' + '.join(f'ln(l{i}{i})' for i in x)}) as logdet"
+    moments = "count(*) as n, " + ", ".join([f"sum(x{i}) as s{i}" for i in x] + [f"sum(x{i} * x{j}) as s{i}{j}" for i, j in pairs])
+    centre = ", ".join([f"s{i} / n as m{i}" for i in x] + [f"s{i}{j} / n - (s{i} / n) * (s{j} / n) as c{i}{j}" for i, j in pairs])
+    d2 = " + ".join("power(" + " + ".join(f"r{i}{j} * (x{j} - m{j})" for j in range(i + 1)) + ", 2)" for i in x)
+    rank = f"cast(round(32 * log2(1 + {d2})) as integer)"
+    rounds = ""
+    for k in range(steps):
+        rounds += f"""
+near{k} as (select r.*, e.start, {rank} as rk from fit r join est{k} e using (g)),
+lim{k} as (select g, start, quantile_cont(rk, {h}) as q from near{k} group by g, start),
+mom{k} as (select g, start, {moments} from near{k} join lim{k} using (g, start) where rk <= q group by g, start),
+est{k + 1} as (select {est} from (select g, start, {centre} from mom{k})),"""
+    return f"""
+with docs as (select row_number() over () as id, doc_id, lang, source, coalesce(text, '') as t from documents),
+words as (select id, list_filter(regexp_split_to_array(t, '{ws}+'), lambda w: w <> '') as w from docs),
+grams as (select id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as s from (select id, w, unnest(range(1, len(w) - 1)) as i from words)),
+twice as (select id, i, lead(i) over (partition by id order by i) as nxt from grams
+          where (id, s) in (select (id, s) from grams group by id, s having count(*) > 1)),
+cover as (select id, sum(least(3, coalesce(nxt - i, 3))) as n from twice group by id),
+lines as (select id, count(*) - count(distinct l) as n from (select id, unnest(string_split(t, chr(10))) as l from docs)
+          where regexp_matches(l, '[^\x20\x09-\x0D]') group by id),
+stats as (
+  select docs.*, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda v: length(v))), 0)::bigint as word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::bigint as n_symbols, coalesce(lines.n, 0)::bigint as n_dup_lines,
+         coalesce(cover.n, 0)::bigint as n_repeat_words, len(string_split(t, chr(10))) as n_lines
+  from docs join words using (id) left join lines using (id) left join cover using (id)),
+judged as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+         count(*) over (partition by lang, source) as n_ls, count(*) over (partition by lang) as n_l,
+         cast(round(64 * ln(1 + n_words)) as bigint) as x0, cast(round(64 * ln(1 + coalesce(word_chars / nullif(n_words, 0), 0))) as bigint) as x1,
+         cast(round(64 * ln(1 + coalesce(100 * n_symbols / nullif(word_chars, 0), 0))) as bigint) as x2,
+         cast(round(64 * ln(1 + coalesce(100 * n_dup_lines / nullif(n_lines, 0), 0))) as bigint) as x3,
+         cast(round(64 * ln(1 + coalesce(100 * n_repeat_words / nullif(n_words, 0), 0))) as bigint) as x4
+  from stats),
+rows_ as (
+  select *, case when n_ls >= {min_group} then 'l' || coalesce('=' || lang, '') || chr(1) || 's' || coalesce('=' || source, '')
+                 when n_l >= {min_group} then 'l' || coalesce('=' || lang, '') else 'all' end as g
+  from judged),
+fit as (select g, {', '.join(f'x{i}' for i in x)} from rows_ where not base_failed),
+med as (select g, {', '.join(f'quantile_cont(x{i}, 0.5) as m{i}' for i in x)} from fit group by g),
+mad as (select g, {', '.join(f'any_value(m{i}) as m{i}, quantile_cont(abs(x{i} - m{i}), 0.5) as d{i}' for i in x)}
+        from fit join med using (g) group by g),
+both_ as (
+  select g, 1 as start, {centre} from (select g, {moments} from fit group by g)
+  union all
+  select g, 2, {', '.join(f'm{i}' for i in x)}, {', '.join(f'power(1.4826 * d{i}, 2)' if i == j else '0.0' for i, j in pairs)} from mad),
+est0 as (select {est} from both_),{rounds}
+best as (select g, arg_min(start, (logdet, start)) as start from est{steps} group by g),
+final as (select e.* from est{steps} e join best using (g, start)),
+scale as (select g, greatest(1, (power(2, quantile_cont({rank}, 0.5) / 32) - 1) / 4.3515) as f from fit join final using (g) group by g)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and coalesce(({d2}) / f <= 35.888, true) as kept
+from rows_ left join final using (g) left join scale using (g)
+"""
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = spu.load_vocabulary(spu.VOCABULARY)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -200,6 +269,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_quality_mcd": _op1_sql(),
     "op4_minhash": OP4_SQL,
     "op6_suffix_dedup": OP6_SQL,
     "op9_url_filter": OP9_SQL,
