@@ -47,9 +47,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2. Token ids, and whether they decode to the very text."""
     vocab = spu.load_vocabulary(spu.VOCABULARY)
-    return spu.decode(spu.encode(docs.select(*COLUMNS), vocab), vocab).selectExpr(
+    return spu.encode(docs.select(*COLUMNS), vocab, check="exact").selectExpr(
         "doc_id", "lang", "source", "n_chars", "cast(coalesce(array_size(token_ids), 0) as bigint) as n_tokens",
-        "token_ids", "decoded <=> text as exact")
+        "token_ids", "coalesce(exact, true) as exact")
 
 
 STAGES = [

@@ -169,9 +169,8 @@ from rows_ left join final using (g) left join scale using (g)
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = spu.load_vocabulary(spu.VOCABULARY)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spu.decode(spu.encode(docs, vocab), vocab).selectExpr(
-        "doc_id", "cast(coalesce(array_size(token_ids), 0) as bigint) as n_tokens", "token_ids",
-        "decoded <=> text as exact")
+    return spu.encode(docs, vocab, check="exact").selectExpr(
+        "doc_id", "cast(coalesce(array_size(token_ids), 0) as bigint) as n_tokens", "token_ids", "coalesce(exact, true) as exact")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -305,55 +306,67 @@ def decode_ids(vocab: Vocabulary, ids: list[int] | None) -> str | None:
     return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
+class Decoder:
+    """Decodes many lists of ids at once."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.n = len(vocab.pieces)
+        self.size = np.array([len(p) for p in vocab.pieces] + [0])
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(vocab.pieces), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray, offs: np.ndarray) -> list[str]:
+        ids = np.where((ids >= 0) & (ids < self.n), ids, self.n)
+        out = []
+        for lo, hi in zip(offs[:-1].tolist(), offs[1:].tolist()):
+            part = ids[lo:hi]
+            ends = np.cumsum(self.size[part])
+            at = np.repeat(self.start[part] - (ends - self.size[part]), self.size[part]) + np.arange(int(ends[-1]) if len(part) else 0)
+            out.append(self.data[at].tobytes().removeprefix(b" ").decode("utf-8", "replace"))
+        return out
+
+
 def _shared(spark, vocab: Vocabulary):
     keys = {p: i for i, p in enumerate(vocab.pieces) if vocab.normal[i] and p}
     return spark.sparkContext.broadcast((vocab, build_trie(keys)))
 
 
-def encode(docs: DataFrame, vocab: Vocabulary, ids: str = "token_ids") -> DataFrame:
-    """``docs`` plus the ids of ``text``."""
+def encode(docs: DataFrame, vocab: Vocabulary, ids: str = "token_ids", check: str | None = None) -> DataFrame:
+    """``docs`` plus the ids of ``text``. ``check`` names a column that says whether the ids decode to the very text (null: null)."""
     small_batches(docs.sparkSession)
-    docs = own(docs, ids)
+    docs = own(docs, ids, *([check] if check else []))
     shared = _shared(docs.sparkSession, vocab)
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(check, T.BooleanType())] if check else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value)
+        encoder, decoder = Encoder(*shared.value), Decoder(shared.value[0])
         for batch in batches:
             for piece in slices(batch, "text"):
-                got, offs = encoder.encode(*flat(piece.column("text")))
-                null = piece.column("text").is_null()
-                lists = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(got), mask=null)
-                yield pa.RecordBatch.from_arrays([*piece.columns, lists], [*piece.schema.names, ids])
+                column = piece.column("text")
+                got, offs = encoder.encode(*flat(column))
+                null = column.is_null()
+                added = [pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(got), mask=null)]
+                if check:
+                    added.append(pc.equal(pa.array(decoder.decode(got, offs), pa.string()), column.cast(pa.string())))
+                yield pa.RecordBatch.from_arrays([*piece.columns, *added], [*piece.schema.names, *(f.name for f in fields)])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 
 
 def decode(docs: DataFrame, vocab: Vocabulary, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """``docs`` plus the text of the ids."""
+    small_batches(docs.sparkSession)
     docs = own(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        size = np.array([len(p) for p in v.pieces] + [0])
-        start = np.cumsum(size) - size
-        data = np.frombuffer(b"".join(v.pieces), dtype=np.uint8)
+        decoder = Decoder(shared.value)
         for batch in batches:
             lists = batch.column(ids)
             offs = np.asarray(lists.offsets).astype(np.int64)
             got = lists.values.fill_null(-1).to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].astype(np.int64)
-            offs = offs - offs[0]
-            got = np.where((got >= 0) & (got < len(v.pieces)), got, len(v.pieces))
-            out = []
-            for lo, hi in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                part = got[lo:hi]
-                ends = np.cumsum(size[part])
-                total = int(ends[-1]) if len(part) else 0
-                at = np.repeat(start[part] - (ends - size[part]), size[part]) + np.arange(total)
-                out.append(data[at].tobytes().removeprefix(b" ").decode("utf-8", "replace"))
-            texts = pa.array(out, pa.string())
-            if lists.null_count:
-                texts = pa.array([None if z else x for x, z in zip(out, lists.is_null().to_pylist())], pa.string())
+            out = decoder.decode(got, offs - offs[0])
+            texts = pa.array([None if z else x for x, z in zip(out, lists.is_null().to_pylist())], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, text])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(text, T.StringType())]))

@@ -97,6 +97,9 @@ def test_operator(spark, make, vocab, documents):
     out = S.decode(S.encode(make(rows), vocab), vocab).collect()
     assert len(out) == len(rows) and all(r.decoded == r.text for r in out)
     assert all((r.token_ids is None) == (r.text is None) for r in out)
-    assert S.encode(make([]), vocab).collect() == []
+    both = S.encode(make(rows), vocab, check="exact").collect()
+    assert all(r.exact is (None if r.text is None else True) for r in both)
+    assert sorted(map(str, ((r.doc_id, r.token_ids) for r in both))) == sorted(map(str, ((r.doc_id, r.token_ids) for r in out)))
+    assert S.encode(make([]), vocab, check="exact").collect() == []
     ids = spark.createDataFrame([([1, 31999, -4, 99999999, None, 258],)], "token_ids array<int>")
     assert S.decode(ids, vocab).first().decoded == "梦�"
