@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (SEGMENT, SPACE, U64, SpanHash, bit_places, bits_hold, filter_bits, flat, line_spans, mark_bits, own,
+from .common import (SEGMENT, SPACE, U64, SpanHash, bit_places, bits_hold, files_for, filter_bits, flat, line_spans, mark_bits, own,
                      slices, small_batches, stash, tree_merge)
 
 
@@ -136,7 +136,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     # written, so that the join below reads it through an exchange of its own and a hot key can be split
     repeated = stash(found.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
                 .groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
-                .where(F.col("n") >= min_docs).select("key", "keeper"), "repeated")
+                .where(F.col("n") >= min_docs).select("key", "keeper"), "repeated", files_for(found.count()))
     return (found.join(repeated, "key").where("doc_id <> keeper")
             .groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("drop")))
 

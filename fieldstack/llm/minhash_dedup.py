@@ -198,16 +198,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     signed = stash(texts.mapInArrow(_sign(shingle, bands, rows),
                                     "doc_id long, n_shingles long, mark binary, bands array<long>"), "signed")
     # small tables that a join with possibly hot keys meets are written first: such a join can be split
-    folded = stash(signed.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("rep")), "marks")
+    n = signed.count()
+    folded = stash(signed.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("rep")), "marks", files_for(n))
     every = stash(signed.join(folded, "mark", "left").selectExpr(
         "doc_id", "n_shingles", "rep", "if(doc_id = rep, bands, null) as bands"), "folded")
     buckets = every.where("bands is not null").select("rep", "n_shingles", F.explode("bands").alias("key"))
     turned = F.col("rep").bitwiseXOR(F.col("key"))       # its least and largest are centres that differ from bucket to bucket
     shared = stash(buckets.groupBy("key").agg(
         F.min("rep").alias("star"), F.max("rep").alias("far"),
-        F.min(turned).bitwiseXOR(F.col("key")).alias("star2"), F.max(turned).bitwiseXOR(F.col("key")).alias("star3")).where("star <> far").drop("far"), "shared")
-    members = stash(buckets.join(shared, "key"), "members")     # of buckets with two members or more
-    nodes = stash(members.select(F.col("rep").alias("node")).distinct(), "nodes")
+        F.min(turned).bitwiseXOR(F.col("key")).alias("star2"), F.max(turned).bitwiseXOR(F.col("key")).alias("star3")).where("star <> far").drop("far"), "shared", files_for(n * bands // 2))
+    members = stash(buckets.join(shared, "key"), "members", files_for(n * bands))     # of buckets with two members or more
+    nodes = stash(members.select(F.col("rep").alias("node")).distinct(), "nodes", files_for(n))
     files = files_for(nodes.count())       # of tables with a row or so for each node
     sets = stash(texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
                  .mapInArrow(_sets(shingle), "doc_id long, hashes binary, sketch array<long>"), "sets")
@@ -232,7 +233,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         named = rows.join(labels, F.col("rep") == F.col("node")).drop("node")
         apart = stash(named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                       .where("lo <> hi").drop("hi"), "mixed", 2 * files)
-        return stash(named.join(apart, "key"), "mixed")
+        return stash(named.join(apart, "key"), "mixed", files_for(n * bands))
 
     stars = stash(spokes(members, "star"), "stars", files)
     one = _compared(stars.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), sets, files).where(linked)
