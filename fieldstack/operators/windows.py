@@ -1,8 +1,7 @@
 """Field boxes as pixel windows of granule rasters.
 
 A granule's raster is the UTM envelope of its footprint, snapped outward to the pixel size. Footprints repeat, so
-their envelopes are computed once for each distinct (footprint, zone). A field's envelope is an expression over its own row; nothing
-is shuffled for it.
+their envelopes are computed once for each distinct (footprint, zone); a field's once for each zone that its dates' granules lie in.
 """
 
 from __future__ import annotations
@@ -34,7 +33,10 @@ def field_windows(picks: DataFrame, grids: DataFrame, requests: DataFrame, px: f
     j = (picks.select(*keys, "time_idx", "granule_key").join(grids, "granule_key")
          .join(requests.select(*keys, *BOX), list(keys)))
     deg = lambda c: F.col(c) / units_per_degree      # noqa: E731
-    x = GE.with_envelope(j, deg("west"), deg("south"), deg("east"), deg("north"), F.col("zone"), "fenv")
+    # a field's dates share its box, and mostly the zone: one envelope for each
+    boxes = j.select(*keys, "zone", *BOX).distinct()
+    env = GE.utm_envelope(boxes, deg("west"), deg("south"), deg("east"), deg("north"), F.col("zone"), keys=[*keys, "zone"], out="fenv")
+    x = j.join(env.select(*keys, "zone", "fenv"), [*keys, "zone"])
     f, win = F.col("fenv"), GE.pixel_window(F.col("fenv"), F.col("x0"), F.col("y0"), px)
     outside = (f.maxx <= F.col("x0")) | (f.minx >= F.col("x1")) | (f.maxy <= F.col("y1")) | (f.miny >= F.col("y0"))
     partial = (f.minx < F.col("x0")) | (f.maxx > F.col("x1")) | (f.miny < F.col("y1")) | (f.maxy > F.col("y0"))
