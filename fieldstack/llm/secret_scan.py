@@ -6,9 +6,10 @@ AKIA keys of 18 or more; ``hex``, lower-case hex runs of 16 or more.
 Method: every other run of 16 or more characters of ``[A-Za-z0-9+/_.=-]`` in a sensitive context (a word
 such as key, auth or bearer shortly before, on the same line) is a candidate. Its novelty is its marginal size: the
 bytes zstandard needs for it with a dictionary of common identifiers and of the text around it (the candidate left out), less
-those it needs for nothing. A candidate that costs at least ``min_novelty`` of its length, and mixes letters
-with digits or both cases, is reported as ``novel``. Identifiers and words that the surroundings or the dictionary spell out
-cost a few bytes and are no finding.
+those it needs for nothing. A candidate that costs at least ``min_novelty`` of what its characters cost in random order with nothing
+known, and mixes letters with digits or both cases, is reported as ``novel``. That full cost is the length up to 63 characters; from
+64 on zstandard codes characters by their frequency (hex in 4 bits), so it is measured on the shuffled candidate, and is no less than a
+random number's. Identifiers and words that the surroundings or the dictionary spell out cost a few bytes and are no finding.
 
 The bytes of many texts are searched at once for anything that a pattern needs; only texts that have some of it are matched.
 Texts are scanned whole, one by one, in bounded batches; nothing is shuffled.
@@ -19,6 +20,8 @@ named ss_.. are replaced.
 
 from __future__ import annotations
 
+import math
+import random
 import re
 from collections.abc import Iterator
 
@@ -61,6 +64,9 @@ IDENTIFIERS = (
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ https:// http://www. .com .org .net .html .json "
 ).encode()
 
+LITERALS = 64       # length from which zstandard codes characters by their frequency
+DIGIT = math.log2(10) / 8
+
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.A | re.I)
 _RUN = np.zeros(256, dtype=bool)
@@ -89,6 +95,16 @@ def marginal_bytes(candidate: str, around: str, level: int = 9) -> int:
     return len(packer.compress(candidate.encode())) - len(packer.compress(b""))
 
 
+def full_bytes(candidate: str, level: int = 9) -> float:
+    """Compressed bytes of ``candidate``'s characters if nothing spells them out."""
+    n = len(candidate)
+    if n < LITERALS:
+        return n
+    mixed = "".join(random.Random(0).sample(candidate, n)).encode()
+    packer = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
+    return max(DIGIT * n, min(n, len(packer.compress(mixed)) - len(packer.compress(b""))))
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, int]], min_novelty: float, before: int,
                 around: int) -> list[tuple[int, int, int]]:
     out, at = [], 0
@@ -102,7 +118,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, int]], min_novelty: float
         if not _SENSITIVE.search(text, line + 1 if line >= 0 else max(0, lo - before), lo):
             continue
         known = text[max(0, lo - around):lo] + " " + text[hi:hi + around]
-        if marginal_bytes(m[0], known) >= min_novelty * len(m[0]):
+        if marginal_bytes(m[0], known) >= min_novelty * full_bytes(m[0]):
             out.append((lo, hi, 3))
     return out
 

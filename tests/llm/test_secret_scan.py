@@ -58,3 +58,32 @@ def test_query(spark, documents):
         assert (got[d].n_assign, got[d].n_access, got[d].n_hex) == tuple(sum(k == i for *_, k in want) for i in range(3))
         assert got[d].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert set(text.split(",")) - {""} <= set(got[d].spans.split(","))
+
+
+def long_secrets():
+    import base64
+    import json
+    import random
+    r = random.Random(5)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    for name, chars, sizes in (("hex", "0123456789ABCDEF", (63, 64, 80, 128)), ("base32", upper + "234567", (200, 400, 1000)),
+                               ("base64", upper + lower + "0123456789+/", (64, 512, 1024, 4000))):
+        for n in sizes:
+            while re.search("[0-9a-f]{16}", s := "".join(r.choices(chars, k=n))):       # that is another kind
+                pass
+            yield pytest.param(s, id=f"{name}-{n}")
+    part = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")     # noqa: E731
+    for claims in (6, 40):
+        body = {"".join(r.choices(lower, k=8)): "".join(r.choices(lower, k=16)) for _ in range(claims)}
+        yield pytest.param(".".join([part(json.dumps({"alg": "HS256", "typ": "JWT"}).encode()), part(json.dumps(body).encode()),
+                                     part(r.randbytes(32))]), id=f"jwt-{claims}")
+
+
+@pytest.mark.parametrize("s", list(long_secrets()))
+def test_length_and_alphabet_do_not_decide(s):
+    assert [(a, b) for a, b, k in X.scan("auth header: " + s) if k == 3] == [(13, 13 + len(s))]
+
+
+@pytest.mark.parametrize("s", ["A" * 99 + "1", "A1" * 100, "configurationContainerContext2" * 4, "getElementByIdGetValueHandler1/" * 3, "=" * 120 + "Ab1"])
+def test_long_strings_that_repeat_are_no_finding(s):
+    assert [k for *_, k in X.scan("auth header: " + s) if k == 3] == []
