@@ -4,9 +4,10 @@ Base patterns (leftmost, non-overlapping, per kind): ``assign``, a keyword with
 AKIA keys of 18 or more; ``hex``, lower-case hex runs of 16 or more.
 
 Method: every other run of 16 or more characters of ``[A-Za-z0-9+/_.=-]`` in a sensitive context (a word
-such as key, auth or bearer shortly before, on the same line) is a candidate. Its novelty is its marginal size: the
-bytes zstandard needs for it with a dictionary of common identifiers and of the text around it (the candidate left out), less
-those it needs for nothing. A candidate that costs at least ``min_novelty`` of what its characters cost in random order with nothing
+such as key, auth or bearer shortly before, on the same line; or a line of a block under a header that has such a word: a PEM body, a
+value on the lines after ``key:`` or ``key: |``) is a candidate. Its novelty is its marginal size: the
+bytes zstandard needs for it with a dictionary of common identifiers and of the text around it (the candidate left out, and its
+copies that stand in a sensitive context themselves; a copy elsewhere counts as spelled out), less those it needs for nothing. A candidate that costs at least ``min_novelty`` of what its characters cost in random order with nothing
 known, and mixes letters with digits or both cases, is reported as ``novel``. That full cost is the length up to 63 characters; from
 64 on zstandard codes characters by their frequency (hex in 4 bits), so it is measured on the shuffled candidate, and is no less than a
 random number's. Identifiers and words that the surroundings or the dictionary spell out cost a few bytes and are no finding.
@@ -20,6 +21,7 @@ named ss_.. are replaced.
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 import re
@@ -69,6 +71,11 @@ DIGIT = math.log2(10) / 8
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.A | re.I)
+# Lines of blocks: what opens one, what goes on in it (with PEM's attributes and empty lines), what may stand before a value on its line.
+OPENS = re.compile(r"[:=][ \t]*[|>]?[+-]?[0-9]?[\"'(\[{]?\\?$")
+BODY = re.compile(r"(?:- +)?[\"']?[A-Za-z0-9+/_.=-]+[\"']?[ \t]*[,+\\]?|(?:Proc-Type|DEK-Info|Version|Comment): .*", re.A)
+MARGIN = " \t\r\"'-"
+LONG_LINE, PEM_LINE = 1000, 8192
 _RUN = np.zeros(256, dtype=bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")] = True
 
@@ -105,20 +112,92 @@ def full_bytes(candidate: str, level: int = 9) -> float:
     return max(DIGIT * n, min(n, len(packer.compress(mixed)) - len(packer.compress(b""))))
 
 
+class Contexts:
+    """Which places of a text are sensitive."""
+
+    def __init__(self, text: str, before: int):
+        self.text, self.before = text, before
+        self.blocks: dict[int, bool] = {}
+        self.places: dict[int, bool] = {}
+        self.runs = [m.span() for m in CANDIDATE.finditer(text)]
+
+    def _block(self, start: int) -> bool:
+        """Whether the line at ``start`` goes on a block whose header is sensitive."""
+        seen, verdict = [], False
+        while start > 0:
+            if start in self.blocks:
+                verdict = self.blocks[start]
+                break
+            seen.append(start)
+            end = start - 1
+            start = self.text.rfind("\n", max(0, end - LONG_LINE), end) + 1
+            if not start and end > LONG_LINE:
+                break
+            line = self.text[start:end].strip()
+            if "-----BEGIN" in line or OPENS.search(line):
+                verdict = bool(_SENSITIVE.search(line))
+                break
+            if line and not BODY.fullmatch(line):
+                break
+        self.blocks.update(dict.fromkeys(seen, verdict))
+        return verdict
+
+    def _sensitive(self, lo: int) -> bool:
+        text, first = self.text, max(0, lo - self.before)
+        if _SENSITIVE.search(text, max(first, text.rfind("\n", first, lo) + 1), lo):
+            return True
+        # a PEM body on one line, its line ends escaped
+        first = max(0, lo - PEM_LINE)
+        begin = text.rfind("-----BEGIN", max(first, text.rfind("\n", first, lo) + 1), lo)
+        if begin >= 0 and text.find("-----END", begin, lo) < 0 and _SENSITIVE.search(text, begin, min(lo, begin + 64)):
+            return True
+        # the first thing on its line, which a block may hold
+        start = text.rfind("\n", max(0, lo - LONG_LINE), lo) + 1
+        return start > 0 and not text[start:lo].strip(MARGIN) and self._block(start)
+
+    def sensitive(self, lo: int) -> bool:
+        if lo not in self.places:
+            self.places[lo] = self._sensitive(lo)
+        return self.places[lo]
+
+    def _copy(self, at: int) -> bool:
+        """Whether what stands at ``at``, or the run of characters that holds it, is in a sensitive context."""
+        run = bisect.bisect_right(self.runs, (at, len(self.text))) - 1
+        return self.sensitive(at) or run >= 0 and at < self.runs[run][1] and self.sensitive(self.runs[run][0])
+
+    def around(self, lo: int, hi: int, around: int) -> str:
+        """The text around a candidate, without its copies in sensitive contexts."""
+        first, last = max(0, lo - around), hi + around
+        core = self.text[lo:hi].strip("+/_.=-")
+        parts, done = [], first
+        # copies that reach over the edge count as well
+        at = self.text.find(core, max(0, first - len(core)), last + len(core))
+        while at >= 0:
+            if lo <= at < hi:
+                cut = (lo, hi)
+            elif self._copy(at):
+                cut = (at, at + len(core))
+            else:
+                cut = None
+            if cut:
+                parts.append(self.text[done:min(cut[0], last)])
+                done = max(done, cut[1])
+            at = self.text.find(core, cut[1] if cut else at + 1, last + len(core))
+        return " ".join([*parts, self.text[done:last]])
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, int]], min_novelty: float, before: int,
                 around: int) -> list[tuple[int, int, int]]:
-    out, at = [], 0
+    out, at, contexts = [], 0, Contexts(text, before)
     for m in CANDIDATE.finditer(text):
         lo, hi = m.span()
         while at < len(taken) and taken[at][1] <= lo:
             at += 1
         if any(s < hi and lo < e for s, e, _ in taken[at:at + 3]) or not _mixed(m[0]):
             continue
-        line = text.rfind("\n", max(0, lo - before), lo)
-        if not _SENSITIVE.search(text, line + 1 if line >= 0 else max(0, lo - before), lo):
+        if not contexts.sensitive(lo):
             continue
-        known = text[max(0, lo - around):lo] + " " + text[hi:hi + around]
-        if marginal_bytes(m[0], known) >= min_novelty * full_bytes(m[0]):
+        if marginal_bytes(m[0], contexts.around(lo, hi, around)) >= min_novelty * full_bytes(m[0]):
             out.append((lo, hi, 3))
     return out
 

@@ -87,3 +87,25 @@ def test_length_and_alphabet_do_not_decide(s):
 @pytest.mark.parametrize("s", ["A" * 99 + "1", "A1" * 100, "configurationContainerContext2" * 4, "getElementByIdGetValueHandler1/" * 3, "=" * 120 + "Ab1"])
 def test_long_strings_that_repeat_are_no_finding(s):
     assert [k for *_, k in X.scan("auth header: " + s) if k == 3] == []
+
+
+KEY, OTHER = "Zk3vQ9xT7pLm2RwYbN8sJc5HdF4gUa6E", "pX8mW2nVq7KtZ4rLs9BfYc3GhD6jTe5A"
+
+
+@pytest.mark.parametrize("text, found", [
+    (f"auth: {KEY}\n{'some prose ' * 40}\nauth: {KEY}\n", [KEY] * 2),
+    (f"auth: {KEY}\n{'x ' * 985}\nauth: {KEY}\n", [KEY] * 2),                       # a copy over the edge of what is looked at
+    (f"key {KEY}. key {KEY}== and token={KEY}", [KEY + ".", KEY + "=="]),             # the last is of another kind
+    ("private key:\n" + f"{KEY}\n" * 5, [KEY] * 5),
+    (f"{KEY} is public. key: {KEY}", []),
+    (f"auth: |\n  {KEY}\n  {OTHER}\n", [KEY, OTHER]),
+    (f"session:\n  - {KEY}\n  - '{OTHER}'\r\n", [KEY, OTHER]),
+    (f"colour: |\n  {KEY}\n", []),
+    (f"auth: |\n  {KEY}\nand then came prose\n{OTHER}\n", [KEY]),
+    ("-----BEGIN RSA PRIVATE KEY-----\r\nProc-Type: 4,ENCRYPTED\r\n\r\n" + "\r\n".join([KEY, OTHER]) + "\r\n-----END RSA PRIVATE KEY-----\r\n",
+     [KEY, OTHER]),
+    (f"-----BEGIN PRIVATE KEY-----\n{KEY}\n-----END PRIVATE KEY-----\n{OTHER}\n", [KEY]),
+    (f"'-----BEGIN PRIVATE KEY-----\\n{'A' * 80}\\n/{KEY}\\n-----END PRIVATE KEY----- {'b ' * 30}{OTHER}'", ["n/" + KEY]),
+])
+def test_copies_and_blocks(text, found):
+    assert [text[a:b] for a, b, k in X.scan(text) if k == 3] == found
