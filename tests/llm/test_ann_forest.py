@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +57,20 @@ def test_ranges_are_shared_prefixes(drop):
     lo, hi = _range(keys, keys[::50], drop)
     for a, b, key in zip(lo, hi, keys[::50]):
         assert set(range(a, b)) == {i for i, k in enumerate(keys) if int(k) >> drop == int(key) >> drop}
+
+
+@pytest.mark.parametrize("n", [3000, 8000])
+@pytest.mark.parametrize("lengths", ["one", "lognormal", "few ten times longer", "one a million times longer"])
+def test_recall_on_unequal_lengths(spark, n, lengths):
+    """Unrelated directions. Sizes above those at which the least number of candidates is a larger share."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"one": np.ones((n, 1)), "lognormal": rng.lognormal(0, 1, (n, 1)), "few ten times longer": np.where(rng.random((n, 1)) < 0.01, 10, 1),
+          "one a million times longer": np.where(np.arange(n) == 7, 1e6, 1)[:, None]}[lengths]
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.tolist()}), "vec_id long, embedding array<double>")
+    got = forest_search(df, F.col("vec_id") % (n // 40) == 0, k=20).collect()
+    asked = {r.query_id for r in got}
+    want = {q: {i for i, _ in exact(np.arange(n), x, q)} for q in asked}
+    hits = sum(r.vec_id in want[r.query_id] for r in got)
+    assert len(asked) >= 40 and hits >= 0.95 * 20 * len(asked)
