@@ -46,17 +46,14 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         docs.withColumn("qm_t", F.expr("coalesce(text, '')"))
         .withColumn("qm_w", F.expr(f"split(btrim(qm_t, '{_SPACES}'), '[\\\\x20\\\\x09-\\\\x0D]+')"))
         .withColumn("n_words", F.expr("if(get(qm_w, 0) = '', 0, array_size(qm_w))"))
-        # position bits that leave the rest of 64 bits to the hash of a 3-word window
-        .withColumn("qm_b", F.expr("length(bin(n_words))"))
+        # all 64 bits of the hash of a 3-word window, and its position
         .withColumn("qm_s", F.expr("""
-            if(n_words < 4, array(), array_sort(slice(transform(qm_w, (w, i) ->
-               shiftleft(shiftright(xxhash64(w, get(qm_w, i + 1), get(qm_w, i + 2)), qm_b), qm_b) + i),
-               1, n_words - 2)))"""))
+            if(n_words < 4, array(), sort_array(slice(transform(qm_w, (w, i) ->
+               named_struct('h', xxhash64(w, get(qm_w, i + 1), get(qm_w, i + 2)), 'i', i)), 1, n_words - 2)))"""))
         .withColumn("qm_p", F.expr("""
-            array_sort(transform(filter(qm_s, (x, i) ->
-                coalesce(shiftright(x, qm_b) = shiftright(get(qm_s, i + 1), qm_b), false)
-                or coalesce(shiftright(x, qm_b) = shiftright(get(qm_s, i - 1), qm_b), false)),
-                x -> x & (shiftleft(1L, qm_b) - 1)))"""))
+            sort_array(transform(filter(qm_s, (x, i) ->
+                coalesce(x.h = get(qm_s, i + 1).h, false) or coalesce(x.h = get(qm_s, i - 1).h, false)),
+                x -> x.i))"""))
         .withColumn("qm_l", F.expr("split(qm_t, '\\n', -1)"))
         .withColumn("qm_f", F.expr("filter(qm_l, l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"))
     )
@@ -68,7 +65,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         "n_lines": F.expr("cast(array_size(qm_l) as bigint)"),
         "n_repeat_words": F.expr("""cast(coalesce(aggregate(transform(qm_p, (p, i) ->
             least(3L, coalesce(get(qm_p, i + 1) - p, 3L))), 0L, (a, x) -> a + x), 0L) as bigint)"""),
-    }).drop("text", "qm_t", "qm_w", "qm_b", "qm_s", "qm_p", "qm_l", "qm_f")
+    }).drop("text", "qm_t", "qm_w", "qm_s", "qm_p", "qm_l", "qm_f")
 
 
 def _features(stats: DataFrame) -> DataFrame:

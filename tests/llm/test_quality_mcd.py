@@ -77,3 +77,12 @@ def test_small_groups_use_their_language_or_all(make):
 
 def test_empty(make):
     assert Q.quality_rules(make([])).collect() == []
+
+
+def test_windows_of_long_texts_repeat_by_all_of_their_hash(make):
+    """Two pairs of windows whose 64-bit hashes agree in the first 46 bits, in texts of 140,000 words; and a pair that does repeat."""
+    filler = " ".join(f"f{i}" for i in range(140000))
+    texts = [f"x w612437 y {filler} x w8385850 y", f"x w6352480 y {filler} x w23530694 y", f"x w612437 y {filler} x w612437 y"]
+    got = {r.doc_id: r for r in Q.text_statistics(make(list(enumerate(texts)))).collect()}
+    assert [tuple(got[i][c] for c in Q.STATS) for i in range(3)] == [brute(t) for t in texts]
+    assert [got[i].n_repeat_words for i in range(3)] == [0, 0, 6]
