@@ -1,7 +1,7 @@
 """Facts about the driver tables measured independently at sf0.01 (FIXTURES.md, part B):
 the adapters and the range join must reproduce them exactly."""
 
-from conftest import SF_CHECK
+from scales import SF_CHECK
 from pyspark.sql import functions as F
 
 from fieldstack.operators import search as SR

@@ -145,7 +145,7 @@ def test_histogram_sums_and_flat_stretch(spark):
 
 def test_salted_range_join_equals_plain(spark):
     """Forcing every (cell, bin) key hot (threshold 3 rows) must not change the pairs."""
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from fieldstack.operators import search as SR
     from fieldstack.plans import catalog as C
     from fieldstack.sources import driver as D
@@ -159,7 +159,7 @@ def test_salted_range_join_equals_plain(spark):
 
 
 def test_sinks_roundtrip(spark, tmp_path):
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from fieldstack.plans import catalog as C
     from fieldstack.sinks import writers as W
     stack = C.QUERIES["stack_assemble"](spark, SF_SMALL)
@@ -181,7 +181,7 @@ def test_sinks_roundtrip(spark, tmp_path):
 
 
 def test_batch_run_and_resume(spark, tmp_path):
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from fieldstack.plans import catalog as C
     from fieldstack.plans.batch import run_batch
     from fieldstack.sources import driver as D
@@ -271,7 +271,7 @@ def test_attempt_summary(spark, tmp_path):
 
 
 def test_stack_write_read_unpivot_roundtrip(spark, tmp_path):
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from fieldstack.operators import assemble as AS
     from fieldstack.sinks import writers as W
     from fieldstack.sources import driver as D
@@ -291,7 +291,7 @@ def test_stack_write_read_unpivot_roundtrip(spark, tmp_path):
 
 
 def test_two_completeness_forms_agree(spark):
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     from fieldstack.plans import catalog as C
     pk = C.picks(spark, SF_SMALL)
     a = OG.band_completeness(pk, C.organize(spark, SF_SMALL, pk))

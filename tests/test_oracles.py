@@ -2,7 +2,7 @@
 ``python tests/oracle_check.py`` runs that scale)."""
 
 import pytest
-from conftest import SF_SMALL
+from scales import SF_SMALL
 
 import __spark_entry__ as E
 from oracle_check import connect, duck_rows, spark_rows

@@ -1,6 +1,6 @@
 """Plan shape: the range join never degenerates, filters and pruning reach the scans."""
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 
 from fieldstack.plans import catalog as C
 

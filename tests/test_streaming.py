@@ -12,7 +12,7 @@ from fieldstack.streaming import jobs as SJ
 @pytest.fixture
 def events(spark, tmp_path):
     """The events in four files, the latest first; later calls add more."""
-    from conftest import SF_SMALL
+    from scales import SF_SMALL
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     n = ev.count()
     parts = [ev.where(F.col("event_id").between(n * k // 4, n * (k + 1) // 4 - 1)) for k in range(4)]
