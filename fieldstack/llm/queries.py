@@ -11,6 +11,7 @@ from . import sentencepiece_unigram as spu
 from .ann_forest import forest_search
 from .language_mixture import language_mixture, learn_profiles
 from .line_dedup import line_dedup
+from .merkle_manifest import digest, fold, leaf_digest, merkle_manifest, siblings
 from .minhash_dedup import near_duplicates
 from .mixing import temperature_mix
 from .quality_mcd import STATS, quality_rules
@@ -254,6 +255,58 @@ def op8_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "mx_tokens as n_tokens", "mx_epoch as epoch", "mx_block as block", "mx_order as position")
 
 
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*MANIFEST_FIELDS)
+    tampered = leaf_digest([F.replace("text", F.lit("\n"), F.lit("")) if f == "text" else F.col(f) for f in MANIFEST_FIELDS])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    rows = merkle_manifest(docs, MANIFEST_FIELDS, carry={"other": F.when(chosen, tampered)})
+    folded = fold(F.coalesce("other", "mk_leaf"), F.col("mk_path"))
+    return rows.select("doc_id", F.col("mk_leaf").alias("leaf"), F.col("mk_subroot").alias("subroot"), F.col("mk_root").alias("root"),
+                       digest(siblings(F.col("mk_path"))).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
+        "verified", F.expr("folded_root = root"))
+
+
+def _op11_sql(levels: int = 16, top: int = 6) -> str:
+    """The trees level by level; enough levels for 3^16 documents of a source and 3^6 sources. Needs distinct doc_ids within a source."""
+    def climb(name: str, start: str, of: str, count: int) -> str:
+        """{name}N: nodes (g, i, h, c) with c nodes on the level; {of}N: (id, g, i, proof, fold) of what climbs."""
+        out = ""
+        for k in range(count):
+            prev = start if k == 0 else f"{name}{k}"
+            out += f"""
+{name}s{k} as materialized (select g, i, c, coalesce(string_agg(h, '') over (partition by g, i // 3 order by i rows between unbounded preceding and 1 preceding), '') as l,
+  coalesce(string_agg(h, '') over (partition by g, i // 3 order by i rows between 1 following and unbounded following), '') as r from {prev}),
+{name}{k + 1} as materialized (select g, i // 3 as i, case when any_value(c) > 1 then sha256(string_agg(h, '' order by i)) else any_value(h) end as h,
+  (any_value(c) + 2) // 3 as c from {prev} group by g, i // 3),
+{of}{k + 1} as materialized (select id, g, i // 3 as i, case when c > 1 then proof || l || r else proof end as proof,
+  case when c > 1 then sha256(l || fold || r) else fold end as fold from {of}{k} join {name}s{k} using (g, i)),"""
+        return out
+
+    field = lambda c, v: f"coalesce(octet_length(encode(({v})::varchar))::varchar || ':' || ({v})::varchar, '-')"      # noqa: E731
+    leaf = lambda text: "sha256(" + " || ".join(field(c, text if c == "text" else c) for c in MANIFEST_FIELDS) + ")"
+    # CRC-32, bit by bit: each byte enters with its first bit, seven more follow
+    bits = "list_concat([4294967295], flatten(list_transform(string_split(doc_id::varchar, ''), lambda x: [ord(x), 0, 0, 0, 0, 0, 0, 0])))"
+    crc = f"xor(list_reduce({bits}, lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"
+    return f"""
+with docs as materialized (
+  select row_number() over () as id, doc_id, dense_rank() over (order by source nulls first) - 1 as g,
+         row_number() over (partition by source order by doc_id nulls first) - 1 as i, count(*) over (partition by source) as c,
+         {leaf('text')} as h, case when coalesce({crc} % 2 = 0, false) then {leaf("replace(text, chr(10), '')")} end as other
+  from documents),
+a0 as materialized (select id, g, i, '' as proof, coalesce(other, h) as fold from docs),
+{climb('n', 'docs', 'a', levels)}
+subroots as materialized (select 0 as g, g as i, h, count(*) over () as c from n{levels}),
+b0 as materialized (select id, 0 as g, g as i, proof, fold from a{levels}),
+{climb('m', 'subroots', 'b', top)}
+root as (select any_value(h) as root from m{top})
+select docs.doc_id, docs.h as leaf, n{levels}.h as subroot, root.root, sha256(b.proof) as proof_sha256, b.fold as folded_root, b.fold = root.root as verified
+from docs join n{levels} on n{levels}.g = docs.g join b{top} b on b.id = docs.id, root
+"""
+
+
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_sentencepiece": op2_sentencepiece,
@@ -265,6 +318,7 @@ QUERIES = {
     "op8_temperature_mix": op8_temperature_mix,
     "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE = {
@@ -273,4 +327,5 @@ ORACLE = {
     "op6_suffix_dedup": OP6_SQL,
     "op9_url_filter": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_merkle_manifest": _op11_sql(),
 }
