@@ -251,3 +251,33 @@ def key_filter(keys: DataFrame, max_bits: int = 1 << 29) -> tuple[bytes, int]:
     for r in tree_merge(rows, "seg", keys.rdd.getNumPartitions(), fold, schema).select("seg", "bits").toLocalIterator():
         out[r.seg * SEGMENT:(r.seg + 1) * SEGMENT] = np.frombuffer(r.bits, dtype=np.uint8)
     return out.tobytes(), bits
+
+
+# ------------------------------------------------------------------ sums over a table of packed matrices
+
+def summed(blocks: DataFrame, of, width: int, add=np.add, dtype=np.float64) -> np.ndarray | None:
+    """The sum (or ``add``) over the rows of ``blocks`` of ``of``(row as dict of Arrow scalars' buffers or values): arrays of
+    ``width`` numbers. A task adds its rows up, tasks are added ``fan_in`` at a time; one array reaches the driver, none for no rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, part = None, 0
+        for batch in batches:
+            part = batch.column("part")[0].as_py() if batch.num_rows else part
+            for i in range(batch.num_rows):
+                value = of({c: batch.column(c)[i] for c in batch.schema.names})
+                mine = value if mine is None else add(mine, value)
+        if mine is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([part], pa.int32()), pa.array(
+                [np.ascontiguousarray(mine, dtype=dtype).tobytes()], pa.binary())], ["key", "part", "total"])
+
+    def fold(rows: pa.Table) -> pa.Table:
+        rows, mine = rows.sort_by("total"), None        # in one order, whichever task came first
+        for x in rows.column("total"):
+            value = np.frombuffer(x.as_buffer(), dtype=dtype)
+            mine = value if mine is None else add(mine, value)
+        return pa.table({"key": rows.column("key").slice(0, 1), "part": rows.column("part").slice(0, 1),
+                         "total": pa.array([mine.tobytes()], pa.binary())})
+
+    schema = "key int, part int, total binary"
+    rows = blocks.withColumn("part", F.spark_partition_id()).mapInArrow(run, schema)
+    found = tree_merge(rows, "key", blocks.rdd.getNumPartitions(), fold, schema).select("total").collect()     # one row
+    return np.frombuffer(found[0].total, dtype=dtype)[:width] if found else None

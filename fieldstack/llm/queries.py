@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from .common import table
 from . import sentencepiece_unigram as spu
 from .ann_forest import forest_search
+from .embedding_whitening import whitened_components
 from .language_mixture import language_mixture, learn_profiles
 from .line_dedup import line_dedup
 from .merkle_manifest import digest, fold, leaf_digest, merkle_manifest, siblings
 from .minhash_dedup import near_duplicates
 from .mixing import temperature_mix
 from .quality_mcd import STATS, quality_rules
+from .quality_ranking import quality_ranking
 from .secret_scan import secret_scan
 from .suffix_dedup import suffix_dedup
 from .url_filter import canonical, url_filter
@@ -307,6 +309,18 @@ from docs join n{levels} on n{levels}.g = docs.g join b{top} b on b.id = docs.id
 """
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(table(spark, sf_dir, "embeddings"), components=32).withColumnRenamed("id", "vec_id")
+
+
+def op13_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(True))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return quality_ranking(docs, labels, ~F.col("held_out")).selectExpr(
+        "doc_id", "held_out", "qr_score as score", "qr_predicted as predicted")
+
+
 QUERIES = {
     "op1_quality_mcd": op1_quality_mcd,
     "op2_sentencepiece": op2_sentencepiece,
@@ -319,6 +333,8 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_whitening": op12_whitening,
+    "op13_quality_ranking": op13_quality_ranking,
 }
 
 ORACLE = {

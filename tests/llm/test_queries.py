@@ -14,7 +14,7 @@ REPO = os.path.dirname(os.path.abspath(E.__file__))
 
 def test_names():
     names = [n for n in E.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 12)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(Q.ORACLE) <= set(Q.QUERIES)
 
 
