@@ -19,7 +19,8 @@ from fieldstack.plans import fixture_sql as S
 from fieldstack.plans.fixture_sql import with_
 from fieldstack.plans.requests import explode_time_points, plan_requests, validate_options
 from fieldstack.sources import driver as D
-from fieldstack.sources.fields import split_valid, with_default_class
+from fieldstack.session import checkpoint_dir
+from fieldstack.sources.fields import cast_fields, read_fields_csv, split_valid, with_default_class
 from fieldstack.operators import search as SR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +81,26 @@ def q_fields_rejects(spark, sf):
     return rejected.select("polygon_number", "lat", "lon", "reject_reason")
 
 
+CSV_COLUMNS = [["Polygon Number", "Class", "Y Coordinate", "X Coordinate"],      # of each folder's files: any order, more columns, no class
+               ["X Coordinate", "Remark", "Class", "Y Coordinate", "Polygon Number"], ["Y Coordinate", "X Coordinate", "Polygon Number"]]
+
+
+@query("fields_csv", with_(S.FIELDS) + """
+SELECT CAST(polygon_number AS INTEGER) AS polygon_number, CASE WHEN polygon_number % 3 = 2 THEN 'Unknown' ELSE coalesce(class, 'Unknown') END AS class,
+       lat, lon, CASE WHEN NOT (lat BETWEEN -90000000 AND 90000000 AND lon BETWEEN -180000000 AND 180000000) THEN 'COORDINATE_OUT_OF_RANGE' END AS reject_reason
+FROM fields""")
+def q_fields_csv(spark, sf):
+    """The customers as CSV files of three layouts, read back by the names in their headers."""
+    folder = f"{checkpoint_dir(spark)}/fields-csv-{uuid.uuid4().hex}"
+    degrees = lambda c: (F.col(c) / 1_000_000).cast("decimal(10,6)").cast("string")
+    rows = D.fields_raw(spark, sf).select("polygon_number", F.col("polygon_number").cast("string").alias("Polygon Number"), F.col("class").alias("Class"),
+                                          degrees("lat").alias("Y Coordinate"), degrees("lon").alias("X Coordinate"), F.lit('a, "b"').alias("Remark"))
+    for i, columns in enumerate(CSV_COLUMNS):
+        rows.where(F.col("polygon_number") % 3 == i).select(*columns).write.option("header", True).csv(f"{folder}/{i}")
+    units = lambda c: F.round(F.col(c) * 1_000_000).cast("long").alias(c)               # noqa: E731
+    return cast_fields(read_fields_csv(spark, f"{folder}/*")).select("polygon_number", "class", units("lat"), units("lon"), "reject_reason")
+
+
 @query("field_bbox", with_(S.FIELDS, S.VALID_FIELDS, S.REQUESTS)
        + "SELECT polygon_number, west, south, east, north FROM requests")
 def q_field_bbox(spark, sf):

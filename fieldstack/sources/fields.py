@@ -7,37 +7,64 @@ single CASE. Missing required columns fail the whole load, as in the original.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REQUIRED = ["Polygon Number", "Y Coordinate", "X Coordinate"]
 OPTIONAL_CLASS = "Class"
 UNKNOWN_CLASS = "Unknown"
+MAX_HEADERS = 1000      # different ones
 
 
 class MissingColumns(ValueError):
     pass
 
 
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, header): the first line of every file that has one."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("pos"), F.col("value"))
+    first = lines.where("block = 0 and trim(value) <> ''").groupBy("source_file").agg(F.min_by("value", "pos").alias("header"))
+    return first.withColumn("header", F.regexp_replace("header", "^\ufeff|\r$", ""))
+
+
 def read_fields_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw field rows (all strings) with ``input_pos``, the position in input order.
 
+    ``path`` is a file, a folder or a glob. Every file's columns are found by the names in its own header, whatever their
+    order; a file without a required column fails the load, a missing class is null. The distinct headers (few, however many
+    files there are) are read by the driver and become positions; only if they differ, rows look up their file's.
+
     ``input_pos`` combines the file's split offset with the row's position inside the
     split, so it is ordered within a file without a global sort or a single task."""
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("mode", "PERMISSIVE").csv(path))
-    missing = [c for c in REQUIRED if c not in raw.columns]
-    if missing:
-        raise MissingColumns(f"missing required columns: {missing}")
-    cls = F.col(f"`{OPTIONAL_CLASS}`") if OPTIONAL_CLASS in raw.columns else F.lit(None).cast("string")
-    return raw.select(
-        F.col("`Polygon Number`").alias("polygon_raw"),
-        cls.alias("class"),
-        F.col("`Y Coordinate`").alias("lat_raw"),
-        F.col("`X Coordinate`").alias("lon_raw"),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.monotonically_increasing_id().alias("input_pos"),
-    )
+    headers = _headers(spark, path)
+    kinds = headers.groupBy("header").agg(F.min("source_file").alias("file")).limit(MAX_HEADERS + 1).collect()
+    if len(kinds) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers in {path}")
+    names = {r.header: next(csv.reader([r.header])) for r in kinds}
+    bad = {r.file: missing for r in kinds if (missing := [c for c in REQUIRED if c not in names[r.header]])}
+    if bad or not kinds:
+        raise MissingColumns(f"missing required columns: {bad or REQUIRED}")
+    width = max(map(len, names.values()))
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    raw = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    rows = raw.select("*", F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("input_pos"))
+    if len(names) > 1:
+        rows = rows.join(headers.withColumnRenamed("source_file", "_file"), F.col("source_file") == F.col("_file"))
+
+    def column(name: str):
+        """The column called ``name`` in the row's file."""
+        found = F.lit(None).cast("string")
+        for header, columns in names.items():
+            if name in columns:
+                here = F.col(f"c{columns.index(name)}")
+                found = here if len(names) == 1 else F.when(F.col("header") == header, here).otherwise(found)
+        return found
+
+    return rows.select(column("Polygon Number").alias("polygon_raw"), column(OPTIONAL_CLASS).alias("class"), column("Y Coordinate").alias("lat_raw"),
+                       column("X Coordinate").alias("lon_raw"), "source_file", "input_pos")
 
 
 def coordinate_ok(lat: Column, lon: Column, units_per_degree: float = 1.0) -> Column:

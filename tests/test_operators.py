@@ -317,3 +317,16 @@ def test_run_from_csv(spark, tmp_path):
                      batch_id="2025-08-13").first()
     assert (s.processed, s.success, s.failed) == (2, 2, 0)
     assert spark.read.parquet(str(tmp_path / "out" / "rejected")).count() == 1
+
+
+def test_csv_files_with_headers_of_their_own(spark, tmp_path):
+    """Swapped columns load right, quoted and marked headers too; a file without coordinates or without rows fails or adds nothing."""
+    (tmp_path / "a.csv").write_text("Polygon Number,Class,Y Coordinate,X Coordinate\n1,Rice,45.1,71.2\n2,,46,72\n")
+    (tmp_path / "b.csv").write_text("﻿X Coordinate,\"Y Coordinate\",Remark,Polygon Number\r\n71.2,45.1,\"x, y\",3\r\n500,45,z,4\r\n")
+    (tmp_path / "c.csv").write_text("Polygon Number,Y Coordinate,X Coordinate,Class\n")
+    got = FL.cast_fields(FL.read_fields_csv(spark, str(tmp_path))).orderBy("polygon_number").collect()
+    assert [(r.polygon_number, r["class"], r.lat, r.lon, r.reject_reason) for r in got] == [
+        (1, "Rice", 45.1, 71.2, None), (2, "Unknown", 46.0, 72.0, None), (3, "Unknown", 45.1, 71.2, None), (4, "Unknown", 45.0, 500.0, "COORDINATE_OUT_OF_RANGE")]
+    (tmp_path / "d.csv").write_text("Polygon Number,Latitude\n1,2\n")
+    with pytest.raises(FL.MissingColumns, match="d.csv"):
+        FL.read_fields_csv(spark, str(tmp_path))
