@@ -32,7 +32,7 @@ P = 5
 CHI2_MEDIAN = 4.3515        # chi-square, 5 degrees of freedom: median
 CHI2_CUTOFF = 35.888        # and its 0.999999 quantile: tables and boilerplate stay, symbol junk goes
 SCALE = 64                  # integer steps in one unit of a logarithm
-FLOORS = (0.5, 0.1, 0.6, 1.0, 1.0)
+FLOORS = (0.5, 0.1, 0.3, 1.0, 1.0)      # clean texts have up to a third of their lines twice, but hardly a symbol
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SPACES = r" \t\n\u000B\u000C\r"
 

@@ -105,7 +105,7 @@ def _op1_sql(h: float = 0.75, steps: int = 3, min_group: int = 50) -> str:
     out here (floors, scale, cutoff), not taken from the module."""
     ws = r"[\x20\x09-\x0D]"
     x, pairs = range(5), [(i, j) for i in range(5) for j in range(i + 1)]
-    floors = [0.5, 0.1, 0.6, 1.0, 1.0]
+    floors = [0.5, 0.1, 0.3, 1.0, 1.0]
     root = [f"c{i}{i} + {(f * 64) ** 2!r} as v{i}{i}" for i, f in enumerate(floors)]
     for i in x:
         for j in range(i):

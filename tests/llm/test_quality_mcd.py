@@ -86,3 +86,30 @@ def test_windows_of_long_texts_repeat_by_all_of_their_hash(make):
     got = {r.doc_id: r for r in Q.text_statistics(make(list(enumerate(texts)))).collect()}
     assert [tuple(got[i][c] for c in Q.STATS) for i in range(3)] == [brute(t) for t in texts]
     assert [got[i].n_repeat_words for i in range(3)] == [0, 0, 6]
+
+
+def test_symbols_go_boilerplate_stays(make):
+    """Texts with 12 to 30 symbols for 100 characters of words go; clean ones with a third of their lines twice, and such with a
+    stray symbol, stay."""
+    rng = np.random.default_rng(7)
+
+    def words(n):
+        return ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(n)]
+
+    rows, junk = [], set()
+    for i in range(300):
+        w = words(int(rng.integers(150, 400)))
+        if i % 20 == 0:
+            share = (12, 19, 23, 30)[i // 20 % 4] / 100
+            w = [x + "#" * int(rng.random() < share * len(x) / (1 - share)) for x in w]
+            while 100 * sum(x.count("#") for x in w) < 100 * share * sum(map(len, w)):
+                w[int(rng.integers(len(w)))] += "#"
+            junk.add(i)
+        text = "\n".join(" ".join(w[k:k + 15]) for k in range(0, len(w), 15))
+        if i % 20 == 1:         # the last third of the lines again, as footers are
+            lines = text.split("\n")
+            text = "\n".join(lines + lines[-(len(lines) // 3):])
+        if i % 20 == 2:
+            text += " 50% & more"
+        rows.append((i, text, "en", "s"))
+    assert {r.doc_id for r in Q.quality_rules(make(rows)).collect() if not r.kept} == junk
