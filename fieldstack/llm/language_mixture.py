@@ -181,15 +181,17 @@ def infer(profiles: Profiles, texts: list[str | None], max_set: int, penalty: fl
     return rows, share
 
 
-def language_mixture(docs: DataFrame, profiles: Profiles, max_set: int = 3, penalty: float = 2.0,
+def language_mixture(docs: DataFrame, profiles: Profiles, max_set: int | None = None, penalty: float = 2.0,
                      rounds: int = 8, keep_text: bool = True) -> DataFrame:
-    """``docs`` plus li_lang, li_score (share of li_lang), li_langs and li_shares (the chosen set, largest first)."""
+    """``docs`` plus li_lang, li_score (share of li_lang), li_langs and li_shares (the chosen set, largest first). The set grows as
+    long as the penalised likelihood does; ``max_set`` limits it only if given."""
     small_batches(docs.sparkSession)
     docs = own(docs, "li_")
     names = [c for c in docs.columns if keep_text or c != "text"]
     added = [T.StructField("li_lang", T.StringType()), T.StructField("li_score", T.DoubleType()),
              T.StructField("li_langs", T.ArrayType(T.StringType())),
              T.StructField("li_shares", T.ArrayType(T.DoubleType()))]
+    max_set = max_set or max(1, len(profiles.languages))
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

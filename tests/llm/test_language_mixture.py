@@ -66,6 +66,31 @@ def test_mixtures(spark, make, documents):
     assert got[0].li_lang == "fr" and set(got[1].li_langs) == {"en", "de"}
 
 
+def test_the_set_grows_with_the_likelihood(spark, make, documents):
+    """Four languages in equal parts are all found; a stray word makes no language. The set is the best of all by brute force."""
+    import itertools
+    model = profiles(spark, documents)
+    words = {g: " ".join(t for _, t, x, _ in documents[1] if x == g and t).split()[:400] for g in ("en", "de", "fr", "es")}
+    four = " ".join(w for part in words.values() for w in part)
+    rows, share = L.infer(model, [four, " ".join(words["de"][:60])], len(model.languages), 2.0, 30)
+    assert (share[0] > 0.15).sum() == 4 and share[0].max() < 0.35
+    got = L.language_mixture(make([(0, four)]), model).first()
+    assert sorted(got.li_langs) == sorted(words) and got.li_score < 0.35
+    # penalised likelihood of every set of languages, by plain iterations
+    for i, text in enumerate((four, " ".join(words["de"][:60]))):
+        bucket, first, _ = L.trigrams([text])
+        logs = np.stack([np.add.reduceat(p[bucket], first) for p in model.logp], axis=1).astype(float)
+        value = {}
+        for size in range(1, len(model.languages) + 1):
+            for chosen in itertools.combinations(range(len(model.languages)), size):
+                like, s = np.exp(logs[:, chosen] - logs.max(axis=1, keepdims=True)), np.full(size, 1 / size)
+                for _ in range(200):
+                    joint = like * s
+                    s = (joint / np.maximum(joint.sum(axis=1, keepdims=True), 1e-300)).mean(axis=0)
+                value[chosen] = np.log(np.maximum(like @ s, 1e-300)).sum() - 2.0 * (size - 1) * np.log(len(first))
+        assert set(np.flatnonzero(share[i])) == set(max(value, key=value.get))
+
+
 def test_odd_rows(spark, make, documents):
     model = profiles(spark, documents)
     rows = [(1, None), (2, ""), (3, "12 + 3 = 15 !"), (4, "é"), (4, "é"), (None, "the and of the"), (5, "a " * 60000), (6, "\U0001F600\x00")]
