@@ -8,7 +8,7 @@ all its lines, except in the largest doc_id that holds it.
    *twice* filter; the filters are merged by segment (once & once counts as twice).
 2. The twice filter goes to all tasks. Only lines that it holds - suspected repeats - are shuffled,
    by a 128-bit digest, for the exact count and the choice of the document that keeps them.
-3. Documents join their list of line numbers to drop.
+3. Documents join the numbers of the lines to drop, as a mark for each line, so that the rewrite is one pass over a text's lines.
 
 The filters' size follows the number of rows up to ``max_bits``, which bounds what is broadcast. A
 fuller filter only lets more lines through to the exact count; the result never depends on it.
@@ -123,7 +123,7 @@ def _suspects(shared, bits: int, min_chars: int):
 
 def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
                   max_bits: int = 1 << 29) -> DataFrame:
-    """(doc_id, text_hash, drop): the numbers of the lines that a document's text loses."""
+    """(doc_id, text_hash, n, flags): how many lines a document's text loses, and for each line up to the last one that goes whether it does."""
     if min_docs < 2:
         raise ValueError("min_docs must be 2 or more: the filters tell second sightings")
     small_batches(docs.sparkSession)
@@ -138,7 +138,21 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
                 .groupBy("key").agg(F.count("one").alias("n"), F.max("doc_id").alias("keeper"))
                 .where(F.col("n") >= min_docs).select("key", "keeper"), "repeated", files_for(found.count()))
     return (found.join(repeated, "key").where("doc_id <> keeper")
-            .groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("drop")))
+            .groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("drop"))
+            .mapInArrow(_flags, "doc_id long, text_hash long, n long, flags array<boolean>"))
+
+
+def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        count, flags = [], []
+        for lines in batch.column("drop"):
+            at = lines.values.to_numpy()
+            mark = np.zeros(int(at.max()) + 1, dtype=bool)
+            mark[at] = True
+            count.append(len(at))
+            flags.append(mark)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(count, pa.int64()),
+                                          pa.array(flags, pa.list_(pa.bool_()))], ["doc_id", "text_hash", "n", "flags"])
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
@@ -146,15 +160,16 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     """``docs`` with ``text`` rewritten, plus ``ld_lines`` (before) and ``ld_dropped``; a null text stays null."""
     docs = own(docs, "ld_")
     drops = dropped_lines(docs, min_chars, min_docs, max_bits).select(
-        F.col("doc_id").alias("ld_doc"), F.col("text_hash").alias("ld_hash"), F.col("drop").alias("ld_drop"))
+        F.col("doc_id").alias("ld_doc"), F.col("text_hash").alias("ld_hash"), F.col("n").alias("ld_n"), F.col("flags").alias("ld_flags"))
     joined = docs.withColumn("ld_key", F.xxhash64("text")).join(
         drops, (F.col("doc_id").cast("long") == F.col("ld_doc")) & (F.col("ld_key") == F.col("ld_hash")), "left")
     newline = F.lit("\n")
+    # an array's element is found at once, however many there are; beyond the last there is none
     kept = F.array_join(F.filter(F.split("text", "\n", -1),
-                                 lambda x, i: ~F.array_contains(F.col("ld_drop"), i)), "\n")
+                                 lambda x, i: ~F.coalesce(F.get("ld_flags", i), F.lit(False))), "\n")
     return joined.withColumns({
         "ld_lines": F.coalesce(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), newline))
                                + 1, F.lit(1)).cast("long"),
-        "ld_dropped": F.coalesce(F.array_size("ld_drop"), F.lit(0)).cast("long"),
-        "text": F.when(F.col("ld_drop").isNull(), F.col("text")).otherwise(kept),
-    }).drop("ld_key", "ld_doc", "ld_hash", "ld_drop")
+        "ld_dropped": F.coalesce("ld_n", F.lit(0)).cast("long"),
+        "text": F.when(F.col("ld_flags").isNull(), F.col("text")).otherwise(kept),
+    }).drop("ld_key", "ld_doc", "ld_hash", "ld_n", "ld_flags")
