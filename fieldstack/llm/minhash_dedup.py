@@ -14,8 +14,11 @@ sequence as one). Two documents are linked if their sets' Jaccard similarity is
    sets bound the intersection from above inside the join, so that few pairs that are no links leave it. Pairs that a star misses aren't lost, and pairs inside a component are never made. What is left to
    compare grows with the documents that come near a large component and belong to none.
 
-A pair at exactly 80 % shares none of 40 bands of 5 with a chance of 1.3e-7, less above. Confirmation is
-exact up to collisions of 64-bit hashes.
+A pair at exactly 80 % shares none of 40 bands of 5 with a chance of 1.3e-7, less above. The bands of tiny sets, with few full bins, depend
+on each other and miss more (1 of 240,000 pairs of 4 and 5 shingles), so sets of up to ``TINY`` shingles meet exactly as well: each
+has a bucket for itself and for itself without any one or two of its shingles, as many as a link lets it have alone. Two linked ones
+share the bucket of their intersection. Confirmation is exact up to collisions of 64-bit hashes; words of over ``LONG`` bytes are
+hashed by a digest, as a polynomial modulo 2^64 is the same for some long words made of two letters in a pattern.
 
 Defined results: a text without words has the empty set and is linked with nothing. Rows that share a
 doc_id are in one component. A null doc_id takes no part: component_id null, kept. Extra columns are ignored.
@@ -24,6 +27,7 @@ doc_id are in one component. A null doc_id takes no part: component_id null, kep
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, SpanHash, files_for, flat, give_back, mix, slices, small_batches, stash, word_spans
+from .common import LOWER, U64, SpanHash, files_for, flat, give_back, mix, slices, small_batches, stash, word_spans
 
 
+TINY = 14           # shingles of sets that are also linked by their own subsets
+LONG = 64           # bytes of words that are hashed by a digest
 SKETCH = 4096       # bits of a set's map
 FOLDED = 1024       # of the short one
 
@@ -43,6 +49,11 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, shingle: int) -> tuple[np.nd
     starts, ends, text = word_spans(buf, offs)
     n = len(offs) - 1
     word = SpanHash(buf, lower=True)(starts, ends)
+    long = np.flatnonzero(ends - starts > LONG)
+    if len(long):
+        low = LOWER[buf]
+        word[long] = [int.from_bytes(hashlib.blake2b(low[a:b].tobytes(), digest_size=8).digest(), "little")
+                      for a, b in zip(starts[long].tolist(), ends[long].tolist())]
     count = np.bincount(text, minlength=n)
     with np.errstate(over="ignore"):
         h = word.copy()
@@ -108,20 +119,46 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sign(shingle: int, bands: int, rows: int):
+def subset_keys(hashes: np.ndarray, offs: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, texts): of sets of up to TINY, a key for the set without each choice of as many elements as a partner that is
+    linked may lack: (100 - percent) % of them, two at most."""
+    size = np.diff(offs)
+    keys, owner = [], []
+    for n in range(1, TINY + 1):
+        at = np.flatnonzero(size == n)
+        alone = n * (100 - percent) // 100
+        if not len(at) or alone > 2:
+            continue
+        without = [c for k in range(alone + 1) for c in itertools.combinations(range(n), k)]
+        kept = np.ones((n, len(without)), dtype=U64)
+        for j, c in enumerate(without):
+            kept[list(c), j] = 0
+        with np.errstate(over="ignore"):
+            sums = mix(hashes[offs[at][:, None] + np.arange(n)] + U64(0xA0761D6478BD642F)) @ kept      # of a subset's elements, in any order
+            keys.append(mix(sums + kept.sum(axis=0)).ravel())
+        owner.append(np.repeat(at, len(without)))
+    if not keys:
+        return np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(keys), np.concatenate(owner)
+
+
+def _sign(shingle: int, bands: int, rows: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe = _probe_table(bands * rows)
         for batch in batches:
             for piece in slices(batch, "text"):
                 hashes, offs = shingle_sets(*flat(piece.column("text")), shingle)
                 keys = band_keys(signatures(hashes, offs, bands * rows, probe), bands, rows)
+                more, owner = subset_keys(hashes, offs, percent)
+                first = np.concatenate([[0], np.cumsum(bands + np.bincount(owner, minlength=len(keys)))]).astype(np.int32)
+                every = np.concatenate([keys.ravel(), more.view(np.int64)])[np.argsort(
+                    np.concatenate([np.repeat(np.arange(len(keys)), bands), owner]), kind="stable")]
                 raw = hashes.tobytes()
                 mark = [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() if b > a else None
                         for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), pa.array(np.diff(offs)), pa.array(mark, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)),
-                                             pa.array(keys.ravel()))],
+                    pa.ListArray.from_arrays(pa.array(first), pa.array(every))],
                     ["doc_id", "n_shingles", "mark", "bands"])
     return run
 
@@ -195,7 +232,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = stash(texts.mapInArrow(_sign(shingle, bands, rows),
+    signed = stash(texts.mapInArrow(_sign(shingle, bands, rows, percent),
                                     "doc_id long, n_shingles long, mark binary, bands array<long>"), "signed")
     # small tables that a join with possibly hot keys meets are written first: such a join can be split
     n = signed.count()

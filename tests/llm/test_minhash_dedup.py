@@ -100,3 +100,40 @@ def test_components(spark):
     nodes = spark.createDataFrame([(i,) for i in {x for e in edges for x in e} | {500}], "node long")
     got = {r.node: r.comp for r in M.components(nodes, spark.createDataFrame(edges, "x long, y long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 100, 200: 100, 150: 100, 120: 100, 500: 500}
+
+
+def test_long_patterned_words_differ(make):
+    """Thue-Morse words of 1,024 letters, whose polynomial hashes modulo 2^64 agree for any odd base: 2 common shingles of 6 are no link."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two three {word} four"), (2, f"one two three {other} four"), (3, f"one TWO three {word.upper()} four")]
+    got, _ = run(make, rows, shingle=2)
+    assert [(r[0], r[2]) for r in got] == [(1, 1), (2, 2), (3, 1)]
+
+
+@pytest.mark.parametrize("n", range(4, 15))
+def test_tiny_links_share_a_subset(n):
+    """Every linked pair of tiny sets has a bucket in common: random pairs for each size, as unlike as a link lets them be."""
+    rng = np.random.default_rng(n)
+    m, trials = 14, 20000 if n < 10 else 500
+    for lone_x, lone_y in itertools.product(range(3), repeat=2):
+        both = n - lone_x
+        if both < 1 or both + lone_y > m or 100 * both < 80 * (both + lone_x + lone_y):
+            continue
+        pool = rng.integers(1, 2 ** 63, (trials, both + lone_x + lone_y), dtype=np.int64).astype(np.uint64)
+        x, y = np.sort(pool[:, :both + lone_x], axis=1), np.sort(np.delete(pool, np.s_[both:both + lone_x], axis=1), axis=1)
+        sets = [(s.ravel(), np.arange(0, s.size + 1, s.shape[1])) for s in (x, y)]
+        (kx, ox), (ky, oy) = (M.subset_keys(h, o, 80) for h, o in sets)
+        with np.errstate(over="ignore"):        # a key and its pair as one number
+            kx, ky = (k * np.uint64(2 ** 20 + 1) + o.astype(np.uint64) for k, o in ((kx, ox), (ky, oy)))
+        assert len(np.unique(ox[np.isin(kx, ky)])) == trials
+
+
+def test_tiny_documents_are_linked(make):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(400):
+        w = [f"w{rnd.randrange(10 ** 9)}" for _ in range(rnd.randrange(5, 14))]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w, f"x{i}"]))]
+    got, order = run(make, rows, shingle=2)
+    assert got == sorted(brute(rows), key=order) and sum(not r[3] for r in got) == 400
