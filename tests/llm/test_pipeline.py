@@ -41,6 +41,27 @@ def test_odd_documents(spark, make, tmp_path):
     assert {r.doc_id for r in got} == {3, 4, 5, None} and all(r.exact for r in got)
 
 
+def test_near_duplicates_without_proper_ids(spark, make):
+    """Rows that repeat an id and a text, copies without an id, and an id with two texts, one a copy of another's: one row of each stays."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a, "en", "s"), (1, a, "en", "s"), (None, b, "en", "s"), (None, b, "en", "t"), (7, b, "en", "s"), (8, c, "en", "s"),
+            (9, c, "en", "s"), (9, d, "en", "s"), (None, None, "en", "s"), (None, a + " z", "en", "s")]
+    got = P.drop_near_duplicates(spark, make(rows), "").collect()
+    assert sorted((str(r.doc_id), str(r.text)[:1]) for r in got) == [("1", "a"), ("7", "b"), ("8", "c"), ("9", "d"), ("None", "N")]
+
+
+def test_mix_is_written_in_training_order(spark, documents):
+    """The table reads back by epochs: an epoch's showings come together, and no document twice before all of its block's others."""
+    docs = spark.read.parquet(f"{documents[0]}/documents.parquet")
+    rows = [r.doc_id for r in P.mix_sources(spark, docs, documents[0]).select("doc_id").collect()]
+    seen, epochs = set(), 1
+    for x in rows:
+        if x in seen:
+            seen, epochs = set(), epochs + 1
+        seen.add(x)
+    assert epochs == 2 and rows != sorted(rows)
+
+
 def test_empty(spark, make, tmp_path):
     make([]).write.parquet(str(tmp_path / "documents.parquet"))
     assert P.run(spark, str(tmp_path)).collect() == []
