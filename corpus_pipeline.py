@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstack.llm import sentencepiece_unigram as spu
+from fieldstack.llm.common import stash
 from fieldstack.llm.language_mixture import language_mixture, learn_profiles
 from fieldstack.llm.line_dedup import line_dedup
 from fieldstack.llm.minhash_dedup import near_duplicates
@@ -34,14 +35,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4. The document with the least doc_id of each group of near copies stays."""
-    gone = near_duplicates(docs.select("doc_id", "text"), shingle=5, percent=80).where("not kept").select("doc_id")
-    return docs.select(*COLUMNS).join(gone.distinct(), "doc_id", "left_anti")
+    """Operator 4. The document with the least doc_id of each group of near copies stays. Where ids are missing or repeated, a
+    document is an id with a text, in this order and null last; rows that repeat both are one document."""
+    docs = docs.select(*COLUMNS)
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("doc_id is null or n > 1").isEmpty():
+        gone = near_duplicates(docs.select("doc_id", "text"), shingle=5, percent=80).where("not kept").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti")
+    by = [F.col("doc_id").asc_nulls_last(), "text_hash"]
+    names = docs.select("doc_id", F.xxhash64("text").alias("text_hash")).distinct().repartitionByRange(*by).sortWithinPartitions(*by)
+    names = stash(names.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.monotonically_increasing_id().alias("row")), "names")
+    keyed = docs.join(names, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash"))).dropDuplicates(["row"])
+    keyed = stash(keyed.select(*COLUMNS, "row"), "keyed")
+    gone = near_duplicates(keyed.select(F.col("row").alias("doc_id"), "text"), shingle=5, percent=80).where("not kept").selectExpr("doc_id as row")
+    return keyed.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8. Small sources are repeated, the smallest twice; every document is shown at least once."""
-    return temperature_mix(docs.select(*COLUMNS), repetition=MAX_REPETITION).select(*COLUMNS)
+    """Operator 8. Small sources are repeated, the smallest twice; every document is shown at least once. The table's files and
+    their rows are in training order: one epoch after the other, blocks as permuted."""
+    order = ["mx_epoch", "mx_order", "doc_id"]
+    return (temperature_mix(docs.select(*COLUMNS), repetition=MAX_REPETITION)
+            .repartitionByRange(*order).sortWithinPartitions(*order).select(*COLUMNS))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
