@@ -49,6 +49,19 @@ _ALPHA = [
     61 * _N ** 3 / 240,
 ]
 _C = 2 * math.sqrt(_N) / (1 + _N)
+# the way back, to fourth order in n: third order alone would be off by 3e-9 degrees
+_BETA = [
+    _N / 2 - 2 * _N ** 2 / 3 + 37 * _N ** 3 / 96 - _N ** 4 / 360,
+    _N ** 2 / 48 + _N ** 3 / 15 - 437 * _N ** 4 / 1440,
+    17 * _N ** 3 / 480 - 37 * _N ** 4 / 840,
+    4397 * _N ** 4 / 161280,
+]
+_DELTA = [
+    2 * _N - 2 * _N ** 2 / 3 - 2 * _N ** 3 + 116 * _N ** 4 / 45,
+    7 * _N ** 2 / 3 - 8 * _N ** 3 / 5 - 227 * _N ** 4 / 45,
+    56 * _N ** 3 / 15 - 136 * _N ** 4 / 35,
+    4279 * _N ** 4 / 630,
+]
 
 
 def to_utm(lat_deg: Column, lon_deg: Column, zone: Column, north: Column | bool = True) -> Column:
@@ -69,6 +82,29 @@ def to_utm(lat_deg: Column, lon_deg: Column, zone: Column, north: Column | bool
                     (y0 + UTM_K0 * _A * n_sum).alias("y"))
 
 
+def from_utm(x: Column, y: Column, zone: Column, north: Column | bool = True) -> Column:
+    """UTM metres -> struct(lat, lon) in WGS84 degrees; the inverse of ``to_utm``."""
+    north_c = north if isinstance(north, Column) else F.lit(bool(north))
+    y0 = F.when(north_c, F.lit(0.0)).otherwise(F.lit(UTM_FALSE_NORTHING_SOUTH))
+    xi, eta = (y - y0) / (UTM_K0 * _A), (x - UTM_FALSE_EASTING) / (UTM_K0 * _A)
+    xi_s, eta_s = xi, eta
+    for j, b in enumerate(_BETA, start=1):
+        xi_s = xi_s - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        eta_s = eta_s - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(xi_s) / F.cosh(eta_s))
+    phi = chi
+    for j, d in enumerate(_DELTA, start=1):
+        phi = phi + d * F.sin(2 * j * chi)
+    return F.struct(F.degrees(phi).alias("lat"),
+                    (zone * 6 - 183 + F.degrees(F.atan2(F.sinh(eta_s), F.cos(xi_s)))).alias("lon"))
+
+
+def box_polygon(west: Column, south: Column, east: Column, north: Column, zone: Column, north_hemisphere: Column | bool = True) -> Column:
+    """The corners of a degree box in UTM, counterclockwise from the south-west: array of struct(x, y)."""
+    corners = [(south, west), (south, east), (north, east), (north, west)]
+    return F.array(*[to_utm(lat, lon, zone, north_hemisphere) for lat, lon in corners])
+
+
 def bbox_to_utm(box: Column, zone: Column, north: Column | bool = True, densify: int = 21) -> Column:
     """Envelope in UTM of a degree box: each edge sampled at ``densify + 2`` points."""
     n = densify + 1
@@ -126,6 +162,22 @@ def with_envelope(df, west: Column, south: Column, east: Column, north: Column,
     return staged.withColumn(out, env).drop("_w", "_s", "_e", "_n", "_z", "_lon", "_lat", "_pts", "_xs", "_ys")
 
 
+def with_degree_bounds(df, x0: Column, y1: Column, x1: Column, y0: Column, zone: Column, out: str, densify: int = 21,
+                       north_hemisphere: Column | bool = True):
+    """``df`` plus struct column ``out`` (west, south, east, north): the degree bounds of each row's UTM box (left x0, bottom y1, right
+    x1, top y0), each edge sampled at ``densify + 2`` points; no shuffle."""
+    n = densify + 1
+    along = lambda lo, hi: F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: lo + (hi - lo) * (i.cast("double") / n))
+    staged = df.withColumns({"_l": x0, "_b": y1, "_r": x1, "_t": y0, "_z": zone}).withColumns({
+        "_x": along(F.col("_l"), F.col("_r")), "_y": along(F.col("_b"), F.col("_t"))})
+    level = lambda y: F.transform("_x", lambda x: from_utm(x, F.col(y), F.col("_z"), north_hemisphere))     # noqa: E731
+    upright = lambda x: F.transform("_y", lambda y: from_utm(F.col(x), y, F.col("_z"), north_hemisphere))
+    staged = staged.withColumn("_pts", F.concat(level("_b"), level("_t"), upright("_l"), upright("_r")))
+    bounds = F.struct(F.array_min("_pts.lon").alias("west"), F.array_min("_pts.lat").alias("south"),
+                      F.array_max("_pts.lon").alias("east"), F.array_max("_pts.lat").alias("north"))
+    return staged.withColumn(out, bounds).drop("_l", "_b", "_r", "_t", "_z", "_x", "_y", "_pts")
+
+
 def utm_envelope(df, west: Column, south: Column, east: Column, north: Column, zone: Column,
                  keys: list[str], out: str = "env", densify: int = 21, north_hemisphere: bool = True):
     """DataFrame form of ``bbox_to_utm`` for large inputs: the edge points become rows

@@ -132,7 +132,7 @@ def field_outcomes(requests: DataFrame, status: DataFrame, complete: DataFrame,
     usable = F.lit(True)
     if grid is not None:
         per_field = per_field.join(grid.select(*keys, F.col("status").alias("grid")), keys, "left")
-        usable = F.col("grid").isin("OK", "PARTIAL")
+        usable = F.col("grid").isin("OK", "PARTIAL", "FULL_EXTENT")
     bad = F.col("n_bad") > 0
     ok = per_field.select(
         *keys,

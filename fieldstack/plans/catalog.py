@@ -715,7 +715,8 @@ def q_search_attempts(spark, sf):
 from fieldstack.functions import geo as GE  # noqa: E402
 from fieldstack.operators import windows as WN  # noqa: E402
 from fieldstack.session import checkpoint_dir, materialize  # noqa: E402
-from fieldstack.plans.geo_sql import envelope_cte  # noqa: E402
+from fieldstack.operators import crop as CR  # noqa: E402
+from fieldstack.plans.geo_sql import degree_bounds_cte, envelope_cte, utm_xy_sql  # noqa: E402
 from fieldstack.sources import regions as RG  # noqa: E402
 
 PX = 30.0  # metres per pixel
@@ -862,17 +863,97 @@ cells AS (
 vals AS (
   SELECT cells.*, CAST(floor(CAST(e.embedding[(sr % 8) * 8 + sc % 8 + 1] AS DOUBLE) * 1000) AS INTEGER) + 1000 AS raw
   FROM cells JOIN embeddings e ON sr BETWEEN 0 AND 47 AND sc BETWEEN 0 AND 47 AND e.vec_id =
-    ((granule_key * 6 + list_position(['B02','B03','B04','B8A','B11','B12'], band) - 1) * 36 + (sr // 8) * 6 + sc // 8) % 499)
+    ((granule_key * 6 + list_position(['B02','B03','B04','B8A','B11','B12'], band) - 1) * 36 + (sr // 8) * 6 + sc // 8) % (SELECT count(*) FROM embeddings))
 SELECT polygon_number, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col,
   {_FIELD_COND}
 FROM (SELECT *, greatest(0, least(65535, raw)) AS value FROM vals) GROUP BY ALL""".replace("\n, have AS", ", have AS", 1))
 def q_field_stack(spark, sf):
     win = materialize(pixel_windows(spark, sf, COARSE))     # used three times
-    good = WN.grid_status(win).where(F.col("status").isin("OK", "PARTIAL")).select("polygon_number")
+    good = WN.grid_status(win).where(F.col("status").isin("OK", "PARTIAL", "FULL_EXTENT")).select("polygon_number")
     win = win.join(good, "polygon_number", "left_semi")
     return AS.field_stacks(win, D.raster_chunks(spark, sf, win), D.CHUNK)
 
 
+GRIDS_SQL = """
+footprints AS (SELECT DISTINCT west, south, east, north, CAST(floor(((west + east) / 2 / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER) AS zone
+               FROM granules),
+fsides AS (SELECT *, west / 1000000.0 AS w, south / 1000000.0 AS s, east / 1000000.0 AS e, north / 1000000.0 AS n FROM footprints),
+""" + envelope_cte("footenv", "fsides", ["west", "south", "east", "north", "zone"]) + """,
+grids AS (SELECT g.granule_key, g.tile, v.zone, floor(minx / {px}) * {px} AS x0, ceil(maxy / {px}) * {px} AS y0, ceil(maxx / {px}) * {px} AS x1,
+                 floor(miny / {px}) * {px} AS y1 FROM granules g JOIN footenv v USING (west, south, east, north))"""
+
+
+@query("raster_bounds", with_(S.GRANULES, GRIDS_SQL.replace("{px}", str(PX))) + """
+, shapes AS (SELECT DISTINCT zone, x0, y0, x1, y1 FROM grids),
+""" + degree_bounds_cte("deg", "shapes") + """
+SELECT g.granule_key, g.tile, zone, round(d.west, 6) AS west, round(d.south, 6) AS south, round(d.east, 6) AS east,
+       round(d.north, 6) AS north
+FROM grids g JOIN deg d USING (zone, x0, y0, x1, y1)""")
+def q_raster_bounds(spark, sf):
+    bounds = WN.raster_bounds(WN.granule_grids(D.granules(spark, sf), PX, D.UNITS_PER_DEGREE))
+    return bounds.select("granule_key", "tile", "zone", *[F.round(c, 6).alias(c) for c in WN.BOX])
+
+
+@query("full_extent_window", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, WINDOWS_SQL) + """
+SELECT w.polygon_number, w.time_idx, w.granule_key, w.zone,
+       CASE WHEN r.class = 'Unknown' THEN 0.0 ELSE round(w.col_off, 2) + 0.0 END AS col_off,
+       CASE WHEN r.class = 'Unknown' THEN 0.0 ELSE round(w.row_off, 2) + 0.0 END AS row_off,
+       CASE WHEN r.class = 'Unknown' THEN CAST(round((x1 - x0) / 3000.0) AS INTEGER) ELSE ow END AS out_width,
+       CASE WHEN r.class = 'Unknown' THEN CAST(round((y0 - y1) / 3000.0) AS INTEGER) ELSE oh END AS out_height,
+       CASE WHEN r.class = 'Unknown' THEN 'FULL_EXTENT' ELSE ['OUTSIDE', 'EMPTY', 'PARTIAL', 'OK'][worst] END AS status
+FROM w JOIN requests r USING (polygon_number)""")
+def q_full_extent_window(spark, sf):
+    """Fields without a class have lost their box (fixture choice): their rasters are taken whole."""
+    grids = WN.granule_grids(D.granules(spark, sf), COARSE, D.UNITS_PER_DEGREE)
+    boxes = requests(spark, sf).select("polygon_number", *[F.when(F.col("class") != "Unknown", F.col(c)).alias(c) for c in WN.BOX])
+    return WN.field_windows(picks(spark, sf), grids, boxes, COARSE, D.UNITS_PER_DEGREE).select(
+        "polygon_number", "time_idx", "granule_key", "zone", F.round("col_off", 2).alias("col_off"),
+        F.round("row_off", 2).alias("row_off"), "out_width", "out_height", "status")
+
+
+def _corners_sql():
+    out = []
+    for i, (lat, lon) in enumerate((("south", "west"), ("south", "east"), ("north", "east"), ("north", "west"))):
+        x, y = utm_xy_sql(f"r.{lat} / 1000000.0", f"r.{lon} / 1000000.0", "g.zone")
+        out.append(f"{x} AS px{i}, {y} AS py{i}")
+    return ", ".join(out)
+
+
+_SIDES = [(i, (i + 1) % 4) for i in range(4)]     # counterclockwise, so the inside is on the left of each
+_INSIDE = " AND ".join(f"(px{j} - px{i}) * (cy - py{i}) - (py{j} - py{i}) * (cx - px{i}) >= 0" for i, j in _SIDES)
+
+
+@query("clip_geometry", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, GRIDS_SQL.replace("{px}", str(COARSE))) + f"""
+, poly AS (SELECT p.polygon_number, p.time_idx, p.granule_key, g.x0, g.y0, g.x1, g.y1, {_corners_sql()}
+         FROM picks p JOIN grids g USING (granule_key) JOIN requests r USING (polygon_number)),
+outline AS (SELECT *, greatest(0, CAST(floor((y0 - greatest(py0, py1, py2, py3)) / {COARSE}) AS BIGINT)) AS r0,
+               least(CAST(ceil((y0 - least(py0, py1, py2, py3)) / {COARSE}) AS BIGINT), CAST(round((y0 - y1) / {COARSE}) AS BIGINT)) AS r1,
+               greatest(0, CAST(floor((least(px0, px1, px2, px3) - x0) / {COARSE}) AS BIGINT)) AS c0,
+               least(CAST(ceil((greatest(px0, px1, px2, px3) - x0) / {COARSE}) AS BIGINT), CAST(round((x1 - x0) / {COARSE}) AS BIGINT)) AS c1
+        FROM poly),
+have AS (SELECT DISTINCT granule_key, band FROM granule_files WHERE band IN ({", ".join(f"'{b}'" for b in BANDS)})),
+cells AS (SELECT outline.*, have.band, r.i AS r, c.i AS c, x0 + (c.i + 0.5) * {COARSE} AS cx, y0 - (r.i + 0.5) * {COARSE} AS cy
+          FROM outline JOIN have USING (granule_key) JOIN range(0, 48) AS r(i) ON r.i >= r0 AND r.i < r1
+          JOIN range(0, 48) AS c(i) ON c.i >= c0 AND c.i < c1),
+vals AS (SELECT cells.*, {_INSIDE} AS inside,
+                CAST(floor(CAST(e.embedding[(r % 8) * 8 + c % 8 + 1] AS DOUBLE) * 1000) AS INTEGER) + 1000 AS raw
+         FROM cells JOIN embeddings e ON e.vec_id =
+           ((granule_key * 6 + list_position(['B02','B03','B04','B8A','B11','B12'], band) - 1) * 36 + (r // 8) * 6 + c // 8)
+           % (SELECT count(*) FROM embeddings))
+SELECT polygon_number, time_idx, band, r1 - r0 AS height, c1 - c0 AS width, count(*) AS n_pixels,
+       count(*) FILTER (inside) AS n_inside,
+       CAST(sum(CASE WHEN inside THEN raw * ((r - r0) * (c1 - c0) + c - c0 + 1) ELSE 0 END) AS BIGINT) AS checksum
+FROM vals GROUP BY ALL""")
+def q_clip_geometry(spark, sf):
+    """Every picked raster cropped by its field's box: size of the crop, pixels inside, and their values weighted by their place."""
+    grids = WN.granule_grids(D.granules(spark, sf), COARSE, D.UNITS_PER_DEGREE)
+    poly = materialize(WN.field_polygons(picks(spark, sf), grids, requests(spark, sf), D.UNITS_PER_DEGREE))     # used twice
+    pixels = CR.clip_geometry(poly, D.raster_chunks(spark, sf, poly), D.CHUNK, COARSE, ["polygon_number", "time_idx"])
+    place = F.col("row") * F.col("width") + F.col("col") + 1
+    return pixels.groupBy("polygon_number", "time_idx", "band", "height", "width").agg(
+        F.count("*").alias("n_pixels"), F.count_if("inside").alias("n_inside"), F.sum(F.col("value") * place).alias("checksum"))
+
+
 def _deg_txt(c):
     """micro-degrees -> exact decimal text with six places."""
     return (F.col(c) / F.lit(DEG)).cast("decimal(12,6)").cast("string")

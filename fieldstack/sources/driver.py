@@ -138,15 +138,17 @@ def pixel_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raster_chunks(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
     """(granule_key, band, crow, ccol, values) of the ``wanted`` granules' band files. A chunk's values are the embedding numbered
-    ((granule_key * 6 + band) * 36 + crow * 6 + ccol) mod 499."""
+    ((granule_key * 6 + band) * 36 + crow * 6 + ccol) mod the number of embeddings."""
     n = RASTER_CHUNKS
+    e = table(spark, sf_dir, "embeddings")
+    n_values = max(e.count(), 1)
     have = (granule_files(spark, sf_dir).where(F.col("band").isin(BANDS)).select("granule_key", "band").distinct()
             .join(wanted.select("granule_key").distinct(), "granule_key", "left_semi"))
     b = F.array_position(F.array(*[F.lit(x) for x in BANDS]), F.col("band")) - 1
     axis = F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
     places = (have.withColumn("crow", F.explode(axis)).withColumn("ccol", F.explode(axis))
-              .withColumn("vec_id", ((F.col("granule_key") * 6 + b) * (n * n) + F.col("crow") * n + F.col("ccol")) % 499))
-    e = table(spark, sf_dir, "embeddings").select("vec_id", _pixel_values(F.col("embedding")).alias("values"))
+              .withColumn("vec_id", ((F.col("granule_key") * 6 + b) * (n * n) + F.col("crow") * n + F.col("ccol")) % n_values))
+    e = e.select("vec_id", _pixel_values(F.col("embedding")).alias("values"))
     return places.join(e, "vec_id").drop("vec_id")
 
 
