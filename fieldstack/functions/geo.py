@@ -162,20 +162,21 @@ def with_envelope(df, west: Column, south: Column, east: Column, north: Column,
     return staged.withColumn(out, env).drop("_w", "_s", "_e", "_n", "_z", "_lon", "_lat", "_pts", "_xs", "_ys")
 
 
-def with_degree_bounds(df, x0: Column, y1: Column, x1: Column, y0: Column, zone: Column, out: str, densify: int = 21,
-                       north_hemisphere: Column | bool = True):
-    """``df`` plus struct column ``out`` (west, south, east, north): the degree bounds of each row's UTM box (left x0, bottom y1, right
-    x1, top y0), each edge sampled at ``densify + 2`` points; no shuffle."""
+def degree_bounds(df, x0: Column, y1: Column, x1: Column, y0: Column, zone: Column, keys: list[str], out: str, densify: int = 21,
+                  north_hemisphere: bool = True):
+    """``keys`` plus struct column ``out`` (west, south, east, north): the degree bounds of each row's UTM box (left x0, bottom y1, right x1,
+    top y0), each edge sampled at ``densify + 2`` points. ``keys`` must identify a row. Points are rows here, as in ``utm_envelope``: the
+    inverse repeats its terms, which generated code computes once and a lambda every time."""
     n = densify + 1
-    along = lambda lo, hi: F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: lo + (hi - lo) * (i.cast("double") / n))
-    staged = df.withColumns({"_l": x0, "_b": y1, "_r": x1, "_t": y0, "_z": zone}).withColumns({
-        "_x": along(F.col("_l"), F.col("_r")), "_y": along(F.col("_b"), F.col("_t"))})
-    level = lambda y: F.transform("_x", lambda x: from_utm(x, F.col(y), F.col("_z"), north_hemisphere))     # noqa: E731
-    upright = lambda x: F.transform("_y", lambda y: from_utm(F.col(x), y, F.col("_z"), north_hemisphere))
-    staged = staged.withColumn("_pts", F.concat(level("_b"), level("_t"), upright("_l"), upright("_r")))
-    bounds = F.struct(F.array_min("_pts.lon").alias("west"), F.array_min("_pts.lat").alias("south"),
-                      F.array_max("_pts.lon").alias("east"), F.array_max("_pts.lat").alias("north"))
-    return staged.withColumn(out, bounds).drop("_l", "_b", "_r", "_t", "_z", "_x", "_y", "_pts")
+    pts = df.select(*keys, x0.alias("_l"), y1.alias("_b"), x1.alias("_r"), y0.alias("_t"), zone.alias("_z"),
+                    F.explode(F.sequence(F.lit(0), F.lit(4 * (n + 1) - 1))).alias("_k"))
+    edge, frac = F.floor(F.col("_k") / (n + 1)), (F.col("_k") % (n + 1)).cast("double") / n
+    across, upward = F.col("_l") + (F.col("_r") - F.col("_l")) * frac, F.col("_b") + (F.col("_t") - F.col("_b")) * frac
+    pts = pts.select(*keys, "_z", F.when(edge <= 1, across).when(edge == 2, F.col("_l")).otherwise(F.col("_r")).alias("_x"),
+                     F.when(edge == 0, F.col("_b")).when(edge == 1, F.col("_t")).otherwise(upward).alias("_y"))
+    at = pts.select(*keys, from_utm(F.col("_x"), F.col("_y"), F.col("_z"), north_hemisphere).alias("_p"))
+    return at.groupBy(*keys).agg(F.struct(F.min("_p.lon").alias("west"), F.min("_p.lat").alias("south"),
+                                          F.max("_p.lon").alias("east"), F.max("_p.lat").alias("north")).alias(out))
 
 
 def utm_envelope(df, west: Column, south: Column, east: Column, north: Column, zone: Column,

@@ -17,24 +17,29 @@ BOX = ["west", "south", "east", "north"]
 MAX_COORDINATE = 1e12    # in metres or units of a degree; none is as large
 
 
-def granule_grids(granules: DataFrame, px: float, units_per_degree: float = 1.0) -> DataFrame:
-    """(granule_key, tile, zone, x0, y0, x1, y1): each granule's raster grid; north-up, origin (x0, y0)."""
+def _footprint_grids(granules: DataFrame, px: float, units_per_degree: float) -> DataFrame:
+    """(west, south, east, north, zone, x0, y0, x1, y1) of each distinct footprint."""
     deg = lambda c: F.col(c) / units_per_degree      # noqa: E731
     zone = GE.utm_zone((F.col("west") + F.col("east")) / 2 / units_per_degree)
     shape = granules.select(*BOX, zone.alias("zone")).distinct()
     env = GE.with_envelope(shape, deg("west"), deg("south"), deg("east"), deg("north"), F.col("zone"), "env")
-    grids = env.select(*BOX, "zone", (F.floor(F.col("env.minx") / px) * px).alias("x0"),
-                       (F.ceil(F.col("env.maxy") / px) * px).alias("y0"), (F.ceil(F.col("env.maxx") / px) * px).alias("x1"),
-                       (F.floor(F.col("env.miny") / px) * px).alias("y1"))
-    return granules.select("granule_key", "tile", *BOX).join(grids, BOX).drop(*BOX)
-
-
-def raster_bounds(grids: DataFrame) -> DataFrame:
-    """(granule_key, tile, zone, west, south, east, north): the full extent of each raster of ``granule_grids`` in degrees. Equal grids are
-    projected once."""
-    at = ["zone", "x0", "y0", "x1", "y1"]
-    shapes = GE.with_degree_bounds(grids.select(*at).distinct(), F.col("x0"), F.col("y1"), F.col("x1"), F.col("y0"), F.col("zone"), "deg")
-    return grids.join(shapes, at).select("granule_key", "tile", "zone", *[F.col(f"deg.{c}").alias(c) for c in BOX])
+    return env.select(*BOX, "zone", (F.floor(F.col("env.minx") / px) * px).alias("x0"),
+                      (F.ceil(F.col("env.maxy") / px) * px).alias("y0"), (F.ceil(F.col("env.maxx") / px) * px).alias("x1"),
+                      (F.floor(F.col("env.miny") / px) * px).alias("y1"))
+
+
+def granule_grids(granules: DataFrame, px: float, units_per_degree: float = 1.0) -> DataFrame:
+    """(granule_key, tile, zone, x0, y0, x1, y1): each granule's raster grid; north-up, origin (x0, y0)."""
+    return granules.select("granule_key", "tile", *BOX).join(_footprint_grids(granules, px, units_per_degree), BOX).drop(*BOX)
+
+
+def raster_bounds(granules: DataFrame, px: float, units_per_degree: float = 1.0) -> DataFrame:
+    """(granule_key, tile, zone, west, south, east, north): the full extent of each granule's raster in degrees. A footprint's is computed
+    once; the join is on footprints, because null filters on the grid's own columns would compute the envelope again."""
+    shapes = GE.degree_bounds(_footprint_grids(granules, px, units_per_degree), F.col("x0"), F.col("y1"), F.col("x1"), F.col("y0"),
+                              F.col("zone"), [*BOX, "zone"], "deg")
+    return granules.select("granule_key", "tile", *BOX).join(shapes, BOX).select(
+        "granule_key", "tile", "zone", *[F.col(f"deg.{c}").alias(c) for c in BOX])
 
 
 def field_polygons(picks: DataFrame, grids: DataFrame, requests: DataFrame, units_per_degree: float = 1.0,

@@ -890,7 +890,7 @@ SELECT g.granule_key, g.tile, zone, round(d.west, 6) AS west, round(d.south, 6)
        round(d.north, 6) AS north
 FROM grids g JOIN deg d USING (zone, x0, y0, x1, y1)""")
 def q_raster_bounds(spark, sf):
-    bounds = WN.raster_bounds(WN.granule_grids(D.granules(spark, sf), PX, D.UNITS_PER_DEGREE))
+    bounds = WN.raster_bounds(D.granules(spark, sf), PX, D.UNITS_PER_DEGREE)
     return bounds.select("granule_key", "tile", "zone", *[F.round(c, 6).alias(c) for c in WN.BOX])
 
 

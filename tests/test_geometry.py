@@ -23,7 +23,7 @@ def test_round_trip_of_the_projection(spark):
 
 def test_degree_bounds_hold_the_box(spark):
     df = spark.createDataFrame([(500000.0, 4400000.0, 530000.0, 4430000.0, 42)], "l double, b double, r double, t double, zone int")
-    got = GE.with_degree_bounds(df, F.col("l"), F.col("b"), F.col("r"), F.col("t"), F.col("zone"), "deg").first().deg
+    got = GE.degree_bounds(df, F.col("l"), F.col("b"), F.col("r"), F.col("t"), F.col("zone"), df.columns, "deg").first().deg
     env = spark.createDataFrame([tuple(got)], "w double, s double, e double, n double").select(
         GE.bbox_to_utm(F.struct(F.col("w").alias("west"), F.col("s").alias("south"), F.col("e").alias("east"), F.col("n").alias("north")),
                        F.lit(42)).alias("v")).first().v
