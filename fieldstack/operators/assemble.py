@@ -180,6 +180,17 @@ def resample_window(pixels: DataFrame, windows: DataFrame, keys=("field_id",)) -
                      F.col("out_row").alias("row"), F.col("out_col").alias("col")))
 
 
+def read_window(spark, path: str, chunk: int, rows: tuple[int, int], cols: tuple[int, int], labels: list[str],
+                field_ids: list | None = None, n_buckets: int | None = None) -> DataFrame:
+    """Pixels (field_id, row, col, ``labels``) of an inclusive window of the fields in a stack written by ``sinks.writers.write_chunk_stack``.
+    The window's limits are predicates on stored columns, so groups of chunks outside it are skipped by their statistics; pixels unfold
+    after that. Only the arrays of ``labels`` are read."""
+    df = read_stack(spark, path, field_ids, n_buckets).where(
+        (F.col("row_last") >= rows[0]) & (F.col("row_first") <= rows[1]) & (F.col("col_last") >= cols[0]) & (F.col("col_first") <= cols[1]))
+    px = chunk_pixels(df.select("field_id", "crow", "ccol", *labels), labels, chunk, ["field_id", "crow", "ccol"])
+    return px.where(F.col("row").between(*rows) & F.col("col").between(*cols))
+
+
 def read_stack(spark, path: str, field_ids: list | None = None, n_buckets: int | None = None) -> DataFrame:
     """Read a stack written by ``sinks.writers.write_stack``. With ``field_ids`` and the
     writer's ``n_buckets`` the bucket predicate is a list of constant hashes that Catalyst

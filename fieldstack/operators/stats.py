@@ -56,6 +56,11 @@ def band_histogram(pixels: DataFrame, keys=BAND_KEYS, dense: bool = True) -> Dat
     if not dense:
         w = Window.partitionBy(*keys)
         return counts.select(*keys, (F.col("value") - F.min("value").over(w)).alias("bucket"), "value", "n")
+    return dense_histogram(counts, keys)
+
+
+def dense_histogram(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Buckets of ``band_histogram`` from the counts (``keys``, value, n)."""
     ranges = counts.groupBy(*keys).agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"))
     dense = ranges.select(*keys, "vmin", F.explode(F.sequence("vmin", "vmax")).alias("value"))
     out = dense.join(counts, keys + ["value"], "left")

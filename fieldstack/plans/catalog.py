@@ -716,7 +716,8 @@ from fieldstack.functions import geo as GE  # noqa: E402
 from fieldstack.operators import windows as WN  # noqa: E402
 from fieldstack.session import checkpoint_dir, materialize  # noqa: E402
 from fieldstack.operators import crop as CR  # noqa: E402
-from fieldstack.plans.geo_sql import degree_bounds_cte, envelope_cte, utm_xy_sql  # noqa: E402
+from fieldstack.operators import warp as WP  # noqa: E402
+from fieldstack.plans.geo_sql import degree_bounds_cte, envelope_cte, lat_lon_sql, utm_xy_sql  # noqa: E402
 from fieldstack.sources import regions as RG  # noqa: E402
 
 PX = 30.0  # metres per pixel
@@ -874,6 +875,44 @@ def q_field_stack(spark, sf):
     return AS.field_stacks(win, D.raster_chunks(spark, sf, win), D.CHUNK)
 
 
+_REF = ("zone", "x0", "y0", "col_off", "row_off", "width", "height", "ow", "oh")
+_LAT, _LON = lat_lon_sql("x", "y", "r_zone")
+_SX, _SY = utm_xy_sql("lat", "lon", "zone")
+
+
+@query("field_stack_warped", with_(*BASE, S.PAIRS, S.FILES, S.PICKS, WINDOWS_SQL) + f"""
+, first_date AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY polygon_number ORDER BY time_idx) = 1),
+dates AS (SELECT w.polygon_number, w.time_idx, w.granule_key, w.zone, w.x0, w.y0, w.x1, w.y1, {", ".join(f"f.{c} AS r_{c}" for c in _REF)}
+          FROM w JOIN first_date f USING (polygon_number) JOIN gridded g USING (polygon_number)
+          WHERE g.status = 'GRID_MISMATCH' AND f.worst IN (3, 4)),
+places AS (SELECT dates.*, r.i AS row, c.i AS col, r_x0 + (r_col_off + (c.i + 0.5) * (r_width / r_ow)) * {COARSE} AS x,
+                  r_y0 - (r_row_off + (r.i + 0.5) * (r_height / r_oh)) * {COARSE} AS y
+           FROM dates JOIN range(0, 40) AS r(i) ON r.i < r_oh JOIN range(0, 40) AS c(i) ON c.i < r_ow),
+degrees_ AS (SELECT *, {_LAT} AS lat, {_LON} AS lon FROM places),
+metres AS (SELECT *, CASE WHEN zone = r_zone THEN x ELSE {_SX} END AS sx, CASE WHEN zone = r_zone THEN y ELSE {_SY} END AS sy FROM degrees_),
+src AS (SELECT *, CAST(floor((sx - x0) / {COARSE}) AS BIGINT) AS sc, CAST(floor((y0 - sy) / {COARSE}) AS BIGINT) AS sr,
+               CAST(round((x1 - x0) / {COARSE}) AS BIGINT) AS nc, CAST(round((y0 - y1) / {COARSE}) AS BIGINT) AS nr FROM metres),
+cut AS (SELECT *, sc >= 0 AND sc < nc AND sr >= 0 AND sr < nr AND sc < 48 AND sr < 48
+                  AND granule_key IN (SELECT granule_key FROM granule_files WHERE band <> 'Fmask') AS inside FROM src),
+by_band AS (SELECT cut.*, b.band, list_position(['B02','B03','B04','B8A','B11','B12'], b.band) - 1 AS bi
+           FROM cut CROSS JOIN (SELECT unnest(['B02','B03','B04','B8A','B11','B12']) AS band) b),
+have AS (SELECT DISTINCT granule_key, band FROM granule_files),
+vals AS (SELECT b.*, CASE WHEN NOT inside THEN 0 WHEN h.band IS NOT NULL THEN greatest(0, least(65535,
+                CAST(floor(CAST(e.embedding[(sr % 8) * 8 + sc % 8 + 1] AS DOUBLE) * 1000) AS INTEGER) + 1000)) END AS value
+         FROM by_band b LEFT JOIN have h ON h.granule_key = b.granule_key AND h.band = b.band
+         LEFT JOIN embeddings e ON b.inside AND e.vec_id =
+           ((b.granule_key * 6 + b.bi) * 36 + (sr // 8) * 6 + sc // 8) % (SELECT count(*) FROM embeddings))
+SELECT polygon_number, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col,
+  {_FIELD_COND}
+FROM vals GROUP BY ALL""")
+def q_field_stack_warped(spark, sf):
+    """Fields whose dates lie on different grids, assembled on the first date's."""
+    win = materialize(pixel_windows(spark, sf, COARSE))     # used three times
+    mixed = WN.grid_status(win).where(F.col("status") == "GRID_MISMATCH").select("polygon_number")
+    win = win.join(mixed, "polygon_number", "left_semi")
+    return WP.warped_stacks(win, D.raster_chunks(spark, sf, win), COARSE, D.CHUNK)
+
+
 GRIDS_SQL = """
 footprints AS (SELECT DISTINCT west, south, east, north, CAST(floor(((west + east) / 2 / 1000000.0 + 180) / 6) % 60 + 1 AS INTEGER) AS zone
                FROM granules),
@@ -1210,3 +1249,71 @@ def q_field_outcomes(spark, sf):
     p = materialize(picks(spark, sf))      # used twice
     complete = OG.granule_band_completeness(p, files(spark, sf), BANDS)
     return field_outcomes(requests(spark, sf), SR.pick_status(time_points(spark, sf), p), complete)
+
+
+# ---- 12. stored tables that are read in part ---------------------------------------------------
+
+from fieldstack.operators import increments as IN  # noqa: E402
+from fieldstack.sinks import writers as WR  # noqa: E402
+from fieldstack.sources import granule_store as GS  # noqa: E402
+
+BATCHES = 4      # the pixel table arrives in four batches
+
+
+def store_path(spark, name):
+    return f"{checkpoint_dir(spark)}/stores/{name}-{uuid.uuid4().hex}"
+
+
+def batch_counts(spark, sf):
+    """Counts of the large pixel table, added in three updates (two batches, then one, then one)."""
+    source, store = store_path(spark, "pixels"), IN.BandCounts(spark, store_path(spark, "counts"))
+    rows = D.pixels_large(spark, sf).withColumn("batch", F.col("value") % BATCHES)
+    for some in ((0, 1), (2,), (3,)):
+        rows.where(F.col("batch").isin(*some)).write.mode("append").partitionBy("batch").parquet(source)
+        store.update(source)
+    return store.counts()
+
+
+@query("band_stats_incremental", with_(S.PIXELS_LARGE) + """
+SELECT field_id, time_idx, band, count(*) AS n, min(value) AS min, max(value) AS max,
+       round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS std,
+       round(avg(CASE WHEN value <> 0 THEN 100.0 ELSE 0.0 END), 4) AS valid_pct,
+       round(quantile_cont(value, 0.02), 4) AS p_low, round(quantile_cont(value, 0.98), 4) AS p_high
+FROM pixels_large GROUP BY field_id, time_idx, band""")
+def q_band_stats_incremental(spark, sf):
+    counts = materialize(batch_counts(spark, sf))      # used twice
+    return IN.stats_of_counts(counts).join(IN.percentiles_of_counts(counts), ST.BAND_KEYS)
+
+
+WINDOW_ROWS, WINDOW_COLS = (5, 17), (10, 20)      # a fixed window parameter
+_MOSAIC_COND = ",\n  ".join(
+    f"max(CASE WHEN vec_id % 18 = {t * len(BANDS) + i} THEN value END) AS t{t}_{b}" for t in range(3) for i, b in enumerate(BANDS))
+
+
+@query("stack_window", f"""
+WITH px AS (
+  SELECT vec_id, vec_id // 162 AS field_id, CAST((vec_id // 18 % 9) // 3 * 8 + (p.pos - 1) // 8 AS INTEGER) AS row,
+         CAST((vec_id // 18 % 9) % 3 * 8 + (p.pos - 1) % 8 AS INTEGER) AS col,
+         greatest(0, least(65535, CAST(floor(CAST(embedding[p.pos] AS DOUBLE) * 1000) AS INTEGER) + 1000)) AS value
+  FROM embeddings CROSS JOIN range(1, 65) AS p(pos) WHERE p.pos <= len(embedding))
+SELECT field_id, row, col,
+  {_MOSAIC_COND}
+FROM px WHERE row BETWEEN {WINDOW_ROWS[0]} AND {WINDOW_ROWS[1]} AND col BETWEEN {WINDOW_COLS[0]} AND {WINDOW_COLS[1]}
+GROUP BY field_id, row, col""")
+def q_stack_window(spark, sf):
+    """A window of every mosaic, read back from stacks stored as chunks."""
+    path = store_path(spark, "stack")
+    wide = AS.stack_chunks(D.mosaic_chunks(spark, sf), LABELS, ["field_id", "crow", "ccol"])
+    WR.write_chunk_stack(wide, path, D.CHUNK, n_buckets=4)
+    return AS.read_window(spark, path, D.CHUNK, WINDOW_ROWS, WINDOW_COLS, LABELS)
+
+
+CATALOGUE = GS.Layout(cell=D.GRANULE_SIZE, slab_bins=6, block_cells=10, buckets=4)
+
+
+@query("granule_search_stored", ORACLE["granule_search"])
+def q_granule_search_stored(spark, sf):
+    """``granule_search`` over the catalogue as a stored table."""
+    name = f"catalogue_{uuid.uuid4().hex}"
+    GS.write_catalogue(D.granules(spark, sf), name, CATALOGUE, store_path(spark, "catalogue"))
+    return GS.search_catalogue(time_points(spark, sf), spark, name, CATALOGUE)

@@ -29,7 +29,8 @@ def _writer(df: DataFrame, mode: str):
             .option("partitionOverwriteMode", "dynamic"))
 
 
-def _write_bucketed(df: DataFrame, path: str, field: str, n_buckets: int, run_id: str | None, sort: list[str] | None = None) -> None:
+def _write_bucketed(df: DataFrame, path: str, field: str, n_buckets: int, run_id: str | None, sort: list[str] | None = None,
+                    options: dict | None = None) -> None:
     out = df.withColumn("bucket", field_bucket(field, n_buckets))
     parts = ["bucket"]
     if run_id is not None:
@@ -37,7 +38,7 @@ def _write_bucketed(df: DataFrame, path: str, field: str, n_buckets: int, run_id
     out = out.hint("rebalance", F.col("bucket"))
     if sort:
         out = out.sortWithinPartitions("bucket", *sort)
-    _writer(out, "overwrite").partitionBy(*parts).parquet(path)
+    _writer(out, "overwrite").options(**(options or {})).partitionBy(*parts).parquet(path)
 
 
 def write_manifest(manifest: DataFrame, path: str, n_buckets: int = 1, run_id: str | None = None) -> None:
@@ -56,6 +57,21 @@ def write_stack(stack: DataFrame, path: str, n_buckets: int = 1, run_id: str | N
     _write_bucketed(stack, path, field, n_buckets, run_id, [field, "row", "col"])
 
 
+def write_chunk_stack(wide: DataFrame, path: str, chunk: int, n_buckets: int = 1, run_id: str | None = None, field: str = "field_id",
+                      group_bytes: int = 8 << 20) -> None:
+    """A stack as raster chunks (``field``, crow, ccol, an array for each label) with the rows and columns that each covers, in row groups of
+    ``group_bytes``: a window reads its bucket and, by the groups' statistics, the few groups that it touches (``assemble.read_window``).
+    Chunks lie along a Z-order curve inside a field, so a group covers a compact piece of it in both directions."""
+    first = {"row_first": F.col("crow") * chunk, "col_first": F.col("ccol") * chunk}
+    out = wide.withColumns(first).withColumns({"row_last": F.col("row_first") + chunk - 1, "col_last": F.col("col_first") + chunk - 1})
+    bit = lambda c, i: F.shiftleft(F.shiftright(c, i).bitwiseAND(F.lit(1).cast("long")), i)      # noqa: E731
+    z = F.lit(0).cast("long")
+    for i in range(24):      # 2^24 chunks in a direction
+        z = z + F.shiftleft(bit(F.col("crow").cast("long"), i), i + 1) + F.shiftleft(bit(F.col("ccol").cast("long"), i), i)
+    out = out.withColumn("zorder", z)
+    _write_bucketed(out, path, field, n_buckets, run_id, [field, "zorder"], {"parquet.block.size": group_bytes})
+
+
 def append_ledger(ledger: DataFrame, path: str, run_col: str = "run_id") -> None:
     """Add one run's rows to the ledger; a re-executed run replaces its own."""
     _writer(ledger, "overwrite").partitionBy(run_col).parquet(path)

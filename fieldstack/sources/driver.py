@@ -136,6 +136,22 @@ def pixel_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         zero.alias("crow"), zero.alias("ccol"), _pixel_values(F.col("embedding")).alias("values"))
 
 
+MOSAIC_CHUNKS = 3    # a mosaic has 3 x 3 chunks
+
+
+def mosaic_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings -> chunks of larger fields (field_id, label, crow, ccol, values): field = vec_id div 162, place = vec_id div 18 mod 9 (row by
+    row), label = the vec_id mod 18th of the stack."""
+    from fieldstack.operators.assemble import stack_labels  # noqa: PLC0415
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    side = MOSAIC_CHUNKS
+    place = F.floor(F.col("vec_id") / 18) % (side * side)
+    return e.select(
+        F.floor(F.col("vec_id") / (18 * side * side)).alias("field_id"), F.floor(place / side).alias("crow"), (place % side).alias("ccol"),
+        F.element_at(F.array(*[F.lit(x) for x in stack_labels()]), (F.col("vec_id") % 18 + 1).cast("int")).alias("label"),
+        _pixel_values(F.col("embedding")).alias("values"))
+
+
 def raster_chunks(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
     """(granule_key, band, crow, ccol, values) of the ``wanted`` granules' band files. A chunk's values are the embedding numbered
     ((granule_key * 6 + band) * 36 + crow * 6 + ccol) mod the number of embeddings."""

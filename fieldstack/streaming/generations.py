@@ -109,6 +109,14 @@ class Generations:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{n}" for n in names])
 
+    def epochs(self) -> tuple[int, int | None]:
+        """The last epoch that was written whole, and the one that was begun after it, if any: whoever writes repeats that one first."""
+        m = self.manifest()
+        begun = sorted(int(n.split("=")[1]) for n in self._names(m.tail) if n.startswith("epoch="))
+        whole = [e for e in begun if self._fs.exists(self._fs_path(f"{self.path}/{m.tail}/epoch={e}/_SUCCESS"))]
+        last = max(whole, default=m.through)
+        return last, min((e for e in begun if e > last), default=None)
+
     def partitions(self) -> list[str]:
         """Folders that a reader lists."""
         m = self.manifest()
