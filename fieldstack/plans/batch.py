@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstack.constants import BANDS, MAX_RESULTS_DOWNLOAD
+from fieldstack.constants import BANDS, MAX_RESULTS_DOWNLOAD, WINDOWS
 from fieldstack.operators import assemble as AS
 from fieldstack.operators import granules as GR
 from fieldstack.operators import organize as OG
@@ -79,7 +79,9 @@ def run_batch(spark: SparkSession, fields: DataFrame, granules: DataFrame, files
     n_buckets = W.buckets_for(planned.count())
 
     tp = explode_time_points(requests, keys=keys)
-    pairs = SR.search_granules(tp, granules, cloud_min=0, cloud_max=cloud_max, cell=cell, request_keys=at)
+    # without a cap every pair counts
+    first = {"max_results": max_results, "windows": WINDOWS, "wanted": SR.wanted_granules(files, list(bands))} if max_results is not None else {}
+    pairs = SR.search_granules(tp, granules, cloud_min=0, cloud_max=cloud_max, cell=cell, request_keys=at, **first)
     picks = materialize(SR.adaptive_pick_banded(pairs, files, list(bands), max_results=max_results, request_keys=at))
     status = SR.pick_status(tp, picks, as_of=as_of, request_keys=at)
     complete = OG.granule_band_completeness(picks, files, list(bands), keys=at)
