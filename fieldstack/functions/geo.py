@@ -66,12 +66,24 @@ _DELTA = [
 
 def to_utm(lat_deg: Column, lon_deg: Column, zone: Column, north: Column | bool = True) -> Column:
     """WGS84 degrees -> struct(x, y) metres in the given UTM zone."""
-    phi = F.radians(lat_deg)
-    dlam = F.radians(lon_deg - (zone * 6 - 183))
-    sphi = F.sin(phi)
-    t = F.sinh(F.atanh(sphi) - _C * F.atanh(_C * sphi))
-    xi = F.atan2(t, F.cos(dlam))
-    eta = F.atanh(F.sin(dlam) / F.sqrt(1 + t * t))
+    xi, eta = _transverse(_conformal(lat_deg), _from_meridian(lon_deg, zone))
+    return _metres(xi, eta, north)
+
+
+def _conformal(lat_deg: Column) -> Column:
+    sphi = F.sin(F.radians(lat_deg))
+    return F.sinh(F.atanh(sphi) - _C * F.atanh(_C * sphi))
+
+
+def _from_meridian(lon_deg: Column, zone: Column) -> Column:
+    return F.radians(lon_deg - (zone * 6 - 183))
+
+
+def _transverse(t: Column, dlam: Column) -> tuple[Column, Column]:
+    return F.atan2(t, F.cos(dlam)), F.atanh(F.sin(dlam) / F.sqrt(1 + t * t))
+
+
+def _metres(xi: Column, eta: Column, north: Column | bool) -> Column:
     e_sum, n_sum = eta, xi
     for j, a in enumerate(_ALPHA, start=1):
         e_sum = e_sum + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
@@ -142,24 +154,26 @@ def pixel_window(env: Column, x0: Column, y0: Column, px: Column | float) -> Col
 
 def with_envelope(df, west: Column, south: Column, east: Column, north: Column, zone: Column, out: str,
                   densify: int = 21, north_hemisphere: Column | bool = True):
-    """``df`` plus struct column ``out``, the UTM envelope of each row's box; no shuffle. The edge points are a column of their own,
-    so each is projected once."""
+    """``df`` plus struct column ``out``, the UTM envelope of each row's box; no shuffle. A lambda computes every term where it is named,
+    so each step of the projection is a lambda of its own: a term is computed once for a point, a parallel's or meridian's once for an edge."""
     n = densify + 1
     along = lambda lo, hi: F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: lo + (hi - lo) * (i.cast("double") / n))
-    staged = df.withColumns({"_w": west, "_s": south, "_e": east, "_n": north, "_z": zone}).withColumns({
-        "_lon": along(F.col("_w"), F.col("_e")), "_lat": along(F.col("_s"), F.col("_n"))})
-
-    def edge(name: str, moving: str, fixed_is_lat: bool) -> Column:
-        def point(m):
-            lat, lon = (F.col(name), m) if fixed_is_lat else (m, F.col(name))
-            return to_utm(lat, lon, F.col("_z"), north_hemisphere)
-        return F.transform(moving, point)
-
-    pts = F.concat(edge("_s", "_lon", True), edge("_n", "_lon", True), edge("_w", "_lat", False), edge("_e", "_lat", False))
-    staged = staged.withColumn("_pts", pts).withColumns({"_xs": F.col("_pts.x"), "_ys": F.col("_pts.y")})
+    staged = df.withColumns({"_w": west, "_s": south, "_e": east, "_n": north, "_z": zone})
+    lat = lambda a: F.transform(a, _conformal)      # noqa: E731
+    lon = lambda a: F.transform(a, lambda x: _from_meridian(x, F.col("_z")))      # noqa: E731
+
+    def point(t, dlam):
+        xi, eta = _transverse(t, dlam)
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    staged = staged.withColumns({"_lats": lat(along(F.col("_s"), F.col("_n"))), "_lons": lon(along(F.col("_w"), F.col("_e")))})
+    level = F.transform(lat(F.array("_s", "_n")), lambda t: F.transform("_lons", lambda dlam: point(t, dlam)))
+    upright = F.transform(lon(F.array("_w", "_e")), lambda dlam: F.transform("_lats", lambda t: point(t, dlam)))
+    metres = F.transform(F.flatten(F.concat(level, upright)), lambda p: _metres(p.xi, p.eta, north_hemisphere))
+    staged = staged.withColumn("_pts", metres).withColumns({"_xs": F.col("_pts.x"), "_ys": F.col("_pts.y")})
     env = F.struct(F.array_min("_xs").alias("minx"), F.array_min("_ys").alias("miny"),
                    F.array_max("_xs").alias("maxx"), F.array_max("_ys").alias("maxy"))
-    return staged.withColumn(out, env).drop("_w", "_s", "_e", "_n", "_z", "_lon", "_lat", "_pts", "_xs", "_ys")
+    return staged.withColumn(out, env).drop("_w", "_s", "_e", "_n", "_z", "_lons", "_lats", "_pts", "_xs", "_ys")
 
 
 def degree_bounds(df, x0: Column, y1: Column, x1: Column, y0: Column, zone: Column, keys: list[str], out: str, densify: int = 21,

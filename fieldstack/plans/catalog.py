@@ -765,6 +765,7 @@ def q_bbox_normalize(spark, sf):
 def utm_envelopes(spark, sf):
     r = requests(spark, sf).where(F.col("status") == "OK").select(
         "polygon_number", "west", "south", "east", "north", GE.utm_zone(_deg("lon")).alias("zone"))
+    r = r.repartition(*r.columns)      # a field's row is small and its projection long: few scan splits would be few tasks
     return GE.with_envelope(r, _deg("west"), _deg("south"), _deg("east"), _deg("north"), F.col("zone"), "env")
 
 
