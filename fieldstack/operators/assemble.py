@@ -8,7 +8,7 @@ grow with the data. Completeness is decided on the tiny per-band key set, not on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstack.constants import BANDS, N_TIME_POINTS, PIXEL_MAX, PIXEL_MIN
@@ -63,12 +63,13 @@ def stack_chunks(chunks: DataFrame, labels: list[str], keys: list[str]) -> DataF
     return got.select(*keys, *[pick(x).alias(x) for x in labels])
 
 
-def chunk_pixels(wide: DataFrame, labels: list[str], chunk: int, keys: list[str]) -> DataFrame:
-    """Chunk rows -> pixels (``keys`` without crow and ccol, row, col, labels), clamped to uint16."""
+def chunk_pixels(wide: DataFrame, labels: list[str], chunk: int, keys: list[str], first_row=0) -> DataFrame:
+    """Chunk rows -> pixels (``keys`` without crow and ccol, row, col, labels), clamped to uint16. ``first_row``: the chunk's row that the
+    arrays begin with."""
     rest = [k for k in keys if k not in ("crow", "ccol")]
     zipped = wide.select(*keys, F.posexplode(F.arrays_zip(*[F.coalesce(F.col(x), F.array().cast("array<int>")).alias(x) for x in labels]))
                          .alias("pos", "v"))
-    return zipped.select(*rest, (F.col("crow") * chunk + F.floor(F.col("pos") / chunk)).cast("int").alias("row"),
+    return zipped.select(*rest, (F.col("crow") * chunk + first_row + F.floor(F.col("pos") / chunk)).cast("int").alias("row"),
                          (F.col("ccol") * chunk + F.col("pos") % chunk).cast("int").alias("col"),
                          *[clamp_u16(F.col(f"v.{x}")).alias(x) for x in labels])
 
@@ -95,13 +96,19 @@ def field_stacks(windows: DataFrame, chunks: DataFrame, chunk: int, keys: tuple[
     pixel floor(off + (j + 0.5) * size / int(size))) and clipped."""
     from fieldstack.operators.windows import window_chunks  # noqa: PLC0415
     labels = stack_labels(n_times, bands)
-    met = window_chunks(windows, chunk).join(chunks, ["granule_key", "crow", "ccol"]).withColumn(
-        "label", band_label(F.col("time_idx"), F.col("band")))
-    shape = ["col_off", "row_off", "width", "height"]    # alike for all dates of a field on one grid
-    at = [*keys, "crow", "ccol"]
-    px = chunk_pixels(stack_chunks(met, labels, at), labels, chunk, at)
-    frame = windows.groupBy(*keys).agg(*[F.first(c).alias(c) for c in shape])
-    return resample_window(px, frame, keys=keys)
+    shape = ["col_off", "row_off", "width", "height"]    # alike for all dates of a field on one grid, so every chunk has it
+    frame = F.min(F.struct(*shape)).over(Window.partitionBy(*keys))
+    framed = windows.dropna(subset=list(keys)).withColumn("frame", frame)
+    # of a chunk's array only the rows that the frame touches cross the shuffle
+    first = F.greatest(F.floor("row_off") - F.col("crow") * chunk, F.lit(0)).cast("int")
+    last = (F.floor(F.col("row_off") + F.col("height")) - F.col("crow") * chunk).cast("int")
+    met = (window_chunks(framed, chunk).select(*keys, "time_idx", "granule_key", "crow", "ccol", "frame.*")
+           .join(chunks, ["granule_key", "crow", "ccol"])
+           .withColumn("values", F.slice("values", first * chunk + 1, F.greatest(last - first + 1, F.lit(0)) * chunk))
+           .withColumn("label", band_label(F.col("time_idx"), F.col("band"))))
+    at = [*keys, *shape, "crow", "ccol"]
+    px = chunk_pixels(stack_chunks(met, labels, at), labels, chunk, at, first)
+    return _resampled(px, list(keys))
 
 
 def assemble_named_periods(pixels: DataFrame, periods: list[str], bands=BANDS, chunk: int = 8) -> DataFrame:
@@ -162,9 +169,14 @@ def resample_window(pixels: DataFrame, windows: DataFrame, keys=("field_id",)) -
     feeds at most one output pixel: the resample is a projection and a filter on the
     pixel table, joined once to the per-field window (one row per field)."""
     keys = list(keys)
-    w = windows.select(*keys, "col_off", "row_off", "width", "height",
-                       F.col("width").cast("int").alias("out_w"), F.col("height").cast("int").alias("out_h"))
-    j = pixels.join(w.where((F.col("out_w") > 0) & (F.col("out_h") > 0)), keys)
+    return _resampled(pixels.join(windows.select(*keys, "col_off", "row_off", "width", "height"), keys), keys)
+
+
+def _resampled(framed: DataFrame, keys: list[str]) -> DataFrame:
+    """Pixels that have their window beside them, resampled to it."""
+    shape = ["col_off", "row_off", "width", "height"]
+    j = (framed.withColumn("out_w", F.col("width").cast("int")).withColumn("out_h", F.col("height").cast("int"))
+         .where((F.col("out_w") > 0) & (F.col("out_h") > 0)))
 
     def target(src, off, size, n):
         s = size / n
@@ -176,7 +188,7 @@ def resample_window(pixels: DataFrame, windows: DataFrame, keys=("field_id",)) -
     orow, okr = target(F.col("row"), F.col("row_off"), F.col("height"), F.col("out_h"))
     return (j.withColumn("out_col", oc).withColumn("out_row", orow)
              .where(okc & okr)
-             .select(*keys, *[c for c in pixels.columns if c not in keys + ["row", "col"]],
+             .select(*keys, *[c for c in framed.columns if c not in keys + ["row", "col"] + shape],
                      F.col("out_row").alias("row"), F.col("out_col").alias("col")))
 
 
