@@ -21,7 +21,7 @@ these without the others: see ``_first_pairs``.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,7 +105,7 @@ def _meeting(requests: DataFrame, shapes: DataFrame, window_days: int, cell: flo
          .withColumn("tbin", F.explode(F.sequence(_time_bin(F.date_sub(t, window_days), tb), _time_bin(F.date_add(t, window_days), tb))))
          .withColumn("cx", F.explode(_cells(F.col("west"), F.col("east"), cell)))
          .withColumn("cy", F.explode(_cells(F.col("south"), F.col("north"), cell))))
-    r = r.select(*request_keys, "t_date", *BOX, *keys, *[c for c in ("several",) if c in requests.columns])
+    r = r.select(*request_keys, "t_date", *BOX, *keys)
     if hot_key_rows:
         r, g = salt_hot_keys(r, g, keys, request_keys, hot_key_rows)
         keys = keys + ["salt"]
@@ -136,11 +136,14 @@ def _first_pairs(requests: DataFrame, g: DataFrame, windows: list[int], n: int,
     day = F.datediff("acquired", _epoch())
     mark = ["wanted"] if "wanted" in g.columns else []
     # ties in full order, so that numbers are the same however often they are computed
-    order = Window.partitionBy(*track).orderBy("day", *PAIR_ORDER, "granule_key", "cloud_pct")
-    g = (g.withColumn("tbin", _time_bin("acquired", tb)).where(F.col("tbin").isNotNull())
-          .withColumn("day", day)
+    order = Window.partitionBy(*track).orderBy(day, *PAIR_ORDER, "granule_key", "cloud_pct")
+    # rows without a track meet nothing. Days are taken after the numbers: both uses of g then need the same columns of the same rows,
+    # and it is dealt out once
+    g = (g.withColumn("tbin", _time_bin("acquired", tb))
           .withColumn("lone", F.when(F.coalesce(F.col("acquired_at").cast("date") == F.col("acquired"), F.lit(False)), F.lit(NO_DAY)).otherwise(day))
-          .withColumn("pos", F.row_number().over(order)))
+          .where(reduce(and_, [F.col(c).isNotNull() for c in track]))
+          .withColumn("pos", F.row_number().over(order))
+          .withColumn("day", day))
     # a track's days: granules before each, and the first wanted number on or after it; days without granules repeat the next one's
     first_wanted = F.min(F.when(F.col("wanted"), F.col("pos"))) if to_wanted else F.lit(None).cast("int")
     in_track = Window.partitionBy(*track).orderBy("day")
@@ -151,11 +154,6 @@ def _first_pairs(requests: DataFrame, g: DataFrame, windows: list[int], n: int,
                                       F.sort_array(F.collect_list(F.struct("day", "gap", "before", "w"))).alias("steps"))
     spread = lambda c: F.flatten(F.transform("steps", lambda x: F.array_repeat(x[c], x["gap"])))      # noqa: E731
     tracks = tracks.select(*track, "first_day", "total", spread("before").alias("before"), spread("w").alias("w"))
-    if to_wanted:
-        # ranks run over all rows of a request's keys: where these have several dates, one date's rows count for the other's
-        same = Window.partitionBy(*request_keys)
-        requests = requests.select(*request_keys, "t_date", *BOX, (
-            F.coalesce(F.min("t_date").over(same) != F.max("t_date").over(same), F.lit(False))).alias("several"))
     met = _meeting(requests, tracks, ws[-1], cell, tb, request_keys, hot_key_rows)
 
     def at(column: str, d, beyond):
@@ -166,11 +164,12 @@ def _first_pairs(requests: DataFrame, g: DataFrame, windows: list[int], n: int,
     spans = {}
     for w in ws:
         lo = at("before", t - w, F.col("total"))
-        hi = F.least(at("before", t + w + 1, F.col("total")), lo + n)
-        if to_wanted:      # least passes over nulls
-            hi = F.least(hi, F.when(~F.col("several"), at("w", t - w, F.lit(None))))
-        spans |= {f"lo{w}": lo, f"hi{w}": hi}
+        spans |= {f"lo{w}": lo, f"hi{w}": F.least(at("before", t + w + 1, F.col("total")), lo + n)}
+        if to_wanted:
+            spans[f"w{w}"] = at("w", t - w, F.lit(None))
     met = met.select(*request_keys, "t_date", *track, *[c.alias(k) for k, c in spans.items()])
+    if to_wanted:
+        met = _up_to_wanted(met, ws, n, request_keys)
     block = lambda c: F.floor((c - 1) / n)      # noqa: E731
     blocks = F.array_distinct(F.flatten(F.array(*[
         F.when(F.col(f"hi{w}") > F.col(f"lo{w}"), F.sequence(block(F.col(f"lo{w}") + 1), block(F.col(f"hi{w}")))).otherwise(F.array().cast("array<bigint>"))
@@ -182,6 +181,27 @@ def _first_pairs(requests: DataFrame, g: DataFrame, windows: list[int], n: int,
                         F.datediff("acquired", "t_date").alias("day_diff"), *mark)
 
 
+def _up_to_wanted(met: DataFrame, ws: list[int], n: int, request_keys: list[str]) -> DataFrame:
+    """Spans of ``met`` (lo, hi and the first wanted number of each window) cut to what a pick can need, before any granule is fetched.
+
+    A window's first wanted granule has at most those before it that come before the first wanted one of their own track: where these
+    are fewer than ``n`` in all, the window succeeds, and no wider one is tried. Ranks run over all rows of a request's keys: where
+    these have several dates, one date's rows count for the other's, and nothing is cut."""
+    same = Window.partitionBy(*request_keys)
+    met = met.where(F.col(f"hi{ws[-1]}") > F.col(f"lo{ws[-1]}"))
+    has = lambda w: F.coalesce(F.col(f"w{w}") <= F.col(f"hi{w}"), F.lit(False))      # noqa: E731
+    before = lambda w: F.when(has(w), F.col(f"w{w}") - 1).otherwise(F.col(f"hi{w}")) - F.col(f"lo{w}")      # noqa: E731
+    met = met.withColumns({"several": F.min("t_date").over(same) != F.max("t_date").over(same)} | {
+        f"sure{w}": F.max(has(w)).over(same) & (F.sum(before(w)).over(same) < n) for w in ws[:-1]})
+    cut = {}
+    for i, w in enumerate(ws):
+        hi = F.least(f"hi{w}", f"w{w}")      # least passes over nulls
+        if i:
+            hi = F.when(reduce(or_, [F.col(f"sure{v}") for v in ws[:i]]), F.col(f"lo{w}")).otherwise(hi)
+        cut[f"hi{w}"] = F.when(F.col("several"), F.col(f"hi{w}")).otherwise(hi)
+    return met.withColumns(cut).drop("several", *[f"w{w}" for w in ws], *[f"sure{w}" for w in ws[:-1]])
+
+
 def alike(requests: DataFrame, granules: DataFrame, window_days: int, cell: float, request_keys: list[str] = REQUEST_KEYS,
           time_bin_days: int | None = None, hot_key_rows: int | None = 2_000_000) -> DataFrame:
     """(request_keys, rep): the keys of requests that meet any footprint of the time, and one request's keys for all that find the

@@ -59,7 +59,7 @@ def pairs(spark, sf, window_days=30, points=None, **first):
 
 def picks(spark, sf, max_results=MAX_RESULTS_DOWNLOAD):
     """The widening search: per window the first ``max_results`` granules, those with a requested band."""
-    f = D.granule_files(spark, sf)
+    f = D.file_bands(spark, sf)
     found = pairs(spark, sf, max_results=max_results, windows=WINDOWS, wanted=SR.wanted_granules(f, BANDS))
     return SR.adaptive_pick_banded(found, f, BANDS, max_results=max_results)
 

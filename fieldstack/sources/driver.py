@@ -75,16 +75,24 @@ def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _layer() -> Column:
+    return F.element_at(F.array(*[F.lit(b) for b in FILE_LAYERS]), F.col("l_linenumber"))
+
+
+def file_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> (granule_key, band) of every file: those of ``granule_files``, and of granules that no row of orders describes."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("granule_key"), _layer().alias("band"))
+
+
 def granule_files(spark: SparkSession, sf_dir: str, granule_df: DataFrame | None = None) -> DataFrame:
     """lineitem x granules -> granule_files(granule_key, granule_id, acquired_at, band, url,
     tiebreak columns). One row per lineitem; duplicates of (granule, band) are real."""
     g = granule_df if granule_df is not None else granules(spark, sf_dir)
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice")
-    layers = F.array(*[F.lit(b) for b in FILE_LAYERS])
     j = li.join(g.select("granule_key", "granule_id", "acquired_at"),
                 li.l_orderkey == g.granule_key)
-    band = F.element_at(layers, F.col("l_linenumber"))
+    band = _layer()
     return j.select(
         "granule_key", "granule_id", "acquired_at",
         band.alias("band"),
