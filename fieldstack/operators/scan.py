@@ -77,7 +77,9 @@ def running_sums(df: DataFrame, part: list[str], order: list[str], chunk: Column
     """Adds inclusive running sums ``name`` = sum(values[name]) in ``order`` within ``part``,
     plus ``_total_<name>`` = the sum over the whole key."""
     x = _chunked(df, chunk).withColumns({f"_v_{n}": v for n, v in values.items()})
-    nodes = x.groupBy(*part, "_chunk").agg(*[F.sum(f"_v_{n}").alias(n) for n in values])
+    # chunks count from 0, so this is the key itself; a constant key stays a column, and the plan shows it beside its chunk
+    nodes = x.groupBy(*[F.when(F.col("_chunk") >= 0, F.col(c)).alias(c) for c in part], "_chunk").agg(
+        *[F.sum(f"_v_{n}").alias(n) for n in values])
     carry = _sweep(nodes, part, list(values), F.sum, lambda n, w: F.coalesce(F.sum(n).over(_earlier(w)), F.lit(0)),
                    lambda inner, above: inner + above, totals=True)
     x = x.withColumns({f"_in_{n}": F.sum(f"_v_{n}").over(_upto(part, order)) for n in values})
