@@ -94,3 +94,20 @@ def test_suffix_array_of_periodic_text(n):
 def test_query(spark, documents):
     want = {d: (*b[:3], hashlib.sha256(b[3]).hexdigest()) for (d, *_), b in zip(documents[1], brute([r[1] for r in documents[1]], 400))}
     assert {r[0]: tuple(r)[1:] for r in op6_suffix_dedup(spark, documents[0]).collect()} == want
+
+
+def test_planted_passages(make):
+    """Passages of over 50 words in two documents each: those of 400 bytes go from both, shorter ones stay; clean documents stay."""
+    rnd = random.Random(5)
+    words = lambda n, size: " ".join("".join(rnd.choice("abcdefghij") for _ in range(size)) for _ in range(n))     # noqa: E731
+    texts, want = [], []
+    for count, size in ((51, 7), (51, 6), (64, 5), (51, 8), (80, 6), (200, 4)):
+        passage = words(count, size)
+        for _ in range(2):
+            before, after = words(rnd.randrange(1, 90), 5), words(rnd.randrange(1, 90), 5)
+            texts.append(f"{before}|{passage}|{after}")
+            want.append(len(passage) if len(passage) >= 400 else 0)
+    texts += [words(rnd.randrange(60, 300), 5) for _ in range(12)]
+    got = [r[1] for r in run(make, texts)]
+    near = [0 <= g - w <= 4 for g, w in zip(got, want)]      # the bars and what else the neighbours share by chance
+    assert all(near) and sum(w > 0 for w in want) == 8 and got[len(want):] == [0] * 12 and run(make, texts) == brute(texts, 400)
